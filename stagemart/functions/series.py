@@ -68,8 +68,9 @@ def register_series(spark: SparkSession) -> None:
     result is an array of TIMESTAMP_NTZ. Spark does not allow a SQL function directly inside
     ``explode``: compute the array in a subquery, or use ``explode_series``.
     """
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {FUNCTION_NAME}")
     spark.sql(
-        f"""CREATE OR REPLACE TEMPORARY FUNCTION {FUNCTION_NAME}(
+        f"""CREATE TEMPORARY FUNCTION {FUNCTION_NAME}(
             series_from TIMESTAMP_NTZ,
             series_to TIMESTAMP_NTZ,
             step_unit STRING DEFAULT 'months',

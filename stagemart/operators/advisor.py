@@ -45,12 +45,11 @@ def _smallest(fits: list[tuple[int, Column]]) -> Column:
 
 
 def _by_first_slice(keys: DataFrame, bounds: tuple[Number, Number], threshold: int) -> DataFrame:
-    counts = [
-        F.count(F.when(F.col("key") <= F.lit(_first_slice_end(*bounds, slices)), 1)).alias(f"n{slices}")
-        for slices in CANDIDATES
-    ]
+    ends = {slices: F.lit(_first_slice_end(*bounds, slices)) for slices in CANDIDATES}
+    counts = [F.count(F.when(F.col("key") <= end, 1)).alias(f"n{slices}") for slices, end in ends.items()]
     fits = [(slices, F.col(f"n{slices}") <= threshold) for slices in CANDIDATES]
-    return keys.agg(*counts).select(_smallest(fits).alias("num_partitions"))
+    # The first slice of the fewest slices holds all the others: the rest need not be read.
+    return keys.filter(F.col("key") <= ends[CANDIDATES[0]]).agg(*counts).select(_smallest(fits).alias("num_partitions"))
 
 
 def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int) -> DataFrame:

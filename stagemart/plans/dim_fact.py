@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import BooleanType, DateType, IntegralType, StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructType
 
 from stagemart.functions.series import register_explodable_series, register_series
 from stagemart.operators.decimals import normalize_decimals, same_types
@@ -122,48 +123,58 @@ def load_dim_fact(
             register_stage_view(spark, folder, schema, row["table_name"], options.input_format)
     (register_explodable_series if options.explodable_series else register_series)(spark)
 
-    loaded, results = [], {}
-    for script in scripts:
-        table, results[script.name] = _load_script(spark, script, options)
-        loaded.append(table)
+    loaded = [_load_script(spark, script, options) for script in scripts]
     if options.remove_staged and options.save_files:
         for script in scripts:
-            results[script.name].createOrReplaceTempView(script.name)
+            # The views read the files that go now.
+            spark.catalog.dropTempView(script.name)
             delete_path(spark, dataset_path(options.mart_folder, script.name, options.output_format))
     return loaded
 
 
-def _load_script(spark: SparkSession, script: MartScript, options: MartOptions) -> tuple[MartTable, DataFrame]:
-    """Run one script and send its result to every enabled sink, computing it once."""
-    name, partition_by, file_format = script.name, script.partition_by, options.output_format
+def _load_script(spark: SparkSession, script: MartScript, options: MartOptions) -> MartTable:
+    """Run one script and send its result to every enabled sink, computing it once.
+
+    The files of the file sink, or else a checkpoint, feed the other sinks. Both outlive the
+    executors, and a few database connections then do not slow the query down.
+    """
+    name, partition_by = script.name, script.partition_by
     text = read_script(options.script_directory, options.project, options.country, script.file)
     result = run_script(spark, text, name)
-    files_hold_all = options.save_files and _files_hold_all(result.schema, partition_by, file_format)
-    readers = [options.save_files, options.database is not None, options.publishes_directly]
-    if sum(readers) > 1 and not files_hold_all:
-        shared_folder(spark)
-        result = result.checkpoint()
-        result.createOrReplaceTempView(name)
+    beside_files = options.database is not None or options.publishes_directly
+    if beside_files and not _files_can_hold(result.schema, partition_by, options):
+        result = _checkpoint(result, name)
     rows = normalize_decimals(result)
 
     staged = stored = published = None
+    held_by_files = False
     if options.save_files:
-        staged = write_files(rows, options.mart_folder, name, file_format, partition_by, options.compact)
-    if files_hold_all:
-        # The files just written stand in for the query: for the other sinks, and for later
-        # scripts where the types are those of the query.
-        types = rows.schema
-        rows = read_files(spark, options.mart_folder, name, file_format, types).select(types.names)
-        if same_types(types, result.schema):
-            rows.createOrReplaceTempView(name)
+        staged = write_files(
+            rows, options.mart_folder, name, options.output_format, partition_by, options.compact
+        )
+        written = _read_back(spark, script, rows.schema, options)
+        held_by_files = written is not None
+        if held_by_files:
+            if same_types(rows.schema, result.schema):
+                written.createOrReplaceTempView(name)
+            rows = written
+        elif beside_files and _files_can_hold(result.schema, partition_by, options):
+            result = _checkpoint(result, name)
+            rows = normalize_decimals(result)
     if options.database is not None:
         target = options.database
         if target.schema is None:
-            target = Database(**(vars(target) | {"schema": options.project_schema}))
+            target = replace(target, schema=options.project_schema)
         stored = write_table(rows, target, name, options.batch_size)
     if options.publishes_directly:
         published = publish_direct(
-            rows, options.publish_target, options.project_schema, name, file_format, partition_by
+            rows,
+            options.publish_target,
+            options.project_schema,
+            name,
+            options.output_format,
+            partition_by,
+            rebalance=not held_by_files,
         )
     elif options.publish_target is not None:
         published = publish_copy(
@@ -172,21 +183,48 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
             options.publish_target,
             options.project_schema,
             name,
-            file_format,
+            options.output_format,
             partition_by,
             rows.schema,
         )
     kept = None if options.remove_staged else staged
-    return MartTable(name, rows.schema, partition_by, kept, stored, published), result
+    return MartTable(name, rows.schema, partition_by, kept, stored, published)
+
 
+def _checkpoint(result: DataFrame, name: str) -> DataFrame:
+    shared_folder(result.sparkSession)
+    held = result.checkpoint()
+    held.createOrReplaceTempView(name)
+    return held
 
-def _files_hold_all(schema: StructType, partition_by: tuple[str, ...], file_format: FileFormat) -> bool:
-    """True if reading the files back gives the rows that were written.
 
-    CSV holds text only. The folder name of a partition cannot tell an empty string from NULL, and
-    does not hold every digit of a fraction or a timestamp.
+def _files_can_hold(schema: StructType, partition_by: tuple[str, ...], options: MartOptions) -> bool:
+    """True if files read back can give the rows that were written.
+
+    CSV holds text only, and the folder name of a partition does not show every digit of a
+    fraction or a timestamp.
     """
-    exact = (IntegralType, DateType, BooleanType)
-    return file_format.file_type == "parquet" and all(
-        isinstance(schema[column].dataType, exact) for column in partition_by
+    exact = (IntegralType, DateType, BooleanType, StringType)
+    return (
+        options.save_files
+        and options.output_format.file_type == "parquet"
+        and all(isinstance(schema[column].dataType, exact) for column in partition_by)
     )
+
+
+def _read_back(
+    spark: SparkSession, script: MartScript, schema: StructType, options: MartOptions
+) -> DataFrame | None:
+    """The rows as the mart files hold them, None if the files do not tell all values apart.
+
+    A partition folder shows an empty string as NULL. If no folder does, there was none of either.
+    """
+    if not _files_can_hold(schema, script.partition_by, options):
+        return None
+    written = read_files(spark, options.mart_folder, script.name, options.output_format, schema)
+    for column in script.partition_by:
+        if isinstance(schema[column].dataType, StringType):
+            # Answered from the folder names: no other partition is read.
+            if not written.filter(F.col(column).isNull()).isEmpty():
+                return None
+    return written.select(schema.names)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
@@ -67,10 +68,15 @@ def publish_direct(
     table: str,
     file_format: FileFormat = PARQUET,
     partition_by: Sequence[str] = (),
+    rebalance: bool = True,
 ) -> str:
-    """Write the rows as they are to ``{target}/{project}/{table}.{file_type}``, on any file system."""
+    """Write the rows as they are to ``{target}/{project}/{table}.{file_type}``, on any file system.
+
+    ``rebalance=False`` saves a partitioned write its shuffle where the rows come from files that
+    are laid out by the same partitions.
+    """
     check_target(target, by_copy=False)
-    rows = frame.hint("rebalance", *partition_by) if partition_by else frame
+    rows = frame.hint("rebalance", *partition_by) if partition_by and rebalance else frame
     return _write(rows, dataset_path(f"{target}/{project}", table, file_format), file_format, partition_by)
 
 
@@ -96,7 +102,7 @@ def publish_copy(
     if qualified(spark, source) == qualified(spark, path):
         raise UnsafeOverwrite(f"{path} is both source and target")
     if file_format.file_type == "csv":
-        file_format = FileFormat("csv", file_format.separator, file_format.header, False, True)
+        file_format = replace(file_format, infer_schema=False, multi_line=True)
     schema = schema or read_files(spark, folder, table, file_format).schema
     as_text = schema.names if file_format.file_type == "csv" else partition_by
     fields = [StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in schema]

@@ -12,6 +12,8 @@ from pyspark.sql.types import StructType
 class FileFormat:
     """Format of a stage or mart dataset. The CSV fields have no effect on parquet.
 
+    ``escape`` stands before a quote inside of a quoted value; a quote reads files that double it.
+
     ``multi_line`` reads CSV records whose quoted values hold line breaks. Such a file cannot be
     split, so a task reads it whole; ``max_records_per_file`` keeps the files written here small
     enough for that.
@@ -19,6 +21,7 @@ class FileFormat:
 
     file_type: str = "parquet"
     separator: str = ","
+    escape: str = "\\"
     header: bool = False
     infer_schema: bool = False
     multi_line: bool = False
@@ -30,14 +33,18 @@ class FileFormat:
 
     @property
     def _csv_options(self) -> dict[str, object]:
-        # Doubled quotes instead of backslashes: the only escape that brings back every value.
-        return {"sep": self.separator, "header": self.header, "escape": '"', "lineSep": "\n"}
+        return {"sep": self.separator, "header": self.header, "escape": self.escape, "lineSep": "\n"}
 
     @property
     def read_options(self) -> dict[str, object]:
         if self.file_type == "parquet":
             return {}
-        return self._csv_options | {"inferSchema": self.infer_schema, "multiLine": self.multi_line}
+        # Only a value without quotes is NULL: by default, the reader takes "" for NULL as well.
+        return self._csv_options | {
+            "inferSchema": self.infer_schema,
+            "multiLine": self.multi_line,
+            "nullValue": "\0null",
+        }
 
     @property
     def write_options(self) -> dict[str, object]:

@@ -1,0 +1,97 @@
+"""Partition advice against a plain loop."""
+
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+from fractions import Fraction
+
+import pytest
+from pyspark.errors import PySparkException
+
+from stagemart.operators import advise_partitions
+
+
+def expected(keys, threshold, largest=False):
+    keys = [Fraction(key) for key in keys if key is not None]
+    if not keys:
+        return 2
+    low, high, slices = min(keys), max(keys), 2
+    while slices < 65536:
+        width = (high - low) / slices
+        if largest:
+            held = {}
+            for key in keys:
+                number = max(-(-(key - low) // width), 1) if width else 1
+                held[number] = held.get(number, 0) + 1
+            count = max(held.values())
+        else:
+            count = sum(key <= low + width for key in keys)
+        if count <= threshold:
+            break
+        slices *= 2
+    return slices
+
+
+KEYS = {
+    "even": list(range(1000)),
+    "negative": list(range(-500, 77)),
+    "gaps": [number * number for number in range(300)],
+    "hot": [5] * 400 + list(range(600)),
+    "hot at the start": [0] * 400 + list(range(600)),
+    "one value": [9] * 300,
+    "nulls": [None] * 500 + list(range(100)),
+    "empty": [],
+    "wide": [-(2**62), 0, 1, 2, 3, 2**62],
+}
+
+
+@pytest.mark.parametrize("name", KEYS)
+@pytest.mark.parametrize("basis", ["first", "largest"])
+def test_whole_number_keys(spark, name, basis):
+    frame = spark.createDataFrame([(key,) for key in KEYS[name]], "k bigint")
+    row = advise_partitions({name: (frame, "k")}, threshold=50, basis=basis).first()
+    assert (row["table_name"], row["num_partitions"]) == (name, expected(KEYS[name], 50, basis == "largest"))
+
+
+@pytest.mark.parametrize(
+    "kind,make,number",
+    [
+        ("date", lambda n: date(2020, 1, 1) + timedelta(days=n), lambda n: n),
+        ("timestamp", lambda n: datetime(2020, 1, 1) + timedelta(seconds=n), lambda n: n),
+        ("timestamp_ntz", lambda n: datetime(2020, 1, 1) + timedelta(seconds=n), lambda n: n),
+        ("decimal(38,0)", lambda n: Decimal(n), lambda n: n),
+        ("decimal(12,2)", lambda n: Decimal(n) / 4, lambda n: n),
+        ("double", lambda n: n / 4, lambda n: n),
+    ],
+)
+def test_other_keys(spark, kind, make, number):
+    values = [0, 1, 2, 3, 5, 8, 13] + list(range(20, 700, 3))
+    frame = spark.createDataFrame([(make(value),) for value in values], f"k {kind}")
+    row = advise_partitions({"t": (frame, "k")}, threshold=20).first()
+    assert row["num_partitions"] == expected(values, 20)
+
+
+def test_several_tables_and_the_metadata_update(spark):
+    tables = {"A": (spark.range(100), "id"), "b": (spark.range(1000), "id")}
+    rows = advise_partitions(tables, threshold=60, metadata_schema="sales").collect()
+    assert [tuple(row) for row in rows] == [
+        ("A", 2, "update sales.stage_table set num_partitions=2 where table_name='A';"),
+        ("b", 32, "update sales.stage_table set num_partitions=32 where table_name='b';"),
+    ]
+
+
+def test_what_cannot_be_advised(spark):
+    with pytest.raises(ValueError):
+        advise_partitions({"t": (spark.range(3), "id")}, basis="mean")
+    with pytest.raises(TypeError):
+        advise_partitions({"t": (spark.sql("SELECT 'a' AS k"), "k")})
+    with pytest.raises(TypeError):
+        advise_partitions({"t": (spark.sql("SELECT 1.5D AS k"), "k")}, basis="largest")
+    with pytest.raises(PySparkException):
+        advise_partitions({"t": (spark.range(3), "missing")})
+
+
+def test_only_the_first_half_is_counted(spark):
+    spark.range(1000).write.mode("overwrite").parquet(spark.conf.get("spark.checkpoint.dir") + "/advice")
+    frame = spark.read.parquet(spark.conf.get("spark.checkpoint.dir") + "/advice")
+    plan = advise_partitions({"t": (frame, "id")})._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(id,499)" in plan

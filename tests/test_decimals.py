@@ -1,0 +1,37 @@
+"""Decimal normalization."""
+
+from decimal import Decimal
+
+from stagemart.operators import normalize_decimals
+
+
+def test_only_decimals_that_tables_cannot_declare_change(spark):
+    frame = spark.sql(
+        """SELECT CAST(1.25 AS DECIMAL(10,2)) AS price, CAST(2.5 AS DECIMAL(38,10)) AS rate,
+                  CAST(3 AS DECIMAL(38,0)) AS id, CAST(4.5 AS DECIMAL(38,2)) AS `odd.name`, 5 AS n,
+                  array(CAST(1.5 AS DECIMAL(4,1))) AS many, struct(CAST(1.5 AS DECIMAL(4,1)) AS inner) AS nested"""
+    )
+    normalized = normalize_decimals(frame)
+    assert [(field.name, field.dataType.simpleString()) for field in normalized.schema] == [
+        ("price", "double"),
+        ("rate", "decimal(38,10)"),
+        ("id", "decimal(38,0)"),
+        ("odd.name", "double"),
+        ("n", "int"),
+        ("many", "array<decimal(4,1)>"),
+        ("nested", "struct<inner:decimal(4,1)>"),
+    ]
+    row = normalized.first()
+    assert (row["price"], row["rate"], row["id"], row["odd.name"]) == (1.25, Decimal("2.5"), Decimal(3), 4.5)
+
+
+def test_a_frame_without_such_columns_is_left_alone(spark):
+    frame = spark.range(3)
+    assert normalize_decimals(frame) is frame
+
+
+def test_one_projection_for_many_columns(spark):
+    columns = ", ".join(f"CAST(id AS DECIMAL(12,2)) AS c{number}" for number in range(50))
+    wide = normalize_decimals(spark.range(1).selectExpr(*columns.split(", ")))
+    assert set(dict(wide.dtypes).values()) == {"double"}
+    assert wide._jdf.queryExecution().analyzed().toString().count("Project") == 2

@@ -1,0 +1,120 @@
+"""Series against an engine that steps the same way, on random and on telling ranges."""
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from conftest import rows_of
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from stagemart.functions import explode_series, generate_series, register_explodable_series, register_series
+
+STEPS = [
+    ("months", 1, 4000),
+    ("months", 2, 4000),
+    ("months", 5, 9000),
+    ("years", 1, 12000),
+    ("years", 4, 40000),
+    ("weeks", 3, 700),
+    ("days", 9, 300),
+    ("hours", 100, 120),
+    ("minutes", 700, 20),
+    ("seconds", 40000, 20),
+    ("microseconds", 1500000000, 1),
+]
+
+
+def ranges(days):
+    random.seed(days)
+    found = []
+    for number in range(400):
+        start = datetime(1990, 1, 1) + timedelta(days=random.randrange(9000), microseconds=random.randrange(86400 * 10**6))
+        if number % 2:
+            start = start.replace(month=random.choice((1, 3, 8, 12)), day=random.randrange(28, 32))
+        if number % 3 == 0:
+            start = start.replace(hour=0, minute=0, second=0, microsecond=0)
+        found.append((number, start, start + timedelta(days=random.randrange(-days // 10 - 1, days))))
+    found += [
+        (1000, datetime(2024, 2, 29), datetime(2037, 2, 28)),
+        (1001, datetime(2023, 12, 31), datetime(2024, 3, 29)),
+        (1002, datetime(2024, 1, 31), datetime(2024, 3, 30)),
+        (1003, datetime(2024, 1, 30), datetime(2024, 1, 30)),
+        (1004, datetime(2024, 5, 2), datetime(2024, 5, 1)),
+        (1005, datetime(2024, 1, 31, 12), datetime(2024, 4, 29, 11)),
+        (1006, None, datetime(2024, 5, 1)),
+        (1007, datetime(2024, 5, 2), None),
+    ]
+    return found
+
+
+def ranges_frame(spark, days):
+    return spark.createDataFrame(ranges(days), "n int, low timestamp_ntz, high timestamp_ntz")
+
+
+@pytest.fixture(params=["native", "arrow"])
+def registered(spark, request):
+    (register_series if request.param == "native" else register_explodable_series)(spark)
+    return request.param
+
+
+@pytest.mark.parametrize("interval,value,days", STEPS)
+def test_series_equals_iterative_stepping(spark, duck, registered, interval, value, days):
+    frame = ranges_frame(spark, days)
+    got = frame.select("n", generate_series("low", "high", interval, value).alias("series")).collect()
+    expected = {}
+    for number, low, high in ranges(days):
+        query = f"SELECT generate_series(CAST(? AS TIMESTAMP), CAST(? AS TIMESTAMP), INTERVAL {value} {interval})"
+        expected[number] = duck.execute(query, [low, high]).fetchone()[0]
+    assert {row["n"]: row["series"] for row in got} == expected
+
+
+def test_month_ends_stay_short(spark, registered):
+    row = spark.sql("SELECT generate_series(DATE'2024-01-31', DATE'2024-05-30') AS series").first()
+    assert [(day.month, day.day) for day in row["series"]] == [(1, 31), (2, 29), (3, 29), (4, 29), (5, 29)]
+
+
+@pytest.mark.parametrize("kind", ["DATE", "TIMESTAMP", "TIMESTAMP_NTZ"])
+def test_input_types_and_defaults(spark, registered, kind):
+    row = spark.sql(f"SELECT generate_series({kind}'2024-01-15', {kind}'2024-03-15') AS series").first()
+    assert row["series"] == [datetime(2024, 1, 15), datetime(2024, 2, 15), datetime(2024, 3, 15)]
+
+
+def test_unit_and_count_may_come_from_columns(spark, registered):
+    rows = spark.sql(
+        """SELECT size(generate_series(TIMESTAMP_NTZ'2024-01-31', TIMESTAMP_NTZ'2025-01-31', unit, step)) AS n
+           FROM VALUES ('months', '1'), ('days', '100'), ('years', '1'), (NULL, '1'), ('days', NULL) t(unit, step)"""
+    ).collect()
+    assert [row["n"] for row in rows] == [13, 4, 2, None, None]
+
+
+@pytest.mark.parametrize("interval,value", [("month", 1), ("decades", 1), ("days", 0), ("days", -1), ("days", "x")])
+def test_bad_steps_are_refused(spark, registered, interval, value):
+    frame = ranges_frame(spark, 10).filter("low IS NOT NULL AND high IS NOT NULL")
+    with pytest.raises(PySparkException):
+        frame.select(generate_series("low", "high", interval, value)).collect()
+
+
+def test_explode_series_drops_empty_and_null(spark, registered):
+    exploded = explode_series(ranges_frame(spark, 300), "low", "high", "days", 9)
+    arrays = ranges_frame(spark, 300).select("n", "low", "high", generate_series("low", "high", "days", 9).alias("s"))
+    assert exploded.columns == ["n", "low", "high", "series"]
+    assert rows_of(exploded) == rows_of(arrays.select("n", "low", "high", F.explode("s")))
+
+
+def test_native_series_needs_no_python_and_is_computed_once(spark):
+    register_series(spark)
+    frame = explode_series(ranges_frame(spark, 300).coalesce(1), "low", "high", "days", 1)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert "PythonUDF" not in plan
+    assert plan.count("sequence(") == 1
+
+
+def test_midnight_that_does_not_exist(spark):
+    register_series(spark)
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        row = spark.sql("SELECT generate_series(DATE'2018-11-03', DATE'2018-11-05', 'days') AS series").first()
+        assert row["series"] == [datetime(2018, 11, day) for day in (3, 4, 5)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
