@@ -7,9 +7,11 @@ instead (31 Jan, 29 Feb, 31 Mar, ...), so starts after the 28th are corrected be
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import timedelta
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,29 +113,69 @@ def register_explodable_series(spark: SparkSession) -> None:
     """
     units = UNITS
 
-    # Defined here so that it travels to the workers by value: they need not have this package.
-    def series(
-        start: date | None, stop: date | None, interval: str | None = "months", value: str | int | None = "1"
-    ) -> list[datetime] | None:
-        if start is None or stop is None or interval is None or value is None:
-            return None
-        if interval not in units:
-            raise ValueError(f"unknown step unit {interval}")
-        count = int(value)
-        if count < 1:
-            raise ValueError(f"a step must be a whole number above zero, not {value}")
-        first, last = np.datetime64(start, "us"), np.datetime64(stop, "us")
-        if interval in ("months", "years"):
-            month, last_month = first.astype("M8[M]"), last.astype("M8[M]")
-            months = np.arange(month, last_month + 1, count * (12 if interval == "years" else 1))
-            lengths = (months + 1).astype("M8[D]") - months.astype("M8[D]")
-            day_of_month = first.astype("M8[D]") - month.astype("M8[D]")
-            days = np.minimum.accumulate(np.minimum(lengths - 1, day_of_month))
-            dates = months.astype("M8[D]") + days + (first - first.astype("M8[D]"))
+    # Defined in here, so that they travel to the workers by value: those need not have this package.
+    def wall_clock(column: pa.Array) -> np.ndarray:
+        if pa.types.is_timestamp(column.type) and column.type.tz is not None:
+            column = pc.local_timestamp(column)
+        return column.cast(pa.timestamp("us")).to_numpy(zero_copy_only=False).astype("M8[us]")
+
+    def expand(
+        first: np.ndarray, last: np.ndarray, unit: str, count: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """All elements of all series in one array, and how many of them each row has."""
+        in_months = unit in ("months", "years")
+        if in_months:
+            step = count * (12 if unit == "years" else 1)
+            begin, end = first.astype("M8[M]").astype("int64"), last.astype("M8[M]").astype("int64")
         else:
-            step = np.timedelta64(timedelta(**{interval: count}), "us")
-            dates = np.arange(first, last + np.timedelta64(1, "us"), step)
-        return dates[dates <= last].astype("M8[us]").tolist()
+            step = timedelta(**{unit: count}) // timedelta(microseconds=1)
+            begin, end = first.astype("int64"), last.astype("int64")
+        sizes = np.maximum((end - begin) // step + 1, 0)
+        row = np.repeat(np.arange(len(first)), sizes)
+        number = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        position = begin[row] + number * step
+        if not in_months:
+            return position.astype("M8[us]"), sizes
+        months = position.astype("M8[M]")
+        shortest = ((months + 1).astype("M8[D]") - months.astype("M8[D]")).astype("int64") - 1
+        from_day = (first.astype("M8[D]") - first.astype("M8[M]").astype("M8[D]")).astype("int64")
+        # A running minimum within each row: every next row lies below all rows before it.
+        below = 100 * row
+        day = np.minimum.accumulate(np.minimum(shortest, from_day[row]) - below) + below
+        clock = first - first.astype("M8[D]")
+        dates = (months.astype("M8[D]") + day.astype("m8[D]")).astype("M8[us]") + clock[row]
+        kept = dates <= last[row]
+        return dates[kept], np.bincount(row[kept], minlength=len(first))
+
+    def series(start: pa.Array, stop: pa.Array, *step: pa.Array) -> pa.Array:
+        first, last, n_rows = wall_clock(start), wall_clock(stop), len(start)
+        names = step[0].to_pylist() if step else ["months"] * n_rows
+        counts = step[1].to_pylist() if step[1:] else ["1"] * n_rows
+        groups: dict[tuple[str, str], list[int]] = {}
+        for position, key in enumerate(zip(names, counts)):
+            groups.setdefault(key, []).append(position)
+        known = ~(np.isnat(first) | np.isnat(last))
+        order, values, sizes, missing = [], [], [], []
+        for (unit, count), members in groups.items():
+            rows = np.array(members)
+            there = known[rows] if unit is not None and count is not None else np.zeros(len(rows), bool)
+            size = np.zeros(len(rows), "int64")
+            if there.any():
+                if unit not in units:
+                    raise ValueError(f"unknown step unit {unit}")
+                if int(count) < 1:
+                    raise ValueError(f"a step must be a whole number above zero, not {count}")
+                elements, size[there] = expand(first[rows[there]], last[rows[there]], unit, int(count))
+                values.append(elements)
+            order.append(rows)
+            sizes.append(size)
+            missing.append(~there)
+        flat = np.concatenate(values) if values else np.array([], "M8[us]")
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("int32")
+        lists = pa.ListArray.from_arrays(
+            offsets, pa.array(flat, pa.timestamp("us")), mask=pa.array(np.concatenate(missing))
+        )
+        return lists.take(pa.array(np.argsort(np.concatenate(order))))
 
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {FUNCTION_NAME}")
-    spark.udf.register(FUNCTION_NAME, F.udf(series, "array<timestamp_ntz>", useArrow=True))
+    spark.udf.register(FUNCTION_NAME, F.arrow_udf(series, "array<timestamp_ntz>"))
