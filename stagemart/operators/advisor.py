@@ -8,7 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    FractionalType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 Number = int | float | Decimal
 
@@ -38,6 +45,27 @@ def _first_slice_end(lower: Number, upper: Number, slices: int) -> Number:
     return lower + (upper - lower) / slices
 
 
+def _literal(value: Number) -> Column:
+    return F.lit(Decimal(value) if isinstance(value, int) and not -(2**63) <= value < 2**63 else value)
+
+
+def _key_bounds(keys: Mapping[str, DataFrame]) -> dict[str, tuple[Number, Number] | None]:
+    """Least and greatest key of every table, by one job over all of them; None without keys."""
+    ends = [
+        frame.agg(F.lit(name), F.min("key").cast("string"), F.max("key").cast("string")).toDF("name", "lower", "upper")
+        for name, frame in keys.items()
+    ]
+    bounds: dict[str, tuple[Number, Number] | None] = {}
+    for name, lower, upper in reduce(DataFrame.union, ends).collect():
+        kind = keys[name].schema["key"].dataType
+        if isinstance(kind, DecimalType) and kind.scale > 0:
+            number = Decimal
+        else:
+            number = float if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType) else int
+        bounds[name] = None if lower is None else (number(lower), number(upper))
+    return bounds
+
+
 def _smallest(fits: list[tuple[int, Column]]) -> Column:
     """First candidate whose condition holds, the largest candidate if none does."""
     largest = fits[-1][0]
@@ -45,7 +73,7 @@ def _smallest(fits: list[tuple[int, Column]]) -> Column:
 
 
 def _by_first_slice(keys: DataFrame, bounds: tuple[Number, Number], threshold: int) -> DataFrame:
-    ends = {slices: F.lit(_first_slice_end(*bounds, slices)) for slices in CANDIDATES}
+    ends = {slices: _literal(_first_slice_end(*bounds, slices)) for slices in CANDIDATES}
     counts = [F.count(F.when(F.col("key") <= end, 1)).alias(f"n{slices}") for slices, end in ends.items()]
     fits = [(slices, F.col(f"n{slices}") <= threshold) for slices in CANDIDATES]
     # The first slice of the fewest slices holds all the others: the rest need not be read.
@@ -64,7 +92,7 @@ def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int)
     width = max(upper - lower, 1)
     # Whole numbers throughout: ceil(distance * finest / width) - 1, and 0 for the lowest key.
     slice_number = F.expr(
-        f"(int(greatest(1, ((cast(key AS DECIMAL(20, 0)) - {lower}BD) * {finest}BD + {width - 1}BD) div {width}BD)) - 1)"
+        f"(int(greatest(1, ((cast(key AS DECIMAL(27, 0)) - {lower}BD) * {finest}BD + {width - 1}BD) div {width}BD)) - 1)"
     )
     histogram = keys.filter(F.col("key").isNotNull()).groupBy(slice_number.alias("slice")).count()
     levels = F.explode(F.array(*(F.lit(power) for power in range(MAX_DOUBLINGS)))).alias("merged")
@@ -96,16 +124,14 @@ def advise_partitions(
     """
     if basis not in ("first", "largest"):
         raise ValueError("basis must be first or largest")
+    keys = {name: frame.select(_as_number(frame, key).alias("key")) for name, (frame, key) in tables.items()}
+    by_slice = _by_first_slice if basis == "first" else _by_largest_slice
     advice = []
-    for name, (frame, key_column) in tables.items():
-        keys = frame.select(_as_number(frame, key_column).alias("key"))
-        bounds = tuple(keys.agg(F.min("key"), F.max("key")).first())
-        if None in bounds:
-            counted = keys.agg(F.lit(CANDIDATES[0]).alias("num_partitions"))
-        elif basis == "first":
-            counted = _by_first_slice(keys, bounds, threshold)
+    for name, bounds in _key_bounds(keys).items():
+        if bounds is None:
+            counted = keys[name].agg(F.lit(CANDIDATES[0]).alias("num_partitions"))
         else:
-            counted = _by_largest_slice(keys, bounds, threshold)
+            counted = by_slice(keys[name], bounds, threshold)
         advice.append(counted.select(F.lit(name).alias("table_name"), "num_partitions"))
     update = F.format_string(
         f"update {metadata_schema}.stage_table set num_partitions=%d where table_name='%s';",

@@ -16,7 +16,7 @@ from stagemart.session import delete_path, shared_folder
 from stagemart.sinks.files import check_target, parse_partition, publish_copy, publish_direct, write_files
 from stagemart.sinks.jdbc import write_table
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files, register_stage_view
-from stagemart.sources.jdbc import DEFAULT_FETCH_SIZE, Database
+from stagemart.sources.jdbc import DEFAULT_FETCH_SIZE, DEFAULT_NUM_PARTITIONS, Database
 from stagemart.sources.metadata import StageMetadata, stage_tables
 
 
@@ -71,6 +71,7 @@ class MartOptions:
     remove_staged: bool = False
     database: Database | None = None
     batch_size: int = DEFAULT_FETCH_SIZE
+    database_connections: int = DEFAULT_NUM_PARTITIONS
     publish_target: str | None = None
     publish_by_copy: bool = True
     explodable_series: bool = False
@@ -165,7 +166,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
         target = options.database
         if target.schema is None:
             target = replace(target, schema=options.project_schema)
-        stored = write_table(rows, target, name, options.batch_size)
+        stored = write_table(rows, target, name, options.batch_size, options.database_connections)
     if options.publishes_directly:
         published = publish_direct(
             rows,

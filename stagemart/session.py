@@ -34,11 +34,13 @@ def new_folder(spark: SparkSession, label: str) -> str:
 @contextmanager
 def job_description(spark: SparkSession, text: str) -> Iterator[None]:
     """Show ``text`` in the Spark UI for the jobs started inside the block."""
-    spark.sparkContext.setJobDescription(text)
+    context = spark.sparkContext
+    before = context.getLocalProperty("spark.job.description")
+    context.setJobDescription(text)
     try:
         yield
     finally:
-        spark.sparkContext.setJobDescription(None)
+        context.setJobDescription(before)
 
 
 def _hadoop_path(spark: SparkSession, path: str):

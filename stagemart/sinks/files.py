@@ -32,7 +32,8 @@ def check_target(target: str | None, by_copy: bool) -> None:
 def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: Sequence[str]) -> str:
     writer = frame.write.format(file_format.file_type).mode("overwrite").options(**file_format.write_options)
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        # Partitions of an earlier run go, whatever the session says about overwriting.
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
     with job_description(frame.sparkSession, f"write {path}"):
         writer.save(path)
     return path

@@ -1,6 +1,6 @@
 from stagemart.sources.files import FileFormat, PARQUET, dataset_path, read_files, register_stage_view
 from stagemart.sources.jdbc import Database, collect_bounds, key_bounds, read_table
-from stagemart.sources.metadata import StageMetadata, stage_tables
+from stagemart.sources.metadata import StageMetadata, read_stage_metadata, stage_tables
 
 __all__ = [
     "Database",
@@ -11,6 +11,7 @@ __all__ = [
     "dataset_path",
     "key_bounds",
     "read_files",
+    "read_stage_metadata",
     "read_table",
     "register_stage_view",
     "stage_tables",

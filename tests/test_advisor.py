@@ -59,6 +59,7 @@ def test_whole_number_keys(spark, name, basis):
         ("timestamp", lambda n: datetime(2020, 1, 1) + timedelta(seconds=n), lambda n: n),
         ("timestamp_ntz", lambda n: datetime(2020, 1, 1) + timedelta(seconds=n), lambda n: n),
         ("decimal(38,0)", lambda n: Decimal(n), lambda n: n),
+        ("decimal(38,0)", lambda n: Decimal(n) * 10**22, lambda n: n),
         ("decimal(12,2)", lambda n: Decimal(n) / 4, lambda n: n),
         ("double", lambda n: n / 4, lambda n: n),
     ],

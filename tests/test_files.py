@@ -213,3 +213,13 @@ def test_shared_folder_is_the_one_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert new_folder(spark, "a") != new_folder(spark, "a")
     assert qualified(spark, "/tmp/x") == "file:/tmp/x"
+
+
+def test_overwrite_is_whole_whatever_the_session_says(spark, folder):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        for key in ("old", "new"):
+            write_files(spark.range(3).withColumn("k", F.lit(key)), folder, "t", partition_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert {row["k"] for row in read_files(spark, folder, "t").collect()} == {"new"}

@@ -4,7 +4,8 @@ import pytest
 from conftest import rows_of
 
 from stagemart.errors import MissingMetadata
-from stagemart.sources import StageMetadata, stage_tables
+from stagemart.sinks import write_table
+from stagemart.sources import StageMetadata, read_stage_metadata, stage_tables
 
 
 @pytest.fixture
@@ -37,3 +38,9 @@ def test_nothing_configured_is_an_error(metadata):
         stage_tables(metadata, "other")
     with pytest.raises(MissingMetadata):
         stage_tables(StageMetadata(metadata.stage_table.limit(0), metadata.stage_date_column))
+
+
+def test_metadata_tables_in_a_database(spark, metadata, database):
+    write_table(metadata.stage_table, database, "stage_table")
+    write_table(metadata.stage_date_column, database, "stage_date_column")
+    assert rows_of(stage_tables(read_stage_metadata(spark, database))) == rows_of(stage_tables(metadata))
