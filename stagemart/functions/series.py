@@ -67,7 +67,8 @@ def register_series(spark: SparkSession) -> None:
 
     A SQL function: Catalyst inlines it, so a literal unit leaves only its own branch and no Python
     worker is involved. NULL in gives NULL out, DATE and TIMESTAMP arguments are accepted, and the
-    result is an array of TIMESTAMP_NTZ. Spark does not allow a SQL function directly inside
+    result is an array of TIMESTAMP_NTZ. TIMESTAMP arguments are taken in the time zone that the
+    session has now: Spark keeps it with the function. Spark does not allow a SQL function directly inside
     ``explode``: compute the array in a subquery, or use ``explode_series``.
     """
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {FUNCTION_NAME}")

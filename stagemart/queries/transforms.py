@@ -18,8 +18,8 @@ from stagemart.queries.registry import query, table
 @query(
     "xf_decimal_normalize",
     """
-    SELECT CAST(l_orderkey AS DECIMAL(38,0)) AS order_key,
-           CAST(l_quantity AS DECIMAL(38,10)) AS quantity,
+    SELECT CAST(CAST(l_orderkey AS DECIMAL(38,0)) AS VARCHAR) AS order_key,
+           CAST(CAST(l_quantity AS DECIMAL(38,10)) AS VARCHAR) AS quantity,
            CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
            CAST(CAST(l_tax AS DECIMAL(4,2)) AS DOUBLE) AS tax,
            l_shipdate
@@ -34,7 +34,10 @@ def xf_decimal_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("decimal(4,2)").alias("tax"),
         "l_shipdate",
     )
-    return normalize_decimals(lines)
+    normalized = normalize_decimals(lines)
+    # As text, the two that were kept show all digits of their scale.
+    kept = {name: F.col(name).cast("string") for name in ("order_key", "quantity")}
+    return normalized.withColumns(kept)
 
 
 # ---- series ----------------------------------------------------------------------------------

@@ -81,6 +81,27 @@ def publish_direct(
     return _write(rows, dataset_path(f"{target}/{project}", table, file_format), file_format, partition_by)
 
 
+def read_staged(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    file_format: FileFormat = PARQUET,
+    partition_by: Sequence[str] = (),
+    schema: StructType | None = None,
+) -> DataFrame:
+    """Staged rows for publishing, with CSV columns and partition values as the text they are.
+
+    ``schema`` is that of the staged rows; without one it is read from the files, which an empty
+    partitioned or headerless dataset cannot give.
+    """
+    is_csv = file_format.file_type == "csv"
+    as_written = replace(file_format, infer_schema=False, multi_line=is_csv)
+    schema = schema or read_files(spark, folder, table, as_written).schema
+    as_text = schema.names if is_csv else partition_by
+    fields = [StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in schema]
+    return read_files(spark, folder, table, as_written, StructType(fields))
+
+
 def publish_copy(
     spark: SparkSession,
     folder: str,
@@ -91,22 +112,12 @@ def publish_copy(
     partition_by: Sequence[str] = (),
     schema: StructType | None = None,
 ) -> str:
-    """Replace the published dataset by a copy of the staged one, and raise if that fails.
-
-    Values are not reinterpreted: CSV columns and partition values are copied as text. ``schema``
-    is that of the staged rows; without one it is read from the files, which an empty partitioned
-    or headerless dataset cannot give.
-    """
+    """Replace the published dataset by a copy of the staged one, see ``read_staged``; raise if that fails."""
     check_target(target, by_copy=True)
     source = dataset_path(folder, table, file_format)
     path = dataset_path(f"{target}/{project}", table, file_format)
     if qualified(spark, source) == qualified(spark, path):
         raise UnsafeOverwrite(f"{path} is both source and target")
-    if file_format.file_type == "csv":
-        file_format = replace(file_format, infer_schema=False, multi_line=True)
-    schema = schema or read_files(spark, folder, table, file_format).schema
-    as_text = schema.names if file_format.file_type == "csv" else partition_by
-    fields = [StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in schema]
-    staged = read_files(spark, folder, table, file_format, StructType(fields))
+    staged = read_staged(spark, folder, table, file_format, partition_by, schema)
     # The staged files are laid out by partition already, so no shuffle is needed here.
     return _write(staged, path, file_format, partition_by)

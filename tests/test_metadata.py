@@ -36,6 +36,8 @@ def test_single_table_in_any_case(metadata):
 def test_nothing_configured_is_an_error(metadata):
     with pytest.raises(MissingMetadata):
         stage_tables(metadata, "other")
+    with pytest.raises(MissingMetadata):
+        stage_tables(metadata, "x' OR 'a' = 'a")
     with pytest.raises(MissingMetadata):
         stage_tables(StageMetadata(metadata.stage_table.limit(0), metadata.stage_date_column))
 

@@ -80,6 +80,25 @@ def test_input_types_and_defaults(spark, registered, kind):
     assert row["series"] == [datetime(2024, 1, 15), datetime(2024, 2, 15), datetime(2024, 3, 15)]
 
 
+@pytest.mark.parametrize("register", [register_series, register_explodable_series])
+def test_time_stamps_step_in_the_session_time_zone(spark, register):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        register(spark)
+        query = "SELECT generate_series(TIMESTAMP'2024-01-31 22:00:00', TIMESTAMP'2024-03-30 22:00:00') AS series"
+        assert spark.sql(query).first()["series"] == [
+            datetime(2024, 1, 31, 22), datetime(2024, 2, 29, 22), datetime(2024, 3, 29, 22)
+        ]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_many_microseconds_in_one_step(spark, registered):
+    query = """SELECT generate_series(TIMESTAMP_NTZ'2024-01-31', TIMESTAMP_NTZ'2024-01-31 02:00:00',
+               'microseconds', '3600000000') AS series"""
+    assert [element.hour for element in spark.sql(query).first()["series"]] == [0, 1, 2]
+
+
 def test_unit_and_count_may_come_from_columns(spark, registered):
     rows = spark.sql(
         """SELECT size(generate_series(TIMESTAMP_NTZ'2024-01-31', TIMESTAMP_NTZ'2025-01-31', unit, step)) AS n
