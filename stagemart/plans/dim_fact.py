@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructType
@@ -74,7 +75,6 @@ class MartOptions:
     database_connections: int = DEFAULT_NUM_PARTITIONS
     publish_target: str | None = None
     publish_by_copy: bool = True
-    explodable_series: bool = False
 
     def __post_init__(self) -> None:
         check_target(self.publish_target, self.publish_by_copy)
@@ -122,7 +122,7 @@ def load_dim_fact(
         folder = options.stage_folders.get(schema, f"{options.stage_directory.rstrip('/')}/{schema}")
         for row in stage_tables(metadata[schema]).select("table_name").collect():
             register_stage_view(spark, folder, schema, row["table_name"], options.input_format)
-    (register_explodable_series if options.explodable_series else register_series)(spark)
+    register_series(spark)
 
     loaded = [_load_script(spark, script, options) for script in scripts]
     if options.remove_staged and options.save_files:
@@ -141,7 +141,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
     """
     name, partition_by = script.name, script.partition_by
     text = read_script(options.script_directory, options.project, options.country, script.file)
-    result = run_script(spark, text, name)
+    result = _run_with_series(spark, text, name)
     beside_files = options.database is not None or options.publishes_directly
     if beside_files and not _files_can_hold(result.schema, partition_by, options):
         result = _checkpoint(result, name)
@@ -192,6 +192,23 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
     return MartTable(name, rows.schema, partition_by, kept, stored, published)
 
 
+def _run_with_series(spark: SparkSession, text: str, name: str) -> DataFrame:
+    """Run a script that may call ``generate_series`` anywhere.
+
+    Spark takes no SQL function inside ``explode``. A script with one there runs with the UDF.
+    """
+    try:
+        return run_script(spark, text, name)
+    except AnalysisException as error:
+        if error.getCondition() != "UNSUPPORTED_SQL_UDF_USAGE":
+            raise
+    register_explodable_series(spark)
+    try:
+        return run_script(spark, text, name)
+    finally:
+        register_series(spark)
+
+
 def _checkpoint(result: DataFrame, name: str) -> DataFrame:
     shared_folder(result.sparkSession)
     held = result.checkpoint()

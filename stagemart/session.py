@@ -43,6 +43,20 @@ def job_description(spark: SparkSession, text: str) -> Iterator[None]:
         context.setJobDescription(before)
 
 
+@contextmanager
+def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    """Set a SQL setting for the jobs started inside the block."""
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -10,7 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from stagemart.errors import UnsafeOverwrite
 from stagemart.operators.decimals import normalize_decimals
-from stagemart.session import job_description, qualified
+from stagemart.session import job_description, qualified, session_setting
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files
 
 S3_SCHEMES = ("s3", "s3a", "s3n")
@@ -54,12 +54,14 @@ def write_files(
     ``compact`` rebalances without columns: a small result ends in one file, a large one in files
     of the advisory partition size, still written in parallel.
     """
-    rows = normalize_decimals(frame)
+    rows, path = normalize_decimals(frame), dataset_path(folder, table, file_format)
     if partition_by:
-        rows = rows.hint("rebalance", *partition_by)
-    elif compact:
-        rows = rows.hint("rebalance")
-    return _write(rows, dataset_path(folder, table, file_format), file_format, partition_by)
+        return _write(rows.hint("rebalance", *partition_by), path, file_format, partition_by)
+    if compact:
+        # By default, Spark would rather keep all cores busy than reach the advisory size.
+        with session_setting(frame.sparkSession, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"):
+            return _write(rows.hint("rebalance"), path, file_format, partition_by)
+    return _write(rows, path, file_format, partition_by)
 
 
 def publish_direct(

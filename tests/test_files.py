@@ -121,12 +121,15 @@ def test_partitioned_write_splits_a_hot_value_and_joins_small_ones(spark, folder
 def test_compact_makes_one_file_of_little_and_several_of_much(spark, folder):
     rows = spark.range(0, 300_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
     write_files(rows.filter("id < 1000"), folder, "little", compact=True)
+    write_files(rows, folder, "some", compact=True)
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
     try:
         write_files(rows, folder, "much", compact=True)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert len(file_counts(read_files(spark, folder, "little"))) == 1
+    assert len(file_counts(read_files(spark, folder, "some"))) == 1
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.parallelismFirst", None) is None
     assert 1 < len(file_counts(read_files(spark, folder, "much"))) <= 8
     assert read_files(spark, folder, "much").count() == 300_000
 

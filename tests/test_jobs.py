@@ -250,11 +250,19 @@ def test_a_second_run_starts_from_the_stage(spark, mart, folder):
 
 def test_scripts_may_explode_the_series(spark, mart):
     config, metadata, options = mart
-    text = "SELECT explode(generate_series(DATE'2024-01-31', DATE'2024-04-30')) AS month FROM lake_items WHERE id = 1"
-    open(options.script_directory + "/shop/br/months.sql", "w").write(text)
-    config = MartConfig(("lake",), (MartScript("months", "months.sql"),), ())
-    load_dim_fact(spark, config, metadata, replace(options, explodable_series=True))
-    assert [row["month"].day for row in read_files(spark, options.mart_folder, "months").orderBy("month").collect()] == [31, 29, 29, 29]
+    call = "generate_series(DATE'2024-01-31', DATE'2024-04-30')"
+    scripts = {
+        "exploded": f"SELECT explode({call}) AS month FROM lake_items WHERE id = 1",
+        "nested": f"SELECT explode(dates) AS month FROM (SELECT {call} AS dates FROM lake_items WHERE id = 1)",
+        "both": "SELECT e.month FROM exploded e JOIN nested n ON e.month = n.month",
+    }
+    for name, text in scripts.items():
+        open(f"{options.script_directory}/shop/br/{name}.sql", "w").write(text)
+    config = MartConfig(("lake",), tuple(MartScript(name, f"{name}.sql") for name in scripts), ())
+    load_dim_fact(spark, config, metadata, options)
+    for name in scripts:
+        months = read_files(spark, options.mart_folder, name).orderBy("month").collect()
+        assert [row["month"].day for row in months] == [31, 29, 29, 29]
 
 
 def test_options_that_cannot_work(mart):
