@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DecimalType, StructType
 
+from stagemart.names import quoted
+
 # The decimal types that external tables can declare.
 KEPT_DECIMALS = (DecimalType(38, 10), DecimalType(38, 0))
 
@@ -21,7 +23,7 @@ def normalize_decimals(frame: DataFrame) -> DataFrame:
         return frame
     columns = []
     for field in fields:
-        column = F.col("`" + field.name.replace("`", "``") + "`")
+        column = F.col(quoted(field.name))
         if _becomes_double(field.dataType):
             column = column.cast("double").alias(field.name)
         columns.append(column)

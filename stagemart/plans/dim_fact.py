@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructType
 
+from stagemart.errors import UnsafeOverwrite
 from stagemart.functions.series import register_explodable_series, register_series
+from stagemart.names import as_spelled, quoted
 from stagemart.operators.decimals import normalize_decimals, same_types
 from stagemart.operators.scripts import read_script, run_script
-from stagemart.session import delete_path, shared_folder
+from stagemart.session import delete_path, qualified, shared_folder
 from stagemart.sinks.files import check_target, parse_partition, publish_copy, publish_direct, write_files
 from stagemart.sinks.jdbc import write_table
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files, register_stage_view
@@ -118,10 +120,16 @@ def load_dim_fact(
     for script in scripts:
         # A result of an earlier run in this session must not be read instead of a stage view.
         spark.catalog.dropTempView(script.name)
+    stage_paths: set[str] = set()
     for schema in config.dependencies:
         folder = options.stage_folders.get(schema, f"{options.stage_directory.rstrip('/')}/{schema}")
         for row in stage_tables(metadata[schema]).select("table_name").collect():
             register_stage_view(spark, folder, schema, row["table_name"], options.input_format)
+            stage_paths.add(qualified(spark, dataset_path(folder, row["table_name"], options.input_format)))
+    for script in scripts:
+        path = dataset_path(options.mart_folder, script.name, options.output_format)
+        if qualified(spark, path) in stage_paths:
+            raise UnsafeOverwrite(f"{path} is a stage table")
     register_series(spark)
 
     loaded = [_load_script(spark, script, options) for script in scripts]
@@ -139,9 +147,10 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
     The files of the file sink, or else a checkpoint, feed the other sinks. Both outlive the
     executors, and a few database connections then do not slow the query down.
     """
-    name, partition_by = script.name, script.partition_by
+    name = script.name
     text = read_script(options.script_directory, options.project, options.country, script.file)
     result = _run_with_series(spark, text, name)
+    partition_by = as_spelled(result.schema, script.partition_by)
     beside_files = options.database is not None or options.publishes_directly
     if beside_files and not _files_can_hold(result.schema, partition_by, options):
         result = _checkpoint(result, name)
@@ -153,7 +162,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
         staged = write_files(
             rows, options.mart_folder, name, options.output_format, partition_by, options.compact
         )
-        written = _read_back(spark, script, rows.schema, options)
+        written = _read_back(spark, name, rows.schema, partition_by, options)
         held_by_files = written is not None
         if held_by_files:
             if same_types(rows.schema, result.schema):
@@ -231,18 +240,18 @@ def _files_can_hold(schema: StructType, partition_by: tuple[str, ...], options:
 
 
 def _read_back(
-    spark: SparkSession, script: MartScript, schema: StructType, options: MartOptions
+    spark: SparkSession, name: str, schema: StructType, partition_by: tuple[str, ...], options: MartOptions
 ) -> DataFrame | None:
     """The rows as the mart files hold them, None if the files do not tell all values apart.
 
     A partition folder shows an empty string as NULL. If no folder does, there was none of either.
     """
-    if not _files_can_hold(schema, script.partition_by, options):
+    if not _files_can_hold(schema, partition_by, options):
         return None
-    written = read_files(spark, options.mart_folder, script.name, options.output_format, schema)
-    for column in script.partition_by:
+    written = read_files(spark, options.mart_folder, name, options.output_format, schema)
+    for column in partition_by:
         if isinstance(schema[column].dataType, StringType):
             # Answered from the folder names: no other partition is read.
-            if not written.filter(F.col(column).isNull()).isEmpty():
+            if not written.filter(F.col(quoted(column)).isNull()).isEmpty():
                 return None
-    return written.select(schema.names)
+    return written.select([quoted(column) for column in schema.names])

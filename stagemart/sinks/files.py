@@ -6,9 +6,11 @@ from collections.abc import Sequence
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from stagemart.errors import UnsafeOverwrite
+from stagemart.names import quoted
 from stagemart.operators.decimals import normalize_decimals
 from stagemart.session import job_description, qualified, session_setting
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files
@@ -29,6 +31,16 @@ def check_target(target: str | None, by_copy: bool) -> None:
         raise ValueError(f"wrong scheme for {target}, please use {wanted}")
 
 
+def refuse_same_path(spark: SparkSession, source: str, target: str) -> None:
+    """An overwrite deletes its target first, so that must not be what it reads."""
+    if qualified(spark, source) == qualified(spark, target):
+        raise UnsafeOverwrite(f"{target} is both source and target")
+
+
+def _rebalanced(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return frame.hint("rebalance", *(F.col(quoted(name)) for name in columns))
+
+
 def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: Sequence[str]) -> str:
     writer = frame.write.format(file_format.file_type).mode("overwrite").options(**file_format.write_options)
     if partition_by:
@@ -56,11 +68,11 @@ def write_files(
     """
     rows, path = normalize_decimals(frame), dataset_path(folder, table, file_format)
     if partition_by:
-        return _write(rows.hint("rebalance", *partition_by), path, file_format, partition_by)
+        return _write(_rebalanced(rows, partition_by), path, file_format, partition_by)
     if compact:
         # By default, Spark would rather keep all cores busy than reach the advisory size.
         with session_setting(frame.sparkSession, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"):
-            return _write(rows.hint("rebalance"), path, file_format, partition_by)
+            return _write(_rebalanced(rows, ()), path, file_format, partition_by)
     return _write(rows, path, file_format, partition_by)
 
 
@@ -79,7 +91,7 @@ def publish_direct(
     are laid out by the same partitions.
     """
     check_target(target, by_copy=False)
-    rows = frame.hint("rebalance", *partition_by) if partition_by and rebalance else frame
+    rows = _rebalanced(frame, partition_by) if partition_by and rebalance else frame
     return _write(rows, dataset_path(f"{target}/{project}", table, file_format), file_format, partition_by)
 
 
@@ -116,10 +128,8 @@ def publish_copy(
 ) -> str:
     """Replace the published dataset by a copy of the staged one, see ``read_staged``; raise if that fails."""
     check_target(target, by_copy=True)
-    source = dataset_path(folder, table, file_format)
     path = dataset_path(f"{target}/{project}", table, file_format)
-    if qualified(spark, source) == qualified(spark, path):
-        raise UnsafeOverwrite(f"{path} is both source and target")
+    refuse_same_path(spark, dataset_path(folder, table, file_format), path)
     staged = read_staged(spark, folder, table, file_format, partition_by, schema)
     # The staged files are laid out by partition already, so no shuffle is needed here.
     return _write(staged, path, file_format, partition_by)

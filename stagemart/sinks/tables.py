@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
-
-def _quoted(name: str) -> str:
-    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+from stagemart.names import quoted
 
 
 def create_external_table(
@@ -22,20 +20,20 @@ def create_external_table(
     """
     database, _, _ = name.rpartition(".")
     if database:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quoted(database)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_identifier(database)}")
     drop_external_table(spark, name)
-    columns = ", ".join(f"{_quoted_column(field.name)} {field.dataType.simpleString()}" for field in schema)
-    partitions = f"PARTITIONED BY ({', '.join(map(_quoted_column, partition_by))})" if partition_by else ""
+    columns = ", ".join(f"{quoted(field.name)} {field.dataType.simpleString()}" for field in schema)
+    partitions = f"PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
     path = location.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {_quoted(name)} ({columns}) USING parquet {partitions} LOCATION '{path}'")
+    spark.sql(f"CREATE TABLE {_identifier(name)} ({columns}) USING parquet {partitions} LOCATION '{path}'")
     if partition_by:
-        spark.sql(f"MSCK REPAIR TABLE {_quoted(name)}")
-
-
-def _quoted_column(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+        spark.sql(f"MSCK REPAIR TABLE {_identifier(name)}")
 
 
 def drop_external_table(spark: SparkSession, name: str) -> None:
     """Remove the declaration; the files stay."""
-    spark.sql(f"DROP TABLE IF EXISTS {_quoted(name)}")
+    spark.sql(f"DROP TABLE IF EXISTS {_identifier(name)}")
+
+
+def _identifier(name: str) -> str:
+    return ".".join(map(quoted, name.split(".")))

@@ -11,7 +11,7 @@ from stagemart.operators import read_script, run_script
 from stagemart.plans import ExtractOptions, MartConfig, MartOptions, MartScript, extract_tables, load_dim_fact
 from stagemart.queries.jobs import stage_metadata
 from stagemart.sinks import write_files, write_table
-from stagemart.sources import PARQUET, FileFormat, read_files, read_table
+from stagemart.sources import PARQUET, FileFormat, StageMetadata, read_files, read_table
 
 
 def exists(spark, path):
@@ -92,11 +92,24 @@ def test_failures_are_raised(spark, source, folder):
         extract_tables(spark, database, missing, ExtractOptions(folder, "shop", parallel_tables=2))
     with pytest.raises(ValueError):
         extract_tables(spark, *source, ExtractOptions(folder, "shop", publish_target="s3a://lake"))
-    with pytest.raises(UnsafeOverwrite):
-        extract_tables(spark, *source, ExtractOptions(folder, "shop", publish_target=folder))
+    for by_copy in (True, False):
+        options = ExtractOptions(folder, "shop", publish_target=folder + "/", publish_by_copy=by_copy)
+        with pytest.raises(UnsafeOverwrite):
+            extract_tables(spark, *source, options)
     assert read_files(spark, f"{folder}/shop", "items").count() == 100
 
 
+def test_metadata_with_gaps(spark, source, folder):
+    database, _ = source
+    schema = "table_name string, partition_column string, num_partitions int, date_column_id int"
+    dates = spark.createDataFrame([], "id int, date_column string")
+    unset = StageMetadata(spark.createDataFrame([("items", "id", None, None)], schema), dates)
+    assert extract_tables(spark, database, unset, ExtractOptions(folder, "shop"))[0].num_partitions == 8
+    keyless = StageMetadata(spark.createDataFrame([("items", None, 8, None)], schema), dates)
+    with pytest.raises(MissingMetadata):
+        extract_tables(spark, database, keyless, ExtractOptions(folder, "shop"))
+
+
 # ---- scripts ---------------------------------------------------------------------------------
 
 
@@ -265,6 +278,32 @@ def test_scripts_may_explode_the_series(spark, mart):
         assert [row["month"].day for row in months] == [31, 29, 29, 29]
 
 
+def test_odd_names_and_cases(spark, mart, database):
+    config, metadata, options = mart
+    text = "SELECT id, id % 2 AS `Odd Key`, 'v' AS `a.b`, concat('k', id % 3) AS Kind FROM lake_items"
+    open(f"{options.script_directory}/shop/br/odd.sql", "w").write(text)
+    config = MartConfig(("lake",), (MartScript("odd", "odd.sql", ("odd key", "KIND")),), ())
+    (table,) = load_dim_fact(spark, config, metadata, replace(options, database=database))
+    assert table.partition_by == ("Odd Key", "Kind")
+    stored = read_table(spark, database, "odd")
+    assert stored.columns == ["id", "Odd Key", "a.b", "Kind"]
+    assert rows_of(stored) == rows_of(spark.table("odd")) and stored.count() == 100
+    missing = MartConfig(("lake",), (MartScript("odd", "odd.sql", ("nowhere",)),), ())
+    with pytest.raises(ValueError, match="nowhere"):
+        load_dim_fact(spark, missing, metadata, options)
+
+
+def test_a_mart_never_overwrites_its_stage(spark, mart, folder):
+    config, metadata, options = mart
+    open(f"{options.script_directory}/shop/br/items.sql", "w").write("SELECT * FROM lake_items")
+    config = MartConfig(("lake",), (MartScript("items", "items.sql"),), ())
+    options = replace(options, stage_folders={"lake": f"{options.mart_folder}/"})
+    write_files(spark.range(9), options.mart_folder, "items")
+    with pytest.raises(UnsafeOverwrite):
+        load_dim_fact(spark, config, metadata, options)
+    assert read_files(spark, options.mart_folder, "items").count() == 9
+
+
 def test_options_that_cannot_work(mart):
     _, _, options = mart
     with pytest.raises(ValueError):
