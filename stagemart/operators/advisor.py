@@ -19,6 +19,7 @@ from pyspark.sql.types import (
 
 Number = int | float | Decimal
 
+# Rows that one slice may hold, and how often the number of slices may double.
 DEFAULT_THRESHOLD = 5_000
 MAX_DOUBLINGS = 16
 CANDIDATES = tuple(2**power for power in range(1, MAX_DOUBLINGS + 1))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +18,19 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# Where the external tables lie, and the types they declare. The layout of the
+# statements further down is fixed as well.
 DEFAULT_LOCATION = "s3://datalake"
+POSTGRES_TYPES = {
+    "character varying": "varchar",
+    "text": "varchar",
+    "uuid": "varchar",
+    "json": "varchar",
+    "timestamp without time zone": "timestamp",
+    "numeric": "decimal(38,10)",
+    "double precision": "decimal(38,10)",
+}
+ORACLE_SIZED_TYPES = {"VARCHAR2": "VARCHAR", "RAW": "VARCHAR"}
 
 
 def _sized(type_name: Column) -> Column:
@@ -35,20 +47,14 @@ def _oracle_type() -> Column:
     )
     return (
         F.when((name == "DATE") | name.startswith("TIMESTAMP"), "TIMESTAMP")
-        .when(name.isin("VARCHAR2", "RAW"), _sized(F.lit("VARCHAR")))
         .when(name == "NUMBER", number)
-        .otherwise(_sized(name))
+        .otherwise(_sized(_mapped(name, ORACLE_SIZED_TYPES)))
     )
 
 
-def _postgres_type() -> Column:
-    name = F.col("data_type")
-    return (
-        F.when(name.isin("character varying", "text", "uuid", "json"), "varchar")
-        .when(name == "timestamp without time zone", "timestamp")
-        .when(name.isin("numeric", "double precision"), "decimal(38,10)")
-        .otherwise(name)
-    )
+def _mapped(name: Column, types: Mapping[str, str]) -> Column:
+    pairs = [F.lit(text) for pair in types.items() for text in pair]
+    return F.coalesce(F.create_map(*pairs)[name], name)
 
 
 def _statements(columns: DataFrame, head: Column, tail: Column) -> DataFrame:
@@ -98,7 +104,7 @@ def external_ddl_postgres(
     if tables is not None:
         catalog = catalog.filter(F.col("table_name").isin(list(tables)))
     columns = catalog.filter(F.col("data_type") != "ARRAY").select(
-        "table_name", "column_name", _postgres_type().alias("target_type"), F.col("ordinal_position").alias("position")
+        "table_name", "column_name", _mapped(F.col("data_type"), POSTGRES_TYPES).alias("target_type"), F.col("ordinal_position").alias("position")
     )
     head = F.concat(F.lit(f"create external table {schema}."), F.col("table_name"), F.lit("(\n"))
     tail = F.concat(

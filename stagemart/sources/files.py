@@ -25,7 +25,7 @@ class FileFormat:
     header: bool = False
     infer_schema: bool = False
     multi_line: bool = False
-    max_records_per_file: int = 1_048_576
+    max_records_per_file: int = 1_048_576  # a fixed value
 
     def __post_init__(self) -> None:
         if self.file_type not in ("parquet", "csv"):
