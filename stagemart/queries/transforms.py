@@ -312,9 +312,8 @@ def _ddl(names: list[str], line: object, upper: bool, head: str, tail: str) -> s
         lines = " || ',' || chr(10) || ".join(f"'  {column} ' || {line(column, kind)}" for column, kind in columns)
         shown = name.upper() if upper else name
         begin, end = head.format(name=name), tail.format(name=name)
-        statements.append(f"SELECT '{shown}' AS table_name, {begin} || {lines} || {end} AS ddl FROM {name}")
-        if not any(kind in ("string", "double") for _, kind in columns) or not upper:
-            statements[-1] += " LIMIT 1"
+        source = f" FROM {name}" if upper else ""
+        statements.append(f"SELECT '{shown}' AS table_name, {begin} || {lines} || {end} AS ddl{source}")
     return " UNION ALL ".join(f"SELECT * FROM ({statement})" for statement in statements)
 
 
