@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import SparkSession
 
@@ -43,18 +44,34 @@ def job_description(spark: SparkSession, text: str) -> Iterator[None]:
         context.setJobDescription(before)
 
 
+_settings_lock = Lock()
+_settings: dict[tuple[int, str], tuple[int, str | None]] = {}
+
+
 @contextmanager
 def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    """Set a SQL setting for the jobs started inside the block."""
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
+    """Set a SQL setting while the block runs; threads inside at one time must agree on the value.
+
+    The first one to enter sets it, and the last one to leave puts back what was there before.
+    """
+    key = (id(spark), name)
+    with _settings_lock:
+        inside, before = _settings.get(key, (0, None))
+        if inside == 0:
+            before = spark.conf.get(name, None)
+            spark.conf.set(name, value)
+        _settings[key] = (inside + 1, before)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+        with _settings_lock:
+            inside, before = _settings.pop(key)
+            if inside > 1:
+                _settings[key] = (inside - 1, before)
+            elif before is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, before)
 
 
 def _hadoop_path(spark: SparkSession, path: str):

@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stagemart.session import session_setting
+
 
 @dataclass(frozen=True)
 class FileFormat:
@@ -77,12 +79,17 @@ def read_files(
     """Scan ``{folder}/{table}.{file_type}``.
 
     CSV columns are strings unless the format asks for inference, which costs one more pass over
-    the files. With a ``schema`` nothing is inferred, values of partition columns included.
+    the files; it takes a timestamp without zone for TIMESTAMP_NTZ. With a ``schema`` nothing is
+    inferred, values of partition columns included.
     """
     reader = spark.read.format(file_format.file_type).options(**file_format.read_options)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.load(dataset_path(folder, table, file_format))
+    path = dataset_path(folder, table, file_format)
+    if schema is None and file_format.file_type == "csv" and file_format.infer_schema:
+        with session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
+            return reader.load(path)
+    return reader.load(path)
 
 
 def register_stage_view(

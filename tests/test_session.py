@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from stagemart.session import job_description, shared_folder
+from stagemart.session import job_description, session_setting, shared_folder
 
 
 def stub(master, configured=None, checkpoint=None):
@@ -28,6 +28,21 @@ def test_only_local_mode_makes_its_own():
         shared_folder(stub("spark://host:7077"))
 
 
+def test_settings_are_put_back_by_the_last_to_leave(spark):
+    name = "spark.sql.stagemart.test"
+    for before in (None, "own"):
+        if before:
+            spark.conf.set(name, before)
+        first, second = session_setting(spark, name, "x"), session_setting(spark, name, "x")
+        first.__enter__()
+        second.__enter__()
+        first.__exit__(None, None, None)
+        assert spark.conf.get(name) == "x"
+        second.__exit__(None, None, None)
+        assert spark.conf.get(name, None) == before
+    spark.conf.unset(name)
+
+
 def test_job_descriptions_are_put_back(spark):
     context = spark.sparkContext
     with job_description(spark, "outer"):
