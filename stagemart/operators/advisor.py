@@ -33,7 +33,9 @@ def _as_number(frame: DataFrame, column: str) -> Column:
     if isinstance(kind, TimestampType):
         return F.unix_micros(key)
     if isinstance(kind, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), key)
+        # Put together from its parts, as differences of timestamps depend on the session time zone.
+        minutes = (F.unix_date(key.cast("date")) * 24 + F.hour(key)).cast("bigint") * 60 + F.minute(key)
+        return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), key) * 1_000_000).cast("bigint")
     if isinstance(kind, NumericType):
         return key
     raise TypeError(f"cannot slice {column}, a {kind.simpleString()}")

@@ -104,7 +104,10 @@ def external_ddl_postgres(
     if tables is not None:
         catalog = catalog.filter(F.col("table_name").isin(list(tables)))
     columns = catalog.filter(F.col("data_type") != "ARRAY").select(
-        "table_name", "column_name", _mapped(F.col("data_type"), POSTGRES_TYPES).alias("target_type"), F.col("ordinal_position").alias("position")
+        "table_name",
+        "column_name",
+        _mapped(F.col("data_type"), POSTGRES_TYPES).alias("target_type"),
+        F.col("ordinal_position").alias("position"),
     )
     head = F.concat(F.lit(f"create external table {schema}."), F.col("table_name"), F.lit("(\n"))
     tail = F.concat(

@@ -71,6 +71,20 @@ def test_other_keys(spark, kind, make, number):
     assert row["num_partitions"] == expected(values, 20)
 
 
+def test_timestamps_without_zone_know_no_summer_time(spark):
+    # 300 hours before a long gap, then the rest: the first of two slices ends in the gap.
+    times = [datetime(2018, 10, 20) + timedelta(hours=n) for n in list(range(300)) + list(range(600, 700))]
+    frame = spark.createDataFrame([(time,) for time in times], "k timestamp_ntz")
+    hours = [(time - times[0]) / timedelta(microseconds=1) for time in times]
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        for threshold in (20, 21, 22, 43, 44, 300):
+            row = advise_partitions({"t": (frame, "k")}, threshold=threshold).first()
+            assert row["num_partitions"] == expected(hours, threshold)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_several_tables_and_the_metadata_update(spark):
     tables = {"A": (spark.range(100), "id"), "b": (spark.range(1000), "id")}
     rows = advise_partitions(tables, threshold=60, metadata_schema="sales").collect()
