@@ -16,9 +16,9 @@ class FileFormat:
 
     ``escape`` stands before a quote inside of a quoted value; a quote reads files that double it.
 
-    ``multi_line`` reads CSV records whose quoted values hold line breaks. Such a file cannot be
-    split, so a task reads it whole; ``max_records_per_file`` keeps the files written here small
-    enough for that.
+    ``multi_line`` reads CSV records whose quoted values hold line breaks. A file cannot be split
+    then: one task streams through it, and ``max_records_per_file`` bounds the files written here.
+    Turn it off for large files from elsewhere without such values.
     """
 
     file_type: str = "parquet"
@@ -26,7 +26,7 @@ class FileFormat:
     escape: str = "\\"
     header: bool = False
     infer_schema: bool = False
-    multi_line: bool = False
+    multi_line: bool = True
     max_records_per_file: int = 1_048_576  # a fixed value
 
     def __post_init__(self) -> None:

@@ -229,3 +229,15 @@ def test_overwrite_is_whole_whatever_the_session_says(spark, folder):
     finally:
         spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert {row["k"] for row in read_files(spark, folder, "t").collect()} == {"new"}
+
+
+def test_csv_without_line_breaks_may_be_split(spark, folder):
+    file_format = FileFormat("csv", multi_line=False)
+    write_files(spark.range(200_000).coalesce(1), folder, "t", file_format)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        split = read_files(spark, folder, "t", file_format, spark.range(1).schema)
+        assert split.rdd.getNumPartitions() > 3
+        assert split.agg(F.count("*"), F.sum("id")).first()[:] == (200_000, 200_000 * 199_999 // 2)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
