@@ -1,3 +1,4 @@
+from stagemart.plans.advise import advise_stage_tables
 from stagemart.plans.dim_fact import MartConfig, MartOptions, MartScript, MartTable, load_dim_fact
 from stagemart.plans.extract import ExtractedTable, ExtractOptions, extract_tables
 
@@ -8,6 +9,7 @@ __all__ = [
     "MartOptions",
     "MartScript",
     "MartTable",
+    "advise_stage_tables",
     "extract_tables",
     "load_dim_fact",
 ]

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from stagemart.errors import MissingMetadata, UnsafeOverwrite
 from stagemart.operators import read_script, run_script
-from stagemart.plans import ExtractOptions, MartConfig, MartOptions, MartScript, extract_tables, load_dim_fact
+from stagemart.plans import ExtractOptions, MartConfig, MartOptions, MartScript
+from stagemart.plans import advise_stage_tables, extract_tables, load_dim_fact
 from stagemart.queries.jobs import stage_metadata
 from stagemart.sinks import write_files, write_table
 from stagemart.sources import PARQUET, FileFormat, StageMetadata, read_files, read_table
@@ -99,6 +100,18 @@ def test_failures_are_raised(spark, source, folder):
     assert read_files(spark, f"{folder}/shop", "items").count() == 100
 
 
+@pytest.mark.parametrize("basis", ["first", "largest"])
+def test_advice_for_the_configured_tables(spark, source, basis):
+    advice = advise_stage_tables(spark, *source, "shop", threshold=10, basis=basis)
+    assert rows_of(advice) == [
+        ("items", 16, "update shop.stage_table set num_partitions=16 where table_name='items';"),
+        ("nothing", 2, "update shop.stage_table set num_partitions=2 where table_name='nothing';"),
+    ]
+    if basis == "first":
+        plan = advice._jdf.queryExecution().executedPlan().toString()
+        assert "LessThanOrEqual(ID,49)" in plan or "LessThanOrEqual(id,49)" in plan
+
+
 def test_metadata_with_gaps(spark, source, folder):
     database, _ = source
     schema = "table_name string, partition_column string, num_partitions int, date_column_id int"
@@ -119,6 +132,7 @@ def test_script_keeps_comments_and_literals(spark, tmp_path):
     result = run_script(spark, read_script(tmp_path, "p", "br", "d.sql"), "d")
     assert rows_of(result) == [(1, "two\n lines")] * 3
     assert spark.table("d").count() == 3
+    assert run_script(spark, "SELECT 1 AS a;\n-- the end\n", "e").count() == 1
 
 
 # ---- dimensions and facts --------------------------------------------------------------------
