@@ -15,7 +15,7 @@ from stagemart.functions.series import register_explodable_series, register_seri
 from stagemart.names import as_spelled, quoted
 from stagemart.operators.decimals import normalize_decimals, same_types
 from stagemart.operators.scripts import read_script, run_script
-from stagemart.session import delete_path, qualified, shared_folder
+from stagemart.session import delete_path, qualified, session_timezone, shared_folder
 from stagemart.sinks.files import check_target, parse_partition, publish_copy, publish_direct, write_files
 from stagemart.sinks.jdbc import write_table
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files, register_stage_view
@@ -58,7 +58,7 @@ class MartOptions:
     """Where the stage files are, and which sinks get each result.
 
     Stage tables of a schema lie in ``{stage_directory}/{schema}``, unless ``stage_folders`` names
-    another folder for it.
+    another folder for it. The job runs in ``session_timezone``, or in that of the session.
     """
 
     project: str
@@ -77,6 +77,7 @@ class MartOptions:
     database_connections: int = DEFAULT_NUM_PARTITIONS
     publish_target: str | None = None
     publish_by_copy: bool = True
+    session_timezone: str | None = None
 
     def __post_init__(self) -> None:
         check_target(self.publish_target, self.publish_by_copy)
@@ -116,6 +117,16 @@ def load_dim_fact(
 
     Scripts see the stage tables as ``{schema}_{table}`` and every earlier result by its name.
     """
+    with session_timezone(spark, options.session_timezone):
+        return _load_all(spark, config, metadata, options)
+
+
+def _load_all(
+    spark: SparkSession,
+    config: MartConfig,
+    metadata: Mapping[str, StageMetadata],
+    options: MartOptions,
+) -> list[MartTable]:
     scripts = config.dimensions + config.facts
     for script in scripts:
         # A result of an earlier run in this session must not be read instead of a stage view.

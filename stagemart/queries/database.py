@@ -1,7 +1,8 @@
 """The database that the JDBC queries talk to.
 
 ``spark.stagemart.jdbc.url`` (with ``.user``, ``.password``, ``.driver``, ``.schema``) names one
-that all executors reach. Without it, an embedded in-memory database inside the driver process
+that all executors reach; the queries replace the tables ``customer``, ``orders`` and ``part`` in its
+schema. Without it, an embedded in-memory database inside the driver process
 stands in; only that process sees it, so it serves local mode alone.
 """
 
@@ -21,6 +22,8 @@ def check_database(spark: SparkSession) -> Database:
     """The configured database, or a new embedded one."""
     setting = {key: spark.conf.get(f"{_PREFIX}.{key}", None) for key in ("url", "user", "password", "driver", "schema")}
     if setting["url"]:
+        if not setting["schema"]:
+            raise ValueError(f"set {_PREFIX}.schema to a schema whose tables may be replaced")
         return Database(**setting)
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_PREFIX}.url to a database that all executors reach")

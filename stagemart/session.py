@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 from threading import Lock
 
 from pyspark.sql import SparkSession
@@ -74,6 +74,11 @@ def session_setting(spark: SparkSession, name: str, value: str) -> Iterator[None
                 spark.conf.set(name, before)
 
 
+def session_timezone(spark: SparkSession, name: str | None) -> AbstractContextManager[None]:
+    """Work in a time zone while the block runs; None keeps that of the session."""
+    return session_setting(spark, "spark.sql.session.timeZone", name) if name else nullcontext()
+
+
 def _hadoop_path(spark: SparkSession, path: str):
     context = spark.sparkContext
     hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)

@@ -307,6 +307,17 @@ def test_odd_names_and_cases(spark, mart, database):
         load_dim_fact(spark, missing, metadata, options)
 
 
+def test_a_job_may_have_its_own_time_zone(spark, mart):
+    config, metadata, options = mart
+    text = "SELECT CAST(TIMESTAMP'2024-01-01 12:00:00Z' AS STRING) AS noon, current_timezone() AS zone FROM range(1)"
+    open(f"{options.script_directory}/shop/br/zone.sql", "w").write(text)
+    config = MartConfig(("lake",), (MartScript("zone", "zone.sql"),), ())
+    for zone, noon in (("America/Sao_Paulo", "2024-01-01 09:00:00"), (None, "2024-01-01 12:00:00")):
+        load_dim_fact(spark, config, metadata, replace(options, session_timezone=zone))
+        assert rows_of(read_files(spark, options.mart_folder, "zone")) == [(noon, zone or "UTC")]
+        assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
 def test_a_mart_never_overwrites_its_stage(spark, mart, folder):
     config, metadata, options = mart
     open(f"{options.script_directory}/shop/br/items.sql", "w").write("SELECT * FROM lake_items")
