@@ -29,5 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def exact_sum(column: str, alias: str) -> Column:
-    """Sum that does not depend on the order of the rows."""
-    return F.sum(F.col(column).cast("decimal(18,4)")).cast("double").alias(alias)
+    """Sum of amounts with up to four decimals that does not depend on the order of the rows.
+
+    Whole ten-thousandths are added up: far cheaper than turning each amount into a decimal.
+    """
+    parts = F.rint(F.col(column) * 10_000).cast("bigint")
+    return (F.sum(parts.cast("decimal(19,0)")).cast("double") / 10_000).alias(alias)
