@@ -7,9 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagemart.llm.chat import format_conversations, read_back
 from stagemart.llm.decontaminate import find_contamination
 from stagemart.llm.langid import identify_languages
+from stagemart.llm.packing import pack_texts
 from stagemart.llm.secret_scan import scan_secrets
+from stagemart.llm.urls import Rule, filter_urls
+from stagemart.llm.warc import build_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -47,10 +51,54 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What conversation -1 says in both of its turns.
+MARKED = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"),
+    )
+    return read_back(format_conversations(rows.unionByName(own)))
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_texts(_table(spark, sf_dir, "documents"))
+    return packed.select(
+        F.col("id").alias("doc_id"), "piece", F.col("length").alias("n_tokens"), F.col("bin").alias("bin_id"), F.col("place").alias("bin_offset")
+    )
+
+
+def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_records(_table(spark, sf_dir, "pages")).select("page_id", "warc.*")
+
+
+URL_RULES = [
+    Rule("com", "/", "allow"),
+    Rule("example.com", "/en/", "block"),
+    Rule("www.example.com", "/en/", "allow"),
+    Rule("net", "/es/", "block"),
+    Rule("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed are the keys of all urls that carry a campaign mark."""
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    found = filter_urls(pages, F.col("url").contains("utm_source="), URL_RULES)
+    return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
+    "op6_chat_format": op6_chat_format,
+    "op7_best_fit_packing": op7_best_fit_packing,
+    "op9_warc_derivatives": op9_warc_derivatives,
+    "op10_url_filter": op10_url_filter,
 }
 
 LLM_EXPECTED: dict[str, str] = {}
