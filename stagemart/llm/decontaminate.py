@@ -275,20 +275,24 @@ def contaminated(n_words: Column, n_hit: Column, share: int = 20) -> Column:
     return (n_hit > 0) & (share * n_hit >= n_words)
 
 
-def find_contamination(documents: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:
-    """``documents`` with a struct column ``contamination``: n_words, matches, n_hit, n_items, items_sha256, contaminated.
+def find_contamination(
+    documents: DataFrame, benchmark: DataFrame, text_column: str = "text", output: str = "contamination", **options
+) -> DataFrame:
+    """``documents`` with a struct column ``output``: n_words, matches, n_hit, n_items, items_sha256, contaminated.
 
     ``n_hit`` counts the words of the text under any match, ``n_items`` the items matched, and
     ``items_sha256`` digests their ids, sorted as strings and joined by commas. Repeated rows get the same answer each;
-    see :func:`verbatim_matches` for the other cases.
+    see :func:`verbatim_matches` for the other cases and options.
     """
-    found = documents.withColumn("contamination", verbatim_matches(documents, benchmark, text_column, **options))
-    summed = F.arrow_udf(_summed, "n_hit long, n_items long, items_sha256 string")(F.col("contamination.matches"))
-    found = found.withColumn("contamination", F.struct("contamination.n_words", "contamination.matches", summed.alias("sums")))
+    found = documents.withColumn(output, verbatim_matches(documents, benchmark, text_column, **options))
+    held = F.col(output)
+    sums = F.arrow_udf(_summed, "n_hit long, n_items long, items_sha256 string")(held["matches"])
+    found = found.withColumn(output, F.struct(held["n_words"], held["matches"], sums.alias("sums")))
+    names = ("n_hit", "n_items", "items_sha256")
     return found.withColumn(
-        "contamination",
+        output,
         F.struct(
-            "contamination.n_words", "contamination.matches", "contamination.sums.*",
-            contaminated(F.col("contamination.n_words"), F.col("contamination.sums.n_hit")).alias("contaminated"),
+            held["n_words"], held["matches"], *(held["sums"][name].alias(name) for name in names),
+            contaminated(held["n_words"], held["sums"]["n_hit"]).alias("contaminated"),
         ),
     )

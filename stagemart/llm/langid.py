@@ -202,8 +202,9 @@ def identify_languages(
     text_column: str = "text",
     label_column: str = "lang",
     options: LanguageOptions = LanguageOptions(),
+    output: str = "language",
 ) -> DataFrame:
-    """``documents`` with a struct column ``language``, see :func:`identified`; learns where ``learn_from`` holds.
+    """``documents`` with a struct column ``output``, see :func:`identified`; learns where ``learn_from`` holds.
 
     Labels and ids of a row take no part in its prediction. Repeated rows get the same answer each.
     """
@@ -211,4 +212,4 @@ def identify_languages(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label"), learn_from.alias("learn")
     )
     model = fit_languages(rows.where("learn"), "id", "text", "label", options)
-    return documents.withColumn("language", identified(documents, F.col(text_column), model))
+    return documents.withColumn(output, identified(documents, F.col(text_column), model))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stagemart.llm.chat import format_conversations, read_back
 from stagemart.llm.decontaminate import find_contamination
 from stagemart.llm.langid import identify_languages
+from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.packing import pack_texts
 from stagemart.llm.secret_scan import scan_secrets
 from stagemart.llm.urls import Rule, filter_urls
@@ -27,6 +28,11 @@ def _remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(_table(spark, sf_dir, "documents"), options=MinHashOptions(shingle=4))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
@@ -92,6 +98,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": op1_minhash_dedup,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,

@@ -240,10 +240,10 @@ def _scanned(column: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(arrays, ["n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_spans"])
 
 
-def scan_secrets(documents: DataFrame, text_column: str = "text") -> DataFrame:
-    """``documents`` with a struct column ``secrets``, see :func:`secrets_of`."""
+def scan_secrets(documents: DataFrame, text_column: str = "text", output: str = "secrets") -> DataFrame:
+    """``documents`` with a struct column ``output``, see :func:`secrets_of`."""
     session_of(documents)
-    return documents.withColumn("secrets", secrets_of(F.col(text_column)))
+    return documents.withColumn(output, secrets_of(F.col(text_column)))
 
 
 def secrets_of(text: Column) -> Column:

@@ -5,12 +5,12 @@ Built of DataFrame functions alone, from the bits of each level to the verdict o
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stagemart.llm.bloom import Bloom, bloom_of, bloom_size
 from stagemart.llm.scratch import Scratch
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -60,49 +60,22 @@ class CascadeOptions:
 
 @dataclass
 class Cascade:
-    """Levels by turns of listed keys and of the unlisted ones that passed: a one-row frame, bits and hashes each.
+    """Levels by turns of listed keys and of the unlisted ones that passed.
 
     ``exceeded`` says that the levels would take more than ``max_bits``; then there are none.
     """
 
-    levels: list[tuple[DataFrame, int, int]] = field(default_factory=list)
+    levels: list[Bloom] = field(default_factory=list)
     exceeded: bool = False
 
-    def passes(self, key: Column, level: int) -> Column:
-        frame, bits, hashes = self.levels[level]
-        filled = frame.scalar()
-        found = F.lit(True)
-        for position in _positions(key, level, bits, hashes):
-            word = F.get(filled, F.floor(position / 64).cast("int"))
-            found = found & (F.getbit(word, (position % 64).cast("int")) == 1)
-        return found
-
     def contains(self, key: Column) -> Column:
         """Whether a key of the corpus is listed: the first level that it fails tells."""
         found = F.lit(len(self.levels) % 2 == 1)
         for level in range(len(self.levels) - 1, -1, -1):
-            found = F.when(self.passes(key, level), found).otherwise(F.lit(level % 2 == 1))
+            found = F.when(self.levels[level].passes(key), found).otherwise(F.lit(level % 2 == 1))
         return found
 
 
-def _positions(key: Column, level: int, bits: int, hashes: int) -> list[Column]:
-    """Bits of a key; each level hashes the key anew, so no two keys agree on all of them."""
-    seed = F.xxhash64(F.lit(level), key)
-    return [F.pmod(F.xxhash64(seed, F.lit(number)), F.lit(bits)) for number in range(hashes)]
-
-
-def _level(keys: DataFrame, level: int, count: int, share: float) -> tuple[DataFrame, int, int]:
-    """The filter of ``count`` keys as a frame of one array of 64-bit words."""
-    hashes = max(1, round(math.log2(1 / share)))
-    bits = 64 * max(1, math.ceil(count * hashes / math.log(2) / 64))
-    positions = keys.select(F.explode(F.array(*_positions(F.col("key"), level, bits, hashes))).alias("position"))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("position") % 64).cast("int"))
-    filled = positions.groupBy(F.floor(F.col("position") / 64).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    whole = keys.sparkSession.range(0, bits // 64, 1, 1).withColumnRenamed("id", "word").join(filled, "word", "left")
-    held = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
-    return whole.agg(F.transform(held, lambda word: word["bits"]).alias("words")), bits, hashes
-
-
 def build_cascade(keys: DataFrame, scratch: Scratch, options: CascadeOptions = CascadeOptions()) -> Cascade:
     """The cascade over all ``keys`` (key string, listed boolean), which may repeat; a key listed once is listed.
 
@@ -116,20 +89,23 @@ def build_cascade(keys: DataFrame, scratch: Scratch, options: CascadeOptions = C
     own, other = universe.where("listed"), universe.where("not listed")
     count = own.count()
     while count:
-        frame, bits, hashes = _level(own, level, count, options.later_share if level else options.first_share)
+        bits, hashes = bloom_size(count, options.later_share if level else options.first_share)
         used += bits
         if used > options.max_bits:
             return Cascade(exceeded=True)
-        cascade.levels.append((scratch.keep(frame, f"level-{level}"), bits, hashes))
-        own, other = other.where(cascade.passes(F.col("key"), level)), own
+        built = bloom_of(own, F.col("key"), bits, hashes, level)
+        built = replace(built, frame=scratch.keep(built.frame, f"level-{level}"))
+        cascade.levels.append(built)
+        own, other = other.where(built.passes(F.col("key"))), own
         count, level = own.count(), level + 1
     return cascade
 
 
 def filter_urls(
-    pages: DataFrame, listed: Column, rules: list[Rule], url_column: str = "url", options: CascadeOptions = CascadeOptions()
+    pages: DataFrame, listed: Column, rules: list[Rule], url_column: str = "url", options: CascadeOptions = CascadeOptions(),
+    output: str = "judged",
 ) -> DataFrame:
-    """``pages`` with a struct column ``judged``: host, path, rule, verdict (allow or block).
+    """``pages`` with a struct column ``output``: host, path, rule, verdict (allow or block).
 
     A row's key is host and path; a key is listed when ``listed`` holds for any row with it. The
     longest rule that fits decides, else ``block`` for listed keys and ``allow`` for the others. The
@@ -143,11 +119,11 @@ def filter_urls(
     key = F.concat(host, path)
     cascade = build_cascade(pages.select(key.alias("key"), listed.alias("listed")), scratch, options)
     if cascade.exceeded:
-        every = pages.select(key.alias("__key"), listed.alias("__listed")).where("__listed").select("__key").distinct()
-        pages = pages.withColumn("__own", key).join(every, F.col("__own") == F.col("__key"), "left")
-        found, drop = F.col("__key").isNotNull(), ["__own", "__key"]
+        every = pages.select(key.alias("__url_key__"), listed.alias("__url_listed__")).where("__url_listed__").select("__url_key__").distinct()
+        pages = pages.withColumn("__url_own__", key).join(every, F.col("__url_own__") == F.col("__url_key__"), "left")
+        found, drop = F.col("__url_key__").isNotNull(), ["__url_own__", "__url_key__"]
     else:
         found, drop = cascade.contains(key), []
     verdict = F.coalesce(matching_rule(host, path, rules, "verdict"), F.when(found, "block").otherwise("allow"))
     judged = F.struct(host.alias("host"), path.alias("path"), matching_rule(host, path, rules).alias("rule"), verdict.alias("verdict"))
-    return pages.withColumn("judged", judged).drop(*drop)
+    return pages.withColumn(output, judged).drop(*drop)

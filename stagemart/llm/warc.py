@@ -129,9 +129,9 @@ def _built(date: str, kinds: tuple[str, ...]):
 
 def build_records(
     pages: DataFrame, kinds: tuple[str, ...] = ("metadata", "conversion"), date: str = "1970-01-01T00:00:00Z",
-    id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
+    id_column: str = "page_id", url_column: str = "url", html_column: str = "html", output: str = "warc",
 ) -> DataFrame:
-    """``pages`` exploded to a struct column ``warc``, one row for each record of ``kinds``.
+    """``pages`` exploded to a struct column ``output``, one row for each record of ``kinds``.
 
     ``date`` is that of the crawl. A page's response record is built first and its derivatives from
     that record alone: ``metadata`` lists the source's headers, digests, title, language and links,
@@ -144,12 +144,12 @@ def build_records(
     session_of(pages)
     built = F.arrow_udf(_built(date, kinds), f"array<struct<{', '.join(part.strip().replace(' ', ':', 1) for part in RECORD.split(','))}>>")
     columns = [F.col(id_column).cast("string"), F.col(url_column).cast("string"), F.col(html_column).cast("string")]
-    return pages.withColumn("warc", F.explode(built(*columns)))
+    return pages.withColumn(output, F.explode(built(*columns)))
 
 
-def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
+def write_warc(records: DataFrame, path: str, column: str = "warc", compression: str = "gzip") -> None:
     """Write the records as WARC files, one for each task, by Spark's text sink, which ends each with its last line feed."""
-    text = F.col("warc.record")
+    text = F.col(column)["record"]
     records.select(F.substring(text, F.lit(1), F.length(text) - 1)).write.option("compression", compression).text(path)
 
 
