@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from stagemart.llm.chat import format_conversations, read_back
 from stagemart.llm.decontaminate import find_contamination
+from stagemart.llm.embeddings import near_vectors
 from stagemart.llm.langid import identify_languages
+from stagemart.llm.lm import score_texts
 from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.packing import pack_texts
 from stagemart.llm.secret_scan import scan_secrets
@@ -33,6 +35,14 @@ def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(_remainder("doc_id", 7) == 2, F.lit(False))
+    found = score_texts(_table(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        F.col("id").alias("doc_id"), (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents")
     held_out = F.coalesce(_remainder("doc_id", 4) == 2, F.lit(False))
@@ -77,6 +87,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op9_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_records(_table(spark, sf_dir, "pages")).select("page_id", "warc.*")
 
@@ -99,11 +113,13 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_secret_scan": op5_secret_scan,
     "op6_chat_format": op6_chat_format,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_url_filter": op10_url_filter,
 }
