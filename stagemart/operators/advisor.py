@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    DataType,
     DateType,
     DecimalType,
     FractionalType,
@@ -19,10 +21,15 @@ from pyspark.sql.types import (
 
 Number = int | float | Decimal
 
-# Rows that one slice may hold, and how often the number of slices may double.
+# Rows that one slice may hold, and the statement that writes the advice down.
 DEFAULT_THRESHOLD = 5_000
-MAX_DOUBLINGS = 16
-CANDIDATES = tuple(2**power for power in range(1, MAX_DOUBLINGS + 1))
+METADATA_UPDATE = "update {schema}.stage_table set num_partitions=%d where table_name='%s';"
+
+# The greatest power of two that the result, a BIGINT, can hold.
+_GREATEST_POWER = 62
+_LEVELS_A_ROUND = 16
+# The level of rows at the least key, which lie in the first slice however many slices there are.
+_EVERY_LEVEL = 1 << 20
 
 
 def _as_number(frame: DataFrame, column: str) -> Column:
@@ -41,17 +48,22 @@ def _as_number(frame: DataFrame, column: str) -> Column:
     raise TypeError(f"cannot slice {column}, a {kind.simpleString()}")
 
 
-def _first_slice_end(lower: Number, upper: Number, slices: int) -> Number:
-    """Last key of the first of ``slices`` equal parts of [lower, upper]."""
-    if isinstance(lower, int):
-        return lower + (upper - lower) // slices
-    return lower + (upper - lower) / slices
-
-
 def _literal(value: Number) -> Column:
     return F.lit(Decimal(value) if isinstance(value, int) and not -(2**63) <= value < 2**63 else value)
 
 
+def _raw_literal(kind: DataType, value: int) -> Column | None:
+    """A value of the key's own type, which a scan can compare without computing; None for other types."""
+    if isinstance(kind, DateType):
+        return F.lit(date(1970, 1, 1) + timedelta(days=value))
+    if isinstance(kind, TimestampNTZType):
+        moment = datetime(1970, 1, 1) + timedelta(microseconds=value)
+        return F.lit(moment.isoformat(sep=" ")).cast(kind)
+    if isinstance(kind, TimestampType):
+        return F.timestamp_micros(F.lit(value))
+    return None
+
+
 def _key_bounds(keys: Mapping[str, DataFrame]) -> dict[str, tuple[Number, Number] | None]:
     """Least and greatest key of every table, by one job over all of them; None without keys."""
     ends = [
@@ -59,57 +71,105 @@ def _key_bounds(keys: Mapping[str, DataFrame]) -> dict[str, tuple[Number, Number
         for name, frame in keys.items()
     ]
     bounds: dict[str, tuple[Number, Number] | None] = {}
-    for name, lower, upper in reduce(DataFrame.union, ends).collect():
-        kind = keys[name].schema["key"].dataType
-        if isinstance(kind, DecimalType) and kind.scale > 0:
-            number = Decimal
-        else:
-            number = float if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType) else int
+    for name, lower, upper in _union(ends).collect():
+        number = _number_type(keys[name].schema["key"].dataType)
         bounds[name] = None if lower is None else (number(lower), number(upper))
     return bounds
 
 
-def _smallest(fits: list[tuple[int, Column]]) -> Column:
-    """First candidate whose condition holds, the largest candidate if none does."""
-    largest = fits[-1][0]
-    return F.coalesce(*(F.when(condition, F.lit(slices)) for slices, condition in fits), F.lit(largest))
+def _number_type(kind: DataType) -> type:
+    if isinstance(kind, DecimalType) and kind.scale > 0:
+        return Decimal
+    return float if isinstance(kind, FractionalType) and not isinstance(kind, DecimalType) else int
+
+
+def number_bounds(bounds: DataFrame) -> tuple[Number, Number] | None:
+    """The one row ``(lower, upper)`` of key bounds as the numbers that ``advise_partitions`` takes; None without keys."""
+    ends = bounds.select(_as_number(bounds, "lower").alias("lower"), _as_number(bounds, "upper").alias("upper"))
+    row, number = ends.first(), _number_type(ends.schema["lower"].dataType)
+    return None if row["lower"] is None else (number(row["lower"]), number(row["upper"]))
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    """All rows of the frames; pairs of pairs, so that the plan grows no deeper than it must."""
+    while len(frames) > 1:
+        frames = [reduce(DataFrame.unionByName, frames[at : at + 2]) for at in range(0, len(frames), 2)]
+    return frames[0]
+
+
+def _decimal_ends(lower: Decimal, upper: Decimal) -> list[Decimal]:
+    """Ends of the first slice, cut to the scale that keys can have, until only the least key is left."""
+    unit = Decimal(1).scaleb(min(lower.as_tuple().exponent, upper.as_tuple().exponent))
+    steps = int((upper - lower) / unit)
+    return [lower + (steps >> power) * unit for power in range(1, max(1, steps.bit_length()) + 1)]
+
+
+def _first_slice_levels(keys: DataFrame, bounds: tuple[Number, Number]) -> tuple[Column, Column]:
+    """The half of the range that the first of two slices holds, and how often that slice can be halved with a row still in it."""
+    lower, upper = bounds
+    key = F.col("key")
+    if isinstance(lower, float):
+        part = (key - lower) / (upper - lower) if upper > lower else F.lit(0.0)
+        level = F.floor(-F.log2(part))
+        # The logarithm may be off by one at a power of two; scaling by one is exact.
+        level = F.when(part > F.pow(F.lit(2.0), -level), level - 1).when(part <= F.pow(F.lit(2.0), -level - 1), level + 1).otherwise(level)
+        return part <= 0.5, F.when(key == lower, _EVERY_LEVEL).otherwise(level.cast("int"))
+    if isinstance(lower, int):
+        ends = [lower + ((upper - lower) >> power) for power in range(1, max(1, (upper - lower).bit_length()) + 1)]
+    else:
+        ends = _decimal_ends(lower, upper)
+    level = F.when(key == _literal(lower), _EVERY_LEVEL)
+    for power, end in enumerate(ends[1:], start=1):
+        level = level.when(key > _literal(end), power)
+    return key <= _literal(ends[0]), level.otherwise(len(ends))
 
 
 def _by_first_slice(keys: DataFrame, bounds: tuple[Number, Number], threshold: int) -> DataFrame:
-    ends = {slices: _literal(_first_slice_end(*bounds, slices)) for slices in CANDIDATES}
-    counts = [F.count(F.when(F.col("key") <= end, 1)).alias(f"n{slices}") for slices, end in ends.items()]
-    fits = [(slices, F.col(f"n{slices}") <= threshold) for slices in CANDIDATES]
-    # The first slice of the fewest slices holds all the others: the rest need not be read.
-    return keys.filter(F.col("key") <= ends[CANDIDATES[0]]).agg(*counts).select(_smallest(fits).alias("num_partitions"))
+    """One histogram by level serves all numbers of slices. The first of two slices holds all later ones: the rest need not be read."""
+    within, level = _first_slice_levels(keys, bounds)
+    lower, upper = bounds
+    raw = _raw_literal(keys.schema["raw"].dataType, lower + (upper - lower) // 2) if isinstance(lower, int) else None
+    rows = keys.filter(within if raw is None else (F.col("raw") <= raw) & within)
+    counts = rows.groupBy(level.cast("int").alias("level")).count()
+    held = F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("level")))
+    # Slices may not be as wide as the last level that holds too much.
+    too_much = F.coalesce(F.max(F.when(F.col("held") > threshold, F.col("level"))), F.lit(0))
+    power = counts.withColumn("held", held).agg((too_much + 1).alias("power"))
+    return power.select(F.when(F.col("power") <= _GREATEST_POWER, F.expr("shiftleft(1L, power)")).alias("num_partitions"))
 
 
 def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int) -> DataFrame:
-    """One histogram over the finest slices serves all candidates, as halves join into wholes.
+    """The same for the largest slice: histograms of ever finer slices, each of the slices that held too much before.
 
-    Rows are pre-aggregated before the shuffle, and at most 2^16 counts leave it.
+    Rows are pre-aggregated before the shuffle, and halves join into wholes, so that one histogram
+    serves several numbers of slices.
     """
     lower, upper = bounds
-    finest = CANDIDATES[-1]
     if not isinstance(lower, int):
         raise TypeError("the largest slice is only known for integer keys")
     width = max(upper - lower, 1)
-    # Whole numbers throughout: ceil(distance * finest / width) - 1, and 0 for the lowest key.
-    slice_number = F.expr(
-        f"(int(greatest(1, ((cast(key AS DECIMAL(27, 0)) - {lower}BD) * {finest}BD + {width - 1}BD) div {width}BD)) - 1)"
-    )
-    histogram = keys.filter(F.col("key").isNotNull()).groupBy(slice_number.alias("slice")).count()
-    levels = F.explode(F.array(*(F.lit(power) for power in range(MAX_DOUBLINGS)))).alias("merged")
-    largest = (
-        histogram.select("slice", "count", levels)
-        .groupBy("merged", F.expr("shiftright(slice, merged)").alias("slice"))
-        .agg(F.sum("count").alias("rows"))
-        .groupBy("merged")
-        .agg(F.max("rows").alias("rows"))
-    )
-    slices = F.expr(f"shiftright({finest}, merged)")
-    return largest.agg(
-        F.coalesce(F.min(F.when(F.col("rows") <= threshold, slices)), F.lit(finest)).alias("num_partitions")
-    )
+    finest, done = min(_GREATEST_POWER, max(1, (width - 1).bit_length())), 0
+    rows, found = keys.filter(F.col("key").isNotNull()).select("key"), None
+    while found is None and done < finest:
+        level = min(done + _LEVELS_A_ROUND, finest)
+        # Whole numbers throughout: ceil(distance * slices / width) - 1, and 0 for the lowest key.
+        distance = f"(cast(key AS DECIMAL(38, 0)) - {lower}BD) * {2**level}BD + {width - 1}BD"
+        rows = rows.withColumn("slice", F.expr(f"greatest(1L, ({distance}) div {width}BD) - 1L"))
+        histogram = rows.groupBy("slice").count()
+        merged = F.explode(F.array(*(F.lit(power) for power in range(level - done)))).alias("merged")
+        largest = (
+            histogram.select("slice", "count", merged)
+            .groupBy("merged", F.expr("shiftright(slice, merged)").alias("slice"))
+            .agg(F.sum("count").alias("rows"))
+            .groupBy("merged")
+            .agg(F.max("rows").alias("rows"))
+        )
+        fitting = [level - row["merged"] for row in largest.filter(F.col("rows") <= threshold).collect()]
+        found = min(fitting, default=None)
+        rows = rows.join(histogram.filter(F.col("count") > threshold).select("slice"), "slice", "left_semi").select("key")
+        done = level
+    advised = None if found is None else 2**found
+    return keys.sparkSession.range(1).select(F.lit(advised).cast("bigint").alias("num_partitions"))
 
 
 def advise_partitions(
@@ -117,28 +177,35 @@ def advise_partitions(
     threshold: int = DEFAULT_THRESHOLD,
     basis: str = "first",
     metadata_schema: str = "stage",
+    bounds: Mapping[str, tuple[Number, Number] | None] | None = None,
 ) -> DataFrame:
     """``(table_name, num_partitions, metadata_update)`` for each ``{table: (frame, key column)}``.
 
-    Counts rows with ``min <= key <= min + (max - min) / N`` for N = 2, 4, ... 65536 and takes the
-    least N with at most ``threshold`` of them, or 65536. ``basis="largest"`` looks at the largest
-    slice instead of the first, for keys that are not spread evenly. Each table is scanned twice,
-    its key column only: once for the bounds, once for all counts.
+    Counts rows with ``min <= key <= min + (max - min) / N`` for N = 2, 4, 8, ... and takes the
+    least N with at most ``threshold`` of them. Rows at the least key are in the first slice however
+    many there are; where they alone are too many, and where N would not fit a BIGINT, the advice
+    and its statement are NULL. ``basis="largest"`` looks at the largest slice instead of the first,
+    for keys that are not spread evenly; NULL then says that one key, or keys next to each other,
+    hold too many rows. ``bounds`` are the least and greatest keys as numbers, where known: days of
+    dates, microseconds of timestamps. Each table is scanned twice, its key column only: once for
+    bounds that are not known, once for all counts (``largest`` again for each 16 halvings that do not do).
     """
     if basis not in ("first", "largest"):
         raise ValueError("basis must be first or largest")
-    keys = {name: frame.select(_as_number(frame, key).alias("key")) for name, (frame, key) in tables.items()}
+    keys = {
+        name: frame.select(_as_number(frame, key).alias("key"), F.col(key).alias("raw")) for name, (frame, key) in tables.items()
+    }
+    known = dict(bounds or {})
+    unknown = {name: frame for name, frame in keys.items() if name not in known}
+    if unknown:
+        known |= _key_bounds(unknown)
     by_slice = _by_first_slice if basis == "first" else _by_largest_slice
     advice = []
-    for name, bounds in _key_bounds(keys).items():
-        if bounds is None:
-            counted = keys[name].agg(F.lit(CANDIDATES[0]).alias("num_partitions"))
+    for name, frame in keys.items():
+        if known[name] is None:
+            counted = frame.sparkSession.range(1).select(F.lit(2).cast("bigint").alias("num_partitions"))
         else:
-            counted = by_slice(keys[name], bounds, threshold)
+            counted = by_slice(frame, known[name], threshold)
         advice.append(counted.select(F.lit(name).alias("table_name"), "num_partitions"))
-    update = F.format_string(
-        f"update {metadata_schema}.stage_table set num_partitions=%d where table_name='%s';",
-        "num_partitions",
-        "table_name",
-    )
-    return reduce(DataFrame.unionByName, advice).withColumn("metadata_update", update)
+    update = F.format_string(METADATA_UPDATE.format(schema=metadata_schema), "num_partitions", "table_name")
+    return _union(advice).withColumn("metadata_update", F.when(F.col("num_partitions").isNotNull(), update))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stagemart.operators.advisor import DEFAULT_THRESHOLD, advise_partitions
+from stagemart.operators.advisor import DEFAULT_THRESHOLD, advise_partitions, number_bounds
 from stagemart.sources.jdbc import DEFAULT_NUM_PARTITIONS, Database, collect_bounds, key_bounds, read_table
 from stagemart.sources.metadata import StageMetadata, stage_tables
 
@@ -19,12 +19,14 @@ def advise_stage_tables(
 ) -> DataFrame:
     """``advise_partitions`` over the tables of a project, read as its metadata says so far.
 
-    Only the keys leave the database, and of those the lower half where ``basis`` is first.
+    The bounds come from one statement a table and are not computed again. Only the keys leave the
+    database: for ``first`` the lower half of them, for ``largest`` all.
     """
-    tables = {}
+    tables, known = {}, {}
     for row in stage_tables(metadata).collect():
         table, key = row["table_name"].lower(), row["partition_column"].lower()
-        bounds = collect_bounds(key_bounds(spark, source, table, key))
+        ends = key_bounds(spark, source, table, key)
+        bounds, known[table] = collect_bounds(ends), number_bounds(ends)
         slices = row["num_partitions"] or DEFAULT_NUM_PARTITIONS
         tables[table] = (read_table(spark, source, table, key, slices, bounds), key)
-    return advise_partitions(tables, threshold, basis, metadata_schema)
+    return advise_partitions(tables, threshold, basis, metadata_schema, known)

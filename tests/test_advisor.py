@@ -15,7 +15,7 @@ def expected(keys, threshold, largest=False):
     if not keys:
         return 2
     low, high, slices = min(keys), max(keys), 2
-    while slices < 65536:
+    while slices < 2**63:
         width = (high - low) / slices
         if largest:
             held = {}
@@ -26,9 +26,9 @@ def expected(keys, threshold, largest=False):
         else:
             count = sum(key <= low + width for key in keys)
         if count <= threshold:
-            break
+            return slices
         slices *= 2
-    return slices
+    return None
 
 
 KEYS = {
@@ -85,6 +85,34 @@ def test_timestamps_without_zone_know_no_summer_time(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+@pytest.mark.parametrize("basis", ["first", "largest"])
+def test_many_slices_and_none_at_all(spark, basis):
+    even = spark.range(2_000_000)
+    assert advise_partitions({"t": (even, "id")}, threshold=10, basis=basis).first()["num_partitions"] == 262_144
+    once = spark.range(100_000).selectExpr("7 AS id")
+    row = advise_partitions({"t": (once, "id")}, basis=basis).first()
+    assert row["num_partitions"] is None and row["metadata_update"] is None
+
+
+def test_a_hot_key_among_others_has_no_largest_slice(spark):
+    frame = spark.range(1000).union(spark.range(60).selectExpr("500"))
+    assert advise_partitions({"t": (frame, "id")}, threshold=50, basis="largest").first()["num_partitions"] is None
+    assert advise_partitions({"t": (frame, "id")}, threshold=61, basis="largest").first()["num_partitions"] == 1024
+
+
+def test_doubles_crowded_at_the_start(spark):
+    values = [2.0**-power for power in range(0, 60)] + [0.0]
+    frame = spark.createDataFrame([(value,) for value in values], "k double")
+    assert advise_partitions({"t": (frame, "k")}, threshold=5).first()["num_partitions"] == 2**56
+    assert advise_partitions({"t": (frame, "k")}, threshold=2).first()["num_partitions"] == 2**59
+
+
+def test_known_bounds_are_not_read_again(spark):
+    frame = spark.range(1000)
+    advised = advise_partitions({"t": (frame, "id")}, threshold=60, bounds={"t": (0, 1999)}).first()
+    assert advised["num_partitions"] == 64
+
+
 def test_several_tables_and_the_metadata_update(spark):
     tables = {"A": (spark.range(100), "id"), "b": (spark.range(1000), "id")}
     rows = advise_partitions(tables, threshold=60, metadata_schema="sales").collect()
@@ -110,3 +138,9 @@ def test_only_the_first_half_is_counted(spark):
     frame = spark.read.parquet(spark.conf.get("spark.checkpoint.dir") + "/advice")
     plan = advise_partitions({"t": (frame, "id")})._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(id,499)" in plan
+
+
+def test_timestamps_are_compared_as_they_are(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    plan = advise_partitions({"events": (frame, "ts")})._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(ts," in plan
