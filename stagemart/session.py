@@ -27,9 +27,25 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+def new_name(label: str) -> str:
+    """A name for a table that no other run in the same catalog uses."""
+    return f"{label}_{uuid.uuid4().hex}"
+
+
+_new_folders: list[str] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    """Name a folder under the shared one that no other call uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Name a folder under the shared one that no other call uses; ``clear_folders`` deletes it."""
+    folder = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _new_folders.append(folder)
+    return folder
+
+
+def clear_folders(spark: SparkSession) -> None:
+    """Delete all folders that ``new_folder`` has named in this process, once nothing reads them any more."""
+    while _new_folders:
+        delete_path(spark, _new_folders.pop())
 
 
 @contextmanager

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import replace
 
@@ -41,7 +42,22 @@ def _rebalanced(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return frame.hint("rebalance", *(F.col(quoted(name)) for name in columns))
 
 
+def _separable(frame: DataFrame, file_format: FileFormat) -> DataFrame:
+    """Rows that raise where a value would be cut by the record separator of a CSV file."""
+    mark = file_format.record_separator
+    if file_format.file_type != "csv" or mark is None:
+        return frame
+    fault = F.raise_error(F.lit(f"a value holds the record separator {mark!r}"))
+    texts = {
+        field.name: F.when(F.contains(F.col(quoted(field.name)), F.lit(mark)), fault).otherwise(F.col(quoted(field.name)))
+        for field in frame.schema
+        if isinstance(field.dataType, StringType)
+    }
+    return frame.select([texts.get(name, F.col(quoted(name))).alias(name) for name in frame.columns])
+
+
 def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: Sequence[str]) -> str:
+    frame = _separable(frame, file_format)
     writer = frame.write.format(file_format.file_type).mode("overwrite").options(**file_format.write_options)
     if partition_by:
         # Partitions of an earlier run go, whatever the session says about overwriting.
@@ -51,6 +67,39 @@ def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: S
     return path
 
 
+def _size_of_parts(frame: DataFrame) -> str:
+    """What sizes the partitions of a result: its own ``scan``, its own ``exchange``, or ``nothing`` yet.
+
+    Follows the plan down as long as each step keeps or reduces what it reads.
+    """
+    for line in frame._jdf.queryExecution().executedPlan().toString().splitlines():
+        step = line.strip(" +-*")
+        if ":-" in line:
+            return "nothing"
+        name = re.sub(r"^\(\d+\) ", "", step).split(" ")[0].split("(")[0]
+        if name in ("FileScan", "Scan", "BatchScan"):
+            return "scan"
+        if name == "Exchange":
+            return "exchange" if "hashpartitioning" in step and "ENSURE_REQUIREMENTS" in step else "nothing"
+        if name not in ("AdaptiveSparkPlan", "Project", "ColumnarToRow", "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Sort"):
+            return "nothing"
+    return "nothing"
+
+
+def _write_compact(rows: DataFrame, path: str, file_format: FileFormat) -> str:
+    spark, sized = rows.sparkSession, _size_of_parts(rows)
+    if sized == "scan":
+        wanted = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        with (
+            session_setting(spark, "spark.sql.files.maxPartitionBytes", wanted),
+            session_setting(spark, "spark.sql.files.minPartitionNum", "1"),
+        ):
+            return _write(rows, path, file_format, ())
+    # By default, Spark would rather keep all cores busy than reach the advisory size.
+    with session_setting(spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"):
+        return _write(rows if sized == "exchange" else _rebalanced(rows, ()), path, file_format, ())
+
+
 def write_files(
     frame: DataFrame,
     folder: str,
@@ -63,16 +112,15 @@ def write_files(
 
     A partitioned write is rebalanced by its partition columns first, so that a value does not get
     a file from every task; adaptive execution splits a value that holds much of the data.
-    ``compact`` rebalances without columns: a small result ends in one file, a large one in files
-    of the advisory partition size, still written in parallel.
+    ``compact`` writes files of the advisory partition size, one for a small result, still in
+    parallel. A bare scan gets splits of that size, an aggregate's own shuffle is joined to it; only
+    other results are shuffled for it.
     """
     rows, path = normalize_decimals(frame), dataset_path(folder, table, file_format)
     if partition_by:
         return _write(_rebalanced(rows, partition_by), path, file_format, partition_by)
     if compact:
-        # By default, Spark would rather keep all cores busy than reach the advisory size.
-        with session_setting(frame.sparkSession, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"):
-            return _write(_rebalanced(rows, ()), path, file_format, partition_by)
+        return _write_compact(rows, path, file_format)
     return _write(rows, path, file_format, partition_by)
 
 
@@ -109,7 +157,7 @@ def read_staged(
     partitioned or headerless dataset cannot give.
     """
     is_csv = file_format.file_type == "csv"
-    as_written = replace(file_format, infer_schema=False, multi_line=is_csv)
+    as_written = replace(file_format, infer_schema=False)
     schema = schema or read_files(spark, folder, table, as_written).schema
     as_text = schema.names if is_csv else partition_by
     fields = [StructField(f.name, StringType() if f.name in as_text else f.dataType) for f in schema]

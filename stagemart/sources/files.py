@@ -18,7 +18,10 @@ class FileFormat:
 
     ``multi_line`` reads CSV records whose quoted values hold line breaks. A file cannot be split
     then: one task streams through it, and ``max_records_per_file`` bounds the files written here.
-    Turn it off for large files from elsewhere without such values.
+    Turn it off for large files from elsewhere without such values, or give files that are written
+    and read here a ``record_separator``: any character that no value holds. Files of any size are then
+    split between tasks, and line breaks are part of values. A value with that character raises
+    when it is written.
     """
 
     file_type: str = "parquet"
@@ -27,15 +30,18 @@ class FileFormat:
     header: bool = False
     infer_schema: bool = False
     multi_line: bool = True
+    record_separator: str | None = None
     max_records_per_file: int = 1_048_576  # a fixed value
 
     def __post_init__(self) -> None:
         if self.file_type not in ("parquet", "csv"):
             raise ValueError(f"file type must be parquet or csv, not {self.file_type}")
+        if self.record_separator is not None and (len(self.record_separator) != 1 or self.record_separator in "\r\n" + self.separator):
+            raise ValueError("a record separator is one character, and neither a line break nor the separator of values")
 
     @property
     def _csv_options(self) -> dict[str, object]:
-        return {"sep": self.separator, "header": self.header, "escape": self.escape, "lineSep": "\n"}
+        return {"sep": self.separator, "header": self.header, "escape": self.escape, "lineSep": self.record_separator or "\n"}
 
     @property
     def read_options(self) -> dict[str, object]:
@@ -44,7 +50,7 @@ class FileFormat:
         # Only a value without quotes is NULL: by default, the reader takes "" for NULL as well.
         return self._csv_options | {
             "inferSchema": self.infer_schema,
-            "multiLine": self.multi_line,
+            "multiLine": self.multi_line and self.record_separator is None,
             "nullValue": "\0null",
         }
 
@@ -63,6 +69,8 @@ class FileFormat:
 
 
 PARQUET = FileFormat()
+#: CSV for files that jobs write for themselves: records end in a control character, so that files split.
+STAGED_CSV = FileFormat("csv", record_separator="\x1e")
 
 
 def dataset_path(folder: str, table: str, file_format: FileFormat = PARQUET) -> str:

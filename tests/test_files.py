@@ -12,6 +12,7 @@ from stagemart.session import delete_path, new_folder, qualified, shared_folder
 from stagemart.sinks import check_target, parse_partition, publish_copy, publish_direct, write_files
 from stagemart.sinks import create_external_table, drop_external_table
 from stagemart.sources import FileFormat, read_files, register_stage_view
+from stagemart.sources.files import STAGED_CSV
 
 TEXTS = st.one_of(
     st.none(),
@@ -241,3 +242,48 @@ def test_csv_without_line_breaks_may_be_split(spark, folder):
         assert split.agg(F.count("*"), F.sum("id")).first()[:] == (200_000, 200_000 * 199_999 // 2)
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_separated_csv_is_read_by_several_tasks_with_line_breaks_in_values(spark, folder):
+    rows = [(number, f'line {number}\nand "more", \r\n\ttabs \\ and é', None if number % 7 else "") for number in range(20_000)]
+    frame = spark.createDataFrame(rows, "id long, text string, other string")
+    write_files(frame.coalesce(1), folder, "texts", STAGED_CSV)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        back = read_files(spark, folder, "texts", STAGED_CSV, frame.schema)
+        assert back.rdd.getNumPartitions() > 5
+        assert rows_of(back) == sorted(rows, key=repr)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_value_with_the_record_separator_raises(spark, folder):
+    frame = spark.createDataFrame([("a\x1eb",)], "text string")
+    with pytest.raises(Exception, match="record separator"):
+        write_files(frame, folder, "texts", STAGED_CSV)
+
+
+def test_record_separators_that_cannot_work():
+    for separator in ("\n", ",", "ab", ""):
+        with pytest.raises(ValueError):
+            FileFormat("csv", record_separator=separator)
+
+
+def test_compact_shuffles_only_where_it_must(spark, folder):
+    from stagemart.sinks.files import _size_of_parts
+
+    write_files(spark.range(1000).withColumn("k", F.col("id") % 3), folder, "rows")
+    rows = read_files(spark, folder, "rows")
+    assert _size_of_parts(rows.select("id")) == "scan"
+    assert _size_of_parts(rows.groupBy("k").count()) == "exchange"
+    assert _size_of_parts(rows.where("id > 5")) == "nothing"
+    assert _size_of_parts(rows.union(rows)) == "nothing"
+
+
+def test_new_folders_can_be_cleared(spark):
+    from stagemart.session import clear_folders, new_folder
+
+    path = new_folder(spark, "mine")
+    write_files(spark.range(3), path, "rows")
+    clear_folders(spark)
+    assert not delete_path(spark, path)
