@@ -150,15 +150,18 @@ def register_explodable_series(spark: SparkSession) -> None:
 
     def series(start: pa.Array, stop: pa.Array, *step: pa.Array) -> pa.Array:
         first, last, n_rows = wall_clock(start), wall_clock(stop), len(start)
-        names = step[0].to_pylist() if step else ["months"] * n_rows
-        counts = step[1].to_pylist() if step[1:] else ["1"] * n_rows
-        groups: dict[tuple[str, str], list[int]] = {}
-        for position, key in enumerate(zip(names, counts)):
-            groups.setdefault(key, []).append(position)
+        keys = np.zeros(n_rows, "int64")
+        kinds: list[list[str | None]] = []
+        for given, default in zip((*step, None, None), ("months", "1")):
+            coded = None if given is None else given.dictionary_encode("encode")
+            kinds.append([default] if coded is None else coded.dictionary.to_pylist())
+            if coded is not None:
+                keys = keys * len(kinds[-1]) + coded.indices.to_numpy(zero_copy_only=False)
         known = ~(np.isnat(first) | np.isnat(last))
         order, values, sizes, missing = [], [], [], []
-        for (unit, count), members in groups.items():
-            rows = np.array(members)
+        for key in np.unique(keys).tolist():
+            unit, count = kinds[0][key // len(kinds[1])], kinds[1][key % len(kinds[1])]
+            rows = np.flatnonzero(keys == key)
             there = known[rows] if unit is not None and count is not None else np.zeros(len(rows), bool)
             size = np.zeros(len(rows), "int64")
             if there.any():
@@ -172,7 +175,10 @@ def register_explodable_series(spark: SparkSession) -> None:
             sizes.append(size)
             missing.append(~there)
         flat = np.concatenate(values) if values else np.array([], "M8[us]")
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype("int32")
+        offsets = np.concatenate([[0], *(np.cumsum(np.concatenate(sizes)) if sizes else [],)]).astype("int64")
+        if offsets[-1] > np.iinfo("int32").max:
+            raise OverflowError("a batch of series has more elements than an Arrow list holds: use smaller batches")
+        offsets = offsets.astype("int32")
         lists = pa.ListArray.from_arrays(
             offsets, pa.array(flat, pa.timestamp("us")), mask=pa.array(np.concatenate(missing))
         )

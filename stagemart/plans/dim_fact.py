@@ -15,7 +15,7 @@ from stagemart.functions.series import register_explodable_series, register_seri
 from stagemart.names import as_spelled, quoted
 from stagemart.operators.decimals import normalize_decimals, same_types
 from stagemart.operators.scripts import read_script, run_script
-from stagemart.session import delete_path, qualified, session_timezone, shared_folder
+from stagemart.session import delete_path, new_folder, qualified, session_timezone
 from stagemart.sinks.files import check_target, parse_partition, publish_copy, publish_direct, write_files
 from stagemart.sinks.jdbc import write_table
 from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files, register_stage_view
@@ -83,6 +83,8 @@ class MartOptions:
         check_target(self.publish_target, self.publish_by_copy)
         if self.publish_target is not None and self.publish_by_copy and not self.save_files:
             raise ValueError("publishing by copy needs the files to be saved")
+        if self.remove_staged and self.publish_target is None and self.database is None:
+            raise ValueError("removing the staged files needs another sink to keep the results")
 
     @property
     def project_schema(self) -> str:
@@ -143,7 +145,15 @@ def _load_all(
             raise UnsafeOverwrite(f"{path} is a stage table")
     register_series(spark)
 
-    loaded = [_load_script(spark, script, options) for script in scripts]
+    scratch = new_folder(spark, "held")
+    try:
+        loaded = [_load_script(spark, script, options, f"{scratch}/{script.name}") for script in scripts]
+    finally:
+        # Views of results that were held beside the files go with what they read.
+        for script in scripts:
+            if delete_path(spark, f"{scratch}/{script.name}"):
+                spark.catalog.dropTempView(script.name)
+        delete_path(spark, scratch)
     if options.remove_staged and options.save_files:
         for script in scripts:
             # The views read the files that go now.
@@ -152,11 +162,12 @@ def _load_all(
     return loaded
 
 
-def _load_script(spark: SparkSession, script: MartScript, options: MartOptions) -> MartTable:
+def _load_script(spark: SparkSession, script: MartScript, options: MartOptions, scratch: str) -> MartTable:
     """Run one script and send its result to every enabled sink, computing it once.
 
-    The files of the file sink, or else a checkpoint, feed the other sinks. Both outlive the
-    executors, and a few database connections then do not slow the query down.
+    The files of the file sink, or else a parquet dataset at ``scratch``, feed the other sinks and
+    scripts. Both outlive the executors, keep their columns apart for later scans, and a few
+    database connections then do not slow the query down. The job deletes its scratch.
     """
     name = script.name
     text = read_script(options.script_directory, options.project, options.country, script.file)
@@ -164,7 +175,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
     partition_by = as_spelled(result.schema, script.partition_by)
     beside_files = options.database is not None or options.publishes_directly
     if beside_files and not _files_can_hold(result.schema, partition_by, options):
-        result = _checkpoint(result, name)
+        result = _held(result, name, scratch)
     rows = normalize_decimals(result)
 
     staged = stored = published = None
@@ -180,7 +191,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions)
                 written.createOrReplaceTempView(name)
             rows = written
         elif beside_files and _files_can_hold(result.schema, partition_by, options):
-            result = _checkpoint(result, name)
+            result = _held(result, name, scratch)
             rows = normalize_decimals(result)
     if options.database is not None:
         target = options.database
@@ -229,9 +240,10 @@ def _run_with_series(spark: SparkSession, text: str, name: str) -> DataFrame:
         register_series(spark)
 
 
-def _checkpoint(result: DataFrame, name: str) -> DataFrame:
-    shared_folder(result.sparkSession)
-    held = result.checkpoint()
+def _held(result: DataFrame, name: str, scratch: str) -> DataFrame:
+    """The rows as an unpartitioned parquet dataset, which holds every value of every type."""
+    result.write.parquet(scratch)
+    held = result.sparkSession.read.schema(result.schema).parquet(scratch)
     held.createOrReplaceTempView(name)
     return held
 

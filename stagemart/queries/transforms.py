@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, TimestampNTZType
 
 from stagemart.functions.series import explode_series, register_explodable_series, register_series
 from stagemart.operators.advisor import advise_partitions
-from stagemart.operators.ddl import external_ddl_oracle, external_ddl_postgres
+from stagemart.operators.ddl import external_ddl_as_written, external_ddl_oracle, external_ddl_postgres
 from stagemart.operators.decimals import normalize_decimals
 from stagemart.queries.registry import query, table
 
@@ -126,7 +128,7 @@ def udf_generate_series_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- partition advisor -----------------------------------------------------------------------
 
 _KEYS = {"lineitem": "l_orderkey", "orders": "o_orderkey", "events": "ts"}
-_DOUBLINGS = ", ".join(f"({2 ** power})" for power in range(1, 17))
+_DOUBLINGS = ", ".join(f"({2 ** power})" for power in range(1, 63))
 
 
 def _key_number(name: str) -> str:
@@ -143,11 +145,11 @@ def _advice(name: str, first_only: bool) -> str:
             SELECT n, max(held) AS held
             FROM (SELECT n, {slice_number} AS slice, count(*) AS held FROM spread, steps GROUP BY ALL) GROUP BY n"""
     return f"""
-    SELECT '{name}' AS table_name, CAST(coalesce(min(n), 65536) AS INTEGER) AS num_partitions
+    SELECT '{name}' AS table_name, min(n) AS num_partitions
     FROM (
         WITH keys AS (SELECT {_key_number(name)} AS k FROM {name}),
              spread AS (SELECT k, (SELECT min(k) FROM keys) AS lo, (SELECT max(k) FROM keys) AS hi FROM keys),
-             steps AS (SELECT * FROM (VALUES {_DOUBLINGS}) v(n))
+             steps AS (SELECT CAST(n AS BIGINT) AS n FROM (VALUES {_DOUBLINGS}) v(n))
         {largest}
     ) WHERE held <= 5000
     """
@@ -257,8 +259,11 @@ def oracle_catalog(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFr
 
 
 def postgres_catalog(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
-    """The same for a Postgres source: text that always starts with a brace is json."""
-    kinds = {LongType(): "bigint", IntegerType(): "integer", DoubleType(): "double precision"}
+    """The same for a Postgres source: text that always starts with a brace is json.
+
+    Whole numbers that all fit 32 bits are integer, timestamps that are all at midnight are date.
+    """
+    kinds = {IntegerType(): "integer", DoubleType(): "double precision"}
     profiles = []
     for name in names:
         frame, columns = table(spark, sf_dir, name), []
@@ -268,7 +273,11 @@ def postgres_catalog(spark: SparkSession, sf_dir: str, names: list[str]) -> Data
                 json, sized = F.every(column.startswith("{")), F.max(F.length(column)) <= 30
                 type_name = F.when(json, "json").when(sized, "character varying").otherwise("text")
             elif isinstance(kind, TimestampNTZType):
-                type_name = F.lit("timestamp without time zone")
+                midnight = F.every(column == column.cast("date"))
+                type_name = F.when(midnight, "date").otherwise("timestamp without time zone")
+            elif isinstance(kind, LongType):
+                narrow = (F.min(column) >= -(2**31)) & (F.max(column) < 2**31)
+                type_name = F.when(narrow, "integer").otherwise("bigint")
             elif isinstance(kind, ArrayType):
                 type_name = F.lit("ARRAY")
             else:
@@ -295,14 +304,11 @@ def _oracle_line(column: str, kind: str) -> str:
 
 
 def _postgres_line(column: str, kind: str) -> str:
-    fixed = {
-        "bigint": "bigint",
-        "int": "integer",
-        "double": "decimal(38,10)",
-        "timestamp": "timestamp",
-        "string": "varchar",
-    }
-    return f"'{fixed[kind]}'"
+    if kind == "bigint":
+        return f"CASE WHEN min({column}) >= -2147483648 AND max({column}) <= 2147483647 THEN 'integer' ELSE 'bigint' END"
+    if kind == "timestamp":
+        return f"CASE WHEN bool_and({column} = date_trunc('day', {column})) THEN 'date' ELSE 'timestamp' END"
+    return {"int": "'integer'", "double": "'decimal(38,10)'", "string": "'varchar'"}[kind]
 
 
 def _ddl(names: list[str], line: object, upper: bool, head: str, tail: str) -> str:
@@ -312,8 +318,7 @@ def _ddl(names: list[str], line: object, upper: bool, head: str, tail: str) -> s
         lines = " || ',' || chr(10) || ".join(f"'  {column} ' || {line(column, kind)}" for column, kind in columns)
         shown = name.upper() if upper else name
         begin, end = head.format(name=name), tail.format(name=name)
-        source = f" FROM {name}" if upper else ""
-        statements.append(f"SELECT '{shown}' AS table_name, {begin} || {lines} || {end} AS ddl{source}")
+        statements.append(f"SELECT '{shown}' AS table_name, {begin} || {lines} || {end} AS ddl FROM {name} HAVING count(*) >= 0")
     return " UNION ALL ".join(f"SELECT * FROM ({statement})" for statement in statements)
 
 
@@ -345,3 +350,42 @@ def ddl_oracle(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def ddl_postgres(spark: SparkSession, sf_dir: str) -> DataFrame:
     return external_ddl_postgres(postgres_catalog(spark, sf_dir, ["orders", "lineitem", "events", "embeddings"]))
+
+
+_WRITTEN = {"bigint": "bigint", "int": "int", "double": "float", "timestamp": "timestamp", "string": "varchar"}
+
+
+def _written_line(column: str, kind: str) -> str:
+    """Types as written, but for key columns: decimals wide enough for their values, of which XF1 keeps one."""
+    if column.endswith("key"):
+        return f"CASE WHEN max({column}) < 1000 THEN 'float' ELSE 'decimal(38,0)' END"
+    return f"'{_WRITTEN[kind]}'"
+
+
+@query(
+    "ddl_as_written",
+    _ddl(
+        ["orders", "lineitem", "events", "embeddings"],
+        _written_line,
+        False,
+        "'create external table mart.{name}(' || chr(10)",
+        "chr(10) || ') stored as parquet' || chr(10) || 'location ''s3://datalake/mart/{name}.parquet'';'",
+    ),
+)
+def ddl_as_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statements that fit the files as the sink writes them; key columns go in as decimals.
+
+    A key column whose values need three digits at most is DECIMAL(3,0), which the sink turns into
+    a double; others are DECIMAL(38,0), which it keeps.
+    """
+    statements = []
+    for name in ("orders", "lineitem", "events", "embeddings"):
+        frame = table(spark, sf_dir, name)
+        keys = [column for column in frame.columns if column.endswith("key")]
+        ends = frame.agg(*(F.max(column).alias(column) for column in keys)).first() if keys else {}
+        narrow = {column: ends[column] is not None and ends[column] < 1000 for column in keys}
+        typed = {column: F.col(column).cast("decimal(3,0)" if narrow[column] else "decimal(38,0)") for column in keys}
+        written = normalize_decimals(frame.withColumns(typed))
+        text = external_ddl_as_written(name, written.schema, "mart", f"s3://datalake/mart/{name}.parquet")
+        statements.append(spark.range(1).select(F.lit(name).alias("table_name"), F.lit(text).alias("ddl")))
+    return reduce(DataFrame.unionByName, statements)

@@ -13,6 +13,7 @@ from stagemart.plans import advise_stage_tables, extract_tables, load_dim_fact
 from stagemart.queries.jobs import stage_metadata
 from stagemart.sinks import write_files, write_table
 from stagemart.sources import PARQUET, FileFormat, StageMetadata, read_files, read_table
+from stagemart.sources.files import STAGED_CSV
 
 
 def exists(spark, path):
@@ -335,3 +336,34 @@ def test_options_that_cannot_work(mart):
         replace(options, publish_target="s3://lake", save_files=False)
     with pytest.raises(ValueError):
         replace(options, publish_target="s3a://lake")
+
+
+def test_held_results_are_columnar_and_leave_nothing_behind(spark, mart, folder):
+    config, metadata, options = mart
+    write = STAGED_CSV
+    plans = []
+    import stagemart.plans.dim_fact as job
+
+    held = job._held
+
+    def watched(result, name, scratch):
+        out = held(result, name, scratch)
+        plans.append((scratch, spark.table(name).filter("1 < 2").select(out.columns[0])._jdf.queryExecution().executedPlan().toString()))
+        return out
+
+    job._held = watched
+    try:
+        options = replace(options, output_format=write, publish_target=f"{folder}/lake", publish_by_copy=False)
+        load_dim_fact(spark, config, metadata, options)
+    finally:
+        job._held = held
+    assert len(plans) == 3
+    for scratch, plan in plans:
+        assert "FileScan parquet" in plan and not exists(spark, scratch)
+
+
+def test_removing_the_only_copy_is_refused(mart):
+    with pytest.raises(ValueError, match="another sink"):
+        replace(mart[2], remove_staged=True)
+    with pytest.raises(ValueError, match="target"):
+        ExtractOptions("base", "project", remove_staged=True)
