@@ -18,7 +18,7 @@ from stagemart.llm.shipping import session_of
 #: On squared distances: above the rounding of doubles, and of floats in the products that look for candidates.
 _EXACT_SLACK, _FLOAT_SLACK = 1e-9, 1e-5
 _CHECKED_AT_ONCE = 1 << 15
-_ROWS_AT_ONCE = 512
+_ROWS_AT_ONCE = 256
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,7 @@ class EmbeddingOptions:
 
     cosine: float = 0.95
     block_dims: int = 16
-    tile_rows: int = 8192
+    tile_rows: int = 16384
 
 
 class _Blocks:
