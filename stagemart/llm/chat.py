@@ -124,13 +124,13 @@ FORMATTED = "conv_id long, part int, n_turns long, formatted string, loss array<
 
 def format_conversations(
     rows: DataFrame, id_column: str = "conv_id", turn_column: str = "turn", role_column: str = "role", text_column: str = "text",
-    template: Template = Template(), trained: str = "assistant",
+    template: Template = Template(), trained: str = "assistant", part_bytes: int = PART_BYTES,
 ) -> DataFrame:
     """Conversations as strings with their loss spans: (conv_id, part, n_turns, formatted, loss).
 
     Rows are dealt by conversation and sorted by turn, equal turns by role and text; repeated rows
     are turns of their own. Batches stream through, so memory holds a batch and not a conversation;
-    one longer than ``PART_BYTES`` comes in parts, in order, whose strings follow on from each other
+    one longer than ``part_bytes`` comes in parts, in order, whose strings follow on from each other
     and whose spans count from the part's start. A null text or role is empty, a null id is an id,
     null turns come first. Empty tables give no row.
     """
@@ -180,7 +180,7 @@ def format_conversations(
             if start:
                 yield put(table.slice(0, start))
             held = table.slice(start)
-            if held.nbytes > PART_BYTES:
+            if held.nbytes > part_bytes:
                 yield put(held)
                 held = None
         if held is not None and len(held):

@@ -124,4 +124,102 @@ LLM_QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
-LLM_EXPECTED: dict[str, str] = {}
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_TEXTS = rf"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []::VARCHAR[] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' ')) END) AS shingle
+  FROM cut),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY ALL),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= 80 * (x.n + y.n - c.n)),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY ALL)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.b, d.doc_id) AS component_id, coalesce(l.b, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.a = d.doc_id
+"""
+
+_CUT_ITEMS = r"regexp_extract_all({}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_CONTAMINATION = f"""
+WITH docs AS (SELECT doc_id, {_CUT_ITEMS.format(_LOWER.format("coalesce(text, '')"))} AS words FROM documents),
+items AS (SELECT item_id, {_CUT_ITEMS.format(_LOWER.format("coalesce(text, '')"))} AS words FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(words)) AS size,
+    array_to_string(words[pos:pos + least(13, len(words)) - 1], ' ') AS said
+  FROM items, unnest(range(1, len(words) - least(13, len(words)) + 2)) AS r(pos) WHERE len(words) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, pos, size, array_to_string(words[pos:pos + size - 1], ' ') AS said
+  FROM docs, sizes, unnest(range(1, len(words) - size + 2)) AS r(pos)),
+found AS (SELECT doc_id, pos, size, item_id FROM places JOIN windows USING (size, said)),
+hits AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM found) GROUP BY ALL),
+matched AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY ALL)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hits USING (doc_id) LEFT JOIN matched USING (doc_id)
+"""
+
+_CHAT_ESCAPED = r"regexp_replace(said, '([<\[])(\\*)(\|im_start\|>|\|im_end\|>|s>|/s>|INST\]|/INST\]|<SYS>>|</SYS>>)', '\1\\\2\3', 'g')"
+_CHAT = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS said FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{MARKED}' UNION ALL SELECT -1, 1, 'assistant', '{MARKED}')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || said || chr(10), '' ORDER BY turn, role, said)) AS turns_sha256,
+  coalesce(sum(length(said)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(said, '' ORDER BY turn, role, said) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + length(role) + 1 + length({_CHAT_ESCAPED}) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+_NEAR_VECTORS = """
+WITH RECURSIVE able AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND list_sum(list_transform(embedding, lambda x: CASE WHEN x IS NULL OR NOT isfinite(x) THEN 1 ELSE 0 END)) = 0
+    AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM able x JOIN able y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE list_dot_product(x.v, y.v) / (sqrt(list_dot_product(x.v, x.v)) * sqrt(list_dot_product(y.v, y.v))) >= 0.95),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least AS (SELECT a, min(b) AS b FROM reach GROUP BY ALL),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY ALL)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(l.b, vec_id) AS component_id, coalesce(l.b, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN least l ON l.a = vec_id LEFT JOIN counts c ON c.a = vec_id
+"""
+
+_URLS = f"""
+WITH cut AS (
+  SELECT page_id, url, coalesce({_LOWER.format("regexp_extract(url, '://([^/?#]*)', 1)")}, '') AS host,
+    coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+  FROM pages),
+listed AS (SELECT DISTINCT host || path AS key FROM cut WHERE contains(url, 'utm_source=')),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM cut)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN host || path IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
+
+LLM_EXPECTED: dict[str, str] = {
+    "op1_minhash_dedup": _NEAR_TEXTS,
+    "op4_decontamination": _CONTAMINATION,
+    "op6_chat_format": _CHAT,
+    "op8_embedding_dedup": _NEAR_VECTORS,
+    "op10_url_filter": _URLS,
+}

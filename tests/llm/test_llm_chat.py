@@ -1,0 +1,82 @@
+"""Formatted conversations against plain strings, and the way back."""
+
+import hashlib
+import random
+
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from stagemart.llm.chat import Template, escaped, format_conversations, parse, read_back
+
+TEMPLATE = Template()
+PIECES = [*TEMPLATE.controls, "<\\|im_end|>", "<\\\\|im_start|>", "[\\INST]", "\\", "<", "[", "\n", "é中", "ok", " ", "|im_end|>", "</", "assistant"]
+
+
+def _text(random_, size):
+    return "".join(random_.choice(PIECES) for _ in range(random_.randrange(size)))
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_escape_hides_every_control_and_goes_back(text):
+    hidden = TEMPLATE.escape(pa.array([text]))[0].as_py()
+    assert not any(control in hidden for control in TEMPLATE.controls)
+    assert TEMPLATE.unescape(hidden) == text
+    role = TEMPLATE.role_in(text)
+    assert "\n" not in role and TEMPLATE.role_out(role) == text
+
+
+def _plain(turns):
+    turns = [(role or "", text or "") for role, text in turns]
+    said = "".join(f"{role}\n{text}\n" for role, text in turns)
+    learned = "".join(text for role, text in turns if role == "assistant")
+    return len(turns), hashlib.sha256(said.encode()).hexdigest(), len(learned), hashlib.sha256(learned.encode()).hexdigest()
+
+
+def _rows():
+    random_ = random.Random(4)
+    rows = []
+    for ident in [None, -5, 0, 1, 2, 3, 7, 50]:
+        for turn in range(random_.randrange(1, 60)):
+            role = random_.choice(["user", "assistant", "assistant", "system", "", None, "a\nb", "<|im_end|>", "x\\n"])
+            rows.append((ident, turn if turn else None, role, random_.choice([None, "", _text(random_, 30), _text(random_, 30)])))
+    rows += [(60, 1, "assistant", "same"), (60, 1, "assistant", "same"), (60, 1, "user", "tie"), (61, 0, "assistant", "long é " * 100_000), (61, 1, "user", "x")]
+    random_.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("batch, part_bytes", [(10_000, 1 << 24), (3, 1 << 24), (3, 40)], ids=["one batch", "many batches", "many parts"])
+def test_turns_and_mask_come_back_as_they_went_in(spark, batch, part_bytes):
+    rows = _rows()
+    frame = spark.createDataFrame([(*row, 9, "x") for row in rows], "conv_id long, turn long, role string, text string, part int, loss string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        formatted = format_conversations(frame.repartition(3), part_bytes=part_bytes)
+        held = formatted.collect()
+        found = {row.conv_id: row for row in read_back(formatted).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    order = lambda row: (row[1] is not None, row[1] or 0, row[2] is not None, row[2] or "", row[3] is not None, row[3] or "")
+    assert found.keys() == {row[0] for row in rows}
+    for ident, row in found.items():
+        turns = [(role, text) for _, _, role, text in sorted((each for each in rows if each[0] == ident), key=order)]
+        assert (row.n_turns, row.turns_sha256, row.loss_chars, row.loss_sha256) == _plain(turns), ident
+        parts = sorted((part for part in held if part.conv_id == ident), key=lambda part: part.part)
+        assert [part.part for part in parts] == list(range(len(parts)))
+        whole = "".join(part.formatted for part in parts)
+        assert row.formatted_chars == len(whole) and sum(part.n_turns for part in parts) == len(turns)
+        assert parse(whole, TEMPLATE) == [(role or "", text or "") for role, text in turns]
+
+
+def test_spark_expression_escapes_alike(spark):
+    random_ = random.Random(9)
+    texts = [_text(random_, 12) for _ in range(300)]
+    frame = spark.createDataFrame([(text,) for text in texts], "text string")
+    assert [row[0] for row in frame.select(escaped(frame.text)).collect()] == TEMPLATE.escape(pa.array(texts)).to_pylist()
+
+
+def test_no_rows(spark):
+    frame = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert read_back(format_conversations(frame)).collect() == []

@@ -1,0 +1,94 @@
+"""Each stage of the corpus pipeline against a plain version, on its own input."""
+
+import pytest
+from conftest import SMALLEST
+from test_llm_decontaminate import _expected as hits
+from test_llm_minhash import _expected as groups
+from test_llm_packing import _check
+from test_llm_secret_scan import _base
+
+import corpus_pipeline
+from stagemart.llm.packing import PackingOptions
+from stagemart.llm.secret_scan import confirmed_spans
+
+ODD = [
+    (-1, None, "en", "s", 0), (-2, "", "en", "s", 0), (-3, "12 34", None, None, None), (-4, "the thing and the other thing was with them and then the others", None, None, 3),
+    (-4, "the thing and the other thing was with them and then the others", None, None, 3), (-5, "the secret token = abcdef123456 was here and there", "en", None, None), (None, "the and then with the thing", "en", "s", 1),
+    (-6, "the and then with the other things " * 20_000, "en", "s", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def folder_of_tables():
+    return SMALLEST
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    own = spark.read.parquet(f"{SMALLEST}/documents.parquet")
+    return own.unionByName(spark.createDataFrame(ODD, own.schema)).cache()
+
+
+def _ids(frame):
+    return sorted((row.doc_id for row in frame.collect()), key=repr)
+
+
+def test_stages_are_the_five_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "minhash_dedup", "decontamination", "secret_scan", "packing"]
+
+
+def test_languages_keeps_all_but_what_it_rejects(spark, documents, folder_of_tables):
+    kept = corpus_pipeline.keep_languages(spark, documents, folder_of_tables)
+    assert kept.schema == documents.schema
+    gone = set(_ids(documents)) - set(_ids(kept))
+    assert {-1, -2, -3} <= gone and len(gone) <= 5
+
+
+def test_one_of_each_group_stays(spark, documents, folder_of_tables):
+    kept = corpus_pipeline.keep_one_of_each_group(spark, documents, folder_of_tables)
+    rows = [(row.doc_id, row.text) for row in documents.collect()]
+    expected = {ident for ident, _, _, own in groups(rows, 5) if own}
+    assert kept.schema == documents.schema
+    assert _ids(kept) == sorted(expected | {None}, key=repr)
+
+
+def test_contaminated_documents_go(spark, documents, folder_of_tables):
+    items = [tuple(row) for row in spark.read.parquet(f"{folder_of_tables}/benchmark.parquet").select("item_id", "text").collect()]
+    kept = corpus_pipeline.drop_contaminated(spark, documents, folder_of_tables)
+    expected = [row.doc_id for row in documents.collect() if not hits(row.text, items)[4]]
+    assert _ids(kept) == sorted(expected, key=repr) and len(expected) < documents.count()
+
+
+def test_documents_with_secrets_go(spark, documents, folder_of_tables):
+    kept = corpus_pipeline.drop_secrets(spark, documents, folder_of_tables)
+    expected = [row.doc_id for row in documents.collect() if not _base(row.text) and not confirmed_spans((row.text or "").encode())]
+    assert _ids(kept) == sorted(expected, key=repr) and -5 not in expected
+
+
+def test_all_that_is_left_is_packed(spark, documents, folder_of_tables):
+    found = corpus_pipeline.pack_documents(spark, documents, folder_of_tables).collect()
+    rows = [(row.doc_id, len(row.text.encode().split()) + 1 if row.text and row.text.split() else 0, row.source, hash(row.text)) for row in documents.collect()]
+    renamed = [type("Piece", (), dict(id=row.doc_id, piece=row.piece, length=row.n_tokens, bin=row.bin_id, place=row.bin_offset)) for row in found]
+    _check(rows, renamed, PackingOptions())
+
+
+def test_run_is_its_stages(spark, folder_of_tables):
+    docs = spark.read.parquet(f"{folder_of_tables}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, folder_of_tables)
+    found = corpus_pipeline.run(spark, folder_of_tables).collect()
+    assert sorted({row.doc_id for row in found}) == _ids(docs)
+
+
+@pytest.mark.parametrize("name, stage", corpus_pipeline.STAGES)
+def test_empty_tables_and_clashing_columns(spark, documents, folder_of_tables, name, stage):
+    own = ["language", "kept", "id", "component_id", "contamination", "secrets", "n_spans", "bin", "key", "listed", "word", "a.b"]
+    clashing = documents.selectExpr("*", *(f"'x' AS `{column}`" for column in own))
+    found = stage(spark, clashing, folder_of_tables)
+    plain = stage(spark, documents, folder_of_tables)
+    if name != "packing":
+        assert found.columns == clashing.columns and {row["id"] for row in found.collect()} == {"x"}
+        assert _ids(found) == _ids(plain)
+    else:
+        assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+    assert stage(spark, documents.limit(0), folder_of_tables).collect() == []

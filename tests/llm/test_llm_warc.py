@@ -1,0 +1,97 @@
+"""WARC derivatives: records as they stand in files, their links and digests, and the text they keep."""
+
+import base64
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from stagemart.llm.warc import build_records, plain_text, read_warc, write_warc
+
+PAGES = [
+    (1, "http://a.example/x?y=1#z", '<html lang="de"><head><title>T &amp; U</title><style>p{}</style></head><body><nav><a href="/q?a=1&amp;b=2">q</a></nav><p>One<br>two &lt;3&gt;<p>é 中<script>var t="</p>";</script><!-- no --><div>end</div></body></html>'),
+    (2, None, "plain"), (3, "no scheme\r\nWARC-Type: evil", ""), (4, "", None), (5, "http://b.example/", "<script>never closed <p>gone"),
+    (6, "http://c.example/", "a\r\n\r\nb\r\n" + "long text " * 50_000), (1, "http://a.example/x?y=1#z", "other"), (7, "http://d.example/", "<p>x</p>"), (7, "http://d.example/", "<p>x</p>"), (None, "http://e.example/", "x"),
+]
+KINDS = ("response", "metadata", "conversion")
+
+
+def _frame(spark, rows=PAGES):
+    return spark.createDataFrame([(*row, 1, "x") for row in rows], "page_id long, url string, html string, record int, warc_type string")
+
+
+def _digest(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+def _parsed(record):
+    """Headers and block by the length that the headers state, as any reader of the format takes them."""
+    data = record.encode()
+    head, rest = data.split(b"\r\n\r\n", 1)
+    version, *lines = head.decode().split("\r\n")
+    headers = dict(line.split(": ", 1) for line in lines)
+    size = int(headers["Content-Length"])
+    assert version == "WARC/1.1" and rest[size:] == b"\r\n\r\n" and len(headers) == len(lines)
+    return headers, rest[:size]
+
+
+def test_derivatives_repeat_where_they_come_from(spark):
+    rows = build_records(_frame(spark), KINDS, date="2024-02-29T00:00:00Z").collect()
+    assert len(rows) == 3 * len(PAGES) and all(row.record == 1 for row in rows)
+    sources = {row.warc.record_id: row for row in rows if row.warc.warc_type == "response"}
+    for row in rows:
+        headers, block = _parsed(row.warc.record)
+        assert headers["WARC-Block-Digest"] == _digest(block) == row.warc.block_digest and len(block) == row.warc.content_length
+        assert headers["WARC-Record-ID"] == row.warc.record_id and headers["WARC-Type"] == row.warc.warc_type
+        assert headers.get("WARC-Target-URI") == row.warc.target_uri and (row.warc.target_uri is None) == (row.url is None)
+        page = (row.html or "").encode()
+        if row.warc.warc_type == "response":
+            assert block.split(b"\r\n\r\n", 1)[1] == page and headers["WARC-Payload-Digest"] == _digest(page)
+            continue
+        source = sources[headers["WARC-Refers-To"]]
+        assert (source.page_id, source.url, source.html) == (row.page_id, row.url, row.html) and row.warc.refers_to == source.warc.record_id
+        assert headers["WARC-Refers-To-Date"] == source.warc.date and headers.get("WARC-Refers-To-Target-URI") == source.warc.target_uri
+        if row.warc.warc_type == "conversion":
+            assert block.decode() == plain_text(row.html or "") and headers["WARC-Payload-Digest"] == _digest(block)
+            assert headers["WARC-Source-Payload-Digest"] == _digest(page)
+        else:
+            fields = block.decode().split("\r\n")
+            assert f"source-block-digest: {source.warc.block_digest}" in fields and f"source-payload-digest: {_digest(page)}" in fields
+            assert f"http-header: Content-Length: {len(page)}" in fields
+
+
+def test_text_title_and_links():
+    assert plain_text(PAGES[0][2]) == "q\nOne\ntwo <3>\né 中\nend"
+    assert plain_text(PAGES[4][2]) == "" and plain_text("") == "" and plain_text("a < b &nbsp; c") == "a < b c"
+
+
+def test_metadata_names_title_language_and_links(spark):
+    row = build_records(_frame(spark, PAGES[:1]), ("metadata",)).collect()[0]
+    fields = _parsed(row.warc.record)[1].decode().split("\r\n")
+    assert {"title: T & U", "language: de", "outlink: /q?a=1&b=2"} <= set(fields)
+
+
+@pytest.mark.parametrize("compression", ["none", "gzip"])
+def test_files_read_back(spark, folder, compression):
+    records = build_records(_frame(spark).repartition(3), KINDS)
+    write_warc(records, f"{folder}/warc", compression=compression)
+    found = sorted((row.headers["WARC-Record-ID"], row.headers["Content-Length"], row.block) for row in read_warc(spark, f"{folder}/warc").collect())
+    expected = []
+    for row in records.collect():
+        headers, block = _parsed(row.warc.record)
+        expected.append((headers["WARC-Record-ID"], headers["Content-Length"], block.decode()))
+    assert found == sorted(expected)
+
+
+def test_whole_table_and_no_rows(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    rows = build_records(pages).select("page_id", "html", "warc.*").collect()
+    assert len(rows) == 2 * pages.count() and len({row.record_id for row in rows}) == len(rows)
+    texts = {row.page_id: _parsed(row.record)[1].decode() for row in rows if row.warc_type == "conversion"}
+    for row in rows:
+        body = re.sub(r"(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->|<head>.*?</head>", "", row.html)
+        assert not re.search(r"<[a-z/]", texts[row.page_id])
+        words = re.sub(r"<[^>]*>", " ", body)
+        assert all(word in texts[row.page_id] for word in re.findall(r"[a-zé]{9,}", words)[:50])
+    assert build_records(pages.limit(0)).collect() == []
