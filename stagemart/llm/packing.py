@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stagemart.llm.scratch import Scratch
 from stagemart.llm.shipping import session_of
 from stagemart.llm.words import blocks, cut
 
@@ -20,7 +19,7 @@ _LOCAL_BITS = 24
 @dataclass(frozen=True)
 class PackingOptions:
     """``capacity`` of a bin; ``per_source`` pieces of one source and one piece of each cluster of
-    copies at most in a bin; ``group_rows`` pieces that are packed together, on average."""
+    copies at most in a bin; ``group_rows`` rows that are packed together, on average."""
 
     capacity: int = 4096
     per_source: int = 4
@@ -80,20 +79,30 @@ def best_fit(lengths: list[int], sources: list[int], clusters: list[int], capaci
 
 
 def _pack_group(table: pa.Table, capacity: int, per_source: int) -> pa.Table:
-    length = np.asarray(table["length"].combine_chunks(), np.int64)
-    order = np.lexsort(
-        (np.asarray(table["piece"].combine_chunks()), np.asarray(table["id"].combine_chunks().fill_null(0)), -length)
-    )
+    """All pieces of a group: the rests by best fit, full ones in bins of their own, and rows of no length."""
+    ids, total = table["id"].combine_chunks(), np.asarray(table["total"].combine_chunks(), np.int64)
+    full, rest = np.maximum(total, 0) // capacity, np.maximum(total, 0) % capacity
+    order = np.lexsort((np.asarray(ids.fill_null(0)), -rest))
+    order = order[rest[order] > 0]
     sources = np.unique(np.asarray(table["source"].combine_chunks()), return_inverse=True)[1]
     kinds, counts = np.unique(np.asarray(table["cluster"].combine_chunks()), return_inverse=True, return_counts=True)[1:]
     bit = np.where(counts > 1, np.cumsum(counts > 1) - 1, -1)  # a copy that is alone in the group meets no other
-    bins, places = best_fit(length[order].tolist(), sources[order].tolist(), bit[kinds[order]].tolist(), capacity, per_source)
-    packed = table.take(pa.array(order))
-    group = np.asarray(packed["group"].combine_chunks(), np.int64)
+    bins, places = best_fit(rest[order].tolist(), sources[order].tolist(), bit[kinds[order]].tolist(), capacity, per_source)
+
+    whole = np.repeat(np.arange(len(total)), full)
+    empty = np.flatnonzero(total <= 0)
+    row = np.concatenate([order, whole, empty])
+    piece = np.concatenate([full[order], np.arange(len(whole)) - np.repeat(np.cumsum(full) - full, full), np.zeros(len(empty), np.int64)])
+    length = np.concatenate([rest[order], np.full(len(whole), capacity), np.zeros(len(empty), np.int64)])
+    opened = max(bins, default=-1) + 1
+    number = np.concatenate([np.array(bins, np.int64), opened + np.arange(len(whole)), np.zeros(len(empty), np.int64)])
+    place = np.concatenate([np.array(places, np.int64), np.zeros(len(whole) + len(empty), np.int64)])
+    none = length == 0
+    first = table["group"][0].as_py() << _LOCAL_BITS
     return pa.table(
         {
-            "id": packed["id"], "piece": packed["piece"], "length": packed["length"],
-            "bin": pa.array((group << _LOCAL_BITS) + np.array(bins, np.int64)), "place": pa.array(np.array(places, np.int64)),
+            "id": ids.take(pa.array(row)), "piece": pa.array(piece, pa.int32()), "length": pa.array(length),
+            "bin": pa.array(first + number, mask=none), "place": pa.array(place, mask=none),
         }
     )
 
@@ -104,34 +113,23 @@ def pack(documents: DataFrame, id: Column, length: Column, source: Column, clust
     A row longer than a bin is cut into full pieces and a rest; a row of no length (or null) gets
     no bin and keeps its one piece with a null bin. Rows are dealt by hash into groups of about
     ``group_rows``, so that a source or a cluster of a third of all rows is a third of each group;
-    within a group, pieces are placed longest first, equal ones by id and piece. Every bin holds at
-    most its capacity, ``per_source`` pieces of one source (null is a source) and one piece of a
-    cluster (null conflicts with nothing; pieces of one row are cut from one text and count as a
-    cluster where they have one). Repeated rows are packed each.
+    within a group, the rests are placed longest first, equal ones by id. A full piece fills a bin of
+    its own. Every bin holds at most its capacity, ``per_source`` pieces of one source (null is a
+    source) and one piece of a cluster (null conflicts with nothing). Repeated rows are packed each.
     """
-    spark = session_of(documents)
-    scratch = Scratch(spark, "packing")
+    session_of(documents)
     capacity, per_source = options.capacity, options.per_source
     rows = documents.select(
         id.cast("long").alias("id"), F.coalesce(length.cast("long"), F.lit(0)).alias("total"), F.xxhash64(source).alias("source"),
         F.coalesce(cluster.cast("long"), F.xxhash64(F.monotonically_increasing_id())).alias("cluster"),
     )
-    number = F.greatest(F.ceil(F.col("total") / capacity), F.lit(1)).cast("int")
-    rows = rows.withColumn("piece", F.explode(F.sequence(F.lit(0), number - 1)))
-    rows = rows.withColumn("length", F.least(F.lit(capacity), F.col("total") - F.col("piece").cast("long") * capacity))
-    pieces = scratch.keep(rows.drop("total").withColumn("salt", F.monotonically_increasing_id()), "pieces")
-    groups = max(1, -(-pieces.count() // options.group_rows))
-    dealt = pieces.where("length > 0").withColumn("group", F.pmod(F.xxhash64("id", "piece", "salt"), F.lit(groups)))
+    groups = max(1, -(-documents.count() // options.group_rows))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(groups)))
 
     def packed(table: pa.Table) -> pa.Table:
         return _pack_group(table, capacity, per_source)
 
-    schema = "id long, piece int, length long, bin long, place long"
-    found = dealt.drop("salt").groupBy("group").applyInArrow(packed, schema)
-    empty = pieces.where("length <= 0").select(
-        "id", "piece", F.lit(0).cast("long").alias("length"), F.lit(None).cast("long").alias("bin"), F.lit(None).cast("long").alias("place")
-    )
-    return found.union(empty)
+    return dealt.groupBy("group").applyInArrow(packed, "id long, piece int, length long, bin long, place long")
 
 
 def pack_texts(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", options: PackingOptions = PackingOptions()) -> DataFrame:
