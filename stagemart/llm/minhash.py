@@ -246,5 +246,5 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     component = F.coalesce("component", "id")
     return by_id.select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"),
-        component.eqNullSafe(F.col("id")).alias("kept"),
+        (F.col("id").isNull() | (component == F.col("id"))).alias("kept"),
     )

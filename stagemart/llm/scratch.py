@@ -17,15 +17,15 @@ class Scratch:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.folder = new_folder(spark, label)
-        self._paths: dict[int, str] = {}
+        self._kept: dict[int, tuple[DataFrame, str]] = {}
 
     def keep(self, frame: DataFrame, label: str) -> DataFrame:
-        path = f"{self.folder}/{len(self._paths):03d}-{label}"
+        path = f"{self.folder}/{len(self._kept):03d}-{label}"
         frame.write.parquet(path)
         kept = self.spark.read.schema(frame.schema).parquet(path)
-        self._paths[id(kept)] = path
+        self._kept[id(kept)] = kept, path
         return kept
 
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
-            delete_path(self.spark, self._paths[id(frame)])
+            delete_path(self.spark, self._kept[id(frame)][1])
