@@ -106,23 +106,18 @@ def _is_private_ssh(data: bytes) -> bool:
     if not data.startswith(_SSH_MAGIC):
         return False
     at = len(_SSH_MAGIC)
-
-    def number() -> int:
-        nonlocal at
-        at += 4
-        return int.from_bytes(data[at - 4 : at], "big") if at <= len(data) else len(data)
-
     for _ in range(3):  # cipher, key derivation, its options
-        at += number()
-        if at > len(data):
+        if at + 4 > len(data):
             return False
-    keys = number()
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
+    keys = int.from_bytes(data[at : at + 4], "big")
     if not 1 <= keys <= 16:
         return False
+    at += 4
     for _ in range(keys + 1):  # public keys, then the private section
-        at += number()
-        if at > len(data):
+        if at + 4 > len(data):
             return False
+        at += 4 + int.from_bytes(data[at : at + 4], "big")
     return at == len(data)
 
 

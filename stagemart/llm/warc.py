@@ -161,14 +161,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """
     rows = spark.read.option("lineSep", _END + VERSION + "\r\n").text(path).where("value <> ''")
     text = F.regexp_replace("value", rf"^{VERSION}\r\n", "")  # the first record of a file
-    text = F.when(text.endswith(_END), F.substring(text, F.lit(1), F.length(text) - len(_END))).otherwise(text)  # the last one
     rows = rows.select(text.alias("text")).withColumn("cut", F.instr("text", _END))
     lines = F.split(F.substring("text", F.lit(1), F.col("cut") - 1), "\r\n")
     entry = lambda line: F.struct(F.substring_index(line, ": ", 1).alias("name"), F.regexp_replace(line, "^[^:]*: ", "").alias("value"))
     rows = rows.select(
         F.map_from_entries(F.transform(lines, entry)).alias("headers"),
-        F.substring("text", F.col("cut") + len(_END), F.length("text")).alias("block"),
+        F.substring("text", F.col("cut") + len(_END), F.length("text")).alias("rest"),
     )
-    whole = F.octet_length("block") == F.element_at("headers", "Content-Length").cast("long")
+    more = F.octet_length("rest") - F.element_at("headers", "Content-Length").cast("long")
+    last = F.substring("rest", F.lit(1), F.length("rest") - len(_END))  # of a file, with the end of its record
     wrong = F.raise_error(F.lit("a record's block is not of its stated length"))
-    return rows.select("headers", F.when(whole, F.col("block")).otherwise(wrong).alias("block"))
+    block = F.when(more == 0, F.col("rest")).when((more == len(_END)) & F.col("rest").endswith(_END), last).otherwise(wrong)
+    return rows.select("headers", block.alias("block"))
