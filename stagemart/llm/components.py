@@ -28,14 +28,14 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "edges
             moved = joined.select(F.explode(F.array("a", "b")).alias("a"), F.col("least").alias("b"))
         return moved.where("a <> b").distinct()
 
-    links = scratch.keep(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), label
-    )
-    before = _state(links)
-    while before[0]:
-        grown = scratch.keep(stars(stars(links, True), False), label)
+    # a digest of the links, which stays only when a round changed none
+    state = {"links": F.count(F.lit(1)), "ends": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}
+    first = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    links, before = scratch.keep_observed(first, label, **state)
+    while before["links"]:
+        grown, now = scratch.keep_observed(stars(stars(links, True), False), label, **state)
         scratch.drop(links)
-        links, now = grown, _state(grown)
+        links = grown
         if now == before:
             break
         before = now
@@ -44,12 +44,20 @@ def connected_components(edges: DataFrame, scratch: Scratch, label: str = "edges
     )
 
 
-def _state(links: DataFrame) -> tuple:
-    """A digest that stays only when a round changed no link; stars whose hubs are no leaves are the end."""
-    return tuple(
-        links.agg(
-            F.count("*"),
-            F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
-            F.sum(F.xxhash64("b").cast("decimal(38,0)")),
-        ).first()
-    )
+def forest_roots(parents: DataFrame, scratch: Scratch, label: str = "parents") -> DataFrame:
+    """The root of each node's tree, (node, component), for links (a long, b long) of at most one b to an a.
+
+    Pointers jump to where their ends point, so the rounds are the logarithm of the depth; a root
+    that many nodes point to is the left side of an outer join, which adaptive execution splits.
+    ``b`` must not lead back to ``a``.
+    """
+    held = scratch.keep(parents.select("a", "b").distinct(), label)
+    moved = True
+    while moved:
+        ends = held.select(F.col("a").alias("b"), F.col("b").alias("end"))
+        jumped = held.join(ends, "b", "left").select("a", F.coalesce("end", "b").alias("b"), F.col("end").isNotNull().alias("moved"))
+        grown, said = scratch.keep_observed(jumped, label, moved=F.max("moved"))
+        scratch.drop(held)
+        held, moved = grown, said["moved"]
+    roots = held.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    return held.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stagemart.llm.bloom import bloom_of, bloom_size
-from stagemart.llm.components import connected_components
+from stagemart.llm.components import connected_components, forest_roots
 from stagemart.llm.scratch import Scratch
 from stagemart.llm.shipping import session_of
 from stagemart.llm.words import BLOCK_BYTES, blocks, shingles, words
@@ -33,7 +33,7 @@ class MinHashOptions:
     similarity: int = 80
     entries: int = 12
     hashes: int = 2
-    tile_rows: int = 2048
+    tile_rows: int = 1024
     filter_bits: int = 1 << 25
 
 
@@ -124,11 +124,12 @@ def _confirmed(options: MinHashOptions):
     return confirm
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, options: MinHashOptions) -> DataFrame:
+def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, options: MinHashOptions) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar enough. A filter keeps most other texts in their tasks."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits, hashes = bloom_size(max(1, 2 * pairs.count()), 1 / 64)
     wanted = bloom_of(ends, F.col("id"), min(bits, options.filter_bits), hashes)
+    wanted = replace(wanted, frame=scratch.keep(wanted.frame, "filter"))
     texts = texts.where(wanted.passes(F.col("id")))
     both = pairs.join(texts.toDF("a", "own"), "a").join(texts.toDF("b", "other"), "b").select("a", "b", "own", "other")
     return both.mapInArrow(_confirmed(options), "a long, b long")
@@ -225,10 +226,10 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     best = counted.groupBy("id").agg(F.max(F.struct("count", (-F.col("first")).alias("first"))).alias("best"))
     stars = scratch.keep(best.select(F.col("id").alias("a"), (-F.col("best.first")).alias("b")), "stars")
     texts = rows.where("id is not null and text is not null")
-    links = scratch.keep(_verified(stars, texts, options), "links")
+    links = scratch.keep(_verified(stars, texts, scratch, options), "links")
     scratch.drop(tables)
 
-    within = connected_components(links, scratch).select(F.col("node").alias("id"), "component")
+    within = scratch.keep(forest_roots(links, scratch).select(F.col("node").alias("id"), "component"), "within")
     placed = scratch.keep(met.join(within, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
     open_entries = placed.groupBy("i", "u").agg(
         F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / options.tile_rows).alias("tiles")
@@ -236,12 +237,15 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     open_entries = open_entries.where("low < high").select("i", "u", "tiles")
     pairs = _across(placed.join(open_entries, ["i", "u"]), classes, options).join(stars, ["a", "b"], "left_anti")
     pairs = scratch.keep(pairs, "pairs")
-    more = scratch.keep(_verified(pairs, texts, options), "links")
+    more = scratch.keep(_verified(pairs, texts, scratch, options), "links")
     scratch.drop(met, placed, pairs, stars)
 
-    joined = connected_components(links.union(more), scratch).select(F.col("node").alias("rep"), "component")
-    of_class = classes.select("print", F.col("id").alias("rep")).join(joined, "rep", "left")
-    of_class = of_class.select("print", F.coalesce("component", "rep").alias("component"))
+    near = within.select(F.col("id").alias("a"), F.col("component").alias("near_a"))
+    far = within.select(F.col("id").alias("b"), F.col("component").alias("near_b"))
+    between = more.join(near, "a", "left").join(far, "b", "left").select(F.coalesce("near_a", "a").alias("a"), F.coalesce("near_b", "b").alias("b"))
+    joined = connected_components(between, scratch).select(F.col("node").alias("near"), F.col("component").alias("far"))
+    of_class = classes.select("print", "id").join(within, "id", "left").select("print", F.coalesce("component", "id").alias("near"))
+    of_class = of_class.join(joined, "near", "left").select("print", F.coalesce("far", "near").alias("component"))
     by_id = signed.select("id", "n", "print").join(of_class, "print", "left")
     component = F.coalesce("component", "id")
     return by_id.select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from stagemart.session import delete_path, new_folder
 
@@ -26,6 +26,12 @@ class Scratch:
         self._kept[id(kept)] = kept, path
         return kept
 
+    def keep_observed(self, frame: DataFrame, label: str, **measures: Column) -> tuple[DataFrame, dict]:
+        """The same, with aggregates taken while the rows are written, so that no job of their own is needed."""
+        observed = Observation()
+        named = [measure.alias(name) for name, measure in measures.items()]
+        return self.keep(frame.observe(observed, *named), label), observed.get
+
     def drop(self, *frames: DataFrame) -> None:
         for frame in frames:
             delete_path(self.spark, self._kept[id(frame)][1])

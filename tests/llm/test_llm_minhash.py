@@ -5,7 +5,7 @@ import random
 import pytest
 from conftest import SMALLEST
 
-from stagemart.llm.components import connected_components
+from stagemart.llm.components import connected_components, forest_roots
 from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.scratch import Scratch
 
@@ -84,3 +84,12 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     frame = spark.createDataFrame([edge if n % 2 else edge[::-1] for n, edge in enumerate(edges)], "a long, b long")
     found = {row.node: row.component for row in connected_components(frame, Scratch(spark, "test")).collect()}
     assert found == {n: 0 for n in range(41)} | {100: 100} | {200 + n: 100 for n in range(30)} | {300 + n: 300 for n in range(15)}
+
+
+def test_roots_of_a_deep_tree_and_a_hub(spark):
+    parents = [(n, n - 1) for n in range(1, 70)] + [(100 + n, 99) for n in range(50)] + [(200, 120)]
+    random.Random(2).shuffle(parents)
+    frame = spark.createDataFrame(parents + parents[:3], "a long, b long")
+    found = {row.node: row.component for row in forest_roots(frame, Scratch(spark, "test")).collect()}
+    assert found == {n: 0 for n in range(70)} | {n: 99 for n in range(99, 150)} | {200: 99}
+    assert forest_roots(frame.limit(0), Scratch(spark, "test")).collect() == []
