@@ -33,7 +33,7 @@ class MinHashOptions:
     similarity: int = 80
     entries: int = 12
     hashes: int = 2
-    tile_rows: int = 1024
+    tile_rows: int = 512
     filter_bits: int = 1 << 25
 
 
@@ -143,16 +143,30 @@ def _folded(folds: list[np.ndarray], width: np.ndarray, wide: int) -> np.ndarray
     return out
 
 
-def _across(open_rows: DataFrame, classes: DataFrame, options: MinHashOptions) -> DataFrame:
+def _across(placed: DataFrame, classes: DataFrame, options: MinHashOptions) -> DataFrame:
     """Pairs (a, b) of classes in different components that meet in a table and may be similar enough.
 
-    ``open_rows`` are the entries (i, u, id, component, tiles) that classes of several components
-    share. Each is compared in tiles, a pair under its first common entry alone, by the second
-    collection, sizes and folded sets; only pairs that pass all of these come out.
+    ``placed`` are the entries (id, i, u, component). Those that classes of several components share
+    are compared in tiles, a pair under its first common entry alone, by the second collection,
+    sizes and folded sets; only pairs that pass all of these come out. In an entry of many classes
+    those of its main component meet the others but not each other: they have tiles of their own,
+    numbered below zero, and go to as many tasks as the others have tiles.
     """
-    tile = F.pmod(F.xxhash64("id"), F.col("tiles"))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    dealt = open_rows.withColumn("tile", tile).withColumn("other", other)
+    sizes = placed.groupBy("i", "u", "component").agg(F.count("*").alias("rows"))
+    shared = sizes.groupBy("i", "u").agg(
+        F.max(F.struct("rows", "component")).alias("main"), F.sum("rows").alias("rows"), F.count("*").alias("components")
+    )
+    split = F.col("rows") > options.tile_rows
+    shared = shared.where("components > 1").select(
+        "i", "u", F.when(split, F.col("main.component")).alias("main"),
+        F.when(split, F.ceil(F.col("main.rows") / options.tile_rows)).otherwise(0).alias("main_tiles"),
+        F.greatest(F.lit(1), F.when(split, F.ceil((F.col("rows") - F.col("main.rows")) / options.tile_rows))).alias("tiles"),
+    )
+    of_main = F.col("component").eqNullSafe(F.col("main"))
+    spread = F.xxhash64("id")
+    tile = F.when(of_main, -1 - F.pmod(spread, F.greatest(F.lit(1).cast("long"), "main_tiles"))).otherwise(F.pmod(spread, F.col("tiles")))
+    others = F.sequence(F.when(of_main, 0).otherwise(-F.col("main_tiles")), F.col("tiles") - 1)
+    dealt = placed.join(shared, ["i", "u"]).withColumn("tile", tile).withColumn("other", F.explode(others))
     dealt = dealt.select("id", "component", "i", "u", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
     held = dealt.join(classes.select("id", "n", "left", "right", "parity"), "id")
 
@@ -231,11 +245,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
 
     within = scratch.keep(forest_roots(links, scratch).select(F.col("node").alias("id"), "component"), "within")
     placed = scratch.keep(met.join(within, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
-    open_entries = placed.groupBy("i", "u").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count("*") / options.tile_rows).alias("tiles")
-    )
-    open_entries = open_entries.where("low < high").select("i", "u", "tiles")
-    pairs = _across(placed.join(open_entries, ["i", "u"]), classes, options).join(stars, ["a", "b"], "left_anti")
+    pairs = _across(placed, classes, options).join(stars, ["a", "b"], "left_anti")
     pairs = scratch.keep(pairs, "pairs")
     more = scratch.keep(_verified(pairs, texts, scratch, options), "links")
     scratch.drop(met, placed, pairs, stars)
