@@ -28,6 +28,7 @@ _SHORTEST_VALUE = 6
 #: Shorter runs hold no key or token header.
 SHORTEST_RUN = 32
 _RUN = re.compile(rb"[A-Za-z0-9+/_-]{32,}={0,2}")
+_ANY_HEX = re.compile(rb"[0-9a-fA-F]+")
 _PEM = re.compile(rb"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
 _JWT = re.compile(rb"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
 _SSH_MAGIC = b"openssh-key-v1\0"
@@ -178,7 +179,7 @@ def confirmed_spans(text: bytes) -> list[tuple[int, int, int]]:
         kind = None
         if run[:1] == b"M" or run.startswith(b"b3BlbnNzaC1rZXktdjE"):  # 0x30 and the magic in base64
             kind = _kind_of_key(_decoded(run))
-        elif run[:2] == b"30" and len(run) % 2 == 0 and all(_HEX_DIGIT[run]):
+        elif run[:2] == b"30" and len(run) % 2 == 0 and _ANY_HEX.fullmatch(run):
             kind = _kind_of_key(bytes.fromhex(run.decode()))
         if kind:
             found.append((match.start(), KINDS.index(kind), match.end()))
@@ -187,18 +188,6 @@ def confirmed_spans(text: bytes) -> list[tuple[int, int, int]]:
     return found
 
 
-class _Digits:
-    """Whether each byte of a run is a hex digit of either case."""
-
-    _table = _table(b"0123456789abcdefABCDEF")
-
-    def __getitem__(self, run: bytes) -> np.ndarray:
-        return self._table[np.frombuffer(run, np.uint8)]
-
-
-_HEX_DIGIT = _Digits()
-
-
 def _points(text: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The spans in code points instead of bytes, in order of start, kind and end."""
     if spans and not text.isascii():

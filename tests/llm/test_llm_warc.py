@@ -5,7 +5,6 @@ import hashlib
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 from stagemart.llm.warc import build_records, plain_text, read_warc, write_warc
 
