@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DataType,
@@ -27,7 +27,7 @@ METADATA_UPDATE = "update {schema}.stage_table set num_partitions=%d where table
 
 # The greatest power of two that the result, a BIGINT, can hold.
 _GREATEST_POWER = 62
-_LEVELS_A_ROUND = 16
+_LEVELS_A_ROUND = 12
 # The level of rows at the least key, which lie in the first slice however many slices there are.
 _EVERY_LEVEL = 1 << 20
 
@@ -131,10 +131,16 @@ def _by_first_slice(keys: DataFrame, bounds: tuple[Number, Number], threshold: i
     raw = _raw_literal(keys.schema["raw"].dataType, lower + (upper - lower) // 2) if isinstance(lower, int) else None
     rows = keys.filter(within if raw is None else (F.col("raw") <= raw) & within)
     counts = rows.groupBy(level.cast("int").alias("level")).count()
-    held = F.sum("count").over(Window.partitionBy(F.lit(0)).orderBy(F.desc("level")))
-    # Slices may not be as wide as the last level that holds too much.
-    too_much = F.coalesce(F.max(F.when(F.col("held") > threshold, F.col("level"))), F.lit(0))
-    power = counts.withColumn("held", held).agg((too_much + 1).alias("power"))
+
+    def add(sums: Column, level: Column) -> Column:
+        held = sums["held"] + level["count"]
+        found = F.when((sums["too_much"] == 0) & (held > threshold), level["level"]).otherwise(sums["too_much"])
+        return F.struct(held.alias("held"), found.alias("too_much"))
+
+    # From the narrowest slice up: the first level that holds too much must be halved once more.
+    deepest_first = F.sort_array(F.collect_list(F.struct("level", "count")), asc=False)
+    none = F.struct(F.lit(0).cast("bigint").alias("held"), F.lit(0).alias("too_much"))
+    power = counts.agg((F.aggregate(deepest_first, none, add)["too_much"] + 1).alias("power"))
     return power.select(F.when(F.col("power") <= _GREATEST_POWER, F.expr("shiftleft(1L, power)")).alias("num_partitions"))
 
 
@@ -153,8 +159,9 @@ def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int)
     while found is None and done < finest:
         level = min(done + _LEVELS_A_ROUND, finest)
         # Whole numbers throughout: ceil(distance * slices / width) - 1, and 0 for the lowest key.
-        distance = f"(cast(key AS DECIMAL(38, 0)) - {lower}BD) * {2**level}BD + {width - 1}BD"
-        rows = rows.withColumn("slice", F.expr(f"greatest(1L, ({distance}) div {width}BD) - 1L"))
+        kind, mark = ("BIGINT", "L") if width.bit_length() + level < 62 and abs(lower) < 2**62 else ("DECIMAL(38, 0)", "BD")
+        distance = f"(cast(key AS {kind}) - ({lower}{mark})) * {2**level}{mark} + {width - 1}{mark}"
+        rows = rows.withColumn("slice", F.expr(f"greatest(1L, ({distance}) div {width}{mark}) - 1L"))
         histogram = rows.groupBy("slice").count()
         merged = F.explode(F.array(*(F.lit(power) for power in range(level - done)))).alias("merged")
         largest = (
@@ -188,7 +195,7 @@ def advise_partitions(
     for keys that are not spread evenly; NULL then says that one key, or keys next to each other,
     hold too many rows. ``bounds`` are the least and greatest keys as numbers, where known: days of
     dates, microseconds of timestamps. Each table is scanned twice, its key column only: once for
-    bounds that are not known, once for all counts (``largest`` again for each 16 halvings that do not do).
+    bounds that are not known, once for all counts (``largest`` again for each 12 halvings that do not do).
     """
     if basis not in ("first", "largest"):
         raise ValueError("basis must be first or largest")
