@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stagemart.llm.shipping import session_of
-from stagemart.llm.words import Block, blocks
+from stagemart.llm.words import Block, blocks, cut
 
 #: Kinds in the order in which spans of one start are listed.
 KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "jwt")
@@ -45,15 +45,11 @@ _CODED = _table(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789
 
 
 def _with_run(block: Block, table: np.ndarray, length: int) -> np.ndarray:
-    """Which texts of the block have ``length`` bytes of the table in a row; a run over two texts only adds work."""
-    inside = np.concatenate([[False], table[block.data], [False]])
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[::2], edges[1::2]
-    long = ends - starts >= length
-    found = np.zeros(block.rows + 1, np.int64)
-    np.add.at(found, np.searchsorted(block.offsets, starts[long], "right") - 1, 1)
-    np.add.at(found, np.searchsorted(block.offsets, ends[long] - 1, "right") - 1, 1)
-    return found[: block.rows] > 0
+    """Which texts of the block have ``length`` bytes of the table in a row; runs end where texts do."""
+    starts, ends, _ = cut(block, table)
+    found = np.zeros(block.rows, bool)
+    found[np.searchsorted(block.offsets, starts[ends - starts >= length], "right") - 1] = True
+    return found
 
 
 def _elements(data: bytes) -> list[tuple[int, bytes]] | None:

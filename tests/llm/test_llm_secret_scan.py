@@ -119,6 +119,19 @@ def test_broken_structures_are_not_reported(said):
     assert confirmed_spans(said.encode()) == []
 
 
+def test_runs_end_where_texts_do(spark):
+    """Texts wholly of run characters, of which neighbours in a block join without a border."""
+    digest = hashlib.sha256(b"x").hexdigest()
+    keys = [_encoded(RSA).rstrip("="), RSA.hex(), _encoded(SSH).rstrip("=")]
+    texts = ["one", digest, "a two", *[digest] * 5, "", None, digest[:23], digest[23:47], digest[:12], digest[:12], *keys, "end"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    found = {row.doc_id: row.secrets for row in scan_secrets(frame).collect()}
+    _assert_base(texts, found)
+    assert [found[number].n_hex for number in range(14)] == [0, 1, 0, 1, 1, 1, 1, 1, 0, 0, 0, 1, 0, 0]
+    for number, (key, kind) in enumerate(zip(keys, ("der", "der", "ssh")), 14):
+        assert f"{kind}:0:{len(key)}" in found[number].spans.split(",")
+
+
 def test_confirmed_spans_come_after_the_base_and_in_order(spark):
     text = f"token={'0' * 30} {JWT} {_encoded(EC)}"
     found = _scan(spark, [text])[0].spans.split(",")
