@@ -23,7 +23,16 @@ RECORD = (
 _NAMES = [part.split()[0] for part in RECORD.split(",")]
 _KINDS = [pa.int64() if part.split()[1] == "long" else pa.string() for part in RECORD.split(",")]
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.IGNORECASE | re.DOTALL)
+#: A head may lack its closing tag, so it ends at the first tag or text that cannot stand in one.
+_HEAD = (
+    r"<head(?=[\s/>])[^>]*>(?:\s+|<!--.*?(?:-->|\Z)|<[!?][^>]*>|<title\b[^>]*>.*?</title\s*>"
+    r"|<(?P<raw>script|style|noscript|noframes|template)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"|<(?:base|basefont|bgsound|link|meta|html|head)(?=[\s/>])[^>]*>|</(?!(?:head|body|html|br)[\s/>])[a-z][^>]*>)*(?:</head\s*>)?"
+)
+#: A title behind such an end is no text of the page either.
+_HIDDEN = re.compile(
+    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|{_HEAD}|<title\b[^>]*>[^<]*</title\s*>", re.IGNORECASE | re.DOTALL
+)
 _BREAK = re.compile(
     r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li"
     r"|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>",

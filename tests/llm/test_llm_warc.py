@@ -65,6 +65,24 @@ def test_text_title_and_links():
     assert plain_text(PAGES[4][2]) == "" and plain_text("") == "" and plain_text("a < b &nbsp; c") == "a < b c"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<head><title>t</title><body><p>text", "text"),
+        ("<html><head lang=x><title>a <p> b</title>\n<meta charset=utf-8><link href=y><script>if (a<b) '<p>'</script><!-- <p> -->\n<p>one<p>two", "one\ntwo"),
+        ("<head><title>t</title>text of no element", "text of no element"),
+        ("<head><meta name=a></base><style>p{}</style><header>top</header><p>says &lt;/head&gt; </head> end", "top\nsays </head> end"),
+        ("<HEAD><IMG src=x><TITLE>t</TITLE></HEAD><BODY>text", "text"),
+        ("<head><title>never closed<body><p>text", "never closed\ntext"),
+        ("<head><title>t</title></head>text", "text"), ("<head></head>", ""), ("<head><meta", "<meta"),
+    ],
+)
+def test_a_head_ends_without_a_closing_tag(spark, page, text):
+    assert plain_text(page) == text
+    row = build_records(_frame(spark, [(1, "http://a.example/", page)]), ("conversion",)).collect()[0]
+    assert _parsed(row.warc.record)[1].decode() == text
+
+
 def test_metadata_names_title_language_and_links(spark):
     row = build_records(_frame(spark, PAGES[:1]), ("metadata",)).collect()[0]
     fields = _parsed(row.warc.record)[1].decode().split("\r\n")
