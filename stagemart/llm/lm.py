@@ -1,4 +1,4 @@
-"""Language-model scores: a log-bilinear model trained by noise-contrastive estimation, and a unigram base."""
+"""Language-model scores: a log-bilinear model trained by noise-contrastive estimation, with a tree of less frequent words, and a unigram base."""
 
 from __future__ import annotations
 
@@ -18,13 +18,18 @@ from stagemart.llm.words import Block, blocks, mix, row_of, words
 END = mix(np.array([0xE0F], np.uint64))[0]
 _LOG2_STEPS = 64
 _KEPT_WORDS = 1 << 20
-_CONTEXTS_AT_ONCE = 2048
+_CONTEXTS_AT_ONCE = 256
+#: Levels at the top of a tree that are trained by matrix products.
+_TOP_LEVELS = 7
+#: Scores below it keep their exponentials and the sums of those in range.
+_SAFE = 60.0
+_ROWS_AT_ONCE = 1 << 12
 
 
 @dataclass(frozen=True)
 class ModelOptions:
-    """``vocabulary`` words and the end are predicted by themselves, all others as one class; ``common`` words
-    at most have their counts sent to every task, those of the others are joined. ``rounds`` passes
+    """``vocabulary`` words and the end are predicted by themselves, all others as one class and within it along
+    a tree; ``common`` words at most have vectors and their counts sent to every task, the counts of those beyond are joined. ``rounds`` passes
     over all training tokens, in each of which tasks train on their own and are averaged."""
 
     vocabulary: int = 1022
@@ -136,23 +141,23 @@ class LogBilinear:
     """P(w | one, two) is proportional to exp((c1 * r[one] + c2 * r[two]) . q[w] + b[w]).
 
     Classes 0 to size - 2 are words, size - 1 stands for all others; contexts have one class more,
-    for what lies before a text.
+    for what lies before a text, and then ``extra`` words of the others.
     """
 
-    def __init__(self, size: int, dims: int, values: np.ndarray):
-        self.size, self.dims = size, dims
-        parts = np.split(values.astype(np.float32), np.cumsum([(size + 1) * dims, 2 * dims, size * dims]))
-        self.context = parts[0].reshape(size + 1, dims)
+    def __init__(self, size: int, dims: int, values: np.ndarray, extra: int = 0):
+        self.size, self.dims, self.contexts = size, dims, size + 1 + extra
+        parts = np.split(values.astype(np.float32), np.cumsum([self.contexts * dims, 2 * dims, size * dims]))
+        self.context = parts[0].reshape(self.contexts, dims)
         self.weights = parts[1].reshape(2, dims)
         self.target = parts[2].reshape(size, dims)
         self.bias = parts[3]
 
     @staticmethod
-    def initial(share: np.ndarray, dims: int) -> np.ndarray:
+    def initial(share: np.ndarray, dims: int, extra: int = 0) -> np.ndarray:
         """Small random vectors and the logarithms of the shares: the unigram distribution, near enough."""
         size = len(share)
         random = np.random.default_rng(7)
-        parts = (random.normal(0, 0.1, (size + 1) * dims), np.ones(2 * dims), random.normal(0, 0.1, size * dims), np.log(share))
+        parts = (random.normal(0, 0.1, (size + 1 + extra) * dims), np.ones(2 * dims), random.normal(0, 0.1, size * dims), np.log(share))
         return np.concatenate(parts)
 
     @property
@@ -163,6 +168,78 @@ class LogBilinear:
         return self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
 
 
+class Tree:
+    """A Huffman tree of words; each inner node is a choice of its second child with probability 1 / (1 + exp(-(p . q + b))).
+
+    The product of the choices on the way to a word is its probability, so that all words' sum is one
+    without a normaliser. Leaves come first, then inner nodes, of which the last is the root.
+    """
+
+    def __init__(self, parent: np.ndarray, second: np.ndarray, vectors: np.ndarray, bias: np.ndarray):
+        self.parent, self.second, self.vectors, self.bias = parent, second, vectors, bias
+        self.leaves = len(bias) + 1
+        self.low = np.zeros(len(parent) + 1, bool)  # the last for what is above the root
+        self.low[:-1] = True
+        level = np.array([len(parent) - 1])
+        for _ in range(_TOP_LEVELS):
+            level = level[level >= self.leaves]
+            self.low[level] = False
+            level = np.flatnonzero(np.isin(parent, level))
+        self.top = np.flatnonzero(~self.low[self.leaves : -1])
+        # the node below the top that each leaf is reached through, and the choices on the way to it
+        at = np.arange(self.leaves)
+        while len(moving := np.flatnonzero(self.low[parent[at]])):
+            at[moving] = parent[at[moving]]
+        entries, self.entry = np.unique(at, return_inverse=True)
+        self.signs = np.zeros((len(entries), len(self.top)), np.float32)
+        for row, node in enumerate(entries):
+            while parent[node] >= 0:
+                self.signs[row, np.searchsorted(self.top, parent[node] - self.leaves)] = 1 if second[node] else -1
+                node = parent[node]
+
+    @staticmethod
+    def over(counts: np.ndarray, dims: int) -> Tree:
+        """With vectors of zeros and choices in proportion to the counts: the unigram distribution."""
+        leaves = len(counts)
+        order = np.argsort(counts, kind="stable").tolist()
+        weight = counts.tolist() + [0] * (leaves - 1)
+        parent, second, bias = np.full(2 * leaves - 1, -1, np.int32), np.zeros(2 * leaves - 1, bool), np.zeros(leaves - 1, np.float32)
+        leaf, inner = 0, leaves
+        for node in range(leaves, 2 * leaves - 1):
+            pair = []
+            for _ in range(2):  # the lightest: leaves by weight, and inner nodes, which arise by weight
+                if inner == node or leaf < leaves and weight[order[leaf]] <= weight[inner]:
+                    pair.append(order[leaf])
+                    leaf += 1
+                else:
+                    pair.append(inner)
+                    inner += 1
+            parent[pair] = node
+            second[pair[1]] = True
+            weight[node] = weight[pair[0]] + weight[pair[1]]
+            bias[node - leaves] = np.log(weight[pair[1]] / weight[pair[0]])
+        return Tree(parent, second, np.zeros((leaves - 1, dims), np.float32), bias)
+
+    def climb(self, leaf: np.ndarray, below_top: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each level from the leaves up: which of them are still below the root (or the top), their inner nodes, and 1 for a second child or -1."""
+        rows, at = np.arange(len(leaf)), leaf
+        while len(rows):
+            up = self.parent[at]
+            below = self.low[up] if below_top else up >= 0
+            rows, at, up = rows[below], at[below], up[below]
+            if len(rows):
+                yield rows, up - self.leaves, np.where(self.second[at], np.float32(1), np.float32(-1))
+            at = up
+
+    def score(self, predicted: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+        """Log10 probabilities of the leaves."""
+        total = np.zeros(len(leaf))
+        for rows, node, sign in self.climb(leaf):
+            choice = np.einsum("ij,ij->i", predicted[rows], self.vectors[node]) + self.bias[node]
+            total[rows] -= np.logaddexp(np.float32(0), -sign * choice)
+        return total / np.log(10)
+
+
 class Trainer:
     """Stochastic gradients of the noise-contrastive objective, each parameter at its own rate.
 
@@ -170,23 +247,55 @@ class Trainer:
     scores and gradients of the noise are matrix products.
     """
 
-    def __init__(self, model: LogBilinear, share: np.ndarray, options: ModelOptions, seed: int):
-        self.model, self.options = model, options
+    def __init__(self, model: LogBilinear, tree: Tree, share: np.ndarray, options: ModelOptions, seed: int):
+        self.model, self.tree, self.options = model, tree, options
         noise = share**0.75
         self.noise = noise / noise.sum()
         self.log_noise = np.log(options.noise * self.noise).astype(np.float32)
         self.random = np.random.default_rng(seed)
-        self.seen = [np.full_like(part, 1e-6) for part in (model.context, model.weights, model.target, model.bias)]
+        parts = (model.context, model.weights, model.target, model.bias, tree.vectors, tree.bias)
+        # rows of less frequent words have small sums of squares and must move all the same
+        self.seen = [np.full_like(part, least) for part, least in zip(parts, (1e-8, 1e-6, 1e-6, 1e-6, 1e-8, 1e-8))]
+        self.context_steps, self.node_steps = np.zeros(len(model.context), np.int64), np.zeros(len(tree.bias), np.int64)
 
-    def _step(self, part: np.ndarray, seen: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    def _step(self, parts: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray, gradient: np.ndarray, steps: np.ndarray | None = None) -> None:
+        """Move rows of each part, given with its squares seen, by their summed gradients, whose columns lie side by side."""
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        summed, rows = np.add.reduceat(gradient[order], first, axis=0), rows[first]
-        seen[rows] += summed * summed
-        part[rows] -= self.options.rate * summed / np.sqrt(seen[rows])
-
-    def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> None:
+        summed, at = np.add.reduceat(gradient[order], first, axis=0), 0
+        if steps is not None:
+            steps[rows[first]] += np.diff(np.append(first, len(rows)))
+        rows = rows[first]
+        for part, seen in parts:
+            own = summed[:, at : at + part.shape[1]] if part.ndim > 1 else summed[:, at]
+            at += part.shape[1] if part.ndim > 1 else 1
+            seen[rows] += own * own
+            part[rows] -= self.options.rate * own / np.sqrt(seen[rows])
+
+    def _choices(self, predicted: np.ndarray, leaf: np.ndarray, scale: np.float32) -> np.ndarray:
+        """Train the ways to the leaves; the gradient of what was predicted."""
+        tree, top = self.tree, self.tree.top
+        signs = tree.signs[tree.entry[leaf]]
+        choices = predicted @ tree.vectors[top].T + tree.bias[top]
+        high = -signs / (1 + np.exp(np.clip(signs * choices, -30, 30))) * scale
+        back = high @ tree.vectors[top]
+        nodes, pulls, gradients = [np.asarray(top)], [high.sum(axis=0)], [high.T @ predicted]
+        self.node_steps[top] += np.count_nonzero(signs, axis=0) - 1  # and one by the step
+        for rows, node, sign in tree.climb(leaf, below_top=True):
+            vectors, before = tree.vectors[node], predicted[rows]
+            choice = np.einsum("ij,ij->i", before, vectors) + tree.bias[node]
+            pull = -sign / (1 + np.exp(np.clip(sign * choice, -30, 30))) * scale
+            back[rows] += pull[:, None] * vectors
+            nodes.append(node)
+            pulls.append(pull)
+            gradients.append(pull[:, None] * before)
+        parts = [(tree.vectors, self.seen[4]), (tree.bias, self.seen[5])]
+        self._step(parts, np.concatenate(nodes), np.column_stack([np.concatenate(gradients), np.concatenate(pulls)]), self.node_steps)
+        return back
+
+    def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, leaf: np.ndarray) -> None:
+        """``leaf`` is that of each target that is one of the others, in their order."""
         model, noise = self.model, self.random.choice(len(self.noise), self.options.noise, p=self.noise)
         first, second = model.context[one], model.context[two]
         predicted = first * model.weights[0] + second * model.weights[1]
@@ -198,115 +307,206 @@ class Trainer:
         push = 1 / (1 + np.exp(-np.clip(score_noise, -30, 30))) * scale
         to_predicted = pull[:, None] * goal + push @ against
         to_target = np.concatenate([pull[:, None] * predicted, push.T @ predicted])
-        self._step(model.target, self.seen[2], np.concatenate([target, noise]), to_target)
-        self._step(model.bias, self.seen[3], np.concatenate([target, noise]), np.concatenate([pull, push.sum(axis=0)]))
+        other = np.flatnonzero(target == model.size - 1)
+        if len(other) and len(self.tree.bias):
+            to_predicted[other] += self._choices(predicted[other], leaf, scale)
+        to_target = np.column_stack([to_target, np.concatenate([pull, push.sum(axis=0)])])
+        self._step([(model.target, self.seen[2]), (model.bias, self.seen[3])], np.concatenate([target, noise]), to_target)
         to_weights = np.stack([(to_predicted * first).sum(axis=0), (to_predicted * second).sum(axis=0)])
         to_context = np.concatenate([to_predicted * model.weights[0], to_predicted * model.weights[1]])
-        self._step(model.context, self.seen[0], np.concatenate([one, two]), to_context)
-        self._step(model.weights, self.seen[1], np.arange(2), to_weights)
+        self._step([(model.context, self.seen[0])], np.concatenate([one, two]), to_context, self.context_steps)
+        self._step([(model.weights, self.seen[1])], np.arange(2), to_weights)
+
+
+class Vocabulary:
+    """Ids of tokens: classes of the model, and from size + 1 on the other common words, each with a leaf; those beyond share the last leaf."""
+
+    def __init__(self, common: np.ndarray, chosen: np.ndarray):
+        self.lookup, self.size = Lookup(common), len(chosen) + 1
+        others = np.ones(len(common), bool)
+        others[chosen] = False
+        self.extra = int(others.sum())
+        self.ids = np.full(len(common) + 1, self.size - 1, np.int32)
+        self.ids[chosen] = np.arange(self.size - 1)
+        self.ids[:-1][others] = self.size + 1 + np.arange(self.extra)
+
+    def classes(self, ids: np.ndarray) -> np.ndarray:
+        return np.where(ids > self.size, self.size - 1, ids)
+
+    def leaves(self, ids: np.ndarray) -> np.ndarray:
+        """Of the ids that are no class of their own."""
+        return np.where(ids > self.size, ids - self.size - 1, self.extra)
+
+
+def _rows(model: LogBilinear, tree: Tree) -> np.ndarray:
+    """All parameters, a context, weight, target or node a row, with its bias or 0."""
+    contexts, weights = (np.column_stack([part, np.zeros(len(part), np.float32)]) for part in (model.context, model.weights))
+    return np.concatenate([contexts, weights, np.column_stack([model.target, model.bias]), np.column_stack([tree.vectors, tree.bias])])
+
+
+def _model_of(rows: np.ndarray, size: int, extra: int, parent: np.ndarray, second: np.ndarray) -> tuple[LogBilinear, Tree]:
+    contexts, weights, targets, nodes = np.split(rows, np.cumsum([size + 1 + extra, 2, size]))
+    values = np.concatenate([contexts[:, :-1].ravel(), weights[:, :-1].ravel(), targets[:, :-1].ravel(), targets[:, -1]])
+    return LogBilinear(size, rows.shape[1] - 1, values, extra), Tree(parent, second, nodes[:, :-1].copy(), nodes[:, -1].copy())
 
 
 def _trained(shared, options: ModelOptions, seed: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, share, values = shared.value
-        lookup, size = Lookup(vocabulary), len(share)
-        trainer = Trainer(LogBilinear(size, options.dims, values.copy()), share, options, seed)
+        common, chosen, share, parent, second, values = shared.value
+        known = Vocabulary(common, chosen)
+        trainer = Trainer(*_model_of(values, known.size, known.extra, parent, second), share, options, seed)
         total = 0
         for batch in batches:
             for block in blocks(batch.column(0)):
                 tokens = Tokens(block)
-                classes = lookup(tokens.hashes).astype(np.int16 if size < 32_000 else np.int32)
-                one, two = tokens.contexts(classes, size)
-                order = trainer.random.permutation(len(classes))
+                ids = known.ids[known.lookup(tokens.hashes)]
+                one, two = tokens.contexts(ids, known.size)
+                classes, leaves = known.classes(ids), known.leaves(ids)
+                order = trainer.random.permutation(len(ids))
                 for start in range(0, len(order), options.batch):
                     some = order[start : start + options.batch]
-                    trainer.train(one[some], two[some], classes[some])
-                total += len(classes)
+                    trainer.train(one[some], two[some], classes[some], leaves[some[classes[some] == known.size - 1]])
+                total += len(ids)
         if total:
-            moved = trainer.model.values * total
-            yield pa.RecordBatch.from_arrays([pa.array([moved.tolist()], pa.list_(pa.float64())), pa.array([total], pa.int64())], ["values", "tokens"])
+            weight = np.concatenate([trainer.context_steps, np.full(2 + known.size, total), trainer.node_steps])
+            places = np.flatnonzero(weight)
+            moved = _rows(trainer.model, trainer.tree)
+            yield _packed((number, places[lo:hi], weight[places[lo:hi]], moved[places[lo:hi]]) for number, lo, hi in _parts(places))
 
     return train
 
 
-def train_model(texts: DataFrame, vocabulary: np.ndarray, share: np.ndarray, options: ModelOptions) -> np.ndarray:
-    """Parameters after ``rounds`` passes over the one column of ``texts``, averaged by tokens after each."""
-    values = LogBilinear.initial(share, options.dims)
+_MOVED = "part long, places binary, weights binary, rows binary"
+
+
+def _parts(places: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Where the places of each so many rows start and end."""
+    for number in np.unique(places // _ROWS_AT_ONCE):
+        yield int(number), *np.searchsorted(places, (number * _ROWS_AT_ONCE, (number + 1) * _ROWS_AT_ONCE))
+
+
+def _packed(parts: Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    columns = list(zip(*((number, places.tobytes(), weights.tobytes(), rows.astype(np.float32).tobytes()) for number, places, weights, rows in parts)))
+    return pa.RecordBatch.from_arrays([pa.array(columns[0]), *(pa.array(column, pa.binary()) for column in columns[1:])], ["part", "places", "weights", "rows"])
+
+
+def _unpacked(batch: pa.RecordBatch | pa.Table, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    for number, places, weights, rows in zip(*(batch[name].to_pylist() for name in ("part", "places", "weights", "rows"))):
+        yield number, np.frombuffer(places, np.int64), np.frombuffer(weights, np.int64), np.frombuffer(rows, np.float32).reshape(-1, width)
+
+
+def _averaged(width: int):
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            for number, places, weights, rows in _unpacked(batch, width):
+                weight, total = sums.setdefault(number, (np.zeros(_ROWS_AT_ONCE, np.int64), np.zeros((_ROWS_AT_ONCE, width))))
+                own = places - number * _ROWS_AT_ONCE
+                weight[own] += weights
+                total[own] += rows * weights[:, None].astype(np.float64)
+        for number, (weight, total) in sums.items():
+            own = np.flatnonzero(weight)
+            yield _packed(iter([(number, own + number * _ROWS_AT_ONCE, weight[own], total[own] / weight[own, None])]))
+
+    return average
+
+
+def train_model(
+    texts: DataFrame, common: np.ndarray, chosen: np.ndarray, share: np.ndarray, tree: Tree, options: ModelOptions
+) -> np.ndarray:
+    """Rows of parameters after ``rounds`` passes over the one column of ``texts``.
+
+    After each, a row is averaged over the tasks that moved it, by how often they did; tasks send no
+    other rows. There are at most two tasks a core, so that what they send does not grow with the input.
+    """
+    extra = len(common) - len(chosen)
+    values = _rows(LogBilinear(len(share), options.dims, LogBilinear.initial(share, options.dims, extra), extra), tree)
     context = session_of(texts).sparkContext
     for number in range(options.rounds):
-        shared = context.broadcast((vocabulary, share, values))
-        moved = texts.mapInArrow(_trained(shared, options, number), "values array<double>, tokens long")
-        # a task's mean is rounded, and only then exploded, so that a task's rows are summed where they arise
-        parts = moved.select(F.posexplode("values").alias("place", "value"), "tokens").groupBy("place").agg(
-            (F.sum("value") / F.sum("tokens")).alias("value")
-        )
-        found = parts.toArrow()
-        if len(found):
-            values = np.empty_like(values)
-            values[np.asarray(found["place"])] = np.asarray(found["value"])
+        shared = context.broadcast((common, chosen, share, tree.parent, tree.second, values))
+        moved = texts.coalesce(2 * context.defaultParallelism).mapInArrow(_trained(shared, options, number), _MOVED)
+        found = moved.repartition("part").mapInArrow(_averaged(options.dims + 1), _MOVED).toArrow()
+        shared.destroy()
+        values = values.copy()
+        for _, places, _, rows in _unpacked(found, options.dims + 1):
+            values[places] = rows
     return values
 
 
 class Scorer:
-    """Normalised log10 probabilities of classes; a context's normaliser is computed once per worker."""
+    """Normalised log10 probabilities of classes; the normaliser of a context of two classes is computed once per worker."""
 
-    def __init__(self, vocabulary: np.ndarray, values: np.ndarray, dims: int):
+    def __init__(self, vocabulary: np.ndarray, values: np.ndarray, dims: int, extra: int = 0):
         size = len(vocabulary) + 1
-        self.model = LogBilinear(size, dims, values)
+        self.model = LogBilinear(size, dims, values, extra)
         self.normalisers = np.full((size + 1) * (size + 1), np.nan, np.float32)
 
-    def _normalise(self, contexts: np.ndarray) -> None:
+    def _normalise(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Log of the sum over all classes, by batched matrix products over contexts."""
-        model = self.model
-        for start in range(0, len(contexts), _CONTEXTS_AT_ONCE):
-            some = contexts[start : start + _CONTEXTS_AT_ONCE]
-            scores = model.predicted(*np.divmod(some, model.size + 1)) @ model.target.T
-            scores += model.bias
+        model, found = self.model, np.empty(len(one), np.float32)
+        targets = np.column_stack([model.target, model.bias]).T.copy()
+        reach = np.sqrt((targets * targets).sum(axis=0).max())
+        for start in range(0, len(one), _CONTEXTS_AT_ONCE):
+            some = slice(start, start + _CONTEXTS_AT_ONCE)
+            predicted = model.predicted(one[some], two[some])
+            predicted = np.column_stack([predicted, np.ones(len(predicted), np.float32)])
+            scores = predicted @ targets
+            if reach * np.sqrt((predicted * predicted).sum(axis=1).max()) < _SAFE:  # no score can be larger
+                found[some] = np.log(np.exp(scores, out=scores).sum(axis=1))
+                continue
             most = scores.max(axis=1, keepdims=True)
             scores -= most
-            self.normalisers[some] = most[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+            found[some] = most[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
+        return found
 
     def score(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
         model = self.model
-        context = one.astype(np.int64) * (model.size + 1) + two
-        new = np.unique(context[np.isnan(self.normalisers[context])])
-        if len(new):
-            self._normalise(new)
+        context, place = np.unique(one.astype(np.int64) * model.contexts + two, return_inverse=True)
+        first, second = np.divmod(context, model.contexts)
+        kept = (first <= model.size) & (second <= model.size)
+        cell = first[kept] * (model.size + 1) + second[kept]
+        new = np.isnan(self.normalisers[cell])
+        self.normalisers[cell[new]] = self._normalise(first[kept][new], second[kept][new])
+        normalisers = np.empty(len(context), np.float32)
+        normalisers[kept] = self.normalisers[cell]
+        normalisers[~kept] = self._normalise(first[~kept], second[~kept])
         plain = np.einsum("ij,ij->i", model.predicted(one, two), model.target[target]) + model.bias[target]
-        return (plain - self.normalisers[context]).astype(np.float64) / np.log(10)
+        return (plain - normalisers[place]).astype(np.float64) / np.log(10)
 
 
-_scorers: dict[int, Scorer] = {}
+_scorers: dict[str, tuple[Scorer, Tree]] = {}
 
 _SCORED = (
-    "row long, id long, learned boolean, n_tokens long, known long, common_log double, other_log double, model_log double, n_other long,"
+    "row long, id long, learned boolean, n_tokens long, known long, common_log double, model_log double,"
     " rare array<struct<word:long,times:int>>"
 )
 
-_SCORED_NAMES = ["row", "id", "learned", "n_tokens", "known", "common_log", "other_log", "model_log", "n_other", "rare"]
+_SCORED_NAMES = ["row", "id", "learned", "n_tokens", "known", "common_log", "model_log", "rare"]
 
 
-def _scored(shared, dims: int):
+def _scored(shared):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, common, counts, vocabulary, values = shared.value
+        name, common, counts, chosen, parent, second, values = shared.value
+        known = Vocabulary(common, chosen)
         if name not in _scorers:
             _scorers.clear()
-            _scorers[name] = Scorer(vocabulary, values, dims)
-        scorer, lookup, size = _scorers[name], Lookup(common), len(vocabulary) + 1
+            model, tree = _model_of(values, known.size, known.extra, parent, second)
+            _scorers[name] = Scorer(chosen, model.values, model.dims, known.extra), tree
+        scorer, tree = _scorers[name]
         logs = np.append(np.log10(counts + 1.0), 0)
-        class_of = np.full(len(common) + 1, size - 1, np.int32)
-        class_of[Lookup(common)(vocabulary)] = np.arange(size - 1)
-        class_of[-1] = size - 1
         for batch in batches:
             for block in blocks(batch.column(3)):
                 tokens = Tokens(block)
-                place = lookup(tokens.hashes)
-                classes = class_of[place]
-                each = scorer.score(*tokens.contexts(classes, size), classes)
+                place = known.lookup(tokens.hashes)
+                ids = known.ids[place]
+                classes = known.classes(ids)
+                one, two = tokens.contexts(ids, known.size)
+                each = scorer.score(one, two, classes)
+                other = np.flatnonzero(classes == known.size - 1)
+                each[other] += tree.score(scorer.model.predicted(one[other], two[other]), known.leaves(ids[other]))
                 starts = tokens.offsets[:-1]
                 told = place < len(common)
-                other = classes == size - 1
-                sums = [np.add.reduceat(part, starts) for part in (told.astype(np.int64), logs[place], np.where(other, logs[place], 0), each, other.astype(np.int64))]
+                sums = [np.add.reduceat(part, starts) for part in (told.astype(np.int64), logs[place], each)]
                 rare = np.flatnonzero(~told)
                 row = np.searchsorted(tokens.offsets, rare, "right") - 1
                 order = np.lexsort((tokens.hashes[rare], row))
@@ -318,7 +518,7 @@ def _scored(shared, dims: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(batch.column(index).slice(block.first, block.rows) for index in range(3)), pa.array(np.diff(tokens.offsets)), pa.array(sums[0]), pa.array(sums[1]),
-                        pa.array(sums[2]), pa.array(sums[3]), pa.array(sums[4]), pa.ListArray.from_arrays(pa.array(offsets), entries),
+                        pa.array(sums[2]), pa.ListArray.from_arrays(pa.array(offsets), entries),
                     ],
                     _SCORED_NAMES,
                 )
@@ -335,10 +535,11 @@ def score_texts(
     alone. ``base_score`` is the sum of log10((c + 1) / (N + V + 1)) over tokens: count in, size and
     distinct tokens of the training texts. ``score`` is the log10 probability of the text: the classes
     of its tokens under the log-bilinear model, normalised over all classes, and within the class of
-    other words their unigram shares with one for all unseen words. Without training texts every
+    other words the choices on the way to the word in a tree, from the same context; words beyond the
+    ``common`` ones are one leaf, and within it have their unigram shares with one for all unseen words. Without training texts every
     token is unseen: the base is 0 and so is the score.
 
-    All counts and all training tokens are used. A word is known by a 64-bit hash. Counts of at most
+    All counts and all training tokens are used. A word is known by a 64-bit hash. Counts and vectors of at most
     ``common`` words are sent to the tasks; the rest of a text's words, each as often as it differs,
     are joined with the table of counts, in which no frequent word is left to be skewed. Repeated
     rows are scored each.
@@ -353,24 +554,25 @@ def score_texts(
     frequent = np.lexsort((counts.common, -counts.common_counts))
     frequent = np.concatenate([frequent[counts.common[frequent] == END], frequent[counts.common[frequent] != END]])
     chosen = np.sort(frequent[: options.vocabulary + 1])
-    vocabulary = counts.common[chosen]
-    held = int(counts.common_counts[chosen].sum())
+    held, told = int(counts.common_counts[chosen].sum()), int(counts.common_counts.sum())
     share = np.append(counts.common_counts[chosen], max(1, counts.tokens - held)).astype(np.float64)
     share /= share.sum()
-    values = train_model(training, vocabulary, share, options)
+    beyond = counts.tokens - told + counts.distinct - len(counts.common) + 1
+    tree = Tree.over(np.append(np.delete(counts.common_counts, chosen), beyond), options.dims)
+    values = train_model(training, counts.common, chosen, share, tree, options)
 
-    shared = spark.sparkContext.broadcast((scratch.folder, counts.common, counts.common_counts, vocabulary, values))
+    shared = spark.sparkContext.broadcast((scratch.folder, counts.common, counts.common_counts, chosen, tree.parent, tree.second, values))
     texts = rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), "learned", "text")
-    scored = scratch.keep(texts.mapInArrow(_scored(shared, options.dims), _SCORED), "scored")
+    scored = scratch.keep(texts.mapInArrow(_scored(shared), _SCORED), "scored")
     entries = scored.select("row", F.explode("rare").alias("entry")).select("row", F.col("entry.word").alias("word"), "entry.times")
     rare = entries.join(counts.table, "word").groupBy("row").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_log")
     )
     found = scored.drop("rare").join(rare, "row", "left").na.fill(0, ["rare_known", "rare_log"])
     all_shares = float(np.log10(counts.tokens + counts.distinct + 1))
-    other_shares = float(np.log10(counts.tokens - held + counts.distinct - len(vocabulary) + 1))
+    beyond_shares = float(np.log10(beyond))
     return found.select(
         "id", "learned", "n_tokens", (F.col("known") + F.col("rare_known")).alias("n_known"), F.lit(counts.tokens).cast("long").alias("train_tokens"),
         (F.col("common_log") + F.col("rare_log") - F.col("n_tokens") * all_shares).alias("base_score"),
-        (F.col("model_log") + F.col("other_log") + F.col("rare_log") - F.col("n_other") * other_shares).alias("score"),
+        (F.col("model_log") + F.col("rare_log") - (F.col("n_tokens") - F.col("known")) * beyond_shares).alias("score"),
     )

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stagemart.llm.lm import LogBilinear, ModelOptions, Scorer, score_texts
+from stagemart.llm.lm import LogBilinear, ModelOptions, Scorer, Trainer, Tree, score_texts
 from stagemart.llm.queries import op2_lm_scoring
 
 
@@ -77,6 +77,46 @@ def test_the_whole_distribution_over_texts_of_one_word(spark):
     assert 0 < sum(10 ** found[ident] for ident, _, _ in probes) < 1
 
 
+@pytest.mark.parametrize("counts", [[5], [3, 1], [7] * 1000, [*range(1, 900)], [2**n for n in range(40)]], ids=["one", "two", "equal", "rising", "steep"])
+def test_a_tree_starts_as_shares_and_stays_normalised(counts):
+    random = np.random.default_rng(2)
+    counts = np.array(counts)
+    tree, dims = Tree.over(counts, 5), 5
+    leaves, predicted = np.arange(len(counts)), np.tile(random.normal(0, 1, dims).astype(np.float32), (len(counts), 1))
+    assert 10 ** tree.score(predicted, leaves) == pytest.approx(counts / counts.sum(), rel=1e-3)
+    tree.vectors[:] = random.normal(0, 1, tree.vectors.shape)
+    assert sum(10 ** tree.score(predicted, leaves)) == pytest.approx(1, abs=1e-4)
+
+
+def test_a_tree_is_trained_by_its_gradient():
+    random = np.random.default_rng(3)
+    tree, dims = Tree.over(random.integers(1, 50, 600), 4), 4
+    tree.vectors[:] = random.normal(0, 1, tree.vectors.shape)
+    leaf, predicted = random.integers(0, 600, 40), random.normal(0, 1, (40, dims)).astype(np.float32)
+    steps = np.zeros((40, dims))
+    for dim in range(dims):
+        moved = np.eye(dims, dtype=np.float32)[dim] * np.float32(0.01)
+        steps[:, dim] = (tree.score(predicted - moved, leaf) - tree.score(predicted + moved, leaf)) * np.log(10) / 0.02
+    before = tree.score(predicted, leaf).sum()
+    share = np.array([0.5, 0.5])
+    trainer = Trainer(LogBilinear(2, dims, LogBilinear.initial(share, dims)), tree, share, ModelOptions(dims=dims, noise=2), 0)
+    assert trainer._choices(predicted, leaf, np.float32(1)) == pytest.approx(steps, abs=0.02)
+    assert tree.score(predicted, leaf).sum() > before
+    assert trainer.node_steps.sum() == sum(len(rows) for rows, _, _ in tree.climb(leaf)) and trainer.node_steps[-1] == 40
+
+
+def test_words_outside_the_vocabulary_depend_on_their_context(spark):
+    """Each left word is followed by its right one; none of them is among the words predicted by themselves."""
+    training = [(n, f"the left{n % 30} right{n % 30}", True) for n in range(6000)]
+    probes = [(10_000 + 100 * kind + n, f"the left{n} right{(n + kind) % 30}", False) for kind in (0, 1) for n in range(30)]
+    frame = spark.createDataFrame(training + probes, "doc_id long, text string, learn boolean").coalesce(1)
+    options = ModelOptions(vocabulary=1, batch=64, rate=0.2)
+    found = {row.id: row for row in score_texts(frame, F.col("learn"), options=options).collect()}
+    told, mixed = (sum(found[10_000 + 100 * kind + n].score for n in range(30)) for kind in (0, 1))
+    assert sum(found[10_000 + n].base_score for n in range(30)) == pytest.approx(sum(found[10_100 + n].base_score for n in range(30)))
+    assert told > mixed + 10
+
+
 def test_nothing_to_learn_from_and_no_rows(spark):
     frame = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     found = {row.id: row for row in score_texts(frame, F.lit(False)).collect()}
