@@ -154,7 +154,7 @@ def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int)
     if not isinstance(lower, int):
         raise TypeError("the largest slice is only known for integer keys")
     width = max(upper - lower, 1)
-    finest, done = min(_GREATEST_POWER, max(1, (width - 1).bit_length())), 0
+    finest, done = min(_GREATEST_POWER, width.bit_length()), 0  # more slices than the width: the two least keys are parted too
     rows, found = keys.filter(F.col("key").isNotNull()).select("key"), None
     while found is None and done < finest:
         level = min(done + _LEVELS_A_ROUND, finest)
@@ -192,8 +192,8 @@ def advise_partitions(
     least N with at most ``threshold`` of them. Rows at the least key are in the first slice however
     many there are; where they alone are too many, and where N would not fit a BIGINT, the advice
     and its statement are NULL. ``basis="largest"`` looks at the largest slice instead of the first,
-    for keys that are not spread evenly; NULL then says that one key, or keys next to each other,
-    hold too many rows. ``bounds`` are the least and greatest keys as numbers, where known: days of
+    for keys that are not spread evenly; NULL then says that one key alone
+    holds too many rows. ``bounds`` are the least and greatest keys as numbers, where known: days of
     dates, microseconds of timestamps. Each table is scanned twice, its key column only: once for
     bounds that are not known, once for all counts (``largest`` again for each 12 halvings that do not do).
     """

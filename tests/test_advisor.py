@@ -100,6 +100,12 @@ def test_a_hot_key_among_others_has_no_largest_slice(spark):
     assert advise_partitions({"t": (frame, "id")}, threshold=61, basis="largest").first()["num_partitions"] == 1024
 
 
+@pytest.mark.parametrize("width, advised", [(1, 2), (7, 8), (8, 16), (1024, 2048)])
+def test_the_two_least_keys_are_parted(spark, width, advised):
+    frame = spark.range(60).selectExpr("id % 2 AS id").union(spark.range(1).selectExpr(f"{width}L"))
+    assert advise_partitions({"t": (frame, "id")}, threshold=31, basis="largest").first()["num_partitions"] == advised
+
+
 def test_doubles_crowded_at_the_start(spark):
     values = [2.0**-power for power in range(0, 60)] + [0.0]
     frame = spark.createDataFrame([(value,) for value in values], "k double")
