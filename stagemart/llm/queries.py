@@ -11,6 +11,7 @@ from stagemart.llm.chat import format_conversations, read_back
 from stagemart.llm.decontaminate import find_contamination
 from stagemart.llm.embeddings import near_vectors
 from stagemart.llm.langid import identify_languages
+from stagemart.llm.lines import LineOptions, drop_lines
 from stagemart.llm.lm import score_texts
 from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.packing import pack_texts
@@ -111,6 +112,11 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), options=LineOptions(least_chars=1, least_documents=10))
+    return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": op1_minhash_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -122,6 +128,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_url_filter": op10_url_filter,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -216,10 +223,24 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+_LINES = f"""
+WITH cut AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+  FROM documents),
+keyed AS (
+  SELECT *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM cut),
+repeated AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+told AS (SELECT keyed.*, repeated.key IS NOT NULL AS gone FROM keyed LEFT JOIN repeated USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM told GROUP BY doc_id
+"""
+
 LLM_EXPECTED: dict[str, str] = {
     "op1_minhash_dedup": _NEAR_TEXTS,
     "op4_decontamination": _CONTAMINATION,
     "op6_chat_format": _CHAT,
     "op8_embedding_dedup": _NEAR_VECTORS,
     "op10_url_filter": _URLS,
+    "op13_line_dedup": _LINES,
 }

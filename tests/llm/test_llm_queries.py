@@ -29,8 +29,8 @@ def test_query_equals_sql(spark, tables, name):
     assert sorted(frame.select(*columns).collect(), key=repr) == sorted(map(tuple, rows), key=repr)
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = checks.queries().keys()
-    assert {int(name[2:].split("_")[0]) for name in LLM_QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in LLM_QUERIES} == set(range(1, 14))
     assert names >= LLM_QUERIES.keys() and "pipeline" in names
     assert checks.oracle_sql().keys() <= names
