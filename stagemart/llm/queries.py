@@ -13,6 +13,7 @@ from stagemart.llm.embeddings import near_vectors
 from stagemart.llm.langid import identify_languages
 from stagemart.llm.lines import LineOptions, drop_lines
 from stagemart.llm.lm import score_texts
+from stagemart.llm.merkle import build_manifest, folded, row_digest
 from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.packing import pack_texts
 from stagemart.llm.secret_scan import scan_secrets
@@ -21,6 +22,8 @@ from stagemart.llm.warc import build_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -112,6 +115,26 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a row claims to be is its digest, with text in lower case where the row counts as tampered with."""
+    documents = _table(spark, sf_dir, "documents")
+    names = ["doc_id", "source", "lang", "n_chars", "text"]
+    text = F.col("text").cast("string")
+    changed = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
+    tampered = F.coalesce(_remainder("doc_id", 3) == 0, F.lit(False))
+    claimed = F.when(tampered, changed).otherwise(text)
+    rows = documents.select(
+        "doc_id", "lang", row_digest([F.col(name) for name in names]).alias("digest"), row_digest([F.col(name) for name in names[:-1]] + [claimed]).alias("claimed")
+    )
+    manifest = build_manifest(rows, F.col("lang"), F.col("doc_id"), F.col("digest"), F.struct("doc_id", "claimed"))
+    found = manifest.proofs().withColumn("folded_root", folded(F.col("carry.claimed"), F.col("proof")))
+    siblings = F.array_join(F.transform("proof", lambda step: F.concat(step["before"], step["after"])), "")
+    return found.select(
+        "carry.doc_id", F.lower(F.hex("digest")).alias("leaf"), "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), options=LineOptions(least_chars=1, least_documents=10))
     return found.select("doc_id", "lines.n_lines", "lines.n_dropped", F.sha2("lines.kept", 256).alias("kept_sha256"))
@@ -128,6 +151,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_url_filter": op10_url_filter,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_line_dedup": op13_line_dedup,
 }
 
@@ -223,6 +247,53 @@ SELECT page_id, host, path, rule, CASE
 FROM ruled
 """
 
+#: The unsigned crc32 of an id as text, bit by bit.
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
+    lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda rest, step: xor(rest >> 1, CASE WHEN rest % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
+
+
+def _leaf(text: str) -> str:
+    values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({value}) || ':' || {value}, '-')" for value in values) + ")"
+
+
+_MERKLE = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('1' || lang, '0') AS lang, {_leaf("text")} AS leaf,
+    {_leaf(f"CASE WHEN {_CRC32} % 3 = 0 THEN {_LOWER.format('text')} ELSE text END")} AS claimed
+  FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n FROM hashed),
+nodes AS (
+  SELECT 0 AS level, lang, idx, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM nodes WHERE n > 1 GROUP BY level, lang, idx // 8, n),
+subroots AS (SELECT lang, digest, row_number() OVER (ORDER BY lang) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, idx, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY level, idx // 8, n),
+runs AS (SELECT level, lang, idx // 8 AS run, list(digest ORDER BY idx) AS held FROM nodes WHERE n > 1 GROUP BY ALL),
+top_runs AS (SELECT level, idx // 8 AS run, list(digest ORDER BY idx) AS held FROM tops WHERE n > 1 GROUP BY ALL),
+climb AS (
+  SELECT doc_id, lang, leaf, 0 AS level, idx, n, claimed AS h, '' AS proof FROM leaves
+  UNION ALL
+  SELECT doc_id, lang, leaf, level + 1, idx // 8, (n + 7) // 8,
+    sha256(array_to_string(held[1:idx % 8], '') || h || array_to_string(held[idx % 8 + 2:], '')),
+    proof || array_to_string(held[1:idx % 8], '') || array_to_string(held[idx % 8 + 2:], '')
+  FROM climb JOIN runs USING (level, lang) WHERE n > 1 AND run = idx // 8),
+top_climb AS (
+  SELECT doc_id, leaf, s.digest AS subroot, 0 AS level, s.idx, s.n, h, proof FROM climb c JOIN subroots s USING (lang) WHERE c.n = 1
+  UNION ALL
+  SELECT doc_id, leaf, subroot, level + 1, idx // 8, (n + 7) // 8,
+    sha256(array_to_string(held[1:idx % 8], '') || h || array_to_string(held[idx % 8 + 2:], '')),
+    proof || array_to_string(held[1:idx % 8], '') || array_to_string(held[idx % 8 + 2:], '')
+  FROM top_climb JOIN top_runs USING (level) WHERE n > 1 AND run = idx // 8)
+SELECT doc_id, leaf, subroot, (SELECT digest FROM tops WHERE n = 1) AS root, sha256(proof) AS proof_sha256, h AS folded_root,
+  h = (SELECT digest FROM tops WHERE n = 1) AS verified
+FROM top_climb WHERE n = 1
+"""
+
 _LINES = f"""
 WITH cut AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
@@ -242,5 +313,6 @@ LLM_EXPECTED: dict[str, str] = {
     "op6_chat_format": _CHAT,
     "op8_embedding_dedup": _NEAR_VECTORS,
     "op10_url_filter": _URLS,
+    "op12_merkle_manifest": _MERKLE,
     "op13_line_dedup": _LINES,
 }
