@@ -112,7 +112,7 @@ def repeated_lines(
     dropped = decided.select("d1", "d2", "pos", "n")
     if heavy:
         whole = streamed.where(F.col("slice") >= 0).where(first).groupBy("h", "g").agg(F.sum("documents").alias("all"), F.min(F.struct("d1", "d2", "pos")).alias("least"))
-        whole = whole.where(F.col("all") >= options.least_documents)
+        whole = F.broadcast(whole.where(F.col("all") >= options.least_documents))  # no more rows than the sketch has named
         more = streamed.where(F.col("slice") >= 0).join(whole, ["h", "g"])
         if options.keep_first:
             more = more.where(F.struct("d1", "d2", "pos") != F.col("least"))
