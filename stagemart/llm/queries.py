@@ -16,6 +16,7 @@ from stagemart.llm.lm import score_texts
 from stagemart.llm.merkle import build_manifest, folded, row_digest
 from stagemart.llm.minhash import MinHashOptions, near_duplicates
 from stagemart.llm.packing import pack_texts
+from stagemart.llm.runs import find_runs
 from stagemart.llm.secret_scan import scan_secrets
 from stagemart.llm.urls import Rule, filter_urls
 from stagemart.llm.warc import build_records
@@ -115,6 +116,30 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "judged.host", "judged.path", "judged.rule", "judged.verdict")
 
 
+def _with_planted_run(text: Column, h: Column) -> Column:
+    """For a tenth of the ids, by their crc32: words from one on are repeated in a period that the id sets."""
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    n, g = F.size(words).cast("long"), F.floor(h / 10)
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    cycle = F.slice(words, (a + 1).cast("int"), p.cast("int"))
+    repeated = F.slice(F.flatten(F.array_repeat(cycle, F.ceil((n - a) / p).cast("int"))), F.lit(1), (n - a).cast("int"))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a.cast("int")), repeated), " ")
+    return F.when((h % 10 == 0) & (n > 0), planted).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "documents").select("doc_id", _with_planted_run(F.col("text"), F.crc32(F.col("doc_id").cast("string").cast("binary"))).alias("text"))
+    found = find_runs(rows).select("doc_id", "periodic.*")
+    best = F.array_max(F.transform("runs", lambda run: F.struct(run["length"].alias("length"), (-run["start"]).alias("start"), (-run["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"), F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a row claims to be is its digest, with text in lower case where the row counts as tampered with."""
     documents = _table(spark, sf_dir, "documents")
@@ -151,6 +176,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_warc_derivatives": op9_warc_derivatives,
     "op10_url_filter": op10_url_filter,
+    "op11_periodic_runs": op11_periodic_runs,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_line_dedup": op13_line_dedup,
 }
@@ -251,6 +277,31 @@ FROM ruled
 _CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)),
     lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], range(8)), lambda rest, step: xor(rest >> 1, CASE WHEN rest % 2 = 1 THEN 3988292384 ELSE 0 END))))"""
 
+_RUNS = rf"""
+WITH cut AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words, {_CRC32} AS h FROM documents),
+sized AS (SELECT *, len(words) AS n, h // 10 AS g, h % 10 = 0 AND len(words) > 0 AS planted FROM cut),
+placed AS (SELECT *, g % n AS a, 1 + (n - g % n) // (3 + g % 8) AS p FROM sized),
+told AS (
+  SELECT doc_id, i, words[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word, n
+  FROM placed, unnest(range(n)) AS r(i)),
+alike AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM told x JOIN told y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM alike),
+stretches AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, start, length, min(q) AS period FROM stretches GROUP BY ALL),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS said FROM runs GROUP BY ALL),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length DESC, start, period) AS nth FROM runs) WHERE nth = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS said FROM told ANTI JOIN gone USING (doc_id, i) GROUP BY ALL)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+  sha256(coalesce(listed.said, '')) AS runs_sha256, sha256(coalesce(kept.said, '')) AS collapsed_sha256
+FROM documents LEFT JOIN listed USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
 
 def _leaf(text: str) -> str:
     values = ["doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text]
@@ -313,6 +364,7 @@ LLM_EXPECTED: dict[str, str] = {
     "op6_chat_format": _CHAT,
     "op8_embedding_dedup": _NEAR_VECTORS,
     "op10_url_filter": _URLS,
+    "op11_periodic_runs": _RUNS,
     "op12_merkle_manifest": _MERKLE,
     "op13_line_dedup": _LINES,
 }

@@ -120,15 +120,15 @@ def cut(block: Block, kind: np.ndarray = NOT_BLANK) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, block.offsets)
 
 
-def words(block: Block, kind: np.ndarray = NOT_BLANK) -> Words:
-    """Words after lower-casing A to Z, each with a hash of its bytes."""
+def words(block: Block, kind: np.ndarray = NOT_BLANK, fold: np.ndarray = LOWER) -> Words:
+    """Words, each with a hash of its bytes after ``fold``, which lower-cases A to Z unless another is given."""
     starts, ends, offsets = cut(block, kind)
     if not len(starts):
         return Words(np.zeros(0, np.uint64), starts, ends, offsets)
     power, inverse = _tables(len(block.data) + 1)
     sums = np.empty(len(block.data) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum((LOWER[block.data].astype(np.uint64) + np.uint64(1)) * power[: len(block.data)], out=sums[1:])
+    np.cumsum((fold[block.data].astype(np.uint64) + np.uint64(1)) * power[: len(block.data)], out=sums[1:])
     hashes = (sums[ends] - sums[starts]) * inverse[starts]
     return Words(mix(hashes + (ends - starts).astype(np.uint64)), starts, ends, offsets)
 
