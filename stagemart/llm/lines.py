@@ -31,11 +31,16 @@ class LineOptions:
     slice_rows: int = 1 << 10
 
 
-def line_key(line: Column) -> Column:
-    """The line without blanks at both ends, A to Z in lower case."""
-    inner = F.btrim(line, F.lit(_BLANKS))
-    # without other than ASCII characters, lower() does no more than asked and is faster
-    return F.when(F.octet_length(inner) == F.char_length(inner), F.lower(inner)).otherwise(F.translate(inner, _UPPER, _UPPER.lower()))
+def line_keys(lines: Column) -> Column:
+    """The lines without blanks at both ends, A to Z in lower case.
+
+    Each step is a transform of its own, as what a lambda names twice is computed twice.
+    """
+
+    def lowered(inner: Column) -> Column:  # without other than ASCII characters, lower() does no more than asked and is faster
+        return F.when(F.octet_length(inner) == F.char_length(inner), F.lower(inner)).otherwise(F.translate(inner, _UPPER, _UPPER.lower()))
+
+    return F.transform(F.transform(lines, lambda line: F.btrim(line, F.lit(_BLANKS))), lowered)
 
 
 def lines_of(text: Column) -> Column:
@@ -53,11 +58,10 @@ def _document(id_column: str, text_column: str) -> list[Column]:
 def _hashed(documents: DataFrame, id_column: str, text_column: str, options: LineOptions) -> DataFrame:
     """(d1, d2, keys): two hashes of the key of each line, null where it is too short to count."""
 
-    def both(line: Column) -> Column:
-        key = line_key(line)
+    def both(key: Column) -> Column:
         return F.when(F.char_length(key) >= options.least_chars, F.struct(F.xxhash64(key).alias("h"), F.xxhash64(F.lit(2), key).alias("g")))
 
-    keys = F.transform(lines_of(F.col(text_column).cast("string")), both)
+    keys = F.transform(line_keys(lines_of(F.col(text_column).cast("string"))), both)
     return documents.select(*_document(id_column, text_column), keys.alias("keys"))
 
 
