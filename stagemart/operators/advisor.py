@@ -19,6 +19,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from stagemart.session import delete_path, new_folder
+
 Number = int | float | Decimal
 
 # Rows that one slice may hold, and the statement that writes the advice down.
@@ -27,7 +29,6 @@ METADATA_UPDATE = "update {schema}.stage_table set num_partitions=%d where table
 
 # The greatest power of two that the result, a BIGINT, can hold.
 _GREATEST_POWER = 62
-_LEVELS_A_ROUND = 12
 # The level of rows at the least key, which lie in the first slice however many slices there are.
 _EVERY_LEVEL = 1 << 20
 
@@ -144,39 +145,127 @@ def _by_first_slice(keys: DataFrame, bounds: tuple[Number, Number], threshold: i
     return power.select(F.when(F.col("power") <= _GREATEST_POWER, F.expr("shiftleft(1L, power)")).alias("num_partitions"))
 
 
-def _by_largest_slice(keys: DataFrame, bounds: tuple[int, int], threshold: int) -> DataFrame:
-    """The same for the largest slice: histograms of ever finer slices, each of the slices that held too much before.
+def _finest_slices(keys: DataFrame, bounds: tuple[Number, Number]) -> DataFrame:
+    """The ``slice`` of each key among 2^62, in whole numbers: ceil(distance * slices / width) - 1, and 0 for the least key.
 
-    Rows are pre-aggregated before the shuffle, and halves join into wholes, so that one histogram
-    serves several numbers of slices.
+    Fewer slices join neighbours, so that a slice of 2^p is told by the first p of these 62 bits. A
+    range with fewer keys than that is cut until each key is alone, and the bits that follow are zeros.
     """
     lower, upper = bounds
-    if not isinstance(lower, int):
-        raise TypeError("the largest slice is only known for integer keys")
+    rows = keys.filter(F.col("key").isNotNull())
+    if isinstance(lower, float):
+        part = (F.col("key") - lower) / (upper - lower) if upper > lower else F.lit(0.0)
+        return rows.select((F.greatest(F.lit(1).cast("bigint"), F.ceil(part * float(2**_GREATEST_POWER))) - 1).alias("slice"))
+    scale = 0
+    if isinstance(lower, Decimal):
+        scale = keys.schema["key"].dataType.scale
+        lower, upper = (int(end.scaleb(scale)) for end in bounds)
     width = max(upper - lower, 1)
-    finest, done = min(_GREATEST_POWER, width.bit_length()), 0  # more slices than the width: the two least keys are parted too
-    rows, found = keys.filter(F.col("key").isNotNull()).select("key"), None
-    while found is None and done < finest:
-        level = min(done + _LEVELS_A_ROUND, finest)
-        # Whole numbers throughout: ceil(distance * slices / width) - 1, and 0 for the lowest key.
-        kind, mark = ("BIGINT", "L") if width.bit_length() + level < 62 and abs(lower) < 2**62 else ("DECIMAL(38, 0)", "BD")
-        distance = f"(cast(key AS {kind}) - ({lower}{mark})) * {2**level}{mark} + {width - 1}{mark}"
-        rows = rows.withColumn("slice", F.expr(f"greatest(1L, ({distance}) div {width}{mark}) - 1L"))
-        histogram = rows.groupBy("slice").count()
-        merged = F.explode(F.array(*(F.lit(power) for power in range(level - done)))).alias("merged")
-        largest = (
-            histogram.select("slice", "count", merged)
-            .groupBy("merged", F.expr("shiftright(slice, merged)").alias("slice"))
-            .agg(F.sum("count").alias("rows"))
-            .groupBy("merged")
-            .agg(F.max("rows").alias("rows"))
-        )
-        fitting = [level - row["merged"] for row in largest.filter(F.col("rows") <= threshold).collect()]
-        found = min(fitting, default=None)
-        rows = rows.join(histogram.filter(F.col("count") > threshold).select("slice"), "slice", "left_semi").select("key")
-        done = level
-    advised = None if found is None else 2**found
-    return keys.sparkSession.range(1).select(F.lit(advised).cast("bigint").alias("num_partitions"))
+    finest = min(_GREATEST_POWER, width.bit_length())  # more slices than the width: the two least keys are parted too
+    small = scale == 0 and width.bit_length() + finest < 62 and abs(lower) < 2**62
+    kind, mark = ("BIGINT", "L") if small else ("DECIMAL(38, 0)", "BD")
+    distance = f"cast(key * {10**scale}BD AS {kind})" if scale else f"cast(key AS {kind})"
+    rows = rows.select(F.expr(f"{distance} - ({lower}{mark})").alias("rest"), F.lit(0).cast("bigint").alias("slice"))
+    done, most = 0, finest if small else 126 - width.bit_length()  # a decimal holds 126 bits
+    if most < 1:
+        raise TypeError("keys this far apart cannot be sliced")
+    while done < finest:
+        step = min(most, finest - done)
+        scaled = f"rest * {2**step}{mark}"
+        rows = rows.selectExpr(f"cast({scaled} % {width}{mark} AS {kind}) AS rest", f"slice * {2**step}L + ({scaled}) div {width}{mark} AS slice")
+        done += step
+    return rows.select(F.expr(f"shiftleft(greatest(1L, slice + if(rest > 0, 1L, 0L)) - 1L, {_GREATEST_POWER - finest})").alias("slice"))
+
+
+def _shared_halvings(threshold: int):
+    """Within a task's rows (name, slice, n), in order: after how many halvings stretches of more than ``threshold`` rows still share a slice.
+
+    Comes as (name, halvings, slice, n): for stretches within the task, with a null slice, and beside
+    it the rows of the task in the slices that its first and its last key of a table lie in, for slices
+    that other tasks hold rows of.
+    """
+    bits = _GREATEST_POWER
+
+    def shared(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def alike(a, b):
+            """How many bits from the first on are equal."""
+            differ = np.asarray(a ^ b, np.uint64)
+            high, low = np.frexp((differ >> np.uint64(31)).astype(np.float64))[1], np.frexp((differ & np.uint64(2**31 - 1)).astype(np.float64))[1]
+            return bits - np.where(high > 0, high + 31, low)
+
+        def histogram(slices, counts, key):
+            return np.bincount(alike(slices, key), counts, bits + 1).astype(np.int64)
+
+        class Table:
+            def __init__(self, name, first):
+                self.name, self.first, self.last, self.deepest = name, first, first, -1
+                self.from_first, self.from_last = np.zeros(bits + 1, np.int64), np.zeros(bits + 1, np.int64)
+                self.slices, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+            def take(self, slices, counts):
+                self.from_first += histogram(slices, counts, self.first)
+                kept = int(alike(self.last, slices[-1]))
+                self.from_last[kept], self.from_last[kept + 1 :] = self.from_last[kept:].sum(), 0
+                self.last = slices[-1]
+                self.from_last += histogram(slices, counts, self.last)
+                slices, counts = np.concatenate([self.slices, slices]), np.concatenate([self.counts, counts])
+                through = np.cumsum(counts)
+                over = np.searchsorted(through, through - counts + threshold, "right")  # where a stretch from here on holds too much
+                full = np.flatnonzero(over < len(slices))
+                if len(full):
+                    self.deepest = max(self.deepest, int(alike(slices[full], slices[over[full]]).max()))
+                begun = int(np.searchsorted(through, through[-1] - threshold, "right"))  # what may go on in the next batch
+                self.slices, self.counts = slices[begun:], counts[begun:]
+
+            def told(self):
+                rows = [(self.name, self.deepest, None, None)] if self.deepest >= 0 else []
+                ends = {}
+                for key, held in ((self.first, self.from_first), (self.last, self.from_last)):
+                    inside = np.cumsum(held[::-1])[::-1]
+                    ends |= {(level, int(key) >> (bits - level)): int(inside[level]) for level in range(bits + 1)}
+                return rows + [(self.name, level, number, n) for (level, number), n in ends.items()]
+
+        table = None
+        for batch in batches:
+            names = batch.column(0).dictionary_encode()
+            which, slices, counts = np.asarray(names.indices), np.asarray(batch.column(1)), np.asarray(batch.column(2))
+            cuts = np.flatnonzero(np.concatenate([[True], which[1:] != which[:-1], [True]])) if len(which) else ()
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                name = names.dictionary[int(which[low])].as_py()
+                if table is None or table.name != name:
+                    if table is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array(part) for part in zip(*table.told())], ["name", "halvings", "slice", "n"])
+                    table = Table(name, slices[low])
+                table.take(slices[low:high], counts[low:high])
+        if table is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(part) for part in zip(*table.told())], ["name", "halvings", "slice", "n"])
+
+    return shared
+
+
+def _by_largest_slice(keys: Mapping[str, DataFrame], bounds: Mapping[str, tuple[Number, Number]], threshold: int) -> dict[str, int | None]:
+    """The least number of slices of which none holds too much, for all tables together, from one reading of each.
+
+    A slice holds too much if more than ``threshold`` rows that follow each other by key lie in it. Keys
+    are counted, laid out by range over all tables, and each task finds the deepest slice that such a
+    stretch of its own shares; slices that reach over the border of a task are added up from the few
+    that its first and its last key lie in.
+    """
+    spark = next(iter(keys.values())).sparkSession
+    sliced = [_finest_slices(frame, bounds[name]).select(F.lit(name).alias("name"), "slice") for name, frame in keys.items()]
+    path = new_folder(spark, "advice")
+    _union(sliced).groupBy("name", "slice").agg(F.count("*").alias("n")).write.parquet(path)
+    counted = spark.read.schema("name string, slice bigint, n bigint").parquet(path)
+    in_order = counted.repartitionByRange("name", "slice").sortWithinPartitions("name", "slice")
+    told = in_order.mapInArrow(_shared_halvings(threshold), "name string, halvings bigint, slice bigint, n bigint")
+    over = told.groupBy("name", "halvings", "slice").agg(F.sum("n").alias("n")).filter(F.col("slice").isNull() | (F.col("n") > threshold))
+    deepest = {row["name"]: row["halvings"] for row in over.groupBy("name").agg(F.max("halvings").alias("halvings")).collect()}
+    delete_path(spark, path)
+    halvings = {name: max(1, deepest.get(name, 0) + 1) for name in keys}
+    return {name: 2**power if power <= _GREATEST_POWER else None for name, power in halvings.items()}
 
 
 def advise_partitions(
@@ -193,9 +282,10 @@ def advise_partitions(
     many there are; where they alone are too many, and where N would not fit a BIGINT, the advice
     and its statement are NULL. ``basis="largest"`` looks at the largest slice instead of the first,
     for keys that are not spread evenly; NULL then says that one key alone
-    holds too many rows. ``bounds`` are the least and greatest keys as numbers, where known: days of
+    holds too many rows, or that 2^62 slices would not part those that do. ``bounds`` are the least and greatest keys as numbers, where known: days of
     dates, microseconds of timestamps. Each table is scanned twice, its key column only: once for
-    bounds that are not known, once for all counts (``largest`` again for each 12 halvings that do not do).
+    bounds that are not known, once for all counts. Keys are numbers, dates or timestamps; those of a decimal
+    may lie 2^125 of its units apart, and doubles are sliced as far as their fractions go.
     """
     if basis not in ("first", "largest"):
         raise ValueError("basis must be first or largest")
@@ -206,13 +296,17 @@ def advise_partitions(
     unknown = {name: frame for name, frame in keys.items() if name not in known}
     if unknown:
         known |= _key_bounds(unknown)
-    by_slice = _by_first_slice if basis == "first" else _by_largest_slice
+    held = {name: frame for name, frame in keys.items() if known[name] is not None}
+    spark = next(iter(keys.values())).sparkSession
+    advised = {name: 2 for name in keys}
+    if basis == "largest" and held:
+        advised |= _by_largest_slice(held, known, threshold)
     advice = []
-    for name, frame in keys.items():
-        if known[name] is None:
-            counted = frame.sparkSession.range(1).select(F.lit(2).cast("bigint").alias("num_partitions"))
+    for name in keys:
+        if basis == "first" and name in held:
+            counted = _by_first_slice(held[name], known[name], threshold)
         else:
-            counted = by_slice(frame, known[name], threshold)
+            counted = spark.range(1).select(F.lit(advised[name]).cast("bigint").alias("num_partitions"))
         advice.append(counted.select(F.lit(name).alias("table_name"), "num_partitions"))
     update = F.format_string(METADATA_UPDATE.format(schema=metadata_schema), "num_partitions", "table_name")
     return _union(advice).withColumn("metadata_update", F.when(F.col("num_partitions").isNotNull(), update))

@@ -1,5 +1,6 @@
 """Partition advice against a plain loop."""
 
+import random
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 from fractions import Fraction
@@ -8,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from stagemart.operators import advise_partitions
+from stagemart.session import session_setting
 
 
 def expected(keys, threshold, largest=False):
@@ -67,8 +69,9 @@ def test_whole_number_keys(spark, name, basis):
 def test_other_keys(spark, kind, make, number):
     values = [0, 1, 2, 3, 5, 8, 13] + list(range(20, 700, 3))
     frame = spark.createDataFrame([(make(value),) for value in values], f"k {kind}")
-    row = advise_partitions({"t": (frame, "k")}, threshold=20).first()
-    assert row["num_partitions"] == expected(values, 20)
+    for basis in ("first", "largest"):
+        row = advise_partitions({"t": (frame, "k")}, threshold=20, basis=basis).first()
+        assert row["num_partitions"] == expected(values, 20, basis == "largest")
 
 
 def test_timestamps_without_zone_know_no_summer_time(spark):
@@ -134,7 +137,8 @@ def test_what_cannot_be_advised(spark):
     with pytest.raises(TypeError):
         advise_partitions({"t": (spark.sql("SELECT 'a' AS k"), "k")})
     with pytest.raises(TypeError):
-        advise_partitions({"t": (spark.sql("SELECT 1.5D AS k"), "k")}, basis="largest")
+        far = spark.sql("SELECT explode(array(0BD, 99999999999999999999999999999999999999BD)) AS k")
+        advise_partitions({"t": (far, "k")}, basis="largest")
     with pytest.raises(PySparkException):
         advise_partitions({"t": (spark.range(3), "missing")})
 
@@ -150,3 +154,53 @@ def test_timestamps_are_compared_as_they_are(spark):
     frame = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     plan = advise_partitions({"events": (frame, "ts")})._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(ts," in plan
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_the_largest_slice_of_random_keys(spark, seed):
+    rng = random.Random(seed)
+    spread = rng.choice([50, 10_000, 2**40, 2**62])
+    tables, values = {}, {}
+    for name in ("a", "b", "c"):
+        centres = [rng.randrange(-spread, spread) for _ in range(5)]
+        values[name] = [rng.choice(centres) + rng.randrange(-3, 4) * rng.choice([1, 1, 100]) for _ in range(rng.randrange(1, 3000))]
+        values[name] += [rng.randrange(-spread, spread) for _ in range(rng.randrange(2000))]
+        tables[name] = (spark.createDataFrame([(value,) for value in values[name]], "k bigint").repartition(7), "k")
+    threshold = rng.choice([20, 300, 1000])
+    found = {row["table_name"]: row["num_partitions"] for row in advise_partitions(tables, threshold, basis="largest").collect()}
+    assert found == {name: expected(keys, threshold, largest=True) for name, keys in values.items()}
+
+
+def test_slices_over_the_borders_of_tasks(spark):
+    """More tasks than a slice has keys, so that every slice that holds too much reaches over borders."""
+    keys = [key for key in range(4096) for _ in range(3 if 1000 <= key < 1100 else 1)]
+    frame = spark.createDataFrame([(key,) for key in keys], "k bigint")
+    with session_setting(spark, "spark.sql.shuffle.partitions", "97"), session_setting(spark, "spark.sql.adaptive.enabled", "false"):
+        for threshold in (40, 90, 170, 700):
+            row = advise_partitions({"t": (frame, "k")}, threshold, basis="largest").first()
+            assert row["num_partitions"] == expected(keys, threshold, largest=True)
+
+
+@pytest.mark.parametrize("kind, unit", [("decimal(38,18)", Decimal("0.000000000000000001")), ("decimal(38,0)", Decimal(10) ** 9), ("double", 2.0**-40), ("float", 0.5)])
+def test_the_largest_slice_of_fractions(spark, kind, unit):
+    values = [number * unit for number in [0, 5, 5, 6, *range(1000, 1400), 2**14]]
+    frame = spark.createDataFrame([(value,) for value in values], f"k {kind}")
+    for threshold in (1, 2, 30, 250):
+        row = advise_partitions({"t": (frame, "k")}, threshold, basis="largest").first()
+        assert row["num_partitions"] == expected(values, threshold, largest=True)
+
+
+@pytest.mark.parametrize("pair, advised", [((2**61 + 1, 2**61 + 2), 2**62), ((2**61, 2**61), None)])
+def test_a_table_is_read_twice_however_deep_the_slices(spark, pair, advised):
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    keys = [0, 2**62] + [key for key in pair for _ in range(30)]
+    frame = spark.createDataFrame([(key,) for key in keys], "k bigint").mapInArrow(counting, "k bigint")
+    row = advise_partitions({"t": (frame, "k")}, 31, basis="largest").first()
+    assert row["num_partitions"] == expected(keys, 31, largest=True) == advised
+    assert read.value == 2 * len(keys)
