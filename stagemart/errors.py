@@ -15,3 +15,7 @@ class RowCountMismatch(StagemartError):
 
 class UnsafeOverwrite(StagemartError):
     """The target of a write is also its source."""
+
+
+class DigestMismatch(StagemartError):
+    """A dataset does not hold the rows that its digests tell of."""

@@ -95,21 +95,22 @@ def session_timezone(spark: SparkSession, name: str | None) -> AbstractContextMa
     return session_setting(spark, "spark.sql.session.timeZone", name) if name else nullcontext()
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     context = spark.sparkContext
-    hadoop_path = context._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(context._jsc.hadoopConfiguration()), hadoop_path
+    found = context._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(context._jsc.hadoopConfiguration()), found
 
 
 def qualified(spark: SparkSession, path: str) -> str:
     """``path`` with its scheme and authority, so that two spellings of one place compare equal."""
-    file_system, hadoop_path = _hadoop_path(spark, path)
-    return file_system.makeQualified(hadoop_path).toString()
+    file_system, found = hadoop_path(spark, path)
+    return file_system.makeQualified(found).toString()
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Delete one dataset through its Hadoop file system; False if there was none."""
-    file_system, hadoop_path = _hadoop_path(spark, path)
-    if hadoop_path.isRoot():
+    file_system, found = hadoop_path(spark, path)
+    if found.isRoot():
         raise ValueError(f"refusing to delete {path}")
-    return file_system.delete(hadoop_path, True)
+    return file_system.delete(found, True)

@@ -6,10 +6,11 @@ import re
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from stagemart.datasets import replace_dataset, same_count
 from stagemart.errors import UnsafeOverwrite
 from stagemart.names import quoted
 from stagemart.operators.decimals import normalize_decimals
@@ -56,14 +57,21 @@ def _separable(frame: DataFrame, file_format: FileFormat) -> DataFrame:
     return frame.select([texts.get(name, F.col(quoted(name))).alias(name) for name in frame.columns])
 
 
-def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: Sequence[str]) -> str:
-    frame = _separable(frame, file_format)
-    writer = frame.write.format(file_format.file_type).mode("overwrite").options(**file_format.write_options)
-    if partition_by:
-        # Partitions of an earlier run go, whatever the session says about overwriting.
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "static")
-    with job_description(frame.sparkSession, f"write {path}"):
-        writer.save(path)
+def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: Sequence[str], versioned: bool = False) -> str:
+    """Replace the dataset at ``path``, see ``replace_dataset``; a parquet dataset must hold as many rows as were written."""
+    spark, schema, written = frame.sparkSession, frame.schema, Observation()
+    rows = _separable(frame, file_format).observe(written, F.count(F.lit(1)).alias("rows"))
+
+    def write(target: str) -> None:
+        writer = rows.write.format(file_format.file_type).options(**file_format.write_options)
+        with job_description(spark, f"write {path}"):
+            (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+
+    def check(target: str) -> None:
+        if file_format.file_type == "parquet":  # the files say how many rows they hold
+            same_count(path, written.get["rows"], spark.read.schema(schema).parquet(target).count())
+
+    replace_dataset(spark, path, write, check, versioned)
     return path
 
 
@@ -86,7 +94,7 @@ def _size_of_parts(frame: DataFrame) -> str:
     return "nothing"
 
 
-def _write_compact(rows: DataFrame, path: str, file_format: FileFormat) -> str:
+def _write_compact(rows: DataFrame, path: str, file_format: FileFormat, versioned: bool) -> str:
     spark, sized = rows.sparkSession, _size_of_parts(rows)
     if sized == "scan":
         wanted = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
@@ -94,10 +102,10 @@ def _write_compact(rows: DataFrame, path: str, file_format: FileFormat) -> str:
             session_setting(spark, "spark.sql.files.maxPartitionBytes", wanted),
             session_setting(spark, "spark.sql.files.minPartitionNum", "1"),
         ):
-            return _write(rows, path, file_format, ())
+            return _write(rows, path, file_format, (), versioned)
     # By default, Spark would rather keep all cores busy than reach the advisory size.
     with session_setting(spark, "spark.sql.adaptive.coalescePartitions.parallelismFirst", "false"):
-        return _write(rows if sized == "exchange" else _rebalanced(rows, ()), path, file_format, ())
+        return _write(rows if sized == "exchange" else _rebalanced(rows, ()), path, file_format, (), versioned)
 
 
 def write_files(
@@ -107,9 +115,12 @@ def write_files(
     file_format: FileFormat = PARQUET,
     partition_by: Sequence[str] = (),
     compact: bool = False,
+    versioned: bool = False,
 ) -> str:
     """Replace ``{folder}/{table}.{file_type}`` by the rows with normalized decimals.
 
+    A write that fails leaves the earlier rows readable, see ``replace_dataset``, which also says what ``versioned`` does.
+
     A partitioned write is rebalanced by its partition columns first, so that a value does not get
     a file from every task; adaptive execution splits a value that holds much of the data.
     ``compact`` writes files of the advisory partition size, one for a small result, still in
@@ -118,10 +129,10 @@ def write_files(
     """
     rows, path = normalize_decimals(frame), dataset_path(folder, table, file_format)
     if partition_by:
-        return _write(_rebalanced(rows, partition_by), path, file_format, partition_by)
+        return _write(_rebalanced(rows, partition_by), path, file_format, partition_by, versioned)
     if compact:
-        return _write_compact(rows, path, file_format)
-    return _write(rows, path, file_format, partition_by)
+        return _write_compact(rows, path, file_format, versioned)
+    return _write(rows, path, file_format, partition_by, versioned)
 
 
 def publish_direct(
@@ -132,6 +143,7 @@ def publish_direct(
     file_format: FileFormat = PARQUET,
     partition_by: Sequence[str] = (),
     rebalance: bool = True,
+    versioned: bool = False,
 ) -> str:
     """Write the rows as they are to ``{target}/{project}/{table}.{file_type}``, on any file system.
 
@@ -140,7 +152,7 @@ def publish_direct(
     """
     check_target(target, by_copy=False)
     rows = _rebalanced(frame, partition_by) if partition_by and rebalance else frame
-    return _write(rows, dataset_path(f"{target}/{project}", table, file_format), file_format, partition_by)
+    return _write(rows, dataset_path(f"{target}/{project}", table, file_format), file_format, partition_by, versioned)
 
 
 def read_staged(

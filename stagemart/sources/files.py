@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from stagemart.datasets import current_path
 from stagemart.session import session_setting
 
 
@@ -84,7 +85,7 @@ def read_files(
     file_format: FileFormat = PARQUET,
     schema: StructType | None = None,
 ) -> DataFrame:
-    """Scan ``{folder}/{table}.{file_type}``.
+    """Scan ``{folder}/{table}.{file_type}``, in the version that is current.
 
     CSV columns are strings unless the format asks for inference, which costs one more pass over
     the files; it takes a timestamp without zone for TIMESTAMP_NTZ. With a ``schema`` nothing is
@@ -93,7 +94,7 @@ def read_files(
     reader = spark.read.format(file_format.file_type).options(**file_format.read_options)
     if schema is not None:
         reader = reader.schema(schema)
-    path = dataset_path(folder, table, file_format)
+    path = current_path(spark, dataset_path(folder, table, file_format))
     if schema is None and file_format.file_type == "csv" and file_format.infer_schema:
         with session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
             return reader.load(path)

@@ -1,0 +1,93 @@
+"""Published datasets hold the rows that were staged, and only what changed is copied."""
+
+import datetime
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from stagemart.errors import DigestMismatch
+from stagemart.session import hadoop_path
+from stagemart.sinks.digests import MANIFEST, Published, check_dataset, dataset_digest, publish_changed
+from stagemart.sinks.files import read_staged, write_files
+from stagemart.sources.files import PARQUET, STAGED_CSV, read_files
+
+
+def _files(spark, path):
+    file_system, found = hadoop_path(spark, path)
+    listed, names = file_system.listFiles(found, True), set()
+    while listed.hasNext():
+        name = listed.next().getPath().toString()
+        if "/part-" in name and MANIFEST not in name:
+            names.add(name)
+    return names
+
+
+def _rows(spark):
+    return spark.range(200).selectExpr("id", "concat('t ', id) AS text", "if(id % 5 = 4, NULL, concat('p=/', id % 5)) AS p", "cast(id % 2 AS int) AS q")
+
+
+@pytest.mark.parametrize("file_format", [PARQUET, STAGED_CSV], ids=["parquet", "csv"])
+def test_only_what_changed_is_copied(spark, folder, file_format):
+    rows, target = _rows(spark), f"{folder}/out"
+    def stage(frame):
+        write_files(frame, f"{folder}/in", "t", file_format, ["p", "q"])
+
+    def publish():
+        return publish_changed(spark, f"{folder}/in", target, "sales", "t", file_format, ["p", "q"], rows.schema)
+
+    def published():
+        return rows_of(read_staged(spark, f"{target}/sales", "t", file_format, ["p", "q"], rows.schema).select(rows.columns))
+
+    path = f"{target}/sales/t.{file_format.file_type}"
+    stage(rows)
+    assert publish() == Published(path, 10, 0, 0) and check_dataset(spark, f"{target}/sales", "t", file_format, ["p", "q"], rows.schema) == 10
+    first = _files(spark, path)
+    stage(rows.repartition(3))  # other files, the same rows
+    assert publish() == Published(path, 0, 10, 0) and _files(spark, path) == first
+    changed = rows.withColumn("text", F.when(F.col("id") == 7, "changed").otherwise(F.col("text"))).where("p IS NOT NULL OR q = 0 OR id > 1000")
+    stage(changed)
+    assert publish() == Published(path, 1, 8, 1)
+    later = _files(spark, path)
+    assert 0 < len(first - later) < len(first) and len(first & later) >= 8
+    assert published() == rows_of(read_staged(spark, f"{folder}/in", "t", file_format, ["p", "q"], rows.schema).select(rows.columns))
+    stage(rows)
+    assert publish().copied == 2
+
+
+@pytest.mark.parametrize("fault", ["changed", "lost", "doubled"])
+def test_another_row_raises(spark, folder, fault):
+    rows = _rows(spark)
+    write_files(rows, f"{folder}/in", "t")
+    publish_changed(spark, f"{folder}/in", f"{folder}/out", "sales", "t")
+    assert check_dataset(spark, f"{folder}/out/sales", "t") == 1
+    path = f"{folder}/out/sales/t.parquet"
+    wrong = {"changed": rows.withColumn("text", F.when(F.col("id") == 9, "x").otherwise(F.col("text"))), "lost": rows.where("id <> 9"), "doubled": rows.union(rows.where("id = 9"))}
+    for name in _files(spark, path):
+        file_system, found = hadoop_path(spark, name)
+        file_system.delete(found, False)
+    wrong[fault].write.mode("append").parquet(path)
+    with pytest.raises(DigestMismatch):
+        check_dataset(spark, f"{folder}/out/sales", "t")
+
+
+def test_a_copy_that_differs_raises_and_is_copied_whole_next_time(spark, folder, monkeypatch):
+    from stagemart.sinks import digests
+
+    rows, save = _rows(spark), digests._save
+    write_files(rows, f"{folder}/in", "t", partition_by=["q"])
+    monkeypatch.setattr(digests, "_save", lambda frame, *rest: save(frame.where("id <> 3"), *rest))
+    with pytest.raises(DigestMismatch, match="q=1"):
+        publish_changed(spark, f"{folder}/in", f"{folder}/out", "sales", "t", partition_by=["q"], schema=rows.schema)
+    monkeypatch.undo()
+    again = publish_changed(spark, f"{folder}/in", f"{folder}/out", "sales", "t", partition_by=["q"], schema=rows.schema)
+    assert (again.copied, again.kept) == (2, 0) and read_files(spark, f"{folder}/out/sales", "t").count() == 200
+
+
+def test_digests_know_all_types_and_no_order(spark):
+    rows = spark.createDataFrame(
+        [(1, {"a": 1, "b": 2}, [1.5, None], datetime.date(2024, 1, 1), None), (2, None, [], None, b"x")], "k int, m map<string,int>, a array<double>, d date, b binary"
+    )
+    one, other = (dataset_digest(frame).first() for frame in (rows, rows.orderBy(F.desc("k"))))
+    assert one == other and one["__rows"] == 2 and dataset_digest(rows.limit(0)).first()["__rows"] == 0
+    assert dataset_digest(rows.withColumn("d", F.lit(None).cast("date"))).first() != one
