@@ -32,24 +32,24 @@ def _rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot rename {source} to {target}")
 
 
-def _put_pointer(spark: SparkSession, path: str, version: str) -> None:
-    """Write the name of the version, by one rename over the earlier pointer where the file system has that."""
-    written = f"{path}/.{POINTER}.{uuid.uuid4().hex}"
-    file_system, found = hadoop_path(spark, written)
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, by one rename over an earlier one where the file system has that."""
+    folder, _, name = path.rpartition("/")
+    file_system, found = hadoop_path(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
     out = file_system.create(found, True)
-    out.write(bytearray(version.encode()))
+    out.write(bytearray(text.encode()))
     out.close()
     jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
     kinds = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
     over = gateway.new_array(kinds, 1)
     over[0] = kinds.OVERWRITE
     files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(found.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    files.rename(found, hadoop_path(spark, f"{path}/{POINTER}")[1], over)
+    files.rename(found, hadoop_path(spark, path)[1], over)
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The version that the pointer of a versioned dataset names; None without a pointer."""
-    file_system, found = hadoop_path(spark, f"{path}/{POINTER}")
+def get_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; None if there is none."""
+    file_system, found = hadoop_path(spark, path)
     if not file_system.exists(found):
         return None
     source = file_system.open(found)
@@ -59,6 +59,23 @@ def current_version(spark: SparkSession, path: str) -> str | None:
         source.close()
 
 
+def files_below(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of each file of a dataset, in order; none if it is not there."""
+    file_system, root = hadoop_path(spark, path)
+    if not file_system.exists(root):
+        return []
+    listed, found = file_system.listFiles(root, True), []
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return sorted(found)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The version that the pointer of a versioned dataset names; None without a pointer."""
+    return get_text(spark, f"{path}/{POINTER}")
+
+
 def current_path(spark: SparkSession, path: str) -> str:
     """Where the rows of a dataset are now: the version its pointer names, or what a writer that stopped between two renames left."""
     version = current_version(spark, path)
@@ -91,7 +108,7 @@ def replace_dataset(spark: SparkSession, path: str, write: Callable[[str], None]
         earlier, version = current_version(spark, path), uuid.uuid4().hex
         target = f"{path}/{VERSIONS}/{version}"
         _written(spark, target, write, check)
-        _put_pointer(spark, path, version)
+        put_text(spark, f"{path}/{POINTER}", version)
         file_system, folder = hadoop_path(spark, f"{path}/{VERSIONS}")
         for status in file_system.listStatus(folder):
             if status.getPath().getName() not in (version, earlier):

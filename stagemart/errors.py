@@ -19,3 +19,7 @@ class UnsafeOverwrite(StagemartError):
 
 class DigestMismatch(StagemartError):
     """A dataset does not hold the rows that its digests tell of."""
+
+
+class DependencyCycle(StagemartError):
+    """Scripts read each other's results in a circle."""

@@ -7,6 +7,7 @@ instead (31 Jan, 29 Feb, 31 Mar, ...), so starts after the 28th are corrected be
 
 from __future__ import annotations
 
+import re
 from datetime import timedelta
 
 import numpy as np
@@ -15,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagemart.operators.parsed import ParsedScript
+
 # The accepted step units.
 UNITS = ("years", "months", "weeks", "days", "hours", "minutes", "seconds", "microseconds")
 
@@ -37,17 +40,17 @@ _CLOCK_STEP = """make_dt_interval(
 _MONTH_END_SERIES = f"""filter(flatten(transform(
     transform(
         array(sequence(series_from, series_to + INTERVAL '3' DAY, {_MONTH_STEP})),
-        dates -> named_struct(
-            'dates', dates,
-            'to_30', array_position(transform(dates, d -> day(d) <= 30), true),
-            'to_29', array_position(transform(dates, d -> day(d) <= 29), true),
-            'to_28', array_position(transform(dates, d -> day(d) <= 28), true))),
-    run -> transform(run.dates, (d, i) -> d - make_dt_interval(greatest(0, day(d) -
-        CASE WHEN run.to_28 BETWEEN 1 AND i + 1 THEN 28
-             WHEN run.to_29 BETWEEN 1 AND i + 1 THEN 29
-             WHEN run.to_30 BETWEEN 1 AND i + 1 THEN 30
+        series_dates -> named_struct(
+            'dates', series_dates,
+            'to_30', array_position(transform(series_dates, series_date -> day(series_date) <= 30), true),
+            'to_29', array_position(transform(series_dates, series_date -> day(series_date) <= 29), true),
+            'to_28', array_position(transform(series_dates, series_date -> day(series_date) <= 28), true))),
+    series_run -> transform(series_run.dates, (series_date, series_place) -> series_date - make_dt_interval(greatest(0, day(series_date) -
+        CASE WHEN series_run.to_28 BETWEEN 1 AND series_place + 1 THEN 28
+             WHEN series_run.to_29 BETWEEN 1 AND series_place + 1 THEN 29
+             WHEN series_run.to_30 BETWEEN 1 AND series_place + 1 THEN 30
              ELSE 31 END))))),
-    d -> d <= series_to)"""
+    series_date -> series_date <= series_to)"""
 
 _SERIES = f"""CASE
     WHEN series_from IS NULL OR series_to IS NULL OR step_unit IS NULL OR step_count IS NULL THEN NULL
@@ -69,7 +72,7 @@ def register_series(spark: SparkSession) -> None:
     worker is involved. NULL in gives NULL out, DATE and TIMESTAMP arguments are accepted, and the
     result is an array of TIMESTAMP_NTZ. TIMESTAMP arguments are taken in the time zone that the
     session has now: Spark keeps it with the function. Spark does not allow a SQL function directly inside
-    ``explode``: compute the array in a subquery, or use ``explode_series``.
+    ``explode``: run the script that ``expand_series`` makes of it, compute the array in a subquery, or use ``explode_series``.
     """
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {FUNCTION_NAME}")
     spark.sql(
@@ -83,6 +86,32 @@ def register_series(spark: SparkSession) -> None:
     )
 
 
+_PARAMETERS = {"series_from": "TIMESTAMP_NTZ", "series_to": "TIMESTAMP_NTZ", "step_unit": "STRING", "step_count": "STRING"}
+_DEFAULTS = {"step_unit": "'months'", "step_count": "'1'"}
+
+
+def expand_series(spark: SparkSession, text: str) -> str:
+    """The script with each call of ``generate_series`` replaced by its expression, so that it may stand inside ``explode``.
+
+    Calls and their arguments are found in the plan that Spark's parser makes; what is a comment, a text or
+    another name is left alone, as is a script without a call. Arguments are repeated in the expression, so they must be
+    deterministic; names that its own steps use begin with ``series_``.
+    """
+    parts: list[str] = []
+    at = 0
+    for call in ParsedScript(spark, text).calls(FUNCTION_NAME):
+        if call.start < at:  # among the arguments of a call, expanded with it
+            continue
+        given = dict(zip(_PARAMETERS, call.arguments)) | call.named
+        if not {"series_from", "series_to"} <= given.keys() <= _PARAMETERS.keys() or len(given) != len(call.arguments) + len(call.named):
+            raise ValueError(f"wrong arguments: {text[call.start:call.end]}")
+        given = _DEFAULTS | {name: expand_series(spark, f"SELECT {said}").removeprefix("SELECT ") for name, said in given.items()}
+        body = re.sub("|".join(_PARAMETERS), lambda found: f"CAST(({given[found[0]]}) AS {_PARAMETERS[found[0]]})", _SERIES)
+        parts += [text[at : call.start], f"({body})"]
+        at = call.end
+    return "".join(parts) + text[at:]
+
+
 def generate_series(
     start: Column | str, stop: Column | str, interval: str = "months", value: int | str = 1
 ) -> Column:

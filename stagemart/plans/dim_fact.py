@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 
-from pyspark.errors import AnalysisException
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, StringType, StructType
 
+from stagemart.datasets import current_path, files_below, get_text, path_exists, put_text
 from stagemart.errors import UnsafeOverwrite
-from stagemart.functions.series import register_explodable_series, register_series
+from stagemart.functions.series import expand_series, register_series
 from stagemart.names import as_spelled, quoted
 from stagemart.operators.decimals import normalize_decimals, same_types
+from stagemart.operators.parsed import ParsedScript, dependency_levels
 from stagemart.operators.scripts import read_script, run_script
 from stagemart.session import delete_path, new_folder, qualified, session_timezone
 from stagemart.sinks.files import check_target, parse_partition, publish_copy, publish_direct, write_files
@@ -22,6 +27,9 @@ from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_file
 from stagemart.sources.jdbc import DEFAULT_FETCH_SIZE, DEFAULT_NUM_PARTITIONS, Database
 from stagemart.sources.metadata import StageMetadata, stage_tables
 
+#: The folder of a mart that notes what each finished result was made of.
+_RUNS = "_runs"
+
 
 @dataclass(frozen=True)
 class MartScript:
@@ -32,7 +40,7 @@ class MartScript:
 
 @dataclass(frozen=True)
 class MartConfig:
-    """Stage schemas a project depends on, and its dimensions and facts in the order they run."""
+    """Stage schemas a project depends on, and its dimensions and facts, in any order."""
 
     dependencies: tuple[str, ...]
     dimensions: tuple[MartScript, ...]
@@ -59,6 +67,8 @@ class MartOptions:
 
     Stage tables of a schema lie in ``{stage_directory}/{schema}``, unless ``stage_folders`` names
     another folder for it. The job runs in ``session_timezone``, or in that of the session.
+    ``parallel_scripts`` scripts run at a time, each in a scheduler pool of its own. ``resume`` takes over the files that an
+    earlier run has finished with the same scripts, settings and stage files.
     """
 
     project: str
@@ -78,11 +88,15 @@ class MartOptions:
     publish_target: str | None = None
     publish_by_copy: bool = True
     session_timezone: str | None = None
+    parallel_scripts: int = 1
+    resume: bool = False
 
     def __post_init__(self) -> None:
         check_target(self.publish_target, self.publish_by_copy)
         if self.publish_target is not None and self.publish_by_copy and not self.save_files:
             raise ValueError("publishing by copy needs the files to be saved")
+        if self.resume and (not self.save_files or self.remove_staged):
+            raise ValueError("only files that are kept can be taken over")
         if self.remove_staged and self.publish_target is None and self.database is None:
             raise ValueError("removing the staged files needs another sink to keep the results")
 
@@ -115,9 +129,11 @@ def load_dim_fact(
     metadata: Mapping[str, StageMetadata],
     options: MartOptions,
 ) -> list[MartTable]:
-    """Run all dimensions, then all facts. ``metadata`` is keyed by dependency schema.
+    """Run all dimensions and facts, each after those whose results it reads. ``metadata`` is keyed by dependency schema.
 
-    Scripts see the stage tables as ``{schema}_{table}`` and every earlier result by its name.
+    Scripts see the stage tables as ``{schema}_{table}`` and other results by their names. What a script reads
+    is taken from its parsed plan; ``DependencyCycle`` is raised, before anything runs, if scripts read
+    each other. With ``resume``, a result is taken over if a run has finished it from the same script, settings, stage files and results read.
     """
     with session_timezone(spark, options.session_timezone):
         return _load_all(spark, config, metadata, options)
@@ -133,21 +149,39 @@ def _load_all(
     for script in scripts:
         # A result of an earlier run in this session must not be read instead of a stage view.
         spark.catalog.dropTempView(script.name)
-    stage_paths: set[str] = set()
+    stage_paths: dict[str, str] = {}
     for schema in config.dependencies:
         folder = options.stage_folders.get(schema, f"{options.stage_directory.rstrip('/')}/{schema}")
         for row in stage_tables(metadata[schema]).select("table_name").collect():
             register_stage_view(spark, folder, schema, row["table_name"], options.input_format)
-            stage_paths.add(qualified(spark, dataset_path(folder, row["table_name"], options.input_format)))
+            path = dataset_path(folder, row["table_name"], options.input_format)
+            stage_paths[f"{schema}_{row['table_name']}".lower()] = qualified(spark, path)
     for script in scripts:
         path = dataset_path(options.mart_folder, script.name, options.output_format)
-        if qualified(spark, path) in stage_paths:
+        if qualified(spark, path) in stage_paths.values():
             raise UnsafeOverwrite(f"{path} is a stage table")
     register_series(spark)
 
+    by_name = {script.name: script for script in scripts}
+    texts = {script.name: read_script(options.script_directory, options.project, options.country, script.file) for script in scripts}
+    texts = {name: expand_series(spark, text) for name, text in texts.items()}
+    reads = {name: ParsedScript(spark, text).relations() for name, text in texts.items()}
+    levels = dependency_levels(reads)
     scratch = new_folder(spark, "held")
+    loaded: dict[str, MartTable] = {}
+    keys: dict[str, str] = {}
+
+    def load(name: str) -> MartTable:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        return _load_or_take_over(spark, by_name[name], texts[name], keys.get(name), options, f"{scratch}/{name}")
+
     try:
-        loaded = [_load_script(spark, script, options, f"{scratch}/{script.name}") for script in scripts]
+        with ThreadPoolExecutor(max_workers=options.parallel_scripts) as pool:
+            for level in levels:
+                if options.resume:
+                    # of the results read, the keys stand for all that they were made of
+                    keys |= {name: _run_key(spark, by_name[name], texts[name], reads[name], stage_paths, keys, options) for name in level}
+                loaded |= zip(level, pool.map(inheritable_thread_target(spark)(load), level))
     finally:
         # Views of results that were held beside the files go with what they read.
         for script in scripts:
@@ -159,10 +193,41 @@ def _load_all(
             # The views read the files that go now.
             spark.catalog.dropTempView(script.name)
             delete_path(spark, dataset_path(options.mart_folder, script.name, options.output_format))
-    return loaded
-
-
-def _load_script(spark: SparkSession, script: MartScript, options: MartOptions, scratch: str) -> MartTable:
+    return [loaded[script.name] for script in scripts]
+
+
+def _run_key(
+    spark: SparkSession, script: MartScript, text: str, reads: set[str], stage_paths: Mapping[str, str], keys: Mapping[str, str], options: MartOptions
+) -> str:
+    """A digest of all that a result depends on: its script, the settings, the stage files it reads, and the keys of the results it reads."""
+    known = {name.lower(): key for name, key in keys.items()}
+    files = {name: files_below(spark, current_path(spark, stage_paths[name])) for name in sorted(reads & stage_paths.keys())}
+    held = {name: known[name] for name in sorted(reads & known.keys())}
+    settings = [repr(option) for option in (options.input_format, options.output_format, options.compact, options.publish_target, options.publish_by_copy)]
+    settings += [options.project_schema, spark.conf.get("spark.sql.session.timeZone"), repr(options.database)]
+    return hashlib.sha256(json.dumps([text, script.partition_by, files, held, settings], sort_keys=True).encode()).hexdigest()
+
+
+def _load_or_take_over(spark: SparkSession, script: MartScript, text: str, key: str | None, options: MartOptions, scratch: str) -> MartTable:
+    """With a key, the result of an earlier run under the same key, if its files are there as that run left them."""
+    if key is None:
+        return _load_script(spark, script, text, options, scratch)
+    path = dataset_path(options.mart_folder, script.name, options.output_format)
+    noted = f"{options.mart_folder}/{_RUNS}/{script.name}.json"
+    told = json.loads(get_text(spark, noted) or "null")
+    if told and told["key"] == key and told["files"] == json.loads(json.dumps(files_below(spark, path))):
+        schema = StructType.fromJson(told["schema"])
+        read_files(spark, options.mart_folder, script.name, options.output_format, schema).select([quoted(name) for name in schema.names]).createOrReplaceTempView(script.name)
+        return MartTable(script.name, schema, tuple(told["partition_by"]), path, told["database_table"], told["published_path"])
+    mart = _load_script(spark, script, text, options, scratch)
+    if _files_can_hold(mart.schema, mart.partition_by, options) and not path_exists(spark, scratch):
+        held = {"database_table": mart.database_table, "published_path": mart.published_path, "partition_by": mart.partition_by}
+        files = files_below(spark, path)
+        put_text(spark, noted, json.dumps({"key": key, "schema": mart.schema.jsonValue(), "files": files, **held}))
+    return mart
+
+
+def _load_script(spark: SparkSession, script: MartScript, text: str, options: MartOptions, scratch: str) -> MartTable:
     """Run one script and send its result to every enabled sink, computing it once.
 
     The files of the file sink, or else a parquet dataset at ``scratch``, feed the other sinks and
@@ -170,8 +235,7 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions,
     database connections then do not slow the query down. The job deletes its scratch.
     """
     name = script.name
-    text = read_script(options.script_directory, options.project, options.country, script.file)
-    result = _run_with_series(spark, text, name)
+    result = run_script(spark, text, name)
     partition_by = as_spelled(result.schema, script.partition_by)
     beside_files = options.database is not None or options.publishes_directly
     if beside_files and not _files_can_hold(result.schema, partition_by, options):
@@ -223,23 +287,6 @@ def _load_script(spark: SparkSession, script: MartScript, options: MartOptions,
     return MartTable(name, rows.schema, partition_by, kept, stored, published)
 
 
-def _run_with_series(spark: SparkSession, text: str, name: str) -> DataFrame:
-    """Run a script that may call ``generate_series`` anywhere.
-
-    Spark takes no SQL function inside ``explode``. A script with one there runs with the UDF.
-    """
-    try:
-        return run_script(spark, text, name)
-    except AnalysisException as error:
-        if error.getCondition() != "UNSUPPORTED_SQL_UDF_USAGE":
-            raise
-    register_explodable_series(spark)
-    try:
-        return run_script(spark, text, name)
-    finally:
-        register_series(spark)
-
-
 def _held(result: DataFrame, name: str, scratch: str) -> DataFrame:
     """The rows as an unpartitioned parquet dataset, which holds every value of every type."""
     result.write.parquet(scratch)

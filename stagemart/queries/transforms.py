@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, TimestampNTZType
 
-from stagemart.functions.series import explode_series, register_explodable_series, register_series
+from stagemart.functions.series import expand_series, explode_series, register_series
 from stagemart.operators.advisor import advise_partitions
 from stagemart.operators.ddl import external_ddl_as_written, external_ddl_oracle, external_ddl_postgres
 from stagemart.operators.decimals import normalize_decimals
@@ -120,9 +120,8 @@ def udf_generate_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("udf_generate_series_exploded", _order_series(380, 20, "1 MONTH"))
 def udf_generate_series_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_explodable_series(spark)
     _order_spans(spark, sf_dir, 380, 20).createOrReplaceTempView("order_spans")
-    return spark.sql("SELECT o_orderkey, explode(generate_series(o_orderdate, until)) AS series FROM order_spans")
+    return spark.sql(expand_series(spark, "SELECT o_orderkey, explode(generate_series(o_orderdate, until)) AS series FROM order_spans"))
 
 
 # ---- partition advisor -----------------------------------------------------------------------

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from stagemart.errors import MissingMetadata, UnsafeOverwrite
+from stagemart.errors import DependencyCycle, MissingMetadata, UnsafeOverwrite
 from stagemart.operators import read_script, run_script
 from stagemart.plans import ExtractOptions, MartConfig, MartOptions, MartScript
 from stagemart.plans import advise_stage_tables, extract_tables, load_dim_fact
@@ -268,9 +268,6 @@ def test_staged_results_can_be_removed(spark, mart, folder):
 def test_a_second_run_starts_from_the_stage(spark, mart, folder):
     config, metadata, options = mart
     load_dim_fact(spark, config, metadata, options)
-    backwards = MartConfig(config.dependencies, config.facts, config.dimensions)
-    with pytest.raises(Exception, match="dim_a"):
-        load_dim_fact(spark, backwards, metadata, options)
     write_files(spark.range(6).withColumn("price", F.lit(1.0)), f"{folder}/stage/lake", "items")
     load_dim_fact(spark, config, metadata, options)
     assert rows_of(read_files(spark, options.mart_folder, "fact_c")) == [("a0", 2.0, 2), ("a1", 2.0, 2), ("a2", 2.0, 2)]
@@ -367,3 +364,60 @@ def test_removing_the_only_copy_is_refused(mart):
         replace(mart[2], remove_staged=True)
     with pytest.raises(ValueError, match="target"):
         ExtractOptions("base", "project", remove_staged=True)
+
+
+@pytest.mark.parametrize("parallel", [1, 3])
+def test_scripts_run_in_order_of_what_they_read(spark, mart, parallel):
+    config, metadata, options = mart
+    backwards = MartConfig(config.dependencies, config.facts, config.dimensions[::-1])
+    loaded = load_dim_fact(spark, backwards, metadata, replace(options, parallel_scripts=parallel))
+    assert [table.name for table in loaded] == ["fact_c", "dim_b", "dim_a"]
+    assert rows_of(read_files(spark, options.mart_folder, "fact_c")) == TOTALS
+
+
+def test_scripts_that_read_each_other_raise_before_any_runs(spark, mart):
+    config, metadata, options = mart
+    root = f"{options.script_directory}/shop/br/"
+    open(root + "one.sql", "w").write("SELECT * FROM lake_items WHERE id IN (SELECT id FROM Two)")
+    open(root + "two.sql", "w").write("WITH c AS (SELECT * FROM one) SELECT * FROM c")
+    config = MartConfig(("lake",), config.dimensions + (MartScript("one", "one.sql"), MartScript("two", "two.sql")), ())
+    with pytest.raises(DependencyCycle, match="one, two"):
+        load_dim_fact(spark, config, metadata, options)
+    assert not exists(spark, options.mart_folder)
+
+
+def test_a_run_after_a_failure_takes_over_what_was_finished(spark, mart, folder, monkeypatch):
+    import stagemart.plans.dim_fact as job
+
+    config, metadata, options = mart
+    options, ran, run = replace(options, resume=True), [], job.run_script
+    monkeypatch.setattr(job, "run_script", lambda session, text, name: ran.append(name) or run(session, text, name))
+
+    def load(**changes):
+        ran.clear()
+        loaded = load_dim_fact(spark, config, metadata, replace(options, **changes))
+        return sorted(ran), loaded
+
+    script = f"{options.script_directory}/shop/br/{config.facts[0].file}"
+    text = open(script).read()
+    open(script, "w").write("SELECT raise_error('stop') AS x FROM dim_a, dim_b")
+    with pytest.raises(Exception, match="stop"):
+        load()
+    assert sorted(ran) == ["dim_a", "dim_b", "fact_c"]
+    open(script, "w").write(text)
+    assert load()[0] == ["fact_c"] and rows_of(read_files(spark, options.mart_folder, "fact_c")) == TOTALS
+    again, loaded = load()
+    assert again == [] and [(table.name, table.staged_path) for table in loaded] == [(name, f"{options.mart_folder}/{name}.parquet") for name in ("dim_a", "dim_b", "fact_c")]
+    assert rows_of(spark.table("fact_c")) == TOTALS and load(resume=False)[0] == ["dim_a", "dim_b", "fact_c"]
+    assert load()[0] == ["dim_a", "dim_b", "fact_c"] and load()[0] == []  # the files are not those that were noted
+    write_files(spark.range(6).withColumn("price", F.lit(1.0)), f"{folder}/stage/lake", "items")
+    assert load()[0] == ["dim_a", "dim_b", "fact_c"]
+    assert rows_of(read_files(spark, options.mart_folder, "fact_c")) == [("a0", 2.0, 2), ("a1", 2.0, 2), ("a2", 2.0, 2)]
+    dimension = f"{options.script_directory}/shop/br/{config.dimensions[1].file}"
+    open(dimension, "a").write(" -- changed")
+    assert load()[0] == ["dim_b", "fact_c"]
+
+
+def test_only_kept_files_can_be_taken_over(mart):
+    with pytest.raises(ValueError, match="kept"):
+        replace(mart[2], resume=True, save_files=False)
