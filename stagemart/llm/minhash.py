@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from stagemart.llm.bloom import bloom_of, bloom_size
 from stagemart.llm.components import connected_components, forest_roots
 from stagemart.llm.scratch import Scratch
 from stagemart.llm.shipping import session_of
+from stagemart.llm.urls import shard_of
 from stagemart.llm.words import BLOCK_BYTES, blocks, shingles, words
 
 
@@ -26,7 +28,7 @@ class MinHashOptions:
     the tables. A pair of similarity s is missed with a chance of about 2 (1 - s^hashes)^entries:
     one in 100,000 at 0.8, and far less above it. ``tile_rows`` classes that share an entry are compared in
     one task; more are cut into tiles. ``filter_bits`` bound the filter that keeps texts nobody asks
-    for out of the shuffle.
+    for out of the shuffle; more texts than it can tell apart take a pass for each of their shards.
     """
 
     shingle: int = 5
@@ -37,6 +39,9 @@ class MinHashOptions:
     filter_bits: int = 1 << 25
 
 
+#: Entries that hold more than one in so many rows; there are at most as many of them.
+_HOT = 1024
+
 SIGNED = "id long, n long, print binary, left array<long>, right array<long>, parity binary"
 
 
@@ -128,9 +133,15 @@ def _verified(pairs: DataFrame, texts: DataFrame, scratch: Scratch, options: Min
     """The pairs (a, b) whose whole shingle sets are similar enough. A filter keeps most other texts in their tasks."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("id"))
     bits, hashes = bloom_size(max(1, 2 * pairs.count()), 1 / 64)
-    wanted = bloom_of(ends, F.col("id"), min(bits, options.filter_bits), hashes)
-    wanted = replace(wanted, frame=scratch.keep(wanted.frame, "filter"))
-    texts = texts.where(wanted.passes(F.col("id")))
+    shards = -(-bits // options.filter_bits)
+    found = []
+    for number in range(shards):
+        own = shard_of(F.col("id"), shards) == number if shards > 1 else F.lit(True)
+        wanted = bloom_of(ends.where(own), F.col("id"), 64 * -(-bits // (64 * shards)), hashes)
+        wanted = replace(wanted, frame=scratch.keep(wanted.frame, "filter"))
+        some = texts.where(own).where(wanted.passes(F.col("id")))
+        found.append(some if shards == 1 else scratch.keep(some, "wanted"))  # one filter is sent at a time
+    texts = reduce(DataFrame.union, found)
     both = pairs.join(texts.toDF("a", "own"), "a").join(texts.toDF("b", "other"), "b").select("a", "b", "own", "other")
     return both.mapInArrow(_confirmed(options), "a long, b long")
 
@@ -143,14 +154,15 @@ def _folded(folds: list[np.ndarray], width: np.ndarray, wide: int) -> np.ndarray
     return out
 
 
-def _across(placed: DataFrame, classes: DataFrame, options: MinHashOptions) -> DataFrame:
+def _across(placed: DataFrame, entries: int, classes: DataFrame, scratch: Scratch, options: MinHashOptions) -> DataFrame:
     """Pairs (a, b) of classes in different components that meet in a table and may be similar enough.
 
     ``placed`` are the entries (id, i, u, component). Those that classes of several components share
     are compared in tiles, a pair under its first common entry alone, by the second collection,
     sizes and folded sets; only pairs that pass all of these come out. In an entry of many classes
     those of its main component meet the others but not each other: they have tiles of their own,
-    numbered below zero, and go to as many tasks as the others have tiles.
+    numbered below zero, and go to as many tasks as the others have tiles. Of the ``entries`` rows, those whose
+    entry holds more than one in ``_HOT`` meet its tiles by a broadcast of that few entries, so that no task reads them all.
     """
     sizes = placed.groupBy("i", "u", "component").agg(F.count("*").alias("rows"))
     shared = sizes.groupBy("i", "u").agg(
@@ -158,7 +170,7 @@ def _across(placed: DataFrame, classes: DataFrame, options: MinHashOptions) -> D
     )
     split = F.col("rows") > options.tile_rows
     shared = shared.where("components > 1").select(
-        "i", "u", F.when(split, F.col("main.component")).alias("main"),
+        "i", "u", (F.col("rows") * _HOT > entries).alias("hot"), F.when(split, F.col("main.component")).alias("main"),
         F.when(split, F.ceil(F.col("main.rows") / options.tile_rows)).otherwise(0).alias("main_tiles"),
         F.greatest(F.lit(1), F.when(split, F.ceil((F.col("rows") - F.col("main.rows")) / options.tile_rows))).alias("tiles"),
     )
@@ -166,7 +178,10 @@ def _across(placed: DataFrame, classes: DataFrame, options: MinHashOptions) -> D
     spread = F.xxhash64("id")
     tile = F.when(of_main, -1 - F.pmod(spread, F.greatest(F.lit(1).cast("long"), "main_tiles"))).otherwise(F.pmod(spread, F.col("tiles")))
     others = F.sequence(F.when(of_main, 0).otherwise(-F.col("main_tiles")), F.col("tiles") - 1)
-    dealt = placed.join(shared, ["i", "u"]).withColumn("tile", tile).withColumn("other", F.explode(others))
+    shared = scratch.keep(shared, "shared")
+    hot = F.broadcast(shared.where("hot"))
+    met = placed.join(hot, ["i", "u"]).union(placed.join(hot, ["i", "u"], "left_anti").join(shared.where("not hot"), ["i", "u"]))
+    dealt = met.withColumn("tile", tile).withColumn("other", F.explode(others))
     dealt = dealt.select("id", "component", "i", "u", "tile", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"))
     held = dealt.join(classes.select("id", "n", "left", "right", "parity"), "id")
 
@@ -244,8 +259,8 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text_column
     scratch.drop(tables)
 
     within = scratch.keep(forest_roots(links, scratch).select(F.col("node").alias("id"), "component"), "within")
-    placed = scratch.keep(met.join(within, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed")
-    pairs = _across(placed, classes, options).join(stars, ["a", "b"], "left_anti")
+    placed, seen = scratch.keep_observed(met.join(within, "id", "left").withColumn("component", F.coalesce("component", "id")), "placed", rows=F.count(F.lit(1)))
+    pairs = _across(placed, seen["rows"], classes, scratch, options).join(stars, ["a", "b"], "left_anti")
     pairs = scratch.keep(pairs, "pairs")
     more = scratch.keep(_verified(pairs, texts, scratch, options), "links")
     scratch.drop(met, placed, pairs, stars)

@@ -19,9 +19,9 @@ class Scratch:
         self.folder = new_folder(spark, label)
         self._kept: dict[int, tuple[DataFrame, str]] = {}
 
-    def keep(self, frame: DataFrame, label: str) -> DataFrame:
+    def keep(self, frame: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
         path = f"{self.folder}/{len(self._kept):03d}-{label}"
-        frame.write.parquet(path)
+        (frame.write.partitionBy(partition_by) if partition_by else frame.write).parquet(path)
         kept = self.spark.read.schema(frame.schema).parquet(path)
         self._kept[id(kept)] = kept, path
         return kept

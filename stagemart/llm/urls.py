@@ -5,7 +5,10 @@ Built of DataFrame functions alone, from the bits of each level to the verdict o
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +54,7 @@ def matching_rule(host: Column, path: Column, rules: list[Rule], value: str = "t
 
 @dataclass(frozen=True)
 class CascadeOptions:
-    """False-positive shares of the first level and of the later ones; ``max_bits`` for all levels together."""
+    """False-positive shares of the first level and of the later ones; ``max_bits`` about, for all levels of one cascade."""
 
     first_share: float = 1 / 32
     later_share: float = 1 / 4
@@ -60,13 +63,9 @@ class CascadeOptions:
 
 @dataclass
 class Cascade:
-    """Levels by turns of listed keys and of the unlisted ones that passed.
-
-    ``exceeded`` says that the levels would take more than ``max_bits``; then there are none.
-    """
+    """Levels by turns of listed keys and of the unlisted ones that passed."""
 
     levels: list[Bloom] = field(default_factory=list)
-    exceeded: bool = False
 
     def contains(self, key: Column) -> Column:
         """Whether a key of the corpus is listed: the first level that it fails tells."""
@@ -76,23 +75,39 @@ class Cascade:
         return found
 
 
-def build_cascade(keys: DataFrame, scratch: Scratch, options: CascadeOptions = CascadeOptions()) -> Cascade:
-    """The cascade over all ``keys`` (key string, listed boolean), which may repeat; a key listed once is listed.
+@dataclass
+class Cascades:
+    """A cascade for each shard of the keys, of which there are as many as keep each within its bits."""
 
-    Level 0 holds the listed keys, level 1 the unlisted ones that pass level 0, level 2 the listed
-    ones that pass level 1, and so on until none passes; so membership is exact for every key
-    given. Null keys and a null ``listed`` count as unlisted empty keys and as unlisted.
-    """
-    universe = keys.groupBy(F.coalesce("key", F.lit("")).alias("key")).agg(F.max(F.coalesce("listed", F.lit(False))).alias("listed"))
-    universe = scratch.keep(universe, "keys")
-    cascade, used, level = Cascade(), 0, 0
+    shards: list[Cascade]
+
+    def shard(self, key: Column) -> Column:
+        return shard_of(key, len(self.shards))
+
+    def passed(self, frame: DataFrame, key: Column, told: Callable[[DataFrame, Column], DataFrame], scratch: Scratch) -> DataFrame:
+        """``told`` of ``frame`` and a column that says whether ``key`` is listed.
+
+        Each shard of the rows is a pass of its own, that sends the filters of one cascade to the tasks; of
+        several, what comes out is written before the next one starts.
+        """
+        if len(self.shards) == 1:
+            return told(frame, self.shards[0].contains(key))
+        parts = [
+            scratch.keep(told(frame.where(self.shard(key) == number), cascade.contains(key)), f"pass-{number}") for number, cascade in enumerate(self.shards)
+        ]
+        return reduce(DataFrame.union, parts)
+
+
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards))
+
+
+def _levels(universe: DataFrame, scratch: Scratch, options: CascadeOptions) -> Cascade:
+    cascade, level = Cascade(), 0
     own, other = universe.where("listed"), universe.where("not listed")
     count = own.count()
     while count:
         bits, hashes = bloom_size(count, options.later_share if level else options.first_share)
-        used += bits
-        if used > options.max_bits:
-            return Cascade(exceeded=True)
         built = bloom_of(own, F.col("key"), bits, hashes, level)
         built = replace(built, frame=scratch.keep(built.frame, f"level-{level}"))
         cascade.levels.append(built)
@@ -101,6 +116,27 @@ def build_cascade(keys: DataFrame, scratch: Scratch, options: CascadeOptions = C
     return cascade
 
 
+def build_cascade(keys: DataFrame, scratch: Scratch, options: CascadeOptions = CascadeOptions()) -> Cascades:
+    """The cascade over all ``keys`` (key string, listed boolean), which may repeat; a key listed once is listed.
+
+    Level 0 holds the listed keys, level 1 the unlisted ones that pass level 0, level 2 the listed
+    ones that pass level 1, and so on until none passes; so membership is exact for every key
+    given. Keys are dealt by hash into as many shards as keep each one's levels within ``max_bits``, and each shard
+    has levels of its own. Null keys and a null ``listed`` count as unlisted empty keys and as unlisted.
+    """
+    universe = keys.groupBy(F.coalesce("key", F.lit("")).alias("key")).agg(F.max(F.coalesce("listed", F.lit(False))).alias("listed"))
+    universe, seen = scratch.keep_observed(universe, "keys", listed=F.count_if("listed"), others=F.count_if(~F.col("listed")))
+    # later levels hold the given share of the keys before them
+    first, _ = bloom_size(seen["listed"], options.first_share)
+    second, _ = bloom_size(math.ceil(seen["others"] * options.first_share), options.later_share)
+    shards = max(1, math.ceil((first + second) / (1 - options.later_share) / max(1, options.max_bits)))
+    if shards == 1:
+        return Cascades([_levels(universe, scratch, options)])
+    dealt = scratch.keep(universe.withColumn("shard", shard_of(F.col("key"), shards)), "dealt", partition_by="shard")
+    scratch.drop(universe)
+    return Cascades([_levels(dealt.where(F.col("shard") == number), scratch, options) for number in range(shards)])
+
+
 def filter_urls(
     pages: DataFrame, listed: Column, rules: list[Rule], url_column: str = "url", options: CascadeOptions = CascadeOptions(),
     output: str = "judged",
@@ -109,21 +145,22 @@ def filter_urls(
 
     A row's key is host and path; a key is listed when ``listed`` holds for any row with it. The
     longest rule that fits decides, else ``block`` for listed keys and ``allow`` for the others. The
-    levels reach the rows as constants of at most ``max_bits``; a list beyond that is joined
-    instead, by a left join that adaptive execution can split. Null urls, and those without
-    ``://``, have the empty key. Repeated rows are judged alike.
+    levels reach the rows as constants of about ``max_bits`` at most; a longer list takes a pass over
+    the rows for each shard of its keys. Null urls, and those without
+    ``://``, have the empty key. Repeated rows are judged alike, long urls whole, and an empty table gives an empty one. A column
+    named ``output`` raises ValueError; other columns pass through.
     """
+    if output in pages.columns:
+        raise ValueError(f"there is a column {output} already")
     scratch = Scratch(pages.sparkSession, "urls")
     url = F.col(url_column)
     host, path = host_of(url), path_of(url)
     key = F.concat(host, path)
-    cascade = build_cascade(pages.select(key.alias("key"), listed.alias("listed")), scratch, options)
-    if cascade.exceeded:
-        every = pages.select(key.alias("__url_key__"), listed.alias("__url_listed__")).where("__url_listed__").select("__url_key__").distinct()
-        pages = pages.withColumn("__url_own__", key).join(every, F.col("__url_own__") == F.col("__url_key__"), "left")
-        found, drop = F.col("__url_key__").isNotNull(), ["__url_own__", "__url_key__"]
-    else:
-        found, drop = cascade.contains(key), []
-    verdict = F.coalesce(matching_rule(host, path, rules, "verdict"), F.when(found, "block").otherwise("allow"))
-    judged = F.struct(host.alias("host"), path.alias("path"), matching_rule(host, path, rules).alias("rule"), verdict.alias("verdict"))
-    return pages.withColumn(output, judged).drop(*drop)
+    cascades = build_cascade(pages.select(key.alias("key"), listed.alias("listed")), scratch, options)
+
+    def told(rows: DataFrame, found: Column) -> DataFrame:
+        verdict = F.coalesce(matching_rule(host, path, rules, "verdict"), F.when(found, "block").otherwise("allow"))
+        judged = F.struct(host.alias("host"), path.alias("path"), matching_rule(host, path, rules).alias("rule"), verdict.alias("verdict"))
+        return rows.withColumn(output, judged)
+
+    return cascades.passed(pages, key, told, scratch)

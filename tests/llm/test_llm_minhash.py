@@ -60,7 +60,7 @@ EDGES = [
 ]
 
 
-@pytest.mark.parametrize("options", [MinHashOptions(shingle=4), MinHashOptions(), MinHashOptions(tile_rows=3)], ids=["four", "five", "tiles"])
+@pytest.mark.parametrize("options", [MinHashOptions(shingle=4), MinHashOptions(), MinHashOptions(tile_rows=3), MinHashOptions(filter_bits=1 << 9)], ids=["four", "five", "tiles", "filter shards"])
 def test_families_and_edges_equal_all_pairs(spark, options):
     rows = _families() + [(None if ident is None else ident + 100_000, text) for ident, text in EDGES]
     frame = spark.createDataFrame([(a, b, 1, "x", 2) for a, b in rows], "doc_id long, text string, kept int, n string, component int")

@@ -52,6 +52,22 @@ def test_one_of_each_group_stays(spark, documents, folder_of_tables):
     assert _ids(kept) == sorted(expected | {None}, key=repr)
 
 
+def test_different_texts_of_one_id_are_different_documents(spark, documents, folder_of_tables):
+    """Whichever order the rows come in: unrelated texts stay, one of each near-duplicate pair does, repeats leave one row."""
+    near = "w " + " ".join(f"w{number}" for number in range(60))
+    rows = [(1, "alpha beta gamma delta epsilon zeta", "en"), (1, "one two three four five six seven", "fr"), (2, "other words in this one here", "en"), (2, "other words in this one here", "de")]
+    rows += [(3, near, "en"), (3, near + " end", "en"), (4, near + " more", "en"), (None, near, "en"), (None, near, "en"), (5, None, "x"), (5, "", "x"), (5, "", "x")]
+    found = []
+    for parts in (1, 3, 5):
+        frame = spark.createDataFrame([(*row, "s", 0) for row in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(parts, "lang", "text")
+        found.append(sorted(((row.doc_id, row.text, row.lang) for row in corpus_pipeline.keep_one_of_each_group(spark, frame, folder_of_tables).collect()), key=repr))
+    assert found[0] == found[1] == found[2]
+    kept = [(ident, text) for ident, text, _ in found[0]]
+    assert sorted(kept, key=repr).count((None, near)) == 2 and {text for ident, text in kept if ident == 1} == {rows[0][1], rows[1][1]}
+    assert [ident for ident, text in kept if ident in (3, 4)] == [3] and [ident for ident, _ in kept].count(2) == 1
+    assert sorted((text for ident, text in kept if ident == 5), key=repr) == ["", None]
+
+
 def test_contaminated_documents_go(spark, documents, folder_of_tables):
     items = [tuple(row) for row in spark.read.parquet(f"{folder_of_tables}/benchmark.parquet").select("item_id", "text").collect()]
     kept = corpus_pipeline.drop_contaminated(spark, documents, folder_of_tables)
