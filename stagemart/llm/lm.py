@@ -1,4 +1,4 @@
-"""Language-model scores: a log-bilinear model trained by noise-contrastive estimation, with a tree of less frequent words, and a unigram base."""
+"""Language-model scores: log-bilinear choices in wide nodes, trained by noise-contrastive estimation, and a unigram base."""
 
 from __future__ import annotations
 
@@ -18,27 +18,35 @@ from stagemart.llm.words import Block, blocks, mix, row_of, words
 END = mix(np.array([0xE0F], np.uint64))[0]
 _LOG2_STEPS = 64
 _KEPT_WORDS = 1 << 20
-_CONTEXTS_AT_ONCE = 256
-#: Levels at the top of a tree that are trained by matrix products.
-_TOP_LEVELS = 7
 #: Scores below it keep their exponentials and the sums of those in range.
 _SAFE = 60.0
 _ROWS_AT_ONCE = 1 << 12
+#: Text that is trained by, or scored, at once: nodes are visited once for all its tokens.
+_BLOCK_BYTES = 4 << 20
+#: Squared gradients that an item starts with, so that its first steps are in proportion to what it has seen.
+_SEEN = 1000.0
 
 
 @dataclass(frozen=True)
 class ModelOptions:
-    """``vocabulary`` words and the end are predicted by themselves, all others as one class and within it along
-    a tree; ``common`` words at most have vectors and their counts sent to every task, the counts of those beyond are joined. ``rounds`` passes
-    over all training tokens, in each of which tasks train on their own and are averaged."""
+    """``common`` words at most have vectors and their counts sent to every task, the counts of those beyond are joined.
+
+    A node chooses between ``width`` words or nodes below it. Each of ``shares`` of the training texts is a round,
+    after which the tasks that trained in it are averaged; all texts are in one of them. A task takes ``block``
+    tokens at once, and steps after ``batch`` of them in the root and ``small_batch`` in the other nodes,
+    against ``noise`` samples, at ``rate``.
+    """
 
-    vocabulary: int = 1022
     common: int = 1 << 18
     dims: int = 16
-    rounds: int = 1
-    batch: int = 8192
+    width: int = 128
+    shares: tuple[float, ...] = (1.0,)
+    block: int = 1 << 20
+    batch: int = 4096
+    small_batch: int = 512
     noise: int = 32
-    rate: float = 0.05
+    busy: int = 128
+    rate: float = 0.2
 
 
 class Tokens:
@@ -51,11 +59,11 @@ class Tokens:
         self.hashes = np.full(self.offsets[-1], END)
         self.hashes[np.arange(len(found.hashes)) + row_of(found.offsets)] = found.hashes
 
-    def contexts(self, classes: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
-        """The classes one and two tokens before; ``outside`` before a text."""
+    def contexts(self, ids: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids one and two tokens before; ``outside`` before a text."""
         starts = self.offsets[:-1]
-        one, two = np.empty_like(classes), np.empty_like(classes)
-        one[1:] = classes[:-1]
+        one, two = np.empty_like(ids), np.empty_like(ids)
+        one[1:] = ids[:-1]
         one[starts] = outside
         two[1:] = one[:-1]
         two[starts] = outside
@@ -115,6 +123,10 @@ def count_tokens(texts: DataFrame, scratch: Scratch, common: int) -> Counts:
             break
         least = row.level
     chosen = table.where(level >= least) if least is not None else table.limit(0)
+    told = sum(row.words for row in levels if least is not None and row.level >= least)
+    if common > told:  # the most frequent of the next level, up to the bound
+        rest = table if least is None else table.where(level < least)
+        chosen = chosen.union(rest.orderBy(F.desc("n"), "word").limit(common - told))
     found = chosen.toArrow()
     order = np.argsort(np.asarray(found["word"], np.int64).view(np.uint64))
     return Counts(
@@ -137,240 +149,229 @@ class Lookup:
         return at
 
 
+class Tree:
+    """A Huffman tree of ``width``: each node chooses between that many words or nodes, frequent words near the root.
+
+    ``items`` are words and nodes but the root; those of one node lie side by side, from ``first`` of it on.
+    ``item`` gives the item of each word, ``above`` the node that an item lies in, ``own`` the item of each
+    node, -1 of the root, which is the last. ``weight`` counts what a node holds, ``share`` is the share of an item in its node.
+    """
+
+    def __init__(self, counts: np.ndarray, width: int):
+        words = len(counts)
+        order = np.argsort(counts, kind="stable")
+        light, weight = counts[order].tolist(), []
+        leaf, inner, members = 0, 0, []
+        merged = max(2, (words - 2) % (width - 1) + 2) if words > 1 else 1  # so that all later nodes are full
+        while not members or leaf < words or inner < len(weight) - 1:
+            held, own = 0, []
+            for _ in range(merged):  # the lightest: words by weight, and nodes, which arise by weight
+                if leaf < words and (inner == len(weight) or light[leaf] <= weight[inner]):
+                    own.append(int(order[leaf]))
+                    held += light[leaf]
+                    leaf += 1
+                else:
+                    own.append(words + inner)
+                    held += weight[inner]
+                    inner += 1
+            members.append(own)
+            weight.append(held)
+            merged = width
+        place = np.concatenate([np.array(own) for own in members])
+        self.nodes, self.width = len(members), width
+        self.first = np.concatenate([[0], np.cumsum([len(own) for own in members])])
+        self.above = np.repeat(np.arange(self.nodes, dtype=np.uint16 if self.nodes < 1 << 16 else np.int64), np.diff(self.first))
+        at = np.full(words + self.nodes, -1, np.int64)
+        at[place] = np.arange(len(place))
+        self.item, self.own = at[:words], at[words:]
+        self.weight = np.array(weight)
+        self.share = np.concatenate([counts, self.weight])[place] / self.weight[self.above]
+
+
 class LogBilinear:
-    """P(w | one, two) is proportional to exp((c1 * r[one] + c2 * r[two]) . q[w] + b[w]).
+    """In a node, P(item | one, two) is proportional to exp((c1 * r[one] + c2 * r[two]) . q[item] + b[item]).
 
-    Classes 0 to size - 2 are words, size - 1 stands for all others; contexts have one class more,
-    for what lies before a text, and then ``extra`` words of the others.
+    A word's probability is the product of the choices on the way to it. Contexts are the words, the
+    class of all others, and what lies before a text.
     """
 
-    def __init__(self, size: int, dims: int, values: np.ndarray, extra: int = 0):
-        self.size, self.dims, self.contexts = size, dims, size + 1 + extra
-        parts = np.split(values.astype(np.float32), np.cumsum([self.contexts * dims, 2 * dims, size * dims]))
-        self.context = parts[0].reshape(self.contexts, dims)
-        self.weights = parts[1].reshape(2, dims)
-        self.target = parts[2].reshape(size, dims)
-        self.bias = parts[3]
+    def __init__(self, tree: Tree, dims: int, rows: np.ndarray):
+        self.tree, self.dims, self.contexts = tree, dims, len(tree.item) + 1
+        self.context = np.ascontiguousarray(rows[: self.contexts, :dims], np.float32)
+        self.weights = rows[self.contexts : self.contexts + 2, :dims].astype(np.float32)
+        self.items = np.ascontiguousarray(rows[self.contexts + 2 :], np.float32)
 
     @staticmethod
-    def initial(share: np.ndarray, dims: int, extra: int = 0) -> np.ndarray:
-        """Small random vectors and the logarithms of the shares: the unigram distribution, near enough."""
-        size = len(share)
+    def initial(tree: Tree, dims: int) -> np.ndarray:
+        """All parameters, one context, weight or item a row, an item's bias last: small random vectors, and biases that make unigram shares."""
         random = np.random.default_rng(7)
-        parts = (random.normal(0, 0.1, (size + 1 + extra) * dims), np.ones(2 * dims), random.normal(0, 0.1, size * dims), np.log(share))
-        return np.concatenate(parts)
+        contexts = len(tree.item) + 1
+        rows = np.zeros((contexts + 2 + len(tree.share), dims + 1), np.float32)
+        rows[:contexts, :dims] = random.normal(0, 0.1, (contexts, dims))
+        rows[contexts : contexts + 2, :dims] = 1
+        rows[contexts + 2 :, :dims] = random.normal(0, 0.1, (len(tree.share), dims))
+        rows[contexts + 2 :, dims] = np.log(tree.share)
+        return rows
 
     @property
-    def values(self) -> np.ndarray:
-        return np.concatenate([part.ravel() for part in (self.context, self.weights, self.target, self.bias)]).astype(np.float64)
+    def rows(self) -> np.ndarray:
+        contexts, weights = (np.column_stack([part, np.zeros(len(part), np.float32)]) for part in (self.context, self.weights))
+        return np.concatenate([contexts, weights, self.items])
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        return self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
-
-
-class Tree:
-    """A Huffman tree of words; each inner node is a choice of its second child with probability 1 / (1 + exp(-(p . q + b))).
-
-    The product of the choices on the way to a word is its probability, so that all words' sum is one
-    without a normaliser. Leaves come first, then inner nodes, of which the last is the root.
-    """
-
-    def __init__(self, parent: np.ndarray, second: np.ndarray, vectors: np.ndarray, bias: np.ndarray):
-        self.parent, self.second, self.vectors, self.bias = parent, second, vectors, bias
-        self.leaves = len(bias) + 1
-        self.low = np.zeros(len(parent) + 1, bool)  # the last for what is above the root
-        self.low[:-1] = True
-        level = np.array([len(parent) - 1])
-        for _ in range(_TOP_LEVELS):
-            level = level[level >= self.leaves]
-            self.low[level] = False
-            level = np.flatnonzero(np.isin(parent, level))
-        self.top = np.flatnonzero(~self.low[self.leaves : -1])
-        # the node below the top that each leaf is reached through, and the choices on the way to it
-        at = np.arange(self.leaves)
-        while len(moving := np.flatnonzero(self.low[parent[at]])):
-            at[moving] = parent[at[moving]]
-        entries, self.entry = np.unique(at, return_inverse=True)
-        self.signs = np.zeros((len(entries), len(self.top)), np.float32)
-        for row, node in enumerate(entries):
-            while parent[node] >= 0:
-                self.signs[row, np.searchsorted(self.top, parent[node] - self.leaves)] = 1 if second[node] else -1
-                node = parent[node]
-
-    @staticmethod
-    def over(counts: np.ndarray, dims: int) -> Tree:
-        """With vectors of zeros and choices in proportion to the counts: the unigram distribution."""
-        leaves = len(counts)
-        order = np.argsort(counts, kind="stable").tolist()
-        weight = counts.tolist() + [0] * (leaves - 1)
-        parent, second, bias = np.full(2 * leaves - 1, -1, np.int32), np.zeros(2 * leaves - 1, bool), np.zeros(leaves - 1, np.float32)
-        leaf, inner = 0, leaves
-        for node in range(leaves, 2 * leaves - 1):
-            pair = []
-            for _ in range(2):  # the lightest: leaves by weight, and inner nodes, which arise by weight
-                if inner == node or leaf < leaves and weight[order[leaf]] <= weight[inner]:
-                    pair.append(order[leaf])
-                    leaf += 1
-                else:
-                    pair.append(inner)
-                    inner += 1
-            parent[pair] = node
-            second[pair[1]] = True
-            weight[node] = weight[pair[0]] + weight[pair[1]]
-            bias[node - leaves] = np.log(weight[pair[1]] / weight[pair[0]])
-        return Tree(parent, second, np.zeros((leaves - 1, dims), np.float32), bias)
-
-    def climb(self, leaf: np.ndarray, below_top: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """For each level from the leaves up: which of them are still below the root (or the top), their inner nodes, and 1 for a second child or -1."""
-        rows, at = np.arange(len(leaf)), leaf
-        while len(rows):
-            up = self.parent[at]
-            below = self.low[up] if below_top else up >= 0
-            rows, at, up = rows[below], at[below], up[below]
-            if len(rows):
-                yield rows, up - self.leaves, np.where(self.second[at], np.float32(1), np.float32(-1))
-            at = up
-
-    def score(self, predicted: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-        """Log10 probabilities of the leaves."""
-        total = np.zeros(len(leaf))
-        for rows, node, sign in self.climb(leaf):
-            choice = np.einsum("ij,ij->i", predicted[rows], self.vectors[node]) + self.bias[node]
-            total[rows] -= np.logaddexp(np.float32(0), -sign * choice)
+        """With a one for the bias at the end."""
+        out = np.ones((len(one), self.dims + 1), np.float32)
+        out[:, :-1] = self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
+        return out
+
+    def climb(self, item: np.ndarray, within: np.ndarray | None = None) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
+        """The choices from the items up: lists of (node, rows, the item chosen, numbered in the node). Ends at a node not ``within``."""
+        tree, rows = self.tree, np.arange(len(item))
+        while True:
+            node = tree.above[item]
+            if within is not None:
+                rows, item, node = rows[within[node]], item[within[node]], node[within[node]]
+            if not len(rows):
+                return
+            order = np.argsort(node, kind="stable")
+            rows, item, node = rows[order], item[order], node[order]
+            cuts = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
+            yield [(int(node[low]), rows[low:high], item[low:high] - tree.first[node[low]]) for low, high in zip(cuts[:-1], cuts[1:])]
+            item = tree.own[node]
+            rows, item = rows[item >= 0], item[item >= 0]
+
+    def score(self, one: np.ndarray, two: np.ndarray, words: np.ndarray, at_once: int = 1 << 9) -> np.ndarray:
+        """Log10 probabilities of ``words``, each choice normalised over its node by batched matrix products."""
+        predicted, total = self.predicted(one, two), np.zeros(len(words))
+        reach = np.sqrt((predicted * predicted).sum(axis=1).max(initial=0))
+        held, ones = np.empty((at_once, self.tree.width), np.float32), np.ones(self.tree.width, np.float32)
+        for level in self.climb(self.tree.item[words]):
+            for node, rows, chosen in level:
+                items = self.items[self.tree.first[node] : self.tree.first[node + 1]]
+                safe = reach * np.sqrt((items * items).sum(axis=1).max()) < _SAFE  # then no score can be larger
+                for start in range(0, len(rows), at_once):
+                    some, own = rows[start : start + at_once], chosen[start : start + at_once]
+                    scores = held.ravel()[: len(some) * len(items)].reshape(len(some), len(items))
+                    np.matmul(predicted[some], items.T, out=scores)
+                    if not safe:
+                        scores -= scores.max(axis=1, keepdims=True)
+                    found = scores[np.arange(len(some)), own]
+                    total[some] += found - np.log(np.exp(scores, out=scores) @ ones[: len(items)])
         return total / np.log(10)
 
 
 class Trainer:
     """Stochastic gradients of the noise-contrastive objective, each parameter at its own rate.
 
-    The noise is the flattened unigram distribution; a batch shares its ``noise`` samples, so that
-    scores and gradients of the noise are matrix products.
+    In each node, a choice that was made is told from samples of the node's noise, its flattened shares;
+    tokens of a batch share the samples, so that scores and gradients are matrix products. Busy nodes, that hold
+    one in ``busy`` of all tokens, learn together with the contexts; the others from a
+    block of tokens at once, grouped by node, and what they ask of the contexts is done in one step.
     """
 
-    def __init__(self, model: LogBilinear, tree: Tree, share: np.ndarray, options: ModelOptions, seed: int):
-        self.model, self.tree, self.options = model, tree, options
-        noise = share**0.75
-        self.noise = noise / noise.sum()
-        self.log_noise = np.log(options.noise * self.noise).astype(np.float32)
-        self.random = np.random.default_rng(seed)
-        parts = (model.context, model.weights, model.target, model.bias, tree.vectors, tree.bias)
-        # rows of less frequent words have small sums of squares and must move all the same
-        self.seen = [np.full_like(part, least) for part, least in zip(parts, (1e-8, 1e-6, 1e-6, 1e-6, 1e-8, 1e-8))]
-        self.context_steps, self.node_steps = np.zeros(len(model.context), np.int64), np.zeros(len(tree.bias), np.int64)
-
-    def _step(self, parts: list[tuple[np.ndarray, np.ndarray]], rows: np.ndarray, gradient: np.ndarray, steps: np.ndarray | None = None) -> None:
-        """Move rows of each part, given with its squares seen, by their summed gradients, whose columns lie side by side."""
+    def __init__(self, model: LogBilinear, options: ModelOptions, seed: int):
+        self.model, self.options, self.random = model, options, np.random.default_rng(seed)
+        tree = model.tree
+        noise = tree.share**0.75
+        noise /= np.add.reduceat(noise, tree.first[:-1])[tree.above]
+        self.reach = np.cumsum(noise)  # to draw from; a node begins where the one before it ends, at a whole number
+        self.log_noise = np.log(np.minimum(options.noise, np.diff(tree.first))[tree.above] * noise).astype(np.float32)
+        self.seen_context, self.seen_below, self.seen_weights = np.ones_like(model.context), np.ones_like(model.context), np.ones_like(model.weights)
+        self.seen_items = np.full_like(model.items, _SEEN)
+        self.context_steps, self.item_steps = np.zeros(len(model.context), np.int64), np.zeros(len(model.items), np.int64)
+        self.busy = tree.weight * options.busy >= tree.weight[-1]
+        self.busy_item = tree.item.copy()  # the first item on the way up that lies in a busy node
+        while len(below := np.flatnonzero(~self.busy[tree.above[self.busy_item]])):
+            self.busy_item[below] = tree.own[tree.above[self.busy_item[below]]]
+
+    def choices(self, node: int, predicted: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+        """Train one node by the items ``chosen`` in it; the gradient of what was predicted."""
+        low, high = self.model.tree.first[node], self.model.tree.first[node + 1]
+        if high - low == 1:
+            return np.zeros((len(predicted), self.options.dims), np.float32)
+        items, log_noise = self.model.items[low:high], self.log_noise[low:high]
+        count = min(self.options.noise, high - low)
+        drawn = np.searchsorted(self.reach[low : high - 1], node + self.random.random(count))
+        goal, against = items[chosen], items[drawn]
+        with np.errstate(over="ignore"):  # beyond the largest number, the choice is certain
+            push = predicted @ against.T
+            np.exp(np.subtract(log_noise[drawn], push, out=push), out=push)
+            np.reciprocal(np.add(push, 1, out=push), out=push)
+            pull = -1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, goal) - log_noise[chosen]))
+        back = push @ against
+        goal *= pull[:, None]
+        back += goal
+        told = np.zeros((high - low, len(predicted)), np.float32)
+        told[chosen, np.arange(len(predicted))] = pull
+        gradient = told @ predicted
+        np.add.at(gradient, drawn, push.T @ predicted)
+        np.add.at(self.item_steps, low + drawn, 1)
+        seen = self.seen_items[low:high]
+        seen += gradient * gradient
+        gradient *= self.options.rate
+        items -= np.divide(gradient, np.sqrt(seen), out=gradient)
+        return back[:, :-1]
+
+    def block(self, one: np.ndarray, two: np.ndarray, words: np.ndarray) -> None:
+        """Train by tokens in random order: the nodes that are not busy, then the others and the contexts in batches."""
+        model, options, item = self.model, self.options, self.model.tree.item[words]
+        predicted, back = model.predicted(one, two), np.zeros((len(words), options.dims), np.float32)
+        for level in model.climb(item, ~self.busy):
+            for node, rows, chosen in level:
+                for start in range(0, len(rows), options.small_batch):
+                    some = rows[start : start + options.small_batch]
+                    back[some] += self.choices(node, predicted[some], chosen[start : start + options.small_batch])
+        some = np.flatnonzero(~self.busy[model.tree.above[item]])
+        self._step_contexts(one[some], two[some], back[some], self.seen_below)
+        np.add.at(self.item_steps, item, 1)
+        for start in range(0, len(words), options.batch):
+            first, second = one[start : start + options.batch], two[start : start + options.batch]
+            predicted = model.predicted(first, second)
+            back = np.zeros((len(first), options.dims), np.float32)
+            for level in model.climb(self.busy_item[words[start : start + options.batch]]):
+                for node, rows, chosen in level:
+                    back[rows] += self.choices(node, predicted[rows], chosen)
+            to_weights = np.stack([(back * model.context[first]).sum(axis=0), (back * model.context[second]).sum(axis=0)])
+            self._step_contexts(first, second, back, self.seen_context)
+            self.seen_weights += to_weights * to_weights
+            model.weights -= options.rate * to_weights / np.sqrt(self.seen_weights)
+
+    def _step_contexts(self, one: np.ndarray, two: np.ndarray, to_predicted: np.ndarray, seen: np.ndarray) -> None:
+        rows = np.concatenate([one, two])
+        if not len(rows):
+            return
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        summed, at = np.add.reduceat(gradient[order], first, axis=0), 0
-        if steps is not None:
-            steps[rows[first]] += np.diff(np.append(first, len(rows)))
+        gradient = np.concatenate([to_predicted * self.model.weights[0], to_predicted * self.model.weights[1]])
+        summed = np.add.reduceat(gradient[order], first, axis=0)
+        self.context_steps[rows[first]] += np.diff(np.append(first, len(rows)))
         rows = rows[first]
-        for part, seen in parts:
-            own = summed[:, at : at + part.shape[1]] if part.ndim > 1 else summed[:, at]
-            at += part.shape[1] if part.ndim > 1 else 1
-            seen[rows] += own * own
-            part[rows] -= self.options.rate * own / np.sqrt(seen[rows])
-
-    def _choices(self, predicted: np.ndarray, leaf: np.ndarray, scale: np.float32) -> np.ndarray:
-        """Train the ways to the leaves; the gradient of what was predicted."""
-        tree, top = self.tree, self.tree.top
-        signs = tree.signs[tree.entry[leaf]]
-        choices = predicted @ tree.vectors[top].T + tree.bias[top]
-        high = -signs / (1 + np.exp(np.clip(signs * choices, -30, 30))) * scale
-        back = high @ tree.vectors[top]
-        nodes, pulls, gradients = [np.asarray(top)], [high.sum(axis=0)], [high.T @ predicted]
-        self.node_steps[top] += np.count_nonzero(signs, axis=0) - 1  # and one by the step
-        for rows, node, sign in tree.climb(leaf, below_top=True):
-            vectors, before = tree.vectors[node], predicted[rows]
-            choice = np.einsum("ij,ij->i", before, vectors) + tree.bias[node]
-            pull = -sign / (1 + np.exp(np.clip(sign * choice, -30, 30))) * scale
-            back[rows] += pull[:, None] * vectors
-            nodes.append(node)
-            pulls.append(pull)
-            gradients.append(pull[:, None] * before)
-        parts = [(tree.vectors, self.seen[4]), (tree.bias, self.seen[5])]
-        self._step(parts, np.concatenate(nodes), np.column_stack([np.concatenate(gradients), np.concatenate(pulls)]), self.node_steps)
-        return back
-
-    def train(self, one: np.ndarray, two: np.ndarray, target: np.ndarray, leaf: np.ndarray) -> None:
-        """``leaf`` is that of each target that is one of the others, in their order."""
-        model, noise = self.model, self.random.choice(len(self.noise), self.options.noise, p=self.noise)
-        first, second = model.context[one], model.context[two]
-        predicted = first * model.weights[0] + second * model.weights[1]
-        goal, against = model.target[target], model.target[noise]
-        score = np.einsum("ij,ij->i", predicted, goal) + model.bias[target] - self.log_noise[target]
-        score_noise = predicted @ against.T + (model.bias[noise] - self.log_noise[noise])
-        scale = np.float32(1 / len(target))
-        pull = (1 / (1 + np.exp(-np.clip(score, -30, 30))) - 1) * scale
-        push = 1 / (1 + np.exp(-np.clip(score_noise, -30, 30))) * scale
-        to_predicted = pull[:, None] * goal + push @ against
-        to_target = np.concatenate([pull[:, None] * predicted, push.T @ predicted])
-        other = np.flatnonzero(target == model.size - 1)
-        if len(other) and len(self.tree.bias):
-            to_predicted[other] += self._choices(predicted[other], leaf, scale)
-        to_target = np.column_stack([to_target, np.concatenate([pull, push.sum(axis=0)])])
-        self._step([(model.target, self.seen[2]), (model.bias, self.seen[3])], np.concatenate([target, noise]), to_target)
-        to_weights = np.stack([(to_predicted * first).sum(axis=0), (to_predicted * second).sum(axis=0)])
-        to_context = np.concatenate([to_predicted * model.weights[0], to_predicted * model.weights[1]])
-        self._step([(model.context, self.seen[0])], np.concatenate([one, two]), to_context, self.context_steps)
-        self._step([(model.weights, self.seen[1])], np.arange(2), to_weights)
-
-
-class Vocabulary:
-    """Ids of tokens: classes of the model, and from size + 1 on the other common words, each with a leaf; those beyond share the last leaf."""
-
-    def __init__(self, common: np.ndarray, chosen: np.ndarray):
-        self.lookup, self.size = Lookup(common), len(chosen) + 1
-        others = np.ones(len(common), bool)
-        others[chosen] = False
-        self.extra = int(others.sum())
-        self.ids = np.full(len(common) + 1, self.size - 1, np.int32)
-        self.ids[chosen] = np.arange(self.size - 1)
-        self.ids[:-1][others] = self.size + 1 + np.arange(self.extra)
-
-    def classes(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids > self.size, self.size - 1, ids)
-
-    def leaves(self, ids: np.ndarray) -> np.ndarray:
-        """Of the ids that are no class of their own."""
-        return np.where(ids > self.size, ids - self.size - 1, self.extra)
-
-
-def _rows(model: LogBilinear, tree: Tree) -> np.ndarray:
-    """All parameters, a context, weight, target or node a row, with its bias or 0."""
-    contexts, weights = (np.column_stack([part, np.zeros(len(part), np.float32)]) for part in (model.context, model.weights))
-    return np.concatenate([contexts, weights, np.column_stack([model.target, model.bias]), np.column_stack([tree.vectors, tree.bias])])
-
-
-def _model_of(rows: np.ndarray, size: int, extra: int, parent: np.ndarray, second: np.ndarray) -> tuple[LogBilinear, Tree]:
-    contexts, weights, targets, nodes = np.split(rows, np.cumsum([size + 1 + extra, 2, size]))
-    values = np.concatenate([contexts[:, :-1].ravel(), weights[:, :-1].ravel(), targets[:, :-1].ravel(), targets[:, -1]])
-    return LogBilinear(size, rows.shape[1] - 1, values, extra), Tree(parent, second, nodes[:, :-1].copy(), nodes[:, -1].copy())
+        held = seen[rows] + summed * summed
+        seen[rows] = held
+        self.model.context[rows] -= self.options.rate * summed / np.sqrt(held)
 
 
 def _trained(shared, options: ModelOptions, seed: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, chosen, share, parent, second, values = shared.value
-        known = Vocabulary(common, chosen)
-        trainer = Trainer(*_model_of(values, known.size, known.extra, parent, second), share, options, seed)
+        common, tree, rows = shared.value
+        lookup = Lookup(common)
+        trainer = Trainer(LogBilinear(tree, options.dims, rows), options, seed)
         total = 0
         for batch in batches:
-            for block in blocks(batch.column(0)):
+            for block in blocks(batch.column(0), _BLOCK_BYTES):
                 tokens = Tokens(block)
-                ids = known.ids[known.lookup(tokens.hashes)]
-                one, two = tokens.contexts(ids, known.size)
-                classes, leaves = known.classes(ids), known.leaves(ids)
+                ids = lookup(tokens.hashes)
+                one, two = tokens.contexts(ids, len(common) + 1)
                 order = trainer.random.permutation(len(ids))
-                for start in range(0, len(order), options.batch):
-                    some = order[start : start + options.batch]
-                    trainer.train(one[some], two[some], classes[some], leaves[some[classes[some] == known.size - 1]])
+                for start in range(0, len(order), options.block):
+                    some = order[start : start + options.block]
+                    trainer.block(one[some], two[some], ids[some])
                 total += len(ids)
         if total:
-            weight = np.concatenate([trainer.context_steps, np.full(2 + known.size, total), trainer.node_steps])
+            weight = np.concatenate([trainer.context_steps, np.full(2, total), trainer.item_steps])
             places = np.flatnonzero(weight)
-            moved = _rows(trainer.model, trainer.tree)
+            moved = trainer.model.rows
             yield _packed((number, places[lo:hi], weight[places[lo:hi]], moved[places[lo:hi]]) for number, lo, hi in _parts(places))
 
     return train
@@ -386,7 +387,7 @@ def _parts(places: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 
 def _packed(parts: Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-    columns = list(zip(*((number, places.tobytes(), weights.tobytes(), rows.astype(np.float32).tobytes()) for number, places, weights, rows in parts)))
+    columns = list(zip(*((number, places.astype(np.int64).tobytes(), weights.astype(np.int64).tobytes(), rows.astype(np.float32).tobytes()) for number, places, weights, rows in parts)))
     return pa.RecordBatch.from_arrays([pa.array(columns[0]), *(pa.array(column, pa.binary()) for column in columns[1:])], ["part", "places", "weights", "rows"])
 
 
@@ -411,70 +412,29 @@ def _averaged(width: int):
     return average
 
 
-def train_model(
-    texts: DataFrame, common: np.ndarray, chosen: np.ndarray, share: np.ndarray, tree: Tree, options: ModelOptions
-) -> np.ndarray:
-    """Rows of parameters after ``rounds`` passes over the one column of ``texts``.
+def train_model(texts: DataFrame, common: np.ndarray, tree: Tree, options: ModelOptions) -> np.ndarray:
+    """Rows of parameters after a pass over the one column of ``texts``, cut into a round for each of the ``shares``.
 
-    After each, a row is averaged over the tasks that moved it, by how often they did; tasks send no
-    other rows. There are at most two tasks a core, so that what they send does not grow with the input.
+    After a round, a row is averaged over the tasks that moved it, by how often they did; tasks send no
+    other rows. Tasks are the splits of the input, so that each is bounded and a lost one costs little. The texts
+    of a round are chosen by a hash of their content.
     """
-    extra = len(common) - len(chosen)
-    values = _rows(LogBilinear(len(share), options.dims, LogBilinear.initial(share, options.dims, extra), extra), tree)
-    context = session_of(texts).sparkContext
-    for number in range(options.rounds):
-        shared = context.broadcast((common, chosen, share, tree.parent, tree.second, values))
-        moved = texts.coalesce(2 * context.defaultParallelism).mapInArrow(_trained(shared, options, number), _MOVED)
+    rows = LogBilinear.initial(tree, options.dims)
+    context, steps, done = session_of(texts).sparkContext, 1 << 20, 0
+    drawn = F.pmod(F.xxhash64(F.lit(5), texts[texts.columns[0]]), F.lit(steps))
+    ends = [round(steps * sum(options.shares[: number + 1]) / sum(options.shares)) for number in range(len(options.shares))]
+    for number, end in enumerate(ends):
+        shared = context.broadcast((common, tree, rows))
+        moved = texts.where((drawn >= done) & (drawn < end)).mapInArrow(_trained(shared, options, number), _MOVED)
         found = moved.repartition("part").mapInArrow(_averaged(options.dims + 1), _MOVED).toArrow()
         shared.destroy()
-        values = values.copy()
-        for _, places, _, rows in _unpacked(found, options.dims + 1):
-            values[places] = rows
-    return values
-
-
-class Scorer:
-    """Normalised log10 probabilities of classes; the normaliser of a context of two classes is computed once per worker."""
-
-    def __init__(self, vocabulary: np.ndarray, values: np.ndarray, dims: int, extra: int = 0):
-        size = len(vocabulary) + 1
-        self.model = LogBilinear(size, dims, values, extra)
-        self.normalisers = np.full((size + 1) * (size + 1), np.nan, np.float32)
-
-    def _normalise(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """Log of the sum over all classes, by batched matrix products over contexts."""
-        model, found = self.model, np.empty(len(one), np.float32)
-        targets = np.column_stack([model.target, model.bias]).T.copy()
-        reach = np.sqrt((targets * targets).sum(axis=0).max())
-        for start in range(0, len(one), _CONTEXTS_AT_ONCE):
-            some = slice(start, start + _CONTEXTS_AT_ONCE)
-            predicted = model.predicted(one[some], two[some])
-            predicted = np.column_stack([predicted, np.ones(len(predicted), np.float32)])
-            scores = predicted @ targets
-            if reach * np.sqrt((predicted * predicted).sum(axis=1).max()) < _SAFE:  # no score can be larger
-                found[some] = np.log(np.exp(scores, out=scores).sum(axis=1))
-                continue
-            most = scores.max(axis=1, keepdims=True)
-            scores -= most
-            found[some] = most[:, 0] + np.log(np.exp(scores, out=scores).sum(axis=1))
-        return found
-
-    def score(self, one: np.ndarray, two: np.ndarray, target: np.ndarray) -> np.ndarray:
-        model = self.model
-        context, place = np.unique(one.astype(np.int64) * model.contexts + two, return_inverse=True)
-        first, second = np.divmod(context, model.contexts)
-        kept = (first <= model.size) & (second <= model.size)
-        cell = first[kept] * (model.size + 1) + second[kept]
-        new = np.isnan(self.normalisers[cell])
-        self.normalisers[cell[new]] = self._normalise(first[kept][new], second[kept][new])
-        normalisers = np.empty(len(context), np.float32)
-        normalisers[kept] = self.normalisers[cell]
-        normalisers[~kept] = self._normalise(first[~kept], second[~kept])
-        plain = np.einsum("ij,ij->i", model.predicted(one, two), model.target[target]) + model.bias[target]
-        return (plain - normalisers[place]).astype(np.float64) / np.log(10)
-
-
-_scorers: dict[str, tuple[Scorer, Tree]] = {}
+        rows, done = rows.copy(), end
+        for _, places, _, values in _unpacked(found, options.dims + 1):
+            rows[places] = values
+    return rows
+
+
+_models: dict[str, LogBilinear] = {}
 
 _SCORED = (
     "row long, id long, learned boolean, n_tokens long, known long, common_log double, model_log double,"
@@ -484,29 +444,24 @@ _SCORED = (
 _SCORED_NAMES = ["row", "id", "learned", "n_tokens", "known", "common_log", "model_log", "rare"]
 
 
-def _scored(shared):
+def _scored(shared, dims: int):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, common, counts, chosen, parent, second, values = shared.value
-        known = Vocabulary(common, chosen)
-        if name not in _scorers:
-            _scorers.clear()
-            model, tree = _model_of(values, known.size, known.extra, parent, second)
-            _scorers[name] = Scorer(chosen, model.values, model.dims, known.extra), tree
-        scorer, tree = _scorers[name]
+        name, common, counts, tree, rows = shared.value
+        lookup = Lookup(common)
+        if name not in _models:
+            _models.clear()
+            _models[name] = LogBilinear(tree, dims, rows)
+        model = _models[name]
         logs = np.append(np.log10(counts + 1.0), 0)
         for batch in batches:
-            for block in blocks(batch.column(3)):
+            for block in blocks(batch.column(3), _BLOCK_BYTES):
                 tokens = Tokens(block)
-                place = known.lookup(tokens.hashes)
-                ids = known.ids[place]
-                classes = known.classes(ids)
-                one, two = tokens.contexts(ids, known.size)
-                each = scorer.score(one, two, classes)
-                other = np.flatnonzero(classes == known.size - 1)
-                each[other] += tree.score(scorer.model.predicted(one[other], two[other]), known.leaves(ids[other]))
+                ids = lookup(tokens.hashes)
+                one, two = tokens.contexts(ids, len(common) + 1)
+                each = model.score(one, two, ids)
                 starts = tokens.offsets[:-1]
-                told = place < len(common)
-                sums = [np.add.reduceat(part, starts) for part in (told.astype(np.int64), logs[place], each)]
+                told = ids < len(common)
+                sums = [np.add.reduceat(part, starts) for part in (told.astype(np.int64), logs[ids], each)]
                 rare = np.flatnonzero(~told)
                 row = np.searchsorted(tokens.offsets, rare, "right") - 1
                 order = np.lexsort((tokens.hashes[rare], row))
@@ -533,11 +488,12 @@ def score_texts(
 
     Tokens are the words between blanks, A to Z in lower case, and one end; a null text has the end
     alone. ``base_score`` is the sum of log10((c + 1) / (N + V + 1)) over tokens: count in, size and
-    distinct tokens of the training texts. ``score`` is the log10 probability of the text: the classes
-    of its tokens under the log-bilinear model, normalised over all classes, and within the class of
-    other words the choices on the way to the word in a tree, from the same context; words beyond the
-    ``common`` ones are one leaf, and within it have their unigram shares with one for all unseen words. Without training texts every
-    token is unseen: the base is 0 and so is the score.
+    distinct tokens of the training texts. ``score`` is the log10 probability of the text under the
+    log-bilinear model: each token's is the product of the choices on the way to it in a wide Huffman
+    tree, each normalised over its node. Words beyond the ``common`` ones are one item of it, and within it
+    have their unigram shares with one for all unseen words. Without training texts every
+    token is unseen: the base is 0 and so is the score. The model, and so ``score``, depends on how the
+    input is cut into tasks, as these train side by side; the counts and the base do not.
 
     All counts and all training tokens are used. A word is known by a 64-bit hash. Counts and vectors of at most
     ``common`` words are sent to the tasks; the rest of a text's words, each as often as it differs,
@@ -551,19 +507,14 @@ def score_texts(
     )
     training = rows.where("learned").select("text")
     counts = count_tokens(training, scratch, options.common)
-    frequent = np.lexsort((counts.common, -counts.common_counts))
-    frequent = np.concatenate([frequent[counts.common[frequent] == END], frequent[counts.common[frequent] != END]])
-    chosen = np.sort(frequent[: options.vocabulary + 1])
-    held, told = int(counts.common_counts[chosen].sum()), int(counts.common_counts.sum())
-    share = np.append(counts.common_counts[chosen], max(1, counts.tokens - held)).astype(np.float64)
-    share /= share.sum()
+    told = int(counts.common_counts.sum())
     beyond = counts.tokens - told + counts.distinct - len(counts.common) + 1
-    tree = Tree.over(np.append(np.delete(counts.common_counts, chosen), beyond), options.dims)
-    values = train_model(training, counts.common, chosen, share, tree, options)
+    tree = Tree(np.append(counts.common_counts, beyond), options.width)
+    values = train_model(training, counts.common, tree, options)
 
-    shared = spark.sparkContext.broadcast((scratch.folder, counts.common, counts.common_counts, chosen, tree.parent, tree.second, values))
+    shared = spark.sparkContext.broadcast((scratch.folder, counts.common, counts.common_counts, tree, values))
     texts = rows.select(F.monotonically_increasing_id().alias("row"), F.col("id").cast("long").alias("id"), "learned", "text")
-    scored = scratch.keep(texts.mapInArrow(_scored(shared), _SCORED), "scored")
+    scored = scratch.keep(texts.mapInArrow(_scored(shared, options.dims), _SCORED), "scored")
     entries = scored.select("row", F.explode("rare").alias("entry")).select("row", F.col("entry.word").alias("word"), "entry.times")
     rare = entries.join(counts.table, "word").groupBy("row").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_log")

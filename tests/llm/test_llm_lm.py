@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stagemart.llm.lm import LogBilinear, ModelOptions, Scorer, Trainer, Tree, score_texts
+from stagemart.llm.lm import LogBilinear, ModelOptions, Trainer, Tree, score_texts
 from stagemart.llm.queries import op2_lm_scoring
 
 
@@ -43,28 +43,56 @@ def test_base_equals_plain_counts(spark, common):
     rows = [(row.doc_id, row.text, row.doc_id % 3 > 0) for row in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
     rows += [(-1, None, True), (-2, "", False), (-3, "new WORDS only", False), (-4, "again " * 200_000, True), (-4, "again " * 200_000, True), (None, "x", True)]
     frame = spark.createDataFrame([(*row, 1, "x") for row in rows], "doc_id long, text string, learn boolean, n int, word string")
-    _assert_equal(rows, score_texts(frame, F.col("learn"), options=ModelOptions(vocabulary=60, common=common)).collect())
+    _assert_equal(rows, score_texts(frame, F.col("learn"), options=ModelOptions(common=common, width=9)).collect())
 
 
 def test_scores_beat_the_base_on_texts_not_learned_from(spark):
     rows = op2_lm_scoring(spark, "/root/testdata/sf0.01").collect()
     held = [row for row in rows if row.held_out]
     assert {row.doc_id for row in held} == {row.doc_id for row in rows if zlib.crc32(str(row.doc_id).encode()) % 7 == 2}
-    assert sum(row.score for row in held) > 0.995 * sum(row.base_score for row in held)
-
-
-def test_every_context_is_normalised():
-    random = np.random.default_rng(1)
-    size, dims = 50, 6
-    values = random.normal(0, 1, (size + 1) * dims + 2 * dims + size * dims + size)
-    scorer = Scorer(np.arange(size - 1, dtype=np.uint64), values, dims)
-    one, two = np.divmod(np.arange((size + 1) ** 2), size + 1)
-    total = sum(10 ** scorer.score(one, two, np.full(len(one), target)) for target in range(size))
-    assert total == pytest.approx(np.ones(len(one)), abs=1e-4)
-    model = LogBilinear(size, dims, values)
-    plain = model.predicted(one[:9], two[:9]) @ model.target.T + model.bias
-    plain -= np.log(np.exp(plain).sum(axis=1, keepdims=True))
-    assert scorer.score(one[:9], two[:9], np.arange(9)) == pytest.approx(plain[np.arange(9), np.arange(9)] / np.log(10), abs=1e-5)
+    assert sum(row.score for row in held) > 0.99 * sum(row.base_score for row in held)
+
+
+COUNTS = [[5], [3, 1], [7] * 1000, [*range(1, 900)], [2**n for n in range(40)]]
+
+
+def _model(counts, width, dims=5, seed=2, spread=1.0):
+    tree = Tree(np.array(counts), width)
+    rows = np.random.default_rng(seed).normal(0, spread, (len(counts) + 3 + len(tree.share), dims + 1))
+    return LogBilinear(tree, dims, rows)
+
+
+@pytest.mark.parametrize("width", [2, 7, 256])
+@pytest.mark.parametrize("counts", COUNTS, ids=["one", "two", "equal", "rising", "steep"])
+def test_a_tree_starts_as_shares_and_stays_normalised(counts, width):
+    tree = Tree(np.array(counts), width)
+    assert np.diff(tree.first).max() <= width and (np.sort(np.concatenate([tree.item, tree.own[:-1]])) == np.arange(len(tree.share))).all()
+    model, words = LogBilinear(tree, 5, LogBilinear.initial(tree, 5)), np.arange(len(counts))
+    model.items[:, :-1] = 0
+    none = np.zeros(len(counts), np.int64)
+    assert 10 ** model.score(none, none, words) == pytest.approx(np.array(counts) / sum(counts), rel=1e-3)
+    model = _model(counts, width)
+    for one, two in ((0, 0), (len(counts), 0), (len(counts) - 1, len(counts))):
+        assert sum(10 ** model.score(none + one, none + two, words)) == pytest.approx(1, abs=1e-4)
+
+
+@pytest.mark.parametrize("spread", [0.5, 20.0])
+def test_scores_equal_plain_choices(spread):
+    """The whole probability of each word of a small text, choice by choice."""
+    model = _model([5, 4, 3, 3, 2, 2, 1, 1, 1], 3, spread=spread)
+    tree, text = model.tree, [0, 3, 3, 8, 1, 7]
+    found = model.score(np.array([9, *text[:-1]]), np.array([9, 9, *text[:-2]]), np.array(text))
+    for place, word in enumerate(text):
+        one, two = (text[place - 1] if place else 9), (text[place - 2] if place > 1 else 9)
+        predicted = [float(a) * float(r) + float(b) * float(q) for a, b, r, q in zip(model.context[one], model.context[two], *model.weights)]
+        total, item = 0.0, tree.item[word]
+        while item >= 0:
+            node = tree.above[item]
+            plain = [sum(p * float(q) for p, q in zip(predicted, model.items[other])) + float(model.items[other][-1]) for other in range(tree.first[node], tree.first[node + 1])]
+            most = max(plain)
+            total += plain[item - tree.first[node]] - most - math.log(sum(math.exp(value - most) for value in plain))
+            item = tree.own[node]
+        assert found[place] == pytest.approx(total / math.log(10), rel=1e-4, abs=1e-4)
 
 
 def test_the_whole_distribution_over_texts_of_one_word(spark):
@@ -73,44 +101,49 @@ def test_the_whole_distribution_over_texts_of_one_word(spark):
     training = [(0, "a b a c a", True), (1, "b d a", True), (2, "c", True)]
     probes = [(10 + n, word, False) for n, word in enumerate([*known, "unseen"])]
     frame = spark.createDataFrame(training + probes, "doc_id long, text string, learn boolean")
-    found = {row.id: row.score for row in score_texts(frame, F.col("learn"), options=ModelOptions(vocabulary=2)).collect()}
+    found = {row.id: row.score for row in score_texts(frame, F.col("learn"), options=ModelOptions(width=2)).collect()}
     assert 0 < sum(10 ** found[ident] for ident, _, _ in probes) < 1
 
 
-@pytest.mark.parametrize("counts", [[5], [3, 1], [7] * 1000, [*range(1, 900)], [2**n for n in range(40)]], ids=["one", "two", "equal", "rising", "steep"])
-def test_a_tree_starts_as_shares_and_stays_normalised(counts):
-    random = np.random.default_rng(2)
-    counts = np.array(counts)
-    tree, dims = Tree.over(counts, 5), 5
-    leaves, predicted = np.arange(len(counts)), np.tile(random.normal(0, 1, dims).astype(np.float32), (len(counts), 1))
-    assert 10 ** tree.score(predicted, leaves) == pytest.approx(counts / counts.sum(), rel=1e-3)
-    tree.vectors[:] = random.normal(0, 1, tree.vectors.shape)
-    assert sum(10 ** tree.score(predicted, leaves)) == pytest.approx(1, abs=1e-4)
-
-
-def test_a_tree_is_trained_by_its_gradient():
+def test_a_node_is_trained_by_the_gradient_of_its_objective():
     random = np.random.default_rng(3)
-    tree, dims = Tree.over(random.integers(1, 50, 600), 4), 4
-    tree.vectors[:] = random.normal(0, 1, tree.vectors.shape)
-    leaf, predicted = random.integers(0, 600, 40), random.normal(0, 1, (40, dims)).astype(np.float32)
-    steps = np.zeros((40, dims))
-    for dim in range(dims):
-        moved = np.eye(dims, dtype=np.float32)[dim] * np.float32(0.01)
-        steps[:, dim] = (tree.score(predicted - moved, leaf) - tree.score(predicted + moved, leaf)) * np.log(10) / 0.02
-    before = tree.score(predicted, leaf).sum()
-    share = np.array([0.5, 0.5])
-    trainer = Trainer(LogBilinear(2, dims, LogBilinear.initial(share, dims)), tree, share, ModelOptions(dims=dims, noise=2), 0)
-    assert trainer._choices(predicted, leaf, np.float32(1)) == pytest.approx(steps, abs=0.02)
-    assert tree.score(predicted, leaf).sum() > before
-    assert trainer.node_steps.sum() == sum(len(rows) for rows, _, _ in tree.climb(leaf)) and trainer.node_steps[-1] == 40
-
-
-def test_words_outside_the_vocabulary_depend_on_their_context(spark):
-    """Each left word is followed by its right one; none of them is among the words predicted by themselves."""
+    model = _model([3, 4, 5, 6, 7, 8], 6, dims=4)
+    options = ModelOptions(dims=4, noise=6)
+    chosen, predicted = random.integers(0, 6, 30), np.column_stack([random.normal(0, 1, (30, 4)), np.ones(30)]).astype(np.float32)
+    trainer = Trainer(model, options, 0)
+    low, high = model.tree.first[0], model.tree.first[1]
+    # the samples the trainer is about to draw
+    reach = trainer.reach[low:high]
+    drawn = np.searchsorted(reach, np.random.default_rng(0).random(6))
+
+    def loss(predicted, items):
+        told = (predicted * items[chosen]).sum(axis=1) - trainer.log_noise[low:high][chosen]
+        other = predicted @ items[drawn].T - trainer.log_noise[low:high][drawn]
+        return np.logaddexp(0, -told).sum() + np.logaddexp(0, other).sum()
+
+    items, step = model.items[low:high].astype(np.float64), 1e-4
+    by_item = np.zeros(items.shape)
+    for at in np.ndindex(*items.shape):
+        moved = np.zeros(items.shape)
+        moved[at] = step
+        by_item[at] = (loss(predicted, items + moved) - loss(predicted, items - moved)) / (2 * step)
+    by_predicted = np.zeros((30, 4))
+    for at in np.ndindex(30, 4):
+        moved = np.zeros((30, 5))
+        moved[at] = step
+        by_predicted[at] = (loss(predicted + moved, items) - loss(predicted - moved, items)) / (2 * step)
+    before = trainer.seen_items[low:high].copy()
+    assert trainer.choices(0, predicted, chosen) == pytest.approx(by_predicted, abs=1e-3)
+    assert model.items[low:high] == pytest.approx(items - options.rate * by_item / np.sqrt(before + by_item**2), abs=1e-4)
+    assert trainer.item_steps.sum() == 36
+
+
+def test_words_in_lower_nodes_depend_on_their_context(spark):
+    """Each left word is followed by its right one, and both lie below the root."""
     training = [(n, f"the left{n % 30} right{n % 30}", True) for n in range(6000)]
     probes = [(10_000 + 100 * kind + n, f"the left{n} right{(n + kind) % 30}", False) for kind in (0, 1) for n in range(30)]
     frame = spark.createDataFrame(training + probes, "doc_id long, text string, learn boolean").coalesce(1)
-    options = ModelOptions(vocabulary=1, batch=64, rate=0.2)
+    options = ModelOptions(width=8, block=256, batch=64, small_batch=64, rate=0.5)
     found = {row.id: row for row in score_texts(frame, F.col("learn"), options=options).collect()}
     told, mixed = (sum(found[10_000 + 100 * kind + n].score for n in range(30)) for kind in (0, 1))
     assert sum(found[10_000 + n].base_score for n in range(30)) == pytest.approx(sum(found[10_100 + n].base_score for n in range(30)))
