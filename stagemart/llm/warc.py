@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stagemart.llm.markup import read_page
 from stagemart.llm.shipping import session_of
 
 VERSION = "WARC/1.1"
@@ -23,35 +24,12 @@ RECORD = (
 _NAMES = [part.split()[0] for part in RECORD.split(",")]
 _KINDS = [pa.int64() if part.split()[1] == "long" else pa.string() for part in RECORD.split(",")]
 
-#: A head may lack its closing tag, so it ends at the first tag or text that cannot stand in one.
-_HEAD = (
-    r"<head(?=[\s/>])[^>]*>(?:\s+|<!--.*?(?:-->|\Z)|<[!?][^>]*>|<title\b[^>]*>.*?</title\s*>"
-    r"|<(?P<raw>script|style|noscript|noframes|template)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
-    r"|<(?:base|basefont|bgsound|link|meta|html|head)(?=[\s/>])[^>]*>|</(?!(?:head|body|html|br)[\s/>])[a-z][^>]*>)*(?:</head\s*>)?"
-)
-#: A title behind such an end is no text of the page either.
-_HIDDEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)|{_HEAD}|<title\b[^>]*>[^<]*</title\s*>", re.IGNORECASE | re.DOTALL
-)
-_BREAK = re.compile(
-    r"</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|html|li"
-    r"|main|nav|ol|p|pre|section|table|tbody|td|tfoot|th|thead|tr|ul)\b[^>]*>",
-    re.IGNORECASE,
-)
-_TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
-_LANG = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z0-9-]+)", re.IGNORECASE)
-_LINK = re.compile(r"<a\b[^>]*?\bhref\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 
 
 def plain_text(page: str) -> str:
-    """What a reader sees, a block element a line: comments, scripts, styles and the head are left out."""
-    page = _TAG.sub("", _BREAK.sub("\n", _HIDDEN.sub(" ", page)))
-    if "&" in page:
-        page = html.unescape(page)
-    lines = (" ".join(line.split()) for line in page.splitlines())
-    return "\n".join(line for line in lines if line)
+    """What a reader sees, see :func:`read_page`."""
+    return read_page(page).text
 
 
 def digest(data: bytes) -> str:
@@ -99,16 +77,15 @@ def _derived(key: str, response: tuple) -> list[tuple]:
     status, *http = head.split("\r\n")
     origin = [("WARC-Refers-To-Target-URI", uri)] if uri is not None else []
     origin.append(("WARC-Refers-To-Date", date))
-    title, language = _TITLE.search(page), _LANG.search(page)
+    told = read_page(page)
     fields = [("source-content-type", source_type), ("source-content-length", str(length)), ("source-block-digest", block_digest)]
     fields += [("source-payload-digest", payload_digest), ("http-status", status)]
     fields += [("http-header", line) for line in http]
-    fields += [("title", html.unescape(title[1]))] if title else []
-    fields += [("language", language[1])] if language else []
-    links = ("".join(found.groups("")) for found in _LINK.finditer(page))
-    fields += [("outlink", html.unescape(link)) for link in dict.fromkeys(links)]
+    fields += [("title", html.unescape(told.title))] if told.title is not None else []
+    fields += [("language", told.language)] if told.language else []
+    fields += [("outlink", html.unescape(link)) for link in told.links]
     noted = "".join(f"{name}: {_value(value)}\r\n" for name, value in fields)
-    text = plain_text(page)
+    text = told.text
     return [
         _record("metadata", key, uri, date, "application/warc-fields", noted, source, None, origin),
         _record(
@@ -147,9 +124,11 @@ def build_records(
     ``conversion`` holds the plain text; both name the response's id, uri and date, and the
     conversion its payload digest. Ids are digests of id, uri and content, so a rerun gives the same
     ones, and a row repeated gives the same records again. Null html is an empty page, a null url leaves out the uri; a
-    page without text gives an empty conversion. ``record`` is the whole record as it stands in a
-    WARC file. No row moves.
+    page without text gives an empty conversion. A page is read in time proportional to its length, whatever its markup. ``record`` is the whole record as it stands in a
+    WARC file. No row moves; an empty table gives no records. A column named ``output`` raises ValueError; other columns pass through.
     """
+    if output in pages.columns:
+        raise ValueError(f"there is a column {output} already")
     session_of(pages)
     built = F.arrow_udf(_built(date, kinds), f"array<struct<{', '.join(part.strip().replace(' ', ':', 1) for part in RECORD.split(','))}>>")
     columns = [F.col(id_column).cast("string"), F.col(url_column).cast("string"), F.col(html_column).cast("string")]
