@@ -65,15 +65,43 @@ def test_hits_equal_all_windows(spark, block_words):
     for row in found:
         said = row.contamination
         assert (said.n_words, said.n_hit, said.n_items, said.items_sha256, said.contaminated) == _expected(texts[row.doc_id], items), texts[row.doc_id]
-        by_item = {}
+        longest = 0
         for match in said.matches:
             words = _words(dict((str(a), b) for a, b in items if a is not None).get(match.item, items[5][1]))
             stretch = _words(texts[row.doc_id])[match.start : match.start + match.length]
             assert stretch == words[match.item_start : match.item_start + match.length]
-            by_item[match.item] = max(match.length, by_item.get(match.item, 0))
-        for item, length in by_item.items():
-            if item != "null":
-                assert length == _longest(texts[row.doc_id], dict((str(a), b) for a, b in items)[item])
+            longest = max(longest, match.length)
+        if said.n_hit and block_words > 40:  # a match that holds a window may run on in any item
+            common = {item: _longest(texts[row.doc_id], one) for item, one in items}
+            held = [item for item, one in items if _expected(texts[row.doc_id], [(item, one)])[1]]
+            assert max(common[item] for item in held) <= longest <= max(common.values())
+        assert (row.n_hit, row.item) == (0, "x")
+
+
+@pytest.mark.parametrize("count", [400])
+def test_a_passage_that_all_share_is_told_once(spark, count):
+    passage = " ".join(f"p{number}" for number in range(17))
+    documents = spark.createDataFrame([(n, f"own{n} {passage} end{n}") for n in range(count)], "doc_id long, text string").coalesce(1)
+    benchmark = spark.createDataFrame([(n, f"{passage} q{n}") for n in range(count)], "item_id long, text string").coalesce(1)
+    digest = hashlib.sha256(",".join(sorted(map(str, range(count)))).encode()).hexdigest()
+    for row in find_contamination(documents, benchmark).collect():
+        said = row.contamination
+        assert (said.n_words, said.n_hit, said.n_items, said.items_sha256) == (19, 17, count, digest)
+        assert [(match.start, match.length) for match in said.matches] == [(1, 17)]
+
+
+def test_a_text_of_one_word(spark):
+    documents = spark.createDataFrame([(1, "so " * 300_000), (2, "so " * 12)], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(n, "so " * 100) for n in range(3)] + [(9, "so so x")], "item_id long, text string")
+    found = {row.doc_id: row.contamination for row in find_contamination(documents, benchmark).collect()}
+    assert (found[1].n_words, found[1].n_hit, found[1].n_items, len(found[1].matches), found[1].matches[0].length) == (300_000, 300_000, 3, 1, 100)
+    assert (found[2].n_hit, found[2].matches) == (0, [])
+
+
+def test_a_column_of_the_output_name_raises(spark):
+    frame = spark.createDataFrame([(1, "a", 2)], "doc_id long, text string, contamination int")
+    with pytest.raises(ValueError, match="contamination"):
+        find_contamination(frame, frame.select(frame.doc_id.alias("item_id"), "text"))
 
 
 def test_empty_tables(spark):
