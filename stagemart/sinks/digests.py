@@ -5,27 +5,30 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType
 
 from stagemart.datasets import current_path, path_exists, replace_dataset
 from stagemart.errors import DigestMismatch
-from stagemart.names import quoted
+from stagemart.names import as_spelled, quoted
+from stagemart.operators.decimals import normalize_decimals
 from stagemart.session import delete_path, hadoop_path, job_description
-from stagemart.sinks.files import check_target, read_staged, refuse_same_path
-from stagemart.sources.files import PARQUET, FileFormat, dataset_path
+from stagemart.sinks.files import check_target, read_staged, refuse_same_path, write_files
+from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files
 
 #: The folder of a dataset's digests, which readers pass over.
 MANIFEST = "_digest"
 _ROWS, _DIGEST = "__rows", "__digest"
 
 
-def row_hash(schema: StructType) -> Column:
-    """A hash of all values of a row; the entries of a map in order of their keys."""
+def row_hash(schema: StructType, partition_by: Sequence[str] = ()) -> Column:
+    """A hash of all values of a row, whatever the order of its columns; of partition columns the text, of a map the entries by key."""
     values = []
-    for field in schema:
+    for field in sorted(schema, key=lambda field: field.name):
         value = F.col(quoted(field.name))
+        if field.name in partition_by:
+            value = value.cast("string")
         values.append(F.array_sort(F.map_entries(value)) if isinstance(field.dataType, MapType) else value)
     return F.xxhash64(*values)
 
@@ -37,7 +40,7 @@ def dataset_digest(frame: DataFrame, partition_by: Sequence[str] = ()) -> DataFr
     partitions it is one row, also for no rows. Rows are added up before the shuffle.
     """
     columns = [F.col(quoted(name)) for name in partition_by]
-    total = F.coalesce(F.sum(row_hash(frame.schema).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
+    total = F.coalesce(F.sum(row_hash(frame.schema, partition_by).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
     return frame.groupBy(*columns).agg(F.count(F.lit(1)).alias(_ROWS), total.alias(_DIGEST))
 
 
@@ -69,6 +72,29 @@ def write_manifest(path: str, digests: DataFrame) -> None:
     replace_dataset(digests.sparkSession, f"{path}/{MANIFEST}", digests.coalesce(1).write.parquet, lambda _: None)
 
 
+def write_digested(
+    frame: DataFrame, folder: str, table: str, partition_by: Sequence[str] = (), file_format: FileFormat = PARQUET, **options: bool
+) -> str:
+    """``write_files``, with digests of what the files hold stored beside them, which must add up to those of the rows as they were written.
+
+    The sum over all rows is taken while they are written, and the files are read once for those of each partition. Raises
+    ``DigestMismatch`` if they differ. Parquet only, as CSV files do not keep types.
+    """
+    if file_format.file_type != "parquet":
+        raise ValueError("only parquet files keep the types that digests depend on")
+    rows, seen = normalize_decimals(frame), Observation()
+    partition_by = list(as_spelled(rows.schema, partition_by))
+    total = F.sum(row_hash(rows.schema, partition_by).cast("decimal(38,0)"))
+    path = write_files(rows.observe(seen, F.count(F.lit(1)).alias("rows"), total.alias("digest")), folder, table, file_format, partition_by, **options)
+    held = read_files(frame.sparkSession, folder, table, file_format, rows.schema).select([quoted(name) for name in rows.columns])
+    found = _held(frame.sparkSession, _folder_names(dataset_digest(held, partition_by), partition_by))
+    sums = found.agg(F.coalesce(F.sum(_ROWS), F.lit(0)).alias("rows"), F.sum(_DIGEST).alias("digest")).first()
+    if (sums["rows"], sums["digest"] or 0) != (seen.get["rows"], seen.get["digest"] or 0):
+        raise DigestMismatch(f"{path} does not hold the rows that were written")
+    write_manifest(path, found)
+    return path
+
+
 def check_dataset(
     spark: SparkSession, folder: str, table: str, file_format: FileFormat = PARQUET, partition_by: Sequence[str] = (), schema: StructType | None = None
 ) -> int:

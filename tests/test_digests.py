@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from stagemart.errors import DigestMismatch
 from stagemart.session import hadoop_path
-from stagemart.sinks.digests import MANIFEST, Published, check_dataset, dataset_digest, publish_changed
+from stagemart.sinks import create_external_table, drop_external_table
+from stagemart.sinks.digests import MANIFEST, Published, check_dataset, dataset_digest, publish_changed, read_manifest, write_digested
 from stagemart.sinks.files import read_staged, write_files
 from stagemart.sources.files import PARQUET, STAGED_CSV, read_files
 
@@ -91,3 +92,27 @@ def test_digests_know_all_types_and_no_order(spark):
     one, other = (dataset_digest(frame).first() for frame in (rows, rows.orderBy(F.desc("k"))))
     assert one == other and one["__rows"] == 2 and dataset_digest(rows.limit(0)).first()["__rows"] == 0
     assert dataset_digest(rows.withColumn("d", F.lit(None).cast("date"))).first() != one
+
+
+def test_written_digests_and_a_table_from_them(spark, folder, monkeypatch):
+    rows = _rows(spark).withColumn("v", F.col("id").cast("decimal(20,3)"))
+    path = write_digested(rows, folder, "t", ["P", "q"])
+    assert check_dataset(spark, folder, "t", partition_by=["p", "q"], schema=spark.read.parquet(path).schema) == 10
+    plain = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *rest: pytest.fail(text) if "MSCK" in text else plain(text, *rest))
+    name, schema = "stagemart_written_" + folder[-8:], read_files(spark, folder, "t").select("id", "text", "v", "p", "q").schema
+    create_external_table(spark, name, schema, path, ["p", "q"], read_manifest(spark, path))
+    found = spark.table(name)
+    assert rows_of(found.select("id", "text", "p", "q")) == rows_of(_rows(spark)) and found.where("p IS NULL AND q = 1").count() == 20
+    assert spark.sql(f"SHOW TBLPROPERTIES {name} ('stagemart.rows')").first()["value"] == "200"
+    drop_external_table(spark, name)
+    with pytest.raises(ValueError, match="parquet"):
+        write_digested(rows, folder, "c", file_format=STAGED_CSV)
+
+
+def test_files_that_lost_a_row_on_the_way_raise(spark, folder, monkeypatch):
+    from stagemart.sinks import digests
+
+    monkeypatch.setattr(digests, "read_files", lambda *rest: read_files(*rest).where("id <> 5"))
+    with pytest.raises(DigestMismatch):
+        write_digested(_rows(spark), folder, "t", ["q"])
