@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from stagemart.datasets import replace_dataset, same_count
+from stagemart.datasets import put_text, replace_dataset, same_count
 from stagemart.errors import UnsafeOverwrite
 from stagemart.names import quoted
 from stagemart.operators.decimals import normalize_decimals
 from stagemart.session import job_description, qualified, session_setting
-from stagemart.sources.files import PARQUET, FileFormat, dataset_path, read_files
+from stagemart.sources.files import PARQUET, STATED_SCHEMA, FileFormat, dataset_path, read_files
 
 S3_SCHEMES = ("s3", "s3a", "s3n")
 
@@ -66,6 +66,8 @@ def _write(frame: DataFrame, path: str, file_format: FileFormat, partition_by: S
         writer = rows.write.format(file_format.file_type).options(**file_format.write_options)
         with job_description(spark, f"write {path}"):
             (writer.partitionBy(*partition_by) if partition_by else writer).save(target)
+        if file_format.file_type == "csv":
+            put_text(spark, f"{target}/{STATED_SCHEMA}", schema.json())
 
     def check(target: str) -> None:
         if file_format.file_type == "parquet":  # the files say how many rows they hold

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from stagemart.datasets import current_path
+from stagemart.datasets import current_path, get_text
+from stagemart.names import quoted
 from stagemart.session import session_setting
 
 
@@ -69,6 +72,8 @@ class FileFormat:
         return options
 
 
+#: The file of a CSV dataset that states its schema; readers pass over it.
+STATED_SCHEMA = "_schema"
 PARQUET = FileFormat()
 #: CSV for files that jobs write for themselves: records end in a control character, so that files split.
 STAGED_CSV = FileFormat("csv", record_separator="\x1e")
@@ -87,14 +92,22 @@ def read_files(
 ) -> DataFrame:
     """Scan ``{folder}/{table}.{file_type}``, in the version that is current.
 
-    CSV columns are strings unless the format asks for inference, which costs one more pass over
-    the files; it takes a timestamp without zone for TIMESTAMP_NTZ. With a ``schema`` nothing is
+    CSV columns are strings unless the format asks for their types. Files that were written here state them
+    (``_schema`` beside them), so that types and names are those that were written; others are inferred, which costs one more pass over
+    the files and takes a timestamp without zone for TIMESTAMP_NTZ. With a ``schema`` nothing is
     inferred, values of partition columns included.
     """
     reader = spark.read.format(file_format.file_type).options(**file_format.read_options)
+    path = current_path(spark, dataset_path(folder, table, file_format))
+    if schema is None and file_format.file_type == "csv" and file_format.infer_schema:
+        stated = get_text(spark, f"{path}/{STATED_SCHEMA}")
+        if stated is not None:
+            schema = StructType.fromJson(json.loads(stated))
+            # a header that names other columns raises
+            rows = reader.options(inferSchema=False, enforceSchema=not file_format.header).schema(schema).load(path)
+            return rows.select([F.col(quoted(name)) for name in schema.names])
     if schema is not None:
         reader = reader.schema(schema)
-    path = current_path(spark, dataset_path(folder, table, file_format))
     if schema is None and file_format.file_type == "csv" and file_format.infer_schema:
         with session_setting(spark, "spark.sql.timestampType", "TIMESTAMP_NTZ"):
             return reader.load(path)

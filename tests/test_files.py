@@ -1,5 +1,7 @@
 """File sources and sinks."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import SMALLEST, rows_of
 from hypothesis import HealthCheck, given, settings
@@ -57,6 +59,8 @@ def test_csv_types(spark, folder):
     )
     headed = FileFormat("csv", separator=";", header=True, infer_schema=True)
     write_files(frame, folder, "headed", headed)
+    assert read_files(spark, folder, "headed", headed).dtypes[3][1] == "string"
+    delete_path(spark, f"{folder}/headed.csv/_schema")  # as files from elsewhere are
     inferred = read_files(spark, folder, "headed", headed)
     assert [kind for _, kind in inferred.dtypes] == ["int", "double", "timestamp_ntz", "int", "timestamp", "date"]
     assert rows_of(inferred.drop("code")) == rows_of(frame.drop("code"))
@@ -287,3 +291,18 @@ def test_new_folders_can_be_cleared(spark):
     write_files(spark.range(3), path, "rows")
     clear_folders(spark)
     assert not delete_path(spark, path)
+
+
+def test_csv_files_state_their_schema(spark, folder, monkeypatch):
+    staged = replace(STAGED_CSV, header=True, infer_schema=True)
+    rows = spark.sql("SELECT id, CAST(id AS DECIMAL(20,3)) AS d, IF(id = 1, NULL, concat('00', id)) AS code, id % 2 = 0 AS b, TIMESTAMP_NTZ'2024-01-01' AS t, 'p' AS p, cast(id AS int) AS n FROM range(3)")
+    write_files(rows, folder, "t", staged, ["p"])
+    read = read_files(spark, folder, "t", staged)
+    assert read.columns == rows.columns and [f.dataType for f in read.schema if f.name != "d"] == [f.dataType for f in rows.schema if f.name != "d"]
+    assert rows_of(read.select("id", "code", "n", "p")) == rows_of(rows.select("id", "code", "n", "p"))
+    write_files(rows.drop("p").limit(0), folder, "none", staged)
+    assert read_files(spark, folder, "none", staged).columns == ["id", "d", "code", "b", "t", "n"]
+    # files under a header that names other columns
+    rows.drop("p").withColumnRenamed("code", "other").write.mode("append").options(**staged.write_options).csv(f"{folder}/none.csv")
+    with pytest.raises(Exception, match="other|code"):
+        read_files(spark, folder, "none", staged).collect()
