@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stagemart.llm.shipping import session_of
@@ -15,6 +15,7 @@ from stagemart.llm.words import ALPHANUMERIC, LOWER, Block, blocks
 
 UNKNOWN = "und"
 BLOCK_ROWS = 512
+_SHARES = 1 << 40
 _SIZES = 64
 _LETTER = ALPHANUMERIC.copy()
 _LETTER[0x30:0x3A] = False
@@ -24,8 +25,8 @@ _FOLDED = np.where(_LETTER, LOWER, 0).astype(np.uint32)
 
 @dataclass(frozen=True)
 class LanguageOptions:
-    """``sample_per_language`` bounds (in expectation, by a hash of the id) the labelled texts that the
-    centroids are fitted to; document frequencies count all labelled texts. A text is rejected when its
+    """``sample_per_language`` bounds the labelled texts that the centroids are fitted to: those of the least
+    hashes of id and text, a repeated row once; document frequencies count all labelled texts. A text is rejected when its
     cosine is under ``slack`` times the least that any sampled text of about its number of n-grams, or
     more, had; texts with fewer n-grams than any sampled one are kept."""
 
@@ -99,7 +100,7 @@ def fit_languages(
 ) -> LanguageModel:
     """Learn from the rows of ``labelled`` that have a label; no row at all gives a model that knows no language."""
     rows = labelled.select(
-        F.xxhash64(F.col(id_column)).alias("h"), F.col(text_column).cast("binary").alias("text"), F.col(label_column).cast("string").alias("label")
+        F.xxhash64(F.col(id_column), F.col(text_column).cast("binary")).alias("h"), F.col(text_column).cast("binary").alias("text"), F.col(label_column).cast("string").alias("label")
     ).where("label is not null")
     sizes = {row.label: row["count"] for row in rows.groupBy("label").count().limit(options.max_languages + 1).collect()}
     if len(sizes) > options.max_languages:
@@ -121,11 +122,11 @@ def fit_languages(
     total = sum(sizes.values())
     idf = np.log((1 + total) / (1 + seen)).astype(np.float32) + 1
 
-    million = 1_000_000
-    shares = {label: min(million, -(-options.sample_per_language * million // count)) for label, count in sizes.items()}
+    # twice as many as wanted, of which the least hashes are taken, so that no more reach the driver
+    shares = {label: min(_SHARES, -(-2 * options.sample_per_language * _SHARES // count)) for label, count in sizes.items()}
     wanted = F.lit(0)
     for label, share in shares.items():
-        wanted = F.when(F.col("label") == label, share).otherwise(wanted)
+        wanted = F.when(F.col("label") == label, F.lit(share)).otherwise(wanted)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,7 +135,10 @@ def fit_languages(
                 labels = batch.column(1).slice(block.first, block.rows)
                 yield pa.RecordBatch.from_arrays([labels, pa.array([row.tobytes() for row in found], pa.binary())], ["label", "vector"])
 
-    chosen = rows.where(F.pmod("h", F.lit(million)) < wanted).select("text", "label").mapInArrow(sampled, "label string, vector binary")
+    drawn = rows.where(F.pmod("h", F.lit(_SHARES)) < wanted).groupBy("label", "h").agg(F.min("text").alias("text"))
+    least_first = Window.partitionBy("label").orderBy(F.pmod("h", F.lit(_SHARES)), "h")
+    drawn = drawn.withColumn("nth", F.row_number().over(least_first)).where(F.col("nth") <= options.sample_per_language)
+    chosen = drawn.select("text", "label").mapInArrow(sampled, "label string, vector binary")
     points: dict[str, list[np.ndarray]] = {}
     for row in chosen.collect():
         vector = np.frombuffer(row.vector, np.float32)
@@ -206,8 +210,12 @@ def identify_languages(
 ) -> DataFrame:
     """``documents`` with a struct column ``output``, see :func:`identified`; learns where ``learn_from`` holds.
 
-    Labels and ids of a row take no part in its prediction. Repeated rows get the same answer each.
+    Labels and ids of a row take no part in its prediction. Repeated rows get the same answer each; null and empty texts are
+    ``und``; whole texts are read, however long; an empty table gives an empty one. A column named ``output`` raises ValueError;
+    other columns pass through.
     """
+    if output in documents.columns:
+        raise ValueError(f"there is a column {output} already")
     rows = documents.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(label_column).alias("label"), learn_from.alias("learn")
     )

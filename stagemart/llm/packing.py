@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stagemart.llm.scratch import Scratch
 from stagemart.llm.shipping import session_of
 from stagemart.llm.words import blocks, cut
 
@@ -115,16 +116,19 @@ def pack(documents: DataFrame, id: Column, length: Column, source: Column, clust
     ``group_rows``, so that a source or a cluster of a third of all rows is a third of each group;
     within a group, the rests are placed longest first, equal ones by id. A full piece fills a bin of
     its own. Every bin holds at most its capacity, ``per_source`` pieces of one source (null is a
-    source) and one piece of a cluster (null conflicts with nothing). Repeated rows are packed each.
+    source) and one piece of a cluster (null conflicts with nothing). Repeated rows are packed each; an empty table gives no bin.
     """
-    session_of(documents)
+    scratch = Scratch(session_of(documents), "packing")
     capacity, per_source = options.capacity, options.per_source
     rows = documents.select(
         id.cast("long").alias("id"), F.coalesce(length.cast("long"), F.lit(0)).alias("total"), F.xxhash64(source).alias("source"),
-        F.coalesce(cluster.cast("long"), F.xxhash64(F.monotonically_increasing_id())).alias("cluster"),
+        cluster.cast("long").alias("cluster"), F.monotonically_increasing_id().alias("own"),
     )
-    groups = max(1, -(-documents.count() // options.group_rows))
-    dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(groups)))
+    # written, so that rows have one number each, whichever task is run again
+    rows, seen = scratch.keep_observed(rows, "rows", rows=F.count(F.lit(1)))
+    groups = max(1, -(-seen["rows"] // options.group_rows))
+    rows = rows.withColumn("cluster", F.coalesce("cluster", F.xxhash64("own")))
+    dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", "own"), F.lit(groups))).drop("own")
 
     def packed(table: pa.Table) -> pa.Table:
         return _pack_group(table, capacity, per_source)

@@ -221,7 +221,12 @@ def _scanned(column: pa.Array) -> pa.Array:
 
 
 def scan_secrets(documents: DataFrame, text_column: str = "text", output: str = "secrets") -> DataFrame:
-    """``documents`` with a struct column ``output``, see :func:`secrets_of`."""
+    """``documents`` with a struct column ``output``, see :func:`secrets_of`.
+
+    Whole texts are read, however long; an empty table gives an empty one. A column named ``output`` raises ValueError; other columns pass through.
+    """
+    if output in documents.columns:
+        raise ValueError(f"there is a column {output} already")
     session_of(documents)
     return documents.withColumn(output, secrets_of(F.col(text_column)))
 
