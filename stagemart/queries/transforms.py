@@ -12,6 +12,7 @@ from stagemart.functions.series import expand_series, explode_series, register_s
 from stagemart.operators.advisor import advise_partitions
 from stagemart.operators.ddl import external_ddl_as_written, external_ddl_oracle, external_ddl_postgres
 from stagemart.operators.decimals import normalize_decimals
+from stagemart.operators.slices import slice_predicates
 from stagemart.queries.registry import query, table
 
 # ---- decimals --------------------------------------------------------------------------------
@@ -175,6 +176,26 @@ def adv_largest_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return advise_partitions(tables, basis="largest")
 
 
+@query(
+    "adv_equal_slices",
+    """
+    WITH keys AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY ALL),
+    placed AS (SELECT k, n, sum(n) OVER (ORDER BY k) AS up_to, sum(n) OVER () AS total FROM keys),
+    ends AS (SELECT k FROM placed WHERE up_to * 16 // total > (up_to - n) * 16 // total AND up_to < total)
+    SELECT slice, CAST(sum(n) AS BIGINT) AS n_rows, CAST(sum(k * n) AS BIGINT) AS key_sum
+    FROM (SELECT k, n, (SELECT count(*) FROM ends WHERE ends.k < keys.k) AS slice FROM keys) GROUP BY slice
+    """,
+)
+def adv_equal_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen slices of lineitem by its key, each read by its predicate."""
+    lineitem = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    parts = [
+        lineitem.where(said).select(F.lit(number).cast("bigint").alias("slice"), "l_orderkey")
+        for number, said in enumerate(slice_predicates(lineitem, "l_orderkey", 16))
+    ]
+    return reduce(DataFrame.union, parts).groupBy("slice").agg(F.count("*").alias("n_rows"), F.sum("l_orderkey").alias("key_sum"))
+
+
 # ---- external DDL ----------------------------------------------------------------------------
 
 _DDL_TABLES = {
