@@ -305,7 +305,7 @@ class Trainer:
         told[chosen, np.arange(len(predicted))] = pull
         gradient = told @ predicted
         np.add.at(gradient, drawn, push.T @ predicted)
-        np.add.at(self.item_steps, low + drawn, 1)
+        self.item_steps[low:high] += np.bincount(np.concatenate([chosen, drawn]), minlength=high - low)
         seen = self.seen_items[low:high]
         seen += gradient * gradient
         gradient *= self.options.rate
@@ -323,7 +323,6 @@ class Trainer:
                     back[some] += self.choices(node, predicted[some], chosen[start : start + options.small_batch])
         some = np.flatnonzero(~self.busy[model.tree.above[item]])
         self._step_contexts(one[some], two[some], back[some], self.seen_below)
-        np.add.at(self.item_steps, item, 1)
         for start in range(0, len(words), options.batch):
             first, second = one[start : start + options.batch], two[start : start + options.batch]
             predicted = model.predicted(first, second)
