@@ -18,11 +18,13 @@ from stagemart.llm.words import Block, blocks, mix, row_of, words
 END = mix(np.array([0xE0F], np.uint64))[0]
 _LOG2_STEPS = 64
 _KEPT_WORDS = 1 << 20
-#: Scores below it keep their exponentials and the sums of those in range.
+#: Scores up to it, of which one a row is not below its negative, keep their exponentials and the sums of those in range.
 _SAFE = 60.0
 _ROWS_AT_ONCE = 1 << 12
 #: Text that is trained by, or scored, at once: nodes are visited once for all its tokens.
 _BLOCK_BYTES = 4 << 20
+#: Text that is cut into words at once, and rows of contexts that are moved at once.
+_PIECE_BYTES, _PIECE_ROWS = 1 << 18, 1 << 13
 #: Squared gradients that an item starts with, so that its first steps are in proportion to what it has seen.
 _SEEN = 1000.0
 
@@ -49,15 +51,28 @@ class ModelOptions:
     rate: float = 0.2
 
 
+def _pieces(block: Block) -> Iterator[Block]:
+    """The block in whole texts again, of up to ``_PIECE_BYTES`` where they are no longer."""
+    first = 0
+    while first < block.rows:
+        last = int(np.searchsorted(block.offsets, block.offsets[first] + _PIECE_BYTES, "right")) - 1
+        last = max(last, first + 1)
+        offsets = block.offsets[first : last + 1]
+        yield Block(first, block.data[offsets[0] : offsets[-1]], offsets - offsets[0])
+        first = last
+
+
 class Tokens:
     """Tokens of a block: each text's words, then the end."""
 
     def __init__(self, block: Block):
-        found = words(block)
+        found = [words(piece) for piece in _pieces(block)]
+        hashes, counts = (np.concatenate(parts) for parts in ([part.hashes for part in found], [np.diff(part.offsets) for part in found]))
         rows = np.arange(block.rows)
-        self.offsets = found.offsets + np.append(rows, block.rows)
+        offsets = np.append(0, np.cumsum(counts))
+        self.offsets = offsets + np.append(rows, block.rows)
         self.hashes = np.full(self.offsets[-1], END)
-        self.hashes[np.arange(len(found.hashes)) + row_of(found.offsets)] = found.hashes
+        self.hashes[np.arange(len(hashes)) + row_of(offsets)] = hashes
 
     def contexts(self, ids: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids one and two tokens before; ``outside`` before a text."""
@@ -136,16 +151,27 @@ def count_tokens(texts: DataFrame, scratch: Scratch, common: int) -> Counts:
 
 
 class Lookup:
-    """Positions of hashes in a sorted array; its length for those that are not in it."""
+    """Positions of hashes in a sorted array; its length for those that are not in it.
+
+    A table by the first bits of a hash, of about two to four entries a hash, tells where to begin; the hashes are mixed, so few steps are left.
+    """
 
     def __init__(self, sorted_hashes: np.ndarray):
         self.hashes = sorted_hashes
+        bits = max(1, (2 * len(sorted_hashes)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(sorted_hashes >> self.shift, np.arange(1 << bits, dtype=np.uint64))
+        self.padded = np.append(sorted_hashes, np.uint64((1 << 64) - 1))
 
     def __call__(self, hashes: np.ndarray) -> np.ndarray:
-        if not len(self.hashes):
-            return np.zeros(len(hashes), np.int64)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        at[self.hashes[at] != hashes] = len(self.hashes)
+        at = self.begin.take((hashes >> self.shift).view(np.int64))
+        held = self.padded.take(at)
+        left = np.flatnonzero(held < hashes)
+        while len(left):
+            at[left] += 1
+            held[left] = self.padded.take(at[left])
+            left = left[held[left] < hashes[left]]
+        at[held != hashes] = len(self.hashes)
         return at
 
 
@@ -155,6 +181,8 @@ class Tree:
     ``items`` are words and nodes but the root; those of one node lie side by side, from ``first`` of it on.
     ``item`` gives the item of each word, ``above`` the node that an item lies in, ``own`` the item of each
     node, -1 of the root, which is the last. ``weight`` counts what a node holds, ``share`` is the share of an item in its node.
+    ``place`` numbers the words in the order in which the tree holds them, in each node its words before those of its nodes, which rise by weight:
+    those of an item begin at ``begin`` of it, those of a node end at ``end`` of it, and ``by_place`` has the items of a node in that order.
     """
 
     def __init__(self, counts: np.ndarray, width: int):
@@ -186,6 +214,25 @@ class Tree:
         self.item, self.own = at[:words], at[words:]
         self.weight = np.array(weight)
         self.share = np.concatenate([counts, self.weight])[place] / self.weight[self.above]
+        held = np.ones(len(place), np.int64)  # the words of each item
+        for node in range(self.nodes - 1):
+            held[self.own[node]] = held[self.first[node] : self.first[node + 1]].sum()
+        self.by_place = np.lexsort((np.isin(np.arange(len(place)), self.own[:-1]), self.above))
+        self.begin, self.end = np.empty(len(place), np.int64), np.empty(self.nodes, np.int64)
+        for node in range(self.nodes - 1, -1, -1):  # those above come first
+            items = self.by_place[self.first[node] : self.first[node + 1]]
+            ends = np.cumsum(held[items]) + (self.begin[self.own[node]] if self.own[node] >= 0 else 0)
+            self.begin[items], self.end[node] = ends - held[items], ends[-1]
+        self.place = self.begin[self.item]
+
+    def cuts(self, node: int, ends: np.ndarray) -> np.ndarray:
+        """Where the tokens of each item of a node start, by place, and the last ones end; ``ends`` counts the tokens before each place."""
+        return np.append(ends[self.begin[self.by_place[self.first[node] : self.first[node + 1]]]], ends[self.end[node]])
+
+
+def _counted(places: np.ndarray, number: int) -> np.ndarray:
+    """How many lie before each of so many places."""
+    return np.concatenate([[0], np.cumsum(np.bincount(places, minlength=number))])
 
 
 class LogBilinear:
@@ -220,10 +267,16 @@ class LogBilinear:
 
     def predicted(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """With a one for the bias at the end."""
-        out = np.ones((len(one), self.dims + 1), np.float32)
-        out[:, :-1] = self.context[one] * self.weights[0] + self.context[two] * self.weights[1]
+        out = np.empty((len(one), self.dims + 1), np.float32)
+        out[:, -1] = 1
+        for start in range(0, len(one), _ROWS_AT_ONCE):
+            some = slice(start, start + _ROWS_AT_ONCE)
+            out[some, :-1] = self.joined(self.context.take(one[some], axis=0), self.context.take(two[some], axis=0))
         return out
 
+    def joined(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        return first * self.weights[0] + second * self.weights[1]
+
     def climb(self, item: np.ndarray, within: np.ndarray | None = None) -> Iterator[list[tuple[int, np.ndarray, np.ndarray]]]:
         """The choices from the items up: lists of (node, rows, the item chosen, numbered in the node). Ends at a node not ``within``."""
         tree, rows = self.tree, np.arange(len(item))
@@ -241,23 +294,33 @@ class LogBilinear:
             rows, item = rows[item >= 0], item[item >= 0]
 
     def score(self, one: np.ndarray, two: np.ndarray, words: np.ndarray, at_once: int = 1 << 9) -> np.ndarray:
-        """Log10 probabilities of ``words``, each choice normalised over its node by batched matrix products."""
-        predicted, total = self.predicted(one, two), np.zeros(len(words))
-        reach = np.sqrt((predicted * predicted).sum(axis=1).max(initial=0))
-        held, ones = np.empty((at_once, self.tree.width), np.float32), np.ones(self.tree.width, np.float32)
-        for level in self.climb(self.tree.item[words]):
-            for node, rows, chosen in level:
-                items = self.items[self.tree.first[node] : self.tree.first[node + 1]]
-                safe = reach * np.sqrt((items * items).sum(axis=1).max()) < _SAFE  # then no score can be larger
-                for start in range(0, len(rows), at_once):
-                    some, own = rows[start : start + at_once], chosen[start : start + at_once]
-                    scores = held.ravel()[: len(some) * len(items)].reshape(len(some), len(items))
-                    np.matmul(predicted[some], items.T, out=scores)
-                    if not safe:
-                        scores -= scores.max(axis=1, keepdims=True)
-                    found = scores[np.arange(len(some)), own]
-                    total[some] += found - np.log(np.exp(scores, out=scores) @ ones[: len(items)])
-        return total / np.log(10)
+        """Log10 probabilities of ``words``, each choice normalised over its node by batched matrix products.
+
+        In the order of the tree, the tokens of every node lie side by side.
+        """
+        tree = self.tree
+        place = tree.place.take(words)
+        order, ends = np.argsort(place), _counted(place, len(tree.item))
+        predicted, total = self.predicted(one.take(order), two.take(order)), np.zeros(len(words))
+        held, ones, rows = np.empty((at_once, tree.width), np.float32), np.ones(tree.width, np.float32), np.arange(at_once)
+        for node in np.flatnonzero(ends[tree.end] > ends[tree.begin[tree.by_place[tree.first[:-1]]]]):
+            cuts = tree.cuts(node, ends)
+            low, high = tree.first[node], tree.first[node + 1]
+            items, chosen = self.items[low:high], np.repeat(tree.by_place[low:high] - low, np.diff(cuts))
+            for start in range(0, len(chosen), at_once):
+                own = chosen[start : start + at_once]
+                some = slice(cuts[0] + start, cuts[0] + start + len(own))
+                scores = held.ravel()[: len(own) * len(items)].reshape(len(own), len(items))
+                np.matmul(predicted[some], items.T, out=scores)
+                found = scores[rows[: len(own)], own]
+                if scores.max() > _SAFE or found.min() < -_SAFE:
+                    most = scores.max(axis=1)
+                    scores -= most[:, None]
+                    found -= most
+                total[some] += found - np.log(np.exp(scores, out=scores) @ ones[: len(items)])
+        scored = np.empty(len(words))
+        scored[order] = total / np.log(10)
+        return scored
 
 
 class Trainer:
@@ -280,30 +343,36 @@ class Trainer:
         self.seen_items = np.full_like(model.items, _SEEN)
         self.context_steps, self.item_steps = np.zeros(len(model.context), np.int64), np.zeros(len(model.items), np.int64)
         self.busy = tree.weight * options.busy >= tree.weight[-1]
-        self.busy_item = tree.item.copy()  # the first item on the way up that lies in a busy node
-        while len(below := np.flatnonzero(~self.busy[tree.above[self.busy_item]])):
-            self.busy_item[below] = tree.own[tree.above[self.busy_item[below]]]
+        below = tree.own[np.flatnonzero(self.busy[:-1])]  # the items of busy nodes, which are the last ones by place of the node above
+        self.split = {int(node): tree.begin[below[tree.above[below] == node]].min(initial=tree.end[node]) for node in np.flatnonzero(self.busy)}
 
-    def choices(self, node: int, predicted: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-        """Train one node by the items ``chosen`` in it; the gradient of what was predicted."""
+    def choices(self, node: int, predicted: np.ndarray, chosen: np.ndarray, ordered: bool = False) -> np.ndarray:
+        """Train one node by the items ``chosen`` in it, ``ordered`` if equal ones lie side by side; the gradient of what was predicted."""
         low, high = self.model.tree.first[node], self.model.tree.first[node + 1]
         if high - low == 1:
             return np.zeros((len(predicted), self.options.dims), np.float32)
         items, log_noise = self.model.items[low:high], self.log_noise[low:high]
         count = min(self.options.noise, high - low)
         drawn = np.searchsorted(self.reach[low : high - 1], node + self.random.random(count))
-        goal, against = items[chosen], items[drawn]
+        goal, against = items.take(chosen, axis=0), items.take(drawn, axis=0)
         with np.errstate(over="ignore"):  # beyond the largest number, the choice is certain
-            push = predicted @ against.T
-            np.exp(np.subtract(log_noise[drawn], push, out=push), out=push)
+            beyond = against.copy()
+            beyond[:, -1] -= log_noise[drawn]
+            push = predicted @ np.negative(beyond, out=beyond).T
+            np.exp(push, out=push)
             np.reciprocal(np.add(push, 1, out=push), out=push)
             pull = -1 / (1 + np.exp(np.einsum("ij,ij->i", predicted, goal) - log_noise[chosen]))
         back = push @ against
         goal *= pull[:, None]
         back += goal
-        told = np.zeros((high - low, len(predicted)), np.float32)
-        told[chosen, np.arange(len(predicted))] = pull
-        gradient = told @ predicted
+        if ordered and len(predicted) > 2 * (high - low):
+            gradient = np.zeros_like(items)
+            first = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
+            gradient[chosen[first]] = np.add.reduceat(predicted * pull[:, None], first, axis=0)
+        else:
+            told = np.zeros((high - low, len(predicted)), np.float32)
+            told[chosen, np.arange(len(predicted))] = pull
+            gradient = told @ predicted
         np.add.at(gradient, drawn, push.T @ predicted)
         self.item_steps[low:high] += np.bincount(np.concatenate([chosen, drawn]), minlength=high - low)
         seen = self.seen_items[low:high]
@@ -314,41 +383,75 @@ class Trainer:
 
     def block(self, one: np.ndarray, two: np.ndarray, words: np.ndarray) -> None:
         """Train by tokens in random order: the nodes that are not busy, then the others and the contexts in batches."""
-        model, options, item = self.model, self.options, self.model.tree.item[words]
-        predicted, back = model.predicted(one, two), np.zeros((len(words), options.dims), np.float32)
-        for level in model.climb(item, ~self.busy):
+        model, options, tree = self.model, self.options, self.model.tree
+        node = tree.above.take(tree.item.take(words))
+        some = np.flatnonzero(~self.busy[node])
+        some = some[np.argsort(node[some], kind="stable")]  # by node, so that what is read for one lies side by side
+        first, second = one.take(some), two.take(some)
+        predicted, back = model.predicted(first, second), np.zeros((len(some), options.dims), np.float32)
+        for level in model.climb(tree.item.take(words.take(some)), ~self.busy):
             for node, rows, chosen in level:
                 for start in range(0, len(rows), options.small_batch):
-                    some = rows[start : start + options.small_batch]
-                    back[some] += self.choices(node, predicted[some], chosen[start : start + options.small_batch])
-        some = np.flatnonzero(~self.busy[model.tree.above[item]])
-        self._step_contexts(one[some], two[some], back[some], self.seen_below)
+                    own = rows[start : start + options.small_batch]
+                    back[own] += self.choices(node, predicted.take(own, axis=0), chosen[start : start + options.small_batch])
+        self._step_contexts(first, second, back, self.seen_below)
         for start in range(0, len(words), options.batch):
-            first, second = one[start : start + options.batch], two[start : start + options.batch]
-            predicted = model.predicted(first, second)
-            back = np.zeros((len(first), options.dims), np.float32)
-            for level in model.climb(self.busy_item[words[start : start + options.batch]]):
-                for node, rows, chosen in level:
-                    back[rows] += self.choices(node, predicted[rows], chosen)
-            to_weights = np.stack([(back * model.context[first]).sum(axis=0), (back * model.context[second]).sum(axis=0)])
-            self._step_contexts(first, second, back, self.seen_context)
-            self.seen_weights += to_weights * to_weights
-            model.weights -= options.rate * to_weights / np.sqrt(self.seen_weights)
+            self._batch(one[start : start + options.batch], two[start : start + options.batch], words[start : start + options.batch])
+
+    def _batch(self, one: np.ndarray, two: np.ndarray, words: np.ndarray) -> None:
+        """Train the busy nodes, each by its part of the tokens in the order of the tree, and the contexts."""
+        model, options, tree = self.model, self.options, self.model.tree
+        place = tree.place.take(words)
+        order = np.argsort(place)
+        one, two, place = one.take(order), two.take(order), place.take(order)
+        first, second = model.context.take(one, axis=0), model.context.take(two, axis=0)
+        predicted, back = np.ones((len(one), options.dims + 1), np.float32), np.zeros((len(one), options.dims), np.float32)
+        predicted[:, :-1] = model.joined(first, second)
+        for node, split in self.split.items():  # a step for what ends here or in nodes that are not busy, one for what goes on
+            items = tree.by_place[tree.first[node] : tree.first[node + 1]]
+            begin = tree.begin[items]
+            ends = np.searchsorted(place, (begin[0], split, tree.end[node]))
+            for some in (slice(ends[0], ends[1]), slice(ends[1], ends[2])):
+                if some.start < some.stop:
+                    chosen = items[np.searchsorted(begin, place[some], "right") - 1] - tree.first[node]
+                    back[some] += self.choices(node, predicted[some], chosen, ordered=True)
+        to_weights = np.stack([np.einsum("ij,ij->j", back, first), np.einsum("ij,ij->j", back, second)])
+        self._step_contexts(one, two, back, self.seen_context)
+        self.seen_weights += to_weights * to_weights
+        model.weights -= options.rate * to_weights / np.sqrt(self.seen_weights)
 
     def _step_contexts(self, one: np.ndarray, two: np.ndarray, to_predicted: np.ndarray, seen: np.ndarray) -> None:
-        rows = np.concatenate([one, two])
-        if not len(rows):
+        if not len(one):
             return
-        order = np.argsort(rows, kind="stable")
-        rows = rows[order]
+        bits = (2 * len(one)).bit_length()
+        keys = np.concatenate([one, two]) << bits
+        keys |= np.arange(len(keys))
+        keys.sort()
+        rows, order = keys >> bits, keys & ((1 << bits) - 1)
         first = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-        gradient = np.concatenate([to_predicted * self.model.weights[0], to_predicted * self.model.weights[1]])
-        summed = np.add.reduceat(gradient[order], first, axis=0)
-        self.context_steps[rows[first]] += np.diff(np.append(first, len(rows)))
-        rows = rows[first]
-        held = seen[rows] + summed * summed
+        times, rows = np.diff(first, append=len(rows)), rows[first]
+        self.context_steps[rows] += times
+        marks = np.unique(np.append(np.searchsorted(first, np.arange(0, len(order), _PIECE_ROWS)), len(first)))  # where pieces of whole contexts start
+        for low, high in zip(marks[:-1], marks[1:]):
+            own = order[first[low] : first[high - 1] + times[high - 1]]
+            side = own >= len(one)
+            gradient = to_predicted.take(own - len(one) * side, axis=0)
+            gradient *= self.model.weights.take(side, axis=0)
+            self._step_rows(rows[low:high], times[low:high], gradient, seen)
+
+    def _step_rows(self, rows: np.ndarray, times: np.ndarray, gradient: np.ndarray, seen: np.ndarray) -> None:
+        """Move contexts; the gradients of each lie side by side, ``times`` of them."""
+        summed = gradient.take(np.cumsum(times) - times, axis=0)
+        often = np.flatnonzero(times > 1)
+        if len(often):  # the others are their own sums
+            several = gradient.take(np.flatnonzero(np.repeat(times > 1, times)), axis=0)
+            summed[often] = np.add.reduceat(several, np.cumsum(times[often]) - times[often], axis=0)
+        held = seen.take(rows, axis=0)
+        held += summed * summed
         seen[rows] = held
-        self.model.context[rows] -= self.options.rate * summed / np.sqrt(held)
+        summed *= self.options.rate
+        summed /= np.sqrt(held, out=held)
+        self.model.context[rows] = self.model.context.take(rows, axis=0) - summed
 
 
 def _trained(shared, options: ModelOptions, seed: int):
@@ -371,7 +474,8 @@ def _trained(shared, options: ModelOptions, seed: int):
             weight = np.concatenate([trainer.context_steps, np.full(2, total), trainer.item_steps])
             places = np.flatnonzero(weight)
             moved = trainer.model.rows
-            yield _packed((number, places[lo:hi], weight[places[lo:hi]], moved[places[lo:hi]]) for number, lo, hi in _parts(places))
+            for number, lo, hi in _parts(places):
+                yield _packed(iter([(number, places[lo:hi], weight[places[lo:hi]], moved[places[lo:hi]])]))
 
     return train
 

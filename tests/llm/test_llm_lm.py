@@ -2,14 +2,18 @@
 
 import collections
 import math
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stagemart.llm.lm import LogBilinear, ModelOptions, Trainer, Tree, score_texts
+from stagemart.llm import lm
+from stagemart.llm.lm import LogBilinear, Lookup, ModelOptions, Tokens, Trainer, Tree, score_texts
 from stagemart.llm.queries import op2_lm_scoring
+from stagemart.llm.words import blocks
 
 
 def _tokens(text):
@@ -150,6 +154,85 @@ def test_words_in_lower_nodes_depend_on_their_context(spark):
     assert told > mixed + 10
 
 
+@pytest.mark.parametrize("width", [2, 7, 256])
+@pytest.mark.parametrize("counts", COUNTS, ids=["one", "two", "equal", "rising", "steep"])
+def test_words_of_a_node_lie_side_by_side(counts, width):
+    tree = Tree(np.array(counts), width)
+    assert (np.sort(tree.place) == np.arange(len(counts))).all()
+    below = [[] for _ in tree.share]  # the places of the words of each item, by climbing
+    for word in range(len(counts)):
+        item = tree.item[word]
+        while item >= 0:
+            below[item].append(tree.place[word])
+            item = tree.own[tree.above[item]]
+    for node in range(tree.nodes):
+        cuts = tree.cuts(node, np.arange(len(counts) + 1))
+        items = tree.by_place[tree.first[node] : tree.first[node + 1]]
+        assert sorted(items) == list(range(tree.first[node], tree.first[node + 1]))
+        assert [sorted(below[item]) for item in items] == [list(range(low, high)) for low, high in zip(cuts[:-1], cuts[1:])]
+        assert (np.diff(np.isin(items, tree.own).astype(int)) >= 0).all()  # nodes after words
+
+
+@pytest.mark.parametrize("held", [0, 1, 2, 1000])
+def test_lookup_equals_search(held):
+    random = np.random.default_rng(held)
+    largest = (1 << 64) - 1
+    hashes = np.unique(np.append(random.integers(0, largest, held, np.uint64, endpoint=True), np.array([0, largest] if held > 1 else [], np.uint64)))
+    asked = np.concatenate([hashes, hashes + np.uint64(1), hashes - np.uint64(1), random.integers(0, largest, 500, np.uint64), np.array([0, 5, largest], np.uint64)])
+    place = {value: at for at, value in enumerate(hashes.tolist())}
+    assert Lookup(hashes)(asked).tolist() == [place.get(value, len(hashes)) for value in asked.tolist()]
+
+
+def test_tokens_do_not_depend_on_the_pieces(monkeypatch):
+    texts = ["", "One two  three", None, "x" * 50, " a\tb\n", "two " * 30, "last"]
+    (block,) = blocks(pa.array(texts).cast(pa.binary()))
+    whole = Tokens(block)
+    assert np.diff(whole.offsets).tolist() == [len(_tokens(text)) for text in texts]
+    for size in (1, 20, 60):
+        monkeypatch.setattr(lm, "_PIECE_BYTES", size)
+        cut = Tokens(block)
+        assert (cut.offsets == whole.offsets).all() and (cut.hashes == whole.hashes).all()
+
+
+def test_contexts_move_by_the_sums_of_their_gradients(monkeypatch):
+    monkeypatch.setattr(lm, "_PIECE_ROWS", 16)
+    random = np.random.default_rng(4)
+    trainer = Trainer(_model([3] * 30, 6), ModelOptions(dims=5), 0)
+    one, two = random.integers(0, 31, 200), np.where(random.random(200) < 0.4, 30, random.integers(0, 31, 200))
+    given, model = random.normal(0, 1, (200, 5)).astype(np.float32), trainer.model
+    before, sums, times = model.context.copy(), np.zeros(model.context.shape), np.zeros(len(model.context), int)
+    for side, ids in enumerate((one, two)):
+        for row, ident in enumerate(ids):
+            sums[ident] += given[row] * model.weights[side]
+            times[ident] += 1
+    trainer._step_contexts(one, two, given, trainer.seen_context)
+    assert trainer.seen_context == pytest.approx(1 + sums**2, rel=1e-3, abs=1e-3)
+    assert model.context == pytest.approx(before - trainer.options.rate * sums / np.sqrt(1 + sums**2), abs=1e-4)
+    assert (trainer.context_steps == times).all()
+
+
+def test_a_step_of_many_contexts_takes_little_memory():
+    """The contexts of a whole block are moved in pieces: 26 MB of gradients are never held sorted and summed beside themselves."""
+    random = np.random.default_rng(5)
+    trainer, given = Trainer(_model([3] * 50_000, 128, dims=16), ModelOptions(), 0), np.ones((200_000, 16), np.float32)
+    one, two = random.integers(0, 50_000, (2, 200_000))
+    tracemalloc.start()
+    trainer._step_contexts(one, two, given, trainer.seen_below)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+
+
+def test_scores_are_equal_with_and_without_taking_off_the_greatest(monkeypatch):
+    random = np.random.default_rng(6)
+    model = _model([*range(1, 400)], 16, spread=0.7)
+    one, two, words = random.integers(0, 400, (3, 3000))
+    words = np.minimum(words, 398)
+    plain = model.score(one, two, words)
+    monkeypatch.setattr(lm, "_SAFE", 0.0)
+    assert model.score(one, two, words, 100) == pytest.approx(plain, abs=1e-4)
+
+
 def test_nothing_to_learn_from_and_no_rows(spark):
     frame = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     found = {row.id: row for row in score_texts(frame, F.lit(False)).collect()}
