@@ -3,12 +3,14 @@
 import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
 from stagemart.errors import RowCountMismatch
+from stagemart.queries.database import check_database
 from stagemart.sinks import write_table
 from stagemart.sources import Database, collect_bounds, key_bounds, read_table
 
@@ -37,6 +39,26 @@ def test_database_settings_are_all_or_none():
         Database.from_config(full | {"password": None})
 
 
+@pytest.mark.parametrize("master", ["local-cluster[3,2,3000]", "spark://host:7077", "yarn"])
+def test_no_embedded_database_where_executors_are_other_processes(spark, master):
+    def elsewhere(**settings):
+        named = {f"spark.stagemart.jdbc.{key}": value for key, value in settings.items()}
+        context = SimpleNamespace(master=master, _jvm=spark.sparkContext._jvm)
+        return SimpleNamespace(conf=SimpleNamespace(get=named.get), sparkContext=context)
+
+    with pytest.raises(ValueError, match="spark.stagemart.jdbc.url"):
+        check_database(elsewhere())
+    configured = check_database(elsewhere(url="jdbc:postgresql://host:5432/db", schema="mart"))
+    assert (configured.url, configured.schema) == ("jdbc:postgresql://host:5432/db", "mart")
+
+
+@pytest.mark.parametrize("master", ["local", "local[4]", "local[*]", "local[4,2]"])
+def test_embedded_database_in_local_mode(spark, master):
+    context = SimpleNamespace(master=master, _jvm=spark.sparkContext._jvm)
+    database = check_database(SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=context))
+    assert database.url.startswith("jdbc:derby:memory:") and database.schema == "APP"
+
+
 def partition_sizes(frame):
     rows = frame.groupBy(F.spark_partition_id().alias("p")).count().collect()
     return {row["p"]: row["count"] for row in rows}
